@@ -339,7 +339,8 @@ def _robust() -> str:
         f"(a.{c} - m{i}) / (case when abs(s{i}) < 2.220446049250313e-15 then 1 else s{i} end) as {c}"
         for i, c in enumerate(FEATURES)
     )
-    return f"""with f as (select {fit} from adv join parts using (cell_id, time_window) where split = 'train')
+    return f"""with f as (select {fit} from adv join
+  (select cell_id, time_window, split from parts) using (cell_id, time_window) where split = 'train')
  select cell_id, time_window, {scaled} from adv a, f"""
 
 
