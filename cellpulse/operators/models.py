@@ -85,9 +85,20 @@ def regressors(forest_params: ForestParams, boost: BoostParams, leafwise: BoostP
     }
 
 
+def fit_together(fits: Sequence[tuple[Estimator, DataFrame]], features: Sequence[str], parallelism: int = 4) -> list[PipelineModel]:
+    """Several fits at a time: the short jobs of one tree level fill the gaps of the others."""
+    with ThreadPool(min(parallelism, len(fits))) as pool:
+        return pool.map(lambda job: fit(job[0], job[1], features), fits)
+
+
 def fit_all(learners: Mapping[str, Estimator], train: DataFrame, features: Sequence[str]) -> dict[str, PipelineModel]:
-    weighted = train.withColumn("event_weight", rare_event_weight())
-    return {name: fit(learner, weighted, features) for name, learner in learners.items()}
+    """Every learner on the same rows."""
+    return dict(zip(learners, fit_together([(learner, train) for learner in learners.values()], features)))
+
+
+def with_weight(train: DataFrame) -> DataFrame:
+    """Training rows with the weight the `weighted` regressor reads."""
+    return train.withColumn("event_weight", rare_event_weight())
 
 
 def score(models: Mapping[str, PipelineModel], df: DataFrame) -> DataFrame:
@@ -163,13 +174,17 @@ def fit_stack(
     """Out-of-fold predictions of every learner over consecutive folds feed a ridge; the learners are
     then fitted again on all training rows."""
     split = contiguous_folds(train, folds)
-    parts = []
-    for name in split.names:
-        held = split.part(train, name)
-        others = split.assign(train, "_fold").where(F.col("_fold") != name).drop("_fold")
-        parts.append(score(fit_all(learners, others, features), held).select("target", *learners))
+    rows = split.assign(train, "_fold")
+    others = {name: rows.where(F.col("_fold") != name).drop("_fold") for name in split.names}
+    # The last entry of `sources` is the final fit on all rows; everything is fitted in one pool.
+    sources = [*others.values(), train]
+    fitted = iter(fit_together([(learner, source) for source in sources for learner in learners.values()], features))
+    rounds = [{name: next(fitted) for name in learners} for _ in sources]
+    parts = [
+        score(models, split.part(train, name)).select("target", *learners) for name, models in zip(split.names, rounds)
+    ]
     meta = ridge(reduce(DataFrame.unionByName, parts), list(learners), alpha=alpha)
-    return Stack(fit_all(learners, train, features), meta)
+    return Stack(rounds[-1], meta)
 
 
 def importance(models: Mapping[str, PipelineModel], features: Sequence[str], weights: Mapping[str, float]) -> DataFrame:

@@ -47,12 +47,18 @@ def grid_time_panel(gridded: DataFrame) -> DataFrame:
 
 
 def incident_summary(gridded: DataFrame) -> DataFrame:
-    """One row: incidents, cells, windows and the span of whole days."""
-    return gridded.agg(
-        F.count("*").alias("incidents"),
+    """One row: incidents, cells, windows and the span of whole days.
+
+    Incidents are folded to cells and windows first, so distinct counting never expands raw rows.
+    """
+    folded = gridded.groupBy("cell_id", "time_window").agg(
+        F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")
+    )
+    return folded.agg(
+        F.sum("n").alias("incidents"),
         F.count_distinct("cell_id").alias("cells"),
         F.count_distinct("time_window").alias("windows"),
-        whole_days("ts").alias("span_days"),
+        whole_days("first_ts", "last_ts").alias("span_days"),
     )
 
 
@@ -68,7 +74,7 @@ def panel_summary(panel: DataFrame) -> DataFrame:
     )
 
 
-def whole_days(ts: str):
-    """Completed days between the first and the last value of a timestamp column."""
-    span = F.timestamp_diff("SECOND", F.min(ts), F.max(ts))
+def whole_days(first: str, last: str | None = None):
+    """Completed days between the smallest `first` and the largest `last` of timestamp columns."""
+    span = F.timestamp_diff("SECOND", F.min(first), F.max(last or first))
     return F.floor(span / 86400).cast("int")

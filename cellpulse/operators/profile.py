@@ -161,11 +161,13 @@ def category_counts(df: DataFrame, column: str = "category") -> DataFrame:
 
 def top_categories(df: DataFrame, column: str = "category", k: int = 15) -> DataFrame:
     """The k most frequent values with their share of all rows and the number of distinct values."""
-    counts = category_counts(df, column)
-    overall = df.agg(F.struct(F.count("*").alias("rows"), F.count_distinct(column).alias("distinct"))).scalar()
+    counts = df.groupBy(column).agg(F.count("*").alias("n"))
+    overall = counts.agg(F.struct(F.sum("n").alias("rows"), F.count(column).alias("distinct"))).scalar()
+    # The null group sorts last and is dropped after the limit, so both branches read one exchange.
     return (
-        counts.orderBy(F.desc("n"), column)
+        counts.orderBy(F.col(column).isNull(), F.desc("n"), column)
         .limit(k)
+        .where(F.col(column).isNotNull())
         .withColumn("_all", overall)
         .select(
             column,

@@ -4,35 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ORDER = ("time_window", "grid_lat_idx", "grid_lon_idx")
 
 
-def key_at(df: DataFrame, position: int, order: Sequence[str] = ORDER) -> tuple | None:
-    """The order key of the row at a 0-based position, found one key column after the other.
+def keys_at(df: DataFrame, positions: Sequence[int], order: Sequence[str] = ORDER) -> list[tuple]:
+    """The order keys of the rows at 0-based positions.
 
-    Each step counts rows per value of one column and keeps only the value that covers the position,
-    so no step sorts rows: the counted values are windows, grid rows, then grid columns.
+    One job per key column for all positions together: rows are counted per value of the column within
+    the values already found, and the value that covers the position is kept. No step sorts rows; what is
+    ordered are windows, then the grid rows of one window, then the grid columns of one grid row.
     """
-    found: list = []
-    level, rest = df, position
-    for name in order:
-        running = Window.orderBy(name).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        hit = (
-            level.groupBy(name)
-            .agg(F.count("*").alias("n"))
-            .select(name, "n", F.sum("n").over(running).alias("upto"))
-            .where((F.col("upto") > rest) & (F.col("upto") - F.col("n") <= rest))
-            .first()
-        )
-        if hit is None:
-            return None
-        found.append(hit[name])
-        rest -= hit["upto"] - hit["n"]
-        level = level.where(F.col(name) == F.lit(hit[name]))
-    return tuple(found)
+    found: list[tuple] = [()] * len(positions)
+    rest = list(positions)
+    for depth, name in enumerate(order):
+        prefix = list(order[:depth])
+
+        def inside(key: tuple) -> Column:
+            return reduce(and_, [F.col(c) == F.lit(v) for c, v in zip(prefix, key)], F.lit(True))
+
+        level = df.where(reduce(or_, [inside(key) for key in found])) if prefix else df
+        running = Window.partitionBy(*prefix).orderBy(name).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        counted = level.groupBy(*prefix, name).agg(F.count("*").alias("n")).withColumn("upto", F.sum("n").over(running))
+        covers = [
+            inside(key) & (F.col("upto") > at) & (F.col("upto") - F.col("n") <= at) for key, at in zip(found, rest)
+        ]
+        hits = counted.select(*prefix, name, "n", "upto", *[c.alias(f"_hit{i}") for i, c in enumerate(covers)])
+        rows = hits.where(reduce(or_, covers)).collect()
+        for i in range(len(found)):
+            hit = next((r for r in rows if r[f"_hit{i}"]), None)
+            if hit is None:
+                raise ValueError(f"position {positions[i]} lies outside of the table")
+            found[i] = (*found[i], hit[name])
+            rest[i] -= hit["upto"] - hit["n"]
+    return found
 
 
 @dataclass(frozen=True)
@@ -40,12 +49,10 @@ class OrderedSplit:
     """Boundaries of a split by position; applying it compares keys and moves no row."""
 
     names: tuple[str, ...]
-    boundaries: tuple[tuple | None, ...]
+    boundaries: tuple[tuple, ...]
     order: tuple[str, ...] = ORDER
 
-    def _before(self, boundary: tuple | None) -> Column:
-        if boundary is None:
-            return F.lit(True)
+    def _before(self, boundary: tuple) -> Column:
         condition = F.lit(False)
         for name, value in reversed(list(zip(self.order, boundary))):
             column = F.col(name)
@@ -64,20 +71,19 @@ class OrderedSplit:
     def part(self, df: DataFrame, name: str) -> DataFrame:
         position = self.names.index(name)
         kept = df
+        # The comparisons of the leading key are implied; alone they reach the Parquet scan.
         if position:
             first = self.boundaries[position - 1]
-            # The plain comparison is implied and reaches the Parquet scan.
-            kept = kept.where(F.lit(False)) if first is None else kept.where(
-                (F.col(self.order[0]) >= F.lit(first[0])) & ~self._before(first)
-            )
-        if position < len(self.boundaries) and self.boundaries[position] is not None:
+            kept = kept.where((F.col(self.order[0]) >= F.lit(first[0])) & ~self._before(first))
+        if position < len(self.boundaries):
             last = self.boundaries[position]
             kept = kept.where((F.col(self.order[0]) <= F.lit(last[0])) & self._before(last))
         return kept
 
 
 def split_at(df: DataFrame, positions: Sequence[int], names: Sequence[str], order: Sequence[str] = ORDER) -> OrderedSplit:
-    return OrderedSplit(tuple(names), tuple(key_at(df, p, order) for p in positions), tuple(order))
+    """Boundaries before the given 0-based positions, which lie inside the table."""
+    return OrderedSplit(tuple(names), tuple(keys_at(df, positions, order)), tuple(order))
 
 
 def time_split(df: DataFrame, shares: Sequence[float] = (0.70, 0.85), order: Sequence[str] = ORDER) -> OrderedSplit:

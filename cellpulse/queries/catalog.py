@@ -14,11 +14,12 @@ from cellpulse.operators import (
 from cellpulse.queries import views
 from cellpulse.queries.views import CONFIG
 from cellpulse.sources import tables
-from cellpulse.staging import new_path
+from cellpulse.staging import new_path, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
 
+CLASSIFIERS = ["forest", "boosted", "gradient", "logistic"]
 ROLLING = ["rolling_mean_1", "rolling_mean_3", "rolling_mean_7", "rolling_mean_14"]
 CELL_KEY = ["cell_id", "time_window"]
 CORRELATED = ["lat", "lon", "district", "resolved", "hour"]
@@ -397,28 +398,39 @@ class _Training:
 
     def fit(self, *names: str):
         chosen = {name: self.learners[name] for name in names or self.learners}
-        return models.fit_all(chosen, self.parts["train"], self.inputs)
+        return models.fit_all(chosen, models.with_weight(self.parts["train"]), self.inputs)
 
     def scored(self, *names: str) -> DataFrame:
         return models.score(self.fit(*names), self.parts["test"]).select(*CELL_KEY, "target", *names)
 
 
+_trainings: dict[tuple[str, str], _Training] = {}
+
+
+def _training(spark: SparkSession, folder: str) -> _Training:
+    """One split and scaler fit per session and folder."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _trainings:
+        _trainings[key] = _Training(spark, folder)
+    return _trainings[key]
+
+
 for _name, _learner in {
     "train_rf": "forest", "train_gbt": "boosted", "train_gbt_b": "leafwise", "train_gbt_weighted": "weighted",
 }.items():
-    query(_name)(lambda spark, folder, learner=_learner: _Training(spark, folder).scored(learner))
+    query(_name)(lambda spark, folder, learner=_learner: _training(spark, folder).scored(learner))
 
 
 @query("tune_gbt")
 def tune_gbt(spark: SparkSession, folder: str) -> DataFrame:
-    training = _Training(spark, folder)
+    training = _training(spark, folder)
     trials = models.draw_trials(models.BoostParams(rounds=3), 2)
     return models.tune(trials, training.parts["train"], training.parts["val"], training.inputs)
 
 
 @query("stack_models")
 def stack_models(spark: SparkSession, folder: str) -> DataFrame:
-    training = _Training(spark, folder)
+    training = _training(spark, folder)
     learners = {name: training.learners[name] for name in ("forest", "boosted", "leafwise")}
     stack = models.fit_stack(learners, training.parts["train"], training.inputs)
     return stack.apply(training.parts["test"]).select(*CELL_KEY, "target", *learners, "stacked")
@@ -427,7 +439,7 @@ def stack_models(spark: SparkSession, folder: str) -> DataFrame:
 @query("ranked_models")
 def ranked_models(spark: SparkSession, folder: str) -> DataFrame:
     """Fitted regressors, their best weighting on the validation rows, all compared on the test rows."""
-    training = _Training(spark, folder)
+    training = _training(spark, folder)
     fitted = training.fit()
     names = list(fitted)
     best = ensemble.best_weights(models.score(fitted, training.parts["val"]), names).first()
@@ -438,7 +450,7 @@ def ranked_models(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("feature_importance")
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
-    training = _Training(spark, folder)
+    training = _training(spark, folder)
     fitted = training.fit("forest", "boosted")
     importance = models.importance(fitted, training.inputs, {"forest": 0.5, "boosted": 0.5})
     return dashboard.top_importance(importance, 20)
@@ -446,7 +458,7 @@ def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("model_roundtrip")
 def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    training = _Training(spark, folder)
+    training = _training(spark, folder)
     path = new_path(spark, "model")
     models.save_model(training.fit("forest")["forest"], path)
     return models.score({"forest": models.load_model(path)}, training.parts["test"]).select(*CELL_KEY, "target", "forest")
@@ -455,7 +467,7 @@ def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 @query("score")
 def score(spark: SparkSession, folder: str) -> DataFrame:
     """Model predictions of every row as a predictions table."""
-    training = _Training(spark, folder)
+    training = _training(spark, folder)
     fitted = training.fit("boosted")
     everything = training.parts["train"].unionByName(training.parts["val"]).unionByName(training.parts["test"])
     values = models.score(fitted, everything).select(*CELL_KEY, F.col("boosted").alias("_value"))
@@ -463,19 +475,21 @@ def score(spark: SparkSession, folder: str) -> DataFrame:
     return predictions.predictions(table, F.col("_value"), CONFIG)
 
 
-def _classified(spark: SparkSession, folder: str) -> DataFrame:
-    """Held-out incidents with the class and confidence of the four classifiers."""
-    table = scaling.label_encode(_desktop(views.stages(spark, folder).cleaned), "category")
-    inputs = [*DESKTOP_INPUTS, "month", "category_code"]
-    labelled = table.withColumn("_split", split.hashed_split(table, "event_id"))
-    train, test = (labelled.where(F.col("_split") == part).drop("_split") for part in ("train", "test"))
-    scaler = scaling.fit_standard(train, inputs)
-    learners = models.classifiers("resolved", trees=10, depth=5)
-    fitted = {name: models.fit(learner, scaler.apply(train), inputs) for name, learner in learners.items()}
-    return models.classify(fitted, scaler.apply(test).withColumn("_group", F.col("district")))
+_classified_rows: dict[tuple[str, str], DataFrame] = {}
 
 
-CLASSIFIERS = ["forest", "boosted", "gradient", "logistic"]
+def _classified(spark: SparkSession, folder: str) -> DataFrame:
+    """Held-out incidents with the class and confidence of the four classifiers; fitted once per folder."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _classified_rows:
+        table = scaling.label_encode(_desktop(views.stages(spark, folder).cleaned), "category")
+        inputs = [*DESKTOP_INPUTS, "month", "category_code"]
+        labelled = written(table.withColumn("_split", split.hashed_split(table, "event_id")), "labelled")
+        train, test = (labelled.where(F.col("_split") == part).drop("_split") for part in ("train", "test"))
+        scaler = scaling.fit_standard(train, inputs)
+        fitted = models.fit_all(models.classifiers("resolved", trees=8, depth=5), scaler.apply(train), inputs)
+        _classified_rows[key] = models.classify(fitted, scaler.apply(test.withColumn("_group", F.col("district"))))
+    return _classified_rows[key]
 
 
 @query("train_classifiers")
