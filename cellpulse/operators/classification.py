@@ -58,8 +58,8 @@ def class_metrics(df: DataFrame, actual: str, predicted: str, by: Sequence[str]
         share("hits", (F.col("claimed") + F.col("support")) / 2).alias("f1"),
     )
     total = F.sum("support")
-    weighted = [(F.sum(F.col(m) * F.col("support")) / total).alias(m) for m in ("precision", "recall", "f1")]
-    return scored.groupBy(*by).agg((F.sum("hits") / total).alias("accuracy"), *weighted)
+    weighted = [F.try_divide(F.sum(F.col(m) * F.col("support")), total).alias(m) for m in ("precision", "recall", "f1")]
+    return scored.groupBy(*by).agg(F.try_divide(F.sum("hits"), total).alias("accuracy"), *weighted)
 
 
 def model_comparison(df: DataFrame, actual: str, models: Sequence[str]) -> DataFrame:
@@ -82,10 +82,10 @@ def roc_curve(df: DataFrame, actual: str, score: str) -> DataFrame:
     whole = folded.agg(F.struct(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))).scalar()
     points = running_totals(folded, "key", ["pos", "neg"]).withColumn("_all", whole).select(
         F.negate("key").alias("threshold"),
-        (F.col("neg_upto") / F.col("_all.neg")).alias("fpr"),
-        (F.col("pos_upto") / F.col("_all.pos")).alias("tpr"),
-        (F.col("neg") / F.col("_all.neg")).alias("_width"),
-        (F.col("pos") / F.col("_all.pos")).alias("_rise"),
+        F.try_divide("neg_upto", "_all.neg").alias("fpr"),
+        F.try_divide("pos_upto", "_all.pos").alias("tpr"),
+        F.try_divide("neg", "_all.neg").alias("_width"),
+        F.try_divide("pos", "_all.pos").alias("_rise"),
     )
     zero = F.lit(0.0)
     origin = df.sparkSession.range(1).select(

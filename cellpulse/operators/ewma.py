@@ -43,14 +43,16 @@ def ewma_features(
     positioned = df.withColumn("_row", row).withColumns(
         {"_block": F.floor(F.col("_row") / block), "_place": F.col("_row") % block}
     )
-    lifted, levels, shifted = {}, {}, {}
+    lifted, current, levels, shifted = {}, {}, {}, {}
     for span, decay in decays.items():
         base, place = F.lit(decay), F.col("_place")
         weight = F.when(F.col("_row") == 0, F.lit(1.0)).otherwise(F.lit(1.0 - decay))
         lifted[f"_lifted_{span}"] = F.col(value) * weight * F.pow(base, -place)
-        current = F.sum(f"_lifted_{span}").over(in_block)
+        current[f"_current_{span}"] = F.sum(f"_lifted_{span}").over(in_block)
         earlier = F.coalesce(F.sum(f"_lifted_{span}").over(block_before), F.lit(0.0))
-        levels[f"_level_{span}"] = F.pow(base, place) * current + F.pow(base, place + block) * earlier
+        levels[f"_level_{span}"] = F.pow(base, place) * F.col(f"_current_{span}") + F.pow(base, place + block) * earlier
         shifted[f"ewma_{span}"] = F.coalesce(F.lag(f"_level_{span}", 1).over(by_block), F.lit(0.0))
-    helpers = ["_row", "_block", "_place", *lifted, *levels]
-    return positioned.withColumns(lifted).withColumns(levels).withColumns(shifted).drop(*helpers)
+    helpers = ["_row", "_block", "_place", *lifted, *current, *levels]
+    # The running sums come first: their order (cell, block, time) serves the two window steps after them.
+    summed = positioned.withColumns(lifted).withColumns(current)
+    return summed.withColumns(levels).withColumns(shifted).drop(*helpers)

@@ -26,7 +26,7 @@ def missing_profile(df: DataFrame) -> DataFrame:
             F.struct(
                 F.lit(c).alias("column"),
                 F.col(f"`{c}`").alias("missing"),
-                (F.col(f"`{c}`") * F.lit(100.0) / F.col("_rows")).alias("percentage"),
+                F.try_divide(F.col(f"`{c}`") * F.lit(100.0), F.col("_rows")).alias("percentage"),
             )
             for c in df.columns
         ],
@@ -129,7 +129,7 @@ def date_coverage(df: DataFrame, ts: str = "ts") -> DataFrame:
     """One row: extent, span, distinct dates and years, share of readable timestamps."""
     return df.agg(
         F.count(ts).alias("valid"),
-        (F.count(ts) * F.lit(100.0) / F.count("*")).alias("valid_pct"),
+        F.try_divide(F.count(ts) * F.lit(100.0), F.count("*")).alias("valid_pct"),
         F.min(ts).alias("earliest"),
         F.max(ts).alias("latest"),
         whole_days(ts).alias("span_days"),
@@ -146,7 +146,7 @@ def coord_coverage(df: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFra
     height, width = F.max(y) - F.min(y), F.max(x) - F.min(x)
     return df.agg(
         F.count_if(both).alias("valid"),
-        (F.count_if(both) * F.lit(100.0) / F.count("*")).alias("valid_pct"),
+        F.try_divide(F.count_if(both) * F.lit(100.0), F.count("*")).alias("valid_pct"),
         F.min(y).alias("lat_min"),
         F.max(y).alias("lat_max"),
         F.min(x).alias("lon_min"),

@@ -43,7 +43,7 @@ def error_metrics(predicted: str = P) -> dict[str, Column]:
         "rmse": F.sqrt(F.avg(error * error)),
         "mae": F.avg(F.abs(error)),
         "r2": F.when(total != 0, F.lit(1.0) - F.sum(error * error) / total).otherwise(F.lit(0.0)),
-        "mape": F.avg(F.abs(error / (F.col("target") + 1))) * 100,
+        "mape": F.avg(F.abs(F.try_divide(error, F.col("target") + 1))) * 100,
     }
 
 
@@ -84,7 +84,7 @@ def risk_distribution(df: DataFrame) -> DataFrame:
         F.struct(
             F.lit(level).alias("risk_level"),
             F.col(level).alias("n"),
-            (F.col(level) * F.lit(100.0) / F.col("rows")).alias("pct"),
+            F.try_divide(F.col(level) * F.lit(100.0), F.col("rows")).alias("pct"),
         )
         for level in RISK_LABELS
     ]
@@ -148,8 +148,8 @@ def concentration(df: DataFrame) -> DataFrame:
             "top_hotspot_id",
             "top_hotspot_total_risk",
             "top_hotspot_avg_risk",
-            (F.col("_top_10") / F.col("_all") * 100).alias("top_10_share"),
-            (F.col("_top_20") / F.col("_all") * 100).alias("top_20_share"),
+            (F.try_divide("_top_10", "_all") * 100).alias("top_10_share"),
+            (F.try_divide("_top_20", "_all") * 100).alias("top_20_share"),
         )
     )
 
@@ -169,7 +169,7 @@ def operations(df: DataFrame, config: GridConfig) -> DataFrame:
 
 
 def preventable(df: DataFrame, config: GridConfig) -> DataFrame:
-    mean = F.sum("target") / F.count("*")
+    mean = F.try_divide(F.sum("target"), F.count("*"))
     return df.agg(
         (mean * F.count_distinct("time_window") * config.preventable_share).cast("long").alias("preventable_incidents")
     )
@@ -179,7 +179,7 @@ def baseline(df: DataFrame) -> DataFrame:
     """RMSE of always predicting the mean, and the improvement over it in percent."""
     figures = df.agg(F.stddev_pop("target").alias("baseline_rmse"), error_metrics()["rmse"].alias("rmse"))
     return figures.withColumn(
-        "improvement_pct", (F.col("baseline_rmse") - F.col("rmse")) / F.col("baseline_rmse") * 100
+        "improvement_pct", F.try_divide(F.col("baseline_rmse") - F.col("rmse"), F.col("baseline_rmse")) * 100
     )
 
 
@@ -214,7 +214,7 @@ def model_ranking(df: DataFrame, models: Sequence[str]) -> DataFrame:
     best = Window.orderBy("rmse", "model")
     return (
         figures.withColumn("_baseline", df.agg(F.stddev_pop("target")).scalar())
-        .withColumn("improvement_pct", (F.lit(1.0) - F.col("rmse") / F.col("_baseline")) * 100)
+        .withColumn("improvement_pct", (F.lit(1.0) - F.try_divide("rmse", "_baseline")) * 100)
         .withColumn("position", F.row_number().over(best))
         .select("model", "rmse", "mae", "r2", "mape", "improvement_pct", "position")
     )

@@ -31,7 +31,7 @@ def density_matrix(gridded: DataFrame) -> DataFrame:
 def density_pivot(gridded: DataFrame, columns: Sequence[int]) -> DataFrame:
     """The same as a wide table with one column per grid column, for grids narrow enough to print."""
     return (
-        gridded.groupBy("grid_lat_idx").pivot("grid_lon_idx", list(columns)).agg(F.count("*")).na.fill(0)
+        gridded.groupBy("grid_lat_idx").pivot("grid_lon_idx", list(columns)).agg(F.count(F.lit(1))).na.fill(0)
     )
 
 
