@@ -1,7 +1,8 @@
-"""The chain from incidents to predictions, with the two written tables everything later reads."""
+"""The chain from incidents to predictions, with the written tables everything later reads."""
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -15,8 +16,9 @@ from cellpulse.staging import written
 class Stages:
     """Lazy views over raw incidents; `panel` and `features` are written on first use.
 
-    Incidents are scanned for the grid corner and for the panel. The panel is at most cells times windows
-    large, and every feature, report and model reads it or the feature table, never the incidents.
+    The grid corner is found once, from two columns, and is a literal in every later plan, so gridding is
+    a projection whose filters reach the scan. The panel is at most cells times windows large, and every
+    feature, report and model reads it or the feature table, never the incidents.
     """
 
     def __init__(self, incidents: DataFrame, config: GridConfig):
@@ -27,9 +29,17 @@ class Stages:
     def cleaned(self) -> DataFrame:
         return clean_incidents(self.incidents, self.config)
 
+    @cached_property
+    def anchored(self) -> GridConfig:
+        """The configuration with the grid corner of the data filled in."""
+        if self.config.origin is not None:
+            return self.config
+        corner = grid.data_bounds(self.cleaned).first()
+        return replace(self.config, origin=(corner["lat_min"], corner["lon_min"]))
+
     @property
     def gridded(self) -> DataFrame:
-        return grid.assign_windows(grid.assign_cells(self.cleaned, self.config), self.config)
+        return grid.assign_windows(grid.assign_cells(self.cleaned, self.anchored), self.anchored)
 
     def build_panel(self) -> DataFrame:
         return panel.grid_time_panel(self.gridded)

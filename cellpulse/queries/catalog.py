@@ -39,7 +39,7 @@ def query(name: str) -> Callable[[Query], Query]:
 
 
 def _incident_query(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
-    query(name)(lambda spark, folder: build(views.incidents(spark, folder)))
+    query(name)(lambda spark, folder: build(views.stages(spark, folder).incidents))
 
 
 def _cleaned_query(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
@@ -80,7 +80,7 @@ def _scored_query(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
 @query("scan_csv")
 def scan_csv(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "incidents-csv")
-    raw = views.incidents(spark, folder)
+    raw = views.stages(spark, folder).incidents
     tables.write_csv(
         raw.select(
             "event_id",
@@ -98,7 +98,7 @@ def scan_csv(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("project_optional")
 def project_optional(spark: SparkSession, folder: str) -> DataFrame:
-    raw = views.incidents(spark, folder).withColumnsRenamed({"district": "District"})
+    raw = views.stages(spark, folder).incidents.withColumnsRenamed({"district": "District"})
     return clean.keep_columns(raw, ["event_id", "ts", "lat", "lon", "category"])
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cellpulse.config import GridConfig
 from cellpulse.plans.stages import Stages
+from cellpulse.staging import written
 
 # Cells of 0.05 degrees, so that neighbours and histories occur at every scale factor.
 CONFIG = GridConfig(cell_degrees=0.05, cell_meters=5550.0)
@@ -51,10 +52,14 @@ def scored(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stages(spark: SparkSession, folder: str) -> Stages:
-    """One chain per session and folder, so its written tables are shared by the queries that read them."""
+    """One chain per session and folder, so its written tables are shared by the queries that read them.
+
+    The incidents are written once in their own columns: read through the view, every filter term would
+    parse the event's JSON again, and none could reach the scan.
+    """
     key = (spark.sparkContext.applicationId, folder)
     if key not in _stages:
-        _stages[key] = Stages(incidents(spark, folder), CONFIG)
+        _stages[key] = Stages(written(incidents(spark, folder), "incidents"), CONFIG)
     return _stages[key]
 
 
