@@ -38,14 +38,18 @@ def metrics(df: DataFrame, threshold: float = 5.0, **filters) -> DataFrame:
     )
 
 
+def _digest() -> Column:
+    return F.md5(F.concat_ws(":", "cell_id", F.date_format("time_window", "yyyy-MM-dd HH:mm:ss")))
+
+
 def map_layer(df: DataFrame, threshold: float = 5.0, sample: int | None = None, **filters) -> DataFrame:
     """Marker position, size, label and alert flag, with the map centre on every row.
 
-    More than `sample` rows are cut by hash, so the same rows are shown every time.
+    More than `sample` rows are cut by the digest of their key, so the same rows are shown every time.
     """
     rows = select_rows(df, **filters)
     if sample is not None:
-        rows = rows.orderBy(F.xxhash64("cell_id", "time_window"), "cell_id").limit(sample)
+        rows = rows.orderBy(_digest(), "cell_id").limit(sample)
     center = rows.agg(F.struct(F.avg("cell_center_lat").alias("lat"), F.avg("cell_center_lon").alias("lon"))).scalar()
     label = F.format_string(
         "Cell: %s<br>Predicted: %.2f<br>Actual: %.0f<br>Risk: %s", "cell_id", F.bround(P, 2), "target", "risk_level"

@@ -8,6 +8,7 @@ even the buckets are, never the result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -32,7 +33,7 @@ def running_totals(
 
     `folded` has one row per (`by`, `key`).
     """
-    count = _bucket_count(folded, buckets)
+    count = max(2, _bucket_count(folded, buckets))
     place = [*by, key]
     # A deterministic pseudo-random sample: lowest hashes first. Ordering by the measures as well keeps
     # them in this branch, which lets Spark reuse the exchange that folded the rows.
@@ -43,22 +44,25 @@ def running_totals(
     )
     points = F.col("points")
     step = F.size(points) / F.lit(float(count))
-    splitters = sample.select(
-        F.array_distinct(
-            F.filter(
-                F.transform(
-                    F.sequence(F.lit(1), F.lit(count - 1)),
-                    lambda i: F.try_element_at(points, F.greatest(F.lit(1), F.ceil(i * step)).cast("int")),
-                ),
-                lambda point: point.isNotNull(),
-            )
-        )
-    ).scalar()
+    picked = F.transform(
+        F.sequence(F.lit(1), F.lit(count - 1)),
+        lambda i: F.try_element_at(points, F.greatest(F.lit(1), F.ceil(i * step)).cast("int")),
+    )
+    splitters = sample.select(F.array_distinct(F.filter(picked, lambda p: p.isNotNull())).alias("all"))
+    # Every `stride`-th splitter narrows the search to one stretch of `stride` splitters.
+    stride = max(1, math.isqrt(count))
+    marks = F.filter("all", lambda p, i: (i + 1) % stride == 0)
     here = F.struct(*place)
+
+    def below(array: Column) -> Column:
+        return F.coalesce(F.size(F.filter(array, lambda p: p < here)), F.lit(0))
+
+    search = splitters.select(F.struct("all", marks.alias("marks"))).scalar()
+    first = below(F.col("_search.marks")) * stride
     bucketed = (
-        folded.withColumn("_splitters", splitters)
-        .withColumn("_bucket", F.coalesce(F.size(F.filter("_splitters", lambda point: point < here)), F.lit(0)))
-        .drop("_splitters")
+        folded.withColumn("_search", search)
+        .withColumn("_bucket", first + below(F.slice("_search.all", first + 1, F.lit(stride))))
+        .drop("_search")
     )
     in_order = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     # At most (buckets + one per `by` value) rows: windowed and broadcast safely.

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from cellpulse.operators.lookup import spread_lookup
 from cellpulse.operators.ordered import quantiles, running_totals
 
 # Ten times the spacing of doubles at 1.
@@ -22,11 +23,12 @@ class Scaler:
     centers: tuple[float, ...]
     scales: tuple[float, ...]
 
-    def apply(self, df: DataFrame) -> DataFrame:
+    def apply(self, df: DataFrame, suffix: str = "") -> DataFrame:
+        """Scaled columns in place of the originals, or beside them under a suffix."""
         fitted = zip(self.columns, self.centers, self.scales)
         return df.withColumns(
             {
-                c: (F.col(c) - F.lit(center)) / F.lit(scale if abs(scale) >= CONSTANT else 1.0)
+                f"{c}{suffix}": (F.col(c) - F.lit(center)) / F.lit(scale if abs(scale) >= CONSTANT else 1.0)
                 for c, center, scale in fitted
             }
         )
@@ -57,21 +59,20 @@ def fit_standard(train: DataFrame, columns: Sequence[str]) -> Scaler:
 
 
 def label_codes(df: DataFrame, column: str) -> DataFrame:
-    """(value, code): 0-based position of each distinct text in sorted order, numbered without one task
-    seeing all of them."""
-    distinct = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("value")).agg(
-        F.lit(1).cast("long").alias("one")
+    """(value, rows, code): 0-based position of each distinct text in sorted order, numbered without one
+    task seeing all of them."""
+    distinct = (
+        df.where(F.col(column).isNotNull())
+        .groupBy(F.col(column).cast("string").alias("value"))
+        .agg(F.count("*").alias("rows"), F.lit(1).cast("long").alias("one"))
     )
-    return running_totals(distinct, "value", ["one"]).select("value", (F.col("one_upto") - 1).cast("int").alias("code"))
+    numbered = running_totals(distinct, "value", ["rows", "one"])
+    return numbered.select("value", "rows", (F.col("one_upto") - 1).cast("int").alias("code"))
 
 
 def label_encode(df: DataFrame, column: str, name: str | None = None, salts: int = 16) -> DataFrame:
-    """Adds the code of a text column; a frequent text is spread over `salts` join tasks."""
-    codes = label_codes(df, column).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")).withColumn(
-        "value_", F.col(column).cast("string")
-    )
-    joined = spread.join(
-        codes.withColumnRenamed("value", "value_"), ["value_", "_salt"], "left"
-    )
-    return joined.select(*df.columns, F.col("code").alias(name or f"{column}_code"))
+    """Adds the code of a text column; the rows of a frequent text are spread over join tasks."""
+    codes = label_codes(df, column).withColumnsRenamed({"value": "_text", "rows": "_rows", "code": "_code"})
+    keyed = df.withColumn("_text", F.col(column).cast("string"))
+    found = spread_lookup(keyed, codes, "_text", "_rows", df.columns, salts)
+    return found.select(*df.columns, F.col("_code").alias(name or f"{column}_code"))

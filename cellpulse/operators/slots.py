@@ -4,29 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from cellpulse.operators.lookup import spread_lookup
+
 
 def slot_averages(df: DataFrame, key: str, name: str, value: str = "incident_count") -> DataFrame:
-    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.avg(value).alias(name))
+    """Mean of `value` per key, with the number of rows in `_rows`."""
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.avg(value).alias(name), F.count("*").alias("_rows"))
 
 
 def slot_features(df: DataFrame, panel: DataFrame | None = None, salts: int = 16) -> DataFrame:
     """Adds `dow_avg_incidents`, `hour_avg_incidents`, `weekend_avg_incidents`.
 
     Weekdays and weekend flags have 7 and 2 values, so those lookups are broadcast. The hour of a panel
-    row is a mean, its distinct values grow with the data, and a third of all rows may share one of
-    them: that lookup is copied once per salt and joined on (hour, salt) without a hint, so the hot
-    value is spread over `salts` tasks and run-time statistics decide whether it can be broadcast.
+    row is a mean, its distinct values grow with the data and one of them may hold a third of all rows:
+    that lookup is a join which spreads its frequent values.
     """
     source = df if panel is None else panel
-    hours = slot_averages(source, "hour", "hour_avg_incidents").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    spread = df.withColumn("_salt", F.pmod(F.xxhash64("cell_id", "time_window"), F.lit(salts)).cast("int"))
-    return (
-        spread.join(
-            F.broadcast(slot_averages(source, "day_of_week", "dow_avg_incidents")), "day_of_week", "left"
-        )
-        .join(F.broadcast(slot_averages(source, "is_weekend", "weekend_avg_incidents")), "is_weekend", "left")
-        .join(hours, ["hour", "_salt"], "left")
-        .select(*df.columns, "dow_avg_incidents", "hour_avg_incidents", "weekend_avg_incidents")
+    days = slot_averages(source, "day_of_week", "dow_avg_incidents").drop("_rows")
+    weekends = slot_averages(source, "is_weekend", "weekend_avg_incidents").drop("_rows")
+    hours = slot_averages(source, "hour", "hour_avg_incidents")
+    known = df.join(F.broadcast(days), "day_of_week", "left").join(F.broadcast(weekends), "is_weekend", "left")
+    return spread_lookup(known, hours, "hour", "_rows", ["cell_id", "time_window"], salts).select(
+        *df.columns, "dow_avg_incidents", "hour_avg_incidents", "weekend_avg_incidents"
     )

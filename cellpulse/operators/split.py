@@ -117,6 +117,9 @@ def random_split(df: DataFrame, test_share: float = 0.2, seed: int = 42) -> tupl
 
 
 def hashed_split(df: DataFrame, key: str, test_share: float = 0.2, seed: int = 42) -> Column:
-    """A random split that a recomputed task cannot change: the key alone decides."""
-    share = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000)) / F.lit(1_000_000.0)
-    return F.when(share < test_share, "test").otherwise("train")
+    """A random split that a recomputed task cannot change: the digest of the key alone decides.
+
+    The first eight hex digits are compared as text with those of the share.
+    """
+    digest = F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), 1, 8)
+    return F.when(digest < f"{int(test_share * 2**32):08x}", "test").otherwise("train")

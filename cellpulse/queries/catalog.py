@@ -386,14 +386,17 @@ _scored_query("fairness_report", lambda df: fairness.fairness_report(df, "y_true
 
 
 class _Training:
-    """The scaled feature table with its time split and the regressors at the reduced settings."""
+    """The feature table with scaled inputs beside it, its time split, and the regressors at the reduced
+    settings."""
 
     def __init__(self, spark: SparkSession, folder: str):
         table = views.stages(spark, folder).features
-        self.inputs = features.feature_columns(table)
+        names = features.feature_columns(table)
         self.split = split.time_split(table, CONFIG.split_shares)
-        scaler = scaling.fit_robust(self.split.part(table, "train"), self.inputs)
-        self.parts = {name: scaler.apply(self.split.part(table, name)) for name in self.split.names}
+        scaler = scaling.fit_robust(self.split.part(table, "train"), names)
+        self.inputs = [f"{name}_scaled" for name in names]
+        self.table = scaler.apply(table, "_scaled")
+        self.parts = {name: self.split.part(self.table, name) for name in self.split.names}
         self.learners = models.regressors(SMALL_FOREST, SMALL_BOOST, SMALL_LEAFWISE)
 
     def fit(self, *names: str):
@@ -452,7 +455,8 @@ def ranked_models(spark: SparkSession, folder: str) -> DataFrame:
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
     training = _training(spark, folder)
     fitted = training.fit("forest", "boosted")
-    importance = models.importance(fitted, training.inputs, {"forest": 0.5, "boosted": 0.5})
+    names = [name.removesuffix("_scaled") for name in training.inputs]
+    importance = models.importance(fitted, names, {"forest": 0.5, "boosted": 0.5})
     return dashboard.top_importance(importance, 20)
 
 
@@ -466,13 +470,10 @@ def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("score")
 def score(spark: SparkSession, folder: str) -> DataFrame:
-    """Model predictions of every row as a predictions table."""
+    """Model predictions of every row as a predictions table; no row moves."""
     training = _training(spark, folder)
-    fitted = training.fit("boosted")
-    everything = training.parts["train"].unionByName(training.parts["val"]).unionByName(training.parts["test"])
-    values = models.score(fitted, everything).select(*CELL_KEY, F.col("boosted").alias("_value"))
-    table = views.stages(spark, folder).features.join(values, CELL_KEY)
-    return predictions.predictions(table, F.col("_value"), CONFIG)
+    scored = models.score(training.fit("boosted"), training.table)
+    return predictions.predictions(scored, F.col("boosted"), CONFIG)
 
 
 _classified_rows: dict[tuple[str, str], DataFrame] = {}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from cellpulse.operators.features import ADVANCED, base_names
 from cellpulse.queries.catalog import CONFIG, CORRELATED, DESKTOP_INPUTS, ROLLING
 
@@ -357,6 +359,9 @@ RANKED = " union all ".join(
     for m in ROLLING
 )
 
+SHARES = [i / 100 for i in range(1, 100)]
+NORMAL = [NormalDist().inv_cdf(p) for p in SHARES]
+
 BASE_DOUBLES = [c for c in base_names(CONFIG) if c not in (
     "cell_id", "time_window", "grid_lat_idx", "grid_lon_idx", "incident_count", "day_of_week", "is_weekend",
     "time_slot", "month", "day_of_month", "week_of_year", "neighbor_sum", "neighbor_max", "cell_max_incidents",
@@ -611,6 +616,12 @@ QUERIES: dict[str, tuple[str, str, str | list[str]]] = {
         "ultra_predicted target ultra_error",
     ),
     "test_metrics": ("parts", f"select count(*) as n, {ERRORS.format(p='ultra_predicted')} {TEST}", "rmse mae r2 mape"),
+    "random_split": (
+        "incidents",
+        """select case when substr(md5('42:' || event_id), 1, 8) < '33333333' then 'test' else 'train' end as split,
+ count(*) as n from incidents group by 1""",
+        "",
+    ),
     "dash_filter": (
         "latest",
         f"select {KEY}, ultra_predicted, risk_level from latest where risk_level in ('Medium', 'High') and ultra_predicted >= 1.2",
@@ -633,6 +644,16 @@ QUERIES: dict[str, tuple[str, str, str | list[str]]] = {
  avg(cell_center_lon) over () as map_center_lon from latest where ultra_predicted >= 0""",
         "cell_center_lat cell_center_lon ultra_predicted marker_size map_center_lat map_center_lon",
     ),
+    "map_points": (
+        "latest",
+        """with shown as (select * from latest where ultra_predicted >= 0
+  order by md5(cell_id || ':' || strftime(time_window, '%Y-%m-%d %H:%M:%S')), cell_id limit 5000)
+ select cell_id, cell_center_lat, cell_center_lon, ultra_predicted, sqrt(ultra_predicted) * 5 + 3 as marker_size,
+ printf('Cell: %s<br>Predicted: %.2f<br>Actual: %.0f<br>Risk: %s', cell_id, ultra_predicted, target, risk_level) as label,
+ ultra_predicted >= 5 as high_risk, avg(cell_center_lat) over () as map_center_lat,
+ avg(cell_center_lon) over () as map_center_lon from shown""",
+        "cell_center_lat cell_center_lon ultra_predicted marker_size map_center_lat map_center_lon",
+    ),
     "dash_performance": (
         "latest",
         """select cell_id, target, ultra_predicted, ultra_error, risk_level,
@@ -740,6 +761,12 @@ QUERIES: dict[str, tuple[str, str, str | list[str]]] = {
         "median_error p95_error mean_error",
     ),
     "residuals": ("residual_rows", f"select {KEY}, ultra_predicted as predicted, residual from residual_rows", "predicted residual"),
+    "qq_points": (
+        "residual_rows",
+        f"""select p as probability, z as theoretical, (select quantile_cont(residual, {SHARES}) from residual_rows)[i] as observed
+ from (select unnest({SHARES}) as p, unnest({NORMAL}) as z, unnest(range(1, {len(SHARES) + 1})) as i)""",
+        "probability theoretical observed",
+    ),
     "model_ranking": (
         "base",
         f"select *, cast(row_number() over (order by rmse, model) as int) as position from ({RANKED})",

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellpulse.config import GridConfig
-from cellpulse.operators import ewma, features, history, slots
+from cellpulse.operators import ewma, features, history, lookup, slots
 from helpers import panel_rows, random_panel, sorted_pandas, to_spark
 
 KEYS = ("cell_id", "time_window")
@@ -114,3 +114,16 @@ def test_align_features_fills_and_orders(spark):
     made = features.align_features(df, ["a", "missing", "b"])
     assert made.columns == ["cell_id", "a", "missing", "b"]
     assert tuple(made.first()) == ("k", 2.0, 0.0, 1.0)
+
+
+def test_spread_lookup_with_a_key_that_holds_most_rows(spark):
+    frame = pd.DataFrame({"id": range(3000), "k": [0 if i % 3 else i % 700 for i in range(3000)]})
+    df = spark.createDataFrame(frame).withColumn("k", F.when(F.col("id") != 5, F.col("k")))
+    values = df.where("k is not null").groupBy("k").agg(F.sum("id").alias("total"), F.count("*").alias("_rows"))
+    made = lookup.spread_lookup(df, values, "k", "_rows", ["id"], salts=4)
+    assert made.columns == ["id", "k", "total"]
+    frame.loc[5, "k"] = None
+    expected = frame["k"].map(frame.groupby("k")["id"].sum())
+    found = sorted_pandas(made, "id")["total"]
+    np.testing.assert_array_equal(found.isna(), expected.isna())
+    np.testing.assert_allclose(found.fillna(-1), expected.fillna(-1))
