@@ -1,7 +1,7 @@
 """Running totals and exact quantiles over one global order, without a single-task window.
 
 Rows are first folded to one row per distinct value, so a value held by a third of all rows is one row.
-The distinct values are cut into buckets by splitters taken from a sample of at most `SAMPLE` of them;
+The distinct values are cut into buckets by splitters taken from a small sample of them;
 totals run inside a bucket and are shifted by the total of the buckets before. The sample decides how
 even the buckets are, never the result.
 """
@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SAMPLE = 4096
+SAMPLE_PER_BUCKET = 16
 
 
 def _bucket_count(df: DataFrame, buckets: int | None) -> int:
@@ -39,7 +39,7 @@ def running_totals(
     # them in this branch, which lets Spark reuse the exchange that folded the rows.
     sample = (
         folded.orderBy(F.xxhash64(*place), *measures)
-        .limit(SAMPLE)
+        .limit(SAMPLE_PER_BUCKET * count)
         .agg(F.array_sort(F.collect_list(F.struct(*place))).alias("points"))
     )
     points = F.col("points")
@@ -102,11 +102,9 @@ def quantiles(
             F.col("q.column"), F.explode(F.arrays_zip(shares.alias("probability"), F.col("q.v").alias("value"))).alias("z")
         ).select("column", "z.probability", "z.value")
 
-    tall = df.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
-        ).alias("_cell")
-    ).select("_cell.column", "_cell.value")
+    # Columns travel as numbers; their names return at the end.
+    cells = [F.struct(F.lit(i).alias("column"), F.col(c).cast("double").alias("value")) for i, c in enumerate(columns)]
+    tall = df.select(F.explode(F.array(*cells)).alias("_cell")).select("_cell.column", "_cell.value")
     folded = tall.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count("*").alias("n"))
     ranked = running_totals(folded, "value", ["n"], by=["column"], buckets=buckets)
     sizes = folded.groupBy("column").agg(F.sum("n").alias("rows"))
@@ -121,8 +119,10 @@ def quantiles(
     )
     low = F.min(F.when(F.col("n_upto") > F.floor("r.at"), F.col("value")))
     high = F.min(F.when(F.col("n_upto") > F.ceil("r.at"), F.col("value")))
-    weight = F.first("r.at") - F.floor(F.first("r.at"))
-    return hits.groupBy("column", F.col("r.p").alias("probability")).agg((low + (high - low) * weight).alias("value"))
+    weight = F.min("r.at") - F.floor(F.min("r.at"))
+    found = hits.groupBy("column", F.col("r.p").alias("probability")).agg((low + (high - low) * weight).alias("value"))
+    names = F.array(*[F.lit(c) for c in columns])
+    return found.select(F.element_at(names, F.col("column") + 1).alias("column"), "probability", "value")
 
 
 def quantile(df: DataFrame, column: str, probability: float, exact: bool = True) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cellpulse.config import GridConfig
 from cellpulse.functions import scores
+from cellpulse.operators.split import split_at
 
 # Columns of the predictions table; the second group is kept where present.
 KEPT = (
@@ -37,8 +38,15 @@ def with_open_risk(df: DataFrame, config: GridConfig, predicted: str = "ultra_pr
 
 
 def recent_rows(df: DataFrame, rows: int) -> DataFrame:
-    """The last `rows` rows in time."""
-    return df.orderBy(F.desc("time_window"), F.desc("cell_id")).limit(rows)
+    """The last `rows` rows in the order of (window, cell).
+
+    The first of them is found from counts per window and per cell of one window; keeping what follows is
+    then a comparison that prunes the scan, instead of a sort that sends `rows` rows per task to one task.
+    """
+    total = df.count()
+    if total <= rows:
+        return df
+    return split_at(df, [total - rows], ("older", "recent"), ("time_window", "cell_id")).part(df, "recent")
 
 
 def residuals(df: DataFrame, predicted: str = "ultra_predicted") -> DataFrame:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cellpulse.operators.ordered import median
 
@@ -78,16 +79,26 @@ def district_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson coefficients of every pair over the rows that have both values; one aggregation."""
+def corr_matrix(df: DataFrame, columns: Sequence[str], pairs_per_scan: int = 200) -> DataFrame:
+    """Pearson coefficients of every pair over the rows that have both values.
+
+    All pairs of up to 20 columns share one aggregation; more are dealt out over several scans, since each
+    pair needs six running figures per task.
+    """
     pairs = list(combinations(columns, 2))
-    row = df.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        for x, y in ((a, b), (b, a)):
-            cells.append(F.struct(F.lit(x).alias("column_a"), F.lit(y).alias("column_b"), F.col(f"r{i}").alias("r")))
-    cells += [F.struct(F.lit(c).alias("column_a"), F.lit(c).alias("column_b"), F.lit(1.0).alias("r")) for c in columns]
-    return row.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+
+    def cell(a: str, b: str, r: Column) -> Column:
+        return F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), r.alias("r"))
+
+    parts = []
+    for start in range(0, max(len(pairs), 1), pairs_per_scan):
+        chunk = pairs[start : start + pairs_per_scan]
+        row = df.agg(F.count("*").alias("rows"), *[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(chunk)])
+        cells = [cell(x, y, F.col(f"r{i}")) for i, (a, b) in enumerate(chunk) for x, y in ((a, b), (b, a))]
+        if start == 0:
+            cells += [cell(c, c, F.lit(1.0)) for c in columns]
+        parts.append(row.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def target_summary(features: DataFrame, exact: bool = True) -> DataFrame:

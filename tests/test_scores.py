@@ -211,3 +211,22 @@ def test_empty_predictions_do_not_fail(spark, scored):
                   report.baseline, report.hours, report.error_percentiles, dashboard.metrics, dashboard.overview):
         build(none).collect()
     assert report.preventable(none, GridConfig()).first()[0] is None
+
+
+def test_correlations_do_not_depend_on_the_number_of_scans(spark):
+    chance = np.random.default_rng(5)
+    names = list("abcde")
+    frame = pd.DataFrame(chance.normal(size=(60, 5)), columns=names)
+    df = spark.createDataFrame(frame)
+    for pairs in (200, 3):
+        made = summaries.corr_matrix(df, names, pairs_per_scan=pairs).toPandas()
+        wide = made.pivot(index="column_a", columns="column_b", values="r").loc[names, names]
+        np.testing.assert_allclose(wide, frame.corr())
+
+
+def test_recent_rows_equal_a_sort(scored):
+    _, df = scored
+    for n in (1, 17, 299, 300, 1000):
+        expected = df.orderBy(F.desc("time_window"), F.desc("cell_id")).limit(n)
+        assert predictions.recent_rows(df, n).exceptAll(expected).isEmpty()
+        assert predictions.recent_rows(df, n).count() == min(n, 300)
