@@ -15,7 +15,7 @@ P, E = "ultra_predicted", "ultra_error"
 def at_time(df: DataFrame, time: str | None = None) -> Column:
     """Filter on one window, the latest by default; the comparison reaches the scan."""
     if time is not None:
-        return F.col("time_window") == F.lit(time).cast("timestamp_ntz")
+        return F.col("time_window") == F.lit(time).cast(df.schema["time_window"].dataType)
     return F.col("time_window") == df.agg(F.max("time_window")).scalar()
 
 

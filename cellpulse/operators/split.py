@@ -13,19 +13,22 @@ ORDER = ("time_window", "grid_lat_idx", "grid_lon_idx")
 
 
 def keys_at(df: DataFrame, positions: Sequence[int], order: Sequence[str] = ORDER) -> list[tuple]:
-    """The order keys of the rows at 0-based positions.
+    """The order keys of the rows at 0-based positions, as text.
+
+    Text that is cast back by the session keeps a timestamp free of the time zone of the Python process.
 
     One job per key column for all positions together: rows are counted per value of the column within
     the values already found, and the value that covers the position is kept. No step sorts rows; what is
     ordered are windows, then the grid rows of one window, then the grid columns of one grid row.
     """
+    types = {name: df.schema[name].dataType for name in order}
     found: list[tuple] = [()] * len(positions)
     rest = list(positions)
     for depth, name in enumerate(order):
         prefix = list(order[:depth])
 
         def inside(key: tuple) -> Column:
-            return reduce(and_, [F.col(c) == F.lit(v) for c, v in zip(prefix, key)], F.lit(True))
+            return reduce(and_, [F.col(c) == F.lit(v).cast(types[c]) for c, v in zip(prefix, key)], F.lit(True))
 
         level = df.where(reduce(or_, [inside(key) for key in found])) if prefix else df
         running = Window.partitionBy(*prefix).orderBy(name).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -33,8 +36,11 @@ def keys_at(df: DataFrame, positions: Sequence[int], order: Sequence[str] = ORDE
         covers = [
             inside(key) & (F.col("upto") > at) & (F.col("upto") - F.col("n") <= at) for key, at in zip(found, rest)
         ]
-        hits = counted.select(*prefix, name, "n", "upto", *[c.alias(f"_hit{i}") for i, c in enumerate(covers)])
-        rows = hits.where(reduce(or_, covers)).collect()
+        rows = (
+            counted.where(reduce(or_, covers))
+            .select(F.col(name).cast("string"), "n", "upto", *[c.alias(f"_hit{i}") for i, c in enumerate(covers)])
+            .collect()
+        )
         for i in range(len(found)):
             hit = next((r for r in rows if r[f"_hit{i}"]), None)
             if hit is None:
@@ -50,13 +56,17 @@ class OrderedSplit:
 
     names: tuple[str, ...]
     boundaries: tuple[tuple, ...]
-    order: tuple[str, ...] = ORDER
+    order: tuple[str, ...]
+    types: tuple[str, ...]
+
+    def _value(self, boundary: tuple, place: int) -> Column:
+        return F.lit(boundary[place]).cast(self.types[place])
 
     def _before(self, boundary: tuple) -> Column:
         condition = F.lit(False)
-        for name, value in reversed(list(zip(self.order, boundary))):
-            column = F.col(name)
-            condition = (column < F.lit(value)) | ((column == F.lit(value)) & condition)
+        for place in reversed(range(len(self.order))):
+            column, value = F.col(self.order[place]), self._value(boundary, place)
+            condition = (column < value) | ((column == value) & condition)
         return condition
 
     def label(self) -> Column:
@@ -74,16 +84,17 @@ class OrderedSplit:
         # The comparisons of the leading key are implied; alone they reach the Parquet scan.
         if position:
             first = self.boundaries[position - 1]
-            kept = kept.where((F.col(self.order[0]) >= F.lit(first[0])) & ~self._before(first))
+            kept = kept.where((F.col(self.order[0]) >= self._value(first, 0)) & ~self._before(first))
         if position < len(self.boundaries):
             last = self.boundaries[position]
-            kept = kept.where((F.col(self.order[0]) <= F.lit(last[0])) & self._before(last))
+            kept = kept.where((F.col(self.order[0]) <= self._value(last, 0)) & self._before(last))
         return kept
 
 
 def split_at(df: DataFrame, positions: Sequence[int], names: Sequence[str], order: Sequence[str] = ORDER) -> OrderedSplit:
     """Boundaries before the given 0-based positions, which lie inside the table."""
-    return OrderedSplit(tuple(names), tuple(keys_at(df, positions, order)), tuple(order))
+    types = tuple(df.schema[name].dataType.simpleString() for name in order)
+    return OrderedSplit(tuple(names), tuple(keys_at(df, positions, order)), tuple(order), types)
 
 
 def time_split(df: DataFrame, shares: Sequence[float] = (0.70, 0.85), order: Sequence[str] = ORDER) -> OrderedSplit:

@@ -28,6 +28,21 @@ def test_time_split_is_by_position(spark, seed, shares):
         assert rows == {key for key, label in made.items() if label == name}
 
 
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+def test_split_does_not_depend_on_the_time_zone(spark, kind):
+    frame = random_panel(6)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+    try:
+        df = to_spark(spark, frame).withColumn("time_window", F.col("time_window").cast(kind))
+        fitted = split.time_split(df)
+        sizes = [fitted.part(df, name).count() for name in fitted.names]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    ends = [int(len(frame) * s) for s in (0.7, 0.85)] + [len(frame)]
+    assert sizes == [ends[0], ends[1] - ends[0], ends[2] - ends[1]]
+
+
 def test_applying_a_split_moves_no_row(spark, tmp_path):
     df = to_spark(spark, random_panel(5))
     df.write.parquet(str(tmp_path / "p"))
