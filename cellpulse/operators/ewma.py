@@ -49,10 +49,13 @@ def ewma_features(
         weight = F.when(F.col("_row") == 0, F.lit(1.0)).otherwise(F.lit(1.0 - decay))
         lifted[f"_lifted_{span}"] = F.col(value) * weight * F.pow(base, -place)
         current[f"_current_{span}"] = F.sum(f"_lifted_{span}").over(in_block)
-        earlier = F.coalesce(F.sum(f"_lifted_{span}").over(block_before), F.lit(0.0))
+        # The last row of a full block holds the total of the block.
+        total = F.when(place == block - 1, F.col(f"_current_{span}"))
+        earlier = F.coalesce(F.sum(total).over(block_before), F.lit(0.0))
         levels[f"_level_{span}"] = F.pow(base, place) * F.col(f"_current_{span}") + F.pow(base, place + block) * earlier
         shifted[f"ewma_{span}"] = F.coalesce(F.lag(f"_level_{span}", 1).over(by_block), F.lit(0.0))
     helpers = ["_row", "_block", "_place", *lifted, *current, *levels]
-    # The running sums come first: their order (cell, block, time) serves the two window steps after them.
+    # The later steps read the running sums, so these come first, and their order (cell, block, time)
+    # serves every step: two sorts in all.
     summed = positioned.withColumns(lifted).withColumns(current)
     return summed.withColumns(levels).withColumns(shifted).drop(*helpers)

@@ -20,7 +20,10 @@ def spread_lookup(
     copied once per salt. All other keys are joined as they are. No hint is given: run-time sizes decide
     whether the lookup is broadcast.
     """
-    frequent = values.orderBy(F.desc(rows), key).limit(FREQUENT).agg(F.collect_list(key)).scalar()
+    added = [c for c in values.columns if c not in (key, rows)]
+    # Both readers of `counted` need all of its columns, which lets them share one exchange.
+    counted = values.where(F.col(rows) > 0)
+    frequent = counted.orderBy(F.desc(rows), key, *added).limit(FREQUENT).agg(F.collect_list(key)).scalar()
     is_frequent = F.coalesce(F.array_contains("_frequent", F.col(key)), F.lit(False))
     salted = (
         df.withColumn("_frequent", frequent)
@@ -31,9 +34,8 @@ def spread_lookup(
     )
     every = F.sequence(F.lit(0), F.lit(salts - 1))
     copied = (
-        values.withColumn("_frequent", frequent)
+        counted.withColumn("_frequent", frequent)
         .withColumn("_salt", F.explode(F.when(is_frequent, every).otherwise(F.array(F.lit(0)))))
         .drop("_frequent", rows)
     )
-    added = [c for c in values.columns if c not in (key, rows)]
     return salted.join(copied, [key, "_salt"], "left").select(*df.columns, *added)
