@@ -41,8 +41,8 @@ def grid_metadata(df: DataFrame, config: GridConfig) -> DataFrame:
 def assign_cells(df: DataFrame, config: GridConfig) -> DataFrame:
     """Adds cell indices, the cell name and the cell centre.
 
-    Without a configured origin the minimum of the data is looked up by a scalar subquery: a scan of
-    two columns that is aggregated before it is shuffled, with no join in the main plan.
+    Without a configured origin the minimum of the data is looked up by a scalar subquery: a scan
+    that is aggregated before it is shuffled, with no join in the main plan.
     """
     if config.origin is None:
         corner = data_bounds(df).select(F.struct("lat_min", "lon_min")).scalar()

@@ -16,7 +16,7 @@ from cellpulse.staging import written
 class Stages:
     """Lazy views over raw incidents; `panel` and `features` are written on first use.
 
-    The grid corner is found once, from two columns, and is a literal in every later plan, so gridding is
+    The grid corner is found once, from the critical columns, and is a literal in every later plan, so gridding is
     a projection whose filters reach the scan. The panel is at most cells times windows large, and every
     feature, report and model reads it or the feature table, never the incidents.
     """
