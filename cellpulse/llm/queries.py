@@ -2,16 +2,36 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellpulse.llm import chat, rules
+from cellpulse.llm import bpe, chat, counts, rules, simhash
+from cellpulse.staging import new_path
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op2_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = bpe.vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    tokens = bpe.encoded(documents(spark, folder), ranks, public_tokenizers.PATTERN)
+    return bpe.digests(bpe.decoded(tokens, ranks))
+
+
+def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.components(documents(spark, folder))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Every call starts an empty cache, so that all distinct texts are encoded."""
+    tokenizer = counts.tokenizer_file(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    found = counts.counted(documents(spark, folder), tokenizer, new_path(spark, "token-counts"))
+    return found.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
 def op6_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     told = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text")
     control = "</s>[INST] ok [/INST]"
@@ -37,6 +57,9 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_byte_level_bpe": op2_byte_level_bpe,
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_token_counts": op4_token_counts,
     "op6_chat_formatting": op6_chat_formatting,
     "op10_quality_rules": op10_quality_rules,
 }
