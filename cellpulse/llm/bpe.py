@@ -5,7 +5,7 @@ own: the block holds every document as positions coded by that dictionary, and o
 to the shuffle. Equal words meet, each is encoded once, and the ids return to the blocks that asked, where
 documents are reassembled by position. A word has one row per block at most, so no word is a hot key.
 
-A block is named by a digest of its dictionary. The input is read twice (words, positions) and must give the
+A block is named by a digest of its dictionary and its place. The input is read twice (words, positions) and must give the
 same rows in the same order both times, as a stored table does; a block whose words don't come back complete
 raises an error instead of giving other ids.
 """
@@ -19,6 +19,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,11 +66,13 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, list[str
     codes: dict[str, int] = {}
     ids: list = []
     docs: list[np.ndarray] = []
-    held = 0
+    held = number = 0
 
     def done():
+        # Blocks of equal content differ in their place.
         digest = xxhash.xxh3_128("\x00".join(codes).encode())
-        digest.update(np.array([len(d) for d in docs], np.int64).tobytes())
+        place = TaskContext.get().partitionId(), number
+        digest.update(np.array([*place, *map(len, docs)], np.int64).tobytes())
         return digest.digest(), list(codes), ids, docs
 
     for batch in batches:
@@ -80,7 +83,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, list[str
             held += len(coded)
             if len(codes) >= BLOCK_WORDS or held >= BLOCK_POSITIONS:
                 yield done()
-                codes, ids, docs, held = {}, [], [], 0
+                codes, ids, docs, held, number = {}, [], [], 0, number + 1
     if ids:
         yield done()
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellpulse.llm import bpe, chat, counts, rules, simhash
+from cellpulse.llm import bpe, chat, counts, lm, rules, simhash
 from cellpulse.staging import new_path
 
 
@@ -47,6 +47,10 @@ def op6_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.formatted(messages))
 
 
+def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.scored(documents(spark, folder))
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     book = rules.applied(rules.ledger(documents(spark, folder)), "v2")
     return book.select(
@@ -61,5 +65,6 @@ QUERIES = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_token_counts": op4_token_counts,
     "op6_chat_formatting": op6_chat_formatting,
+    "op8_lm_scoring": op8_lm_scoring,
     "op10_quality_rules": op10_quality_rules,
 }
