@@ -1,18 +1,21 @@
 """Byte-level BPE encoding and decoding over a global shuffle of distinct words.
 
 Texts are split into words with their positions. Consecutive documents form a block with a dictionary of its
-own: the block holds every document as positions coded by that dictionary, and one row per distinct word goes
-to the shuffle. Equal words meet, each is encoded once, and the ids return to the blocks that asked, where
-documents are reassembled by position. A word has one row per block at most, so no word is a hot key.
-
-A block is named by a digest of its dictionary and its place. The input is read twice (words, positions) and must give the
-same rows in the same order both times, as a stored table does; a block whose words don't come back complete
-raises an error instead of giving other ids.
+own: the block holds every document as positions coded by that dictionary, and its distinct words go to the
+shuffle, packed by range of their hash. Equal words meet in a range, each is encoded once, and the ids return
+to the blocks that asked, where documents are reassembled by position. A word is one entry per block at most,
+so no word is a hot key, and the number of ranges grows with the input.
+
+A block is named by a digest of its dictionary and its place. The input is read twice (words, positions) and
+must give the same rows in the same order both times, as a stored table does; a block whose words don't come
+back complete raises an error instead of giving other ids.
 """
 
 from __future__ import annotations
 
 import base64
+import math
+import zlib
 from collections.abc import Iterator
 from functools import cache
 
@@ -26,7 +29,9 @@ from pyspark.sql import functions as F
 from cellpulse.llm.pretokens import words
 
 #: A block ends with the document at which it has so many distinct words, or so many positions.
-BLOCK_WORDS, BLOCK_POSITIONS = 1 << 18, 1 << 23
+BLOCK_WORDS, BLOCK_POSITIONS = 1 << 18, 1 << 22
+#: One range of word hashes per so many bytes of text.
+RANGE_BYTES = 12 << 20
 #: Upper bound of a vocabulary file that is sent to the executors, in bytes.
 VOCABULARY_BYTES = 1 << 26
 
@@ -88,45 +93,101 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, list[str
         yield done()
 
 
-def _slices(columns: dict, schema: pa.Schema, rows: int = 20_000) -> Iterator[pa.RecordBatch]:
-    n = len(next(iter(columns.values())))
-    for a in range(0, n, rows):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(columns[f.name][a : a + rows], f.type) for f in schema], schema=schema
-        )
+def _packed(values: np.ndarray) -> bytes:
+    """Unsigned numbers as compressed byte planes, lowest first."""
+    return zlib.compress(values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
 
 
-def _word_rows(batches):
-    schema = pa.schema([("block", pa.binary()), ("code", pa.int32()), ("word", pa.string())])
-    for name, dictionary, _, _ in _blocks(batches):
-        yield from _slices({"block": [name] * len(dictionary), "code": range(len(dictionary)), "word": dictionary}, schema)
+def _unpacked(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-def _doc_rows(id_type):
-    schema = pa.schema([("block", pa.binary()), ("size", pa.int32()), ("doc_id", id_type), ("codes", pa.binary())])
+def _asked(parts: int):
+    """One row per block and range: codes, lengths and bytes of the block's words in that range."""
+    names = ["part", "block", "codes", "sizes", "words"]
+
+    def rows(batches):
+        for name, dictionary, _, _ in _blocks(batches):
+            words_ = [w.encode() for w in dictionary]
+            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words_), np.uint64, len(words_))
+            part = ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            cut = np.searchsorted(part[order], np.arange(parts + 1)).tolist()
+            some = [(p, order[a:b]) for p, (a, b) in enumerate(zip(cut, cut[1:])) if a < b]
+            taken = [[words_[c] for c in codes.tolist()] for _, codes in some]
+            columns = [
+                pa.array([p for p, _ in some], pa.int32()), pa.array([name] * len(some), pa.binary()),
+                pa.array([_packed(codes) for _, codes in some], pa.binary()),
+                pa.array([_packed(np.fromiter(map(len, t), np.int64)) for t in taken], pa.binary()),
+                pa.array([zlib.compress(b"".join(t), 1) for t in taken], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return rows
+
+
+def _answers(ranks, pattern: str):
+    """Encodes each distinct word of a range once; one row per block with the ids of its words in its order."""
+
+    def rows(asked: pa.Table) -> pa.Table:
+        model, memo = encoder(ranks.value, pattern), {}
+        out: list[list] = [[], [], []]
+        for sizes, packed in zip(asked.column("sizes").to_pylist(), asked.column("words").to_pylist()):
+            ends = np.cumsum(_unpacked(sizes)).tolist()
+            text, ids = zlib.decompress(packed), []
+            for a, b in zip([0, *ends], ends):
+                word = text[a:b]
+                found = memo.get(word)
+                if found is None:
+                    found = memo[word] = model.encode_ordinary(word.decode())
+                ids.append(found)
+            out[0].append(_packed(np.fromiter(map(len, ids), np.int64)))
+            out[1].append(_packed(np.fromiter((i for x in ids for i in x), np.int64)))
+        columns = [asked.column("block"), asked.column("codes"), pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary())]
+        return pa.Table.from_arrays(columns, names=["block", "codes", "sizes", "ids"])
+
+    return rows
+
+
+def _coded(id_type: pa.DataType):
+    """Documents as positions coded by the dictionary of their block."""
+    names = ["block", "size", "doc_id", "codes"]
 
     def rows(batches):
         for name, dictionary, ids, docs in _blocks(batches):
-            size = len(dictionary)
-            width = np.uint16 if size <= 1 << 16 else np.uint32
             for a in range(0, len(ids), 256):
-                part = [d.astype(width) for d in docs[a : a + 256]]
-                # Little-endian codes; the high bytes of 32-bit codes lie together and compress well.
-                packed = [d.tobytes() if width is np.uint16 else d.view(np.uint8).reshape(-1, 4).T[:3].tobytes() for d in part]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(part), pa.binary()), pa.array([size] * len(part), pa.int32()),
-                     pa.array(ids[a : a + 256], id_type), pa.array(packed, pa.binary())],
-                    schema=schema,
-                )
+                part = docs[a : a + 256]
+                columns = [
+                    pa.array([name] * len(part), pa.binary()), pa.array([len(dictionary)] * len(part), pa.int32()),
+                    pa.array(ids[a : a + 256], id_type), pa.array([_packed(d) for d in part], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return rows
 
 
-def _unpacked(size: int, packed: bytes) -> np.ndarray:
-    if size <= 1 << 16:
-        return np.frombuffer(packed, np.uint16)
-    planes = np.frombuffer(packed, np.uint8).reshape(3, -1).astype(np.uint32)
-    return planes[0] | planes[1] << np.uint32(8) | planes[2] << np.uint32(16)
+def _reassembled(id_type: pa.DataType):
+    schema = pa.schema([("doc_id", id_type), ("ids", pa.list_(pa.int32()))])
+
+    def rows(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        if not docs.num_rows:
+            return schema.empty_table()
+        word_ids: list = [None] * docs.column("size")[0].as_py()
+        for codes, sizes, ids in zip(*(answers.column(n).to_pylist() for n in ("codes", "sizes", "ids"))):
+            ends = (4 * np.cumsum(_unpacked(sizes), dtype=np.int64)).tolist()
+            flat = _unpacked(ids).tobytes()
+            for code, a, b in zip(_unpacked(codes).tolist(), [0, *ends], ends):
+                word_ids[code] = flat[a:b]
+        if None in word_ids:
+            raise ValueError("the input changed between two reads of it; encode a stored table")
+        texts = [b"".join([word_ids[c] for c in _unpacked(d).tolist()]) for d in docs.column("codes").to_pylist()]
+        ends = np.cumsum([0, *(len(t) // 4 for t in texts)])
+        flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(texts))])
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+        return pa.Table.from_arrays([docs.column("doc_id").combine_chunks(), lists], schema=schema)
+
+    return rows
 
 
 def encoded(docs: DataFrame, ranks, pattern: str) -> DataFrame:
@@ -136,52 +197,18 @@ def encoded(docs: DataFrame, ranks, pattern: str) -> DataFrame:
     `ranks` is what `vocabulary` gives. Special tokens are not recognised.
     """
     base = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    id_type = base.schema["doc_id"].dataType.simpleString()
-    arrow_id = pa.int64() if id_type == "bigint" else pa.int32() if id_type == "int" else pa.string()
-
-    def encode(batches):
-        schema = pa.schema([("block", pa.binary()), ("code", pa.int32()), ("ids", pa.binary())])
-        model = encoder(ranks.value, pattern)
-        last, ids = None, b""
-        for batch in batches:
-            out = []
-            for word in batch.column("word").to_pylist():
-                if word != last:
-                    last, ids = word, np.array(model.encode_ordinary(word), np.uint32).tobytes()
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("code"), pa.array(out, pa.binary())], schema=schema)
-
-    found = (
-        base.mapInArrow(_word_rows, "block binary, code int, word string")
-        .repartition("word")
-        .sortWithinPartitions("word")
-        .mapInArrow(encode, "block binary, code int, ids binary")
+    kind = base.schema["doc_id"].dataType.simpleString()
+    id_type = {"bigint": pa.int64(), "int": pa.int32()}.get(kind, pa.string())
+    size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(8, math.ceil(size / RANGE_BYTES))
+    answers = (
+        base.mapInArrow(_asked(parts), "part int, block binary, codes binary, sizes binary, words binary")
+        .groupBy("part").applyInArrow(_answers(ranks, pattern), "block binary, codes binary, sizes binary, ids binary")
     )
-    coded = base.mapInArrow(_doc_rows(arrow_id), f"block binary, size int, doc_id {id_type}, codes binary")
-
-    def reassemble(doc_rows: pa.Table, word_rows: pa.Table) -> pa.Table:
-        schema = pa.schema([("doc_id", arrow_id), ("ids", pa.list_(pa.int32()))])
-        if not doc_rows.num_rows:
-            return schema.empty_table()
-        size = doc_rows.column("size")[0].as_py()
-        word_ids: list = [None] * size
-        for code, ids in zip(word_rows.column("code").to_pylist(), word_rows.column("ids").to_pylist()):
-            word_ids[code] = ids
-        if None in word_ids:
-            raise ValueError("the input changed between two reads of it; encode a stored table")
-        length = np.fromiter(map(len, word_ids), np.int64, size) // 4
-        packed, ends, values = doc_rows.column("codes").to_pylist(), [0], []
-        for row in packed:
-            codes = _unpacked(size, row)
-            values.append(b"".join([word_ids[c] for c in codes.tolist()]))
-            ends.append(ends[-1] + int(length[codes].sum()))
-        flat = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(b"".join(values))])
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
-        return pa.Table.from_arrays([doc_rows.column("doc_id").combine_chunks(), lists], schema=schema)
-
+    coded = base.mapInArrow(_coded(id_type), f"block binary, size int, doc_id {kind}, codes binary")
     return (
-        coded.groupBy("block").cogroup(found.groupBy("block"))
-        .applyInArrow(reassemble, f"doc_id {id_type}, ids array<int>")
+        coded.groupBy("block").cogroup(answers.groupBy("block"))
+        .applyInArrow(_reassembled(id_type), f"doc_id {kind}, ids array<int>")
     )
 
 
