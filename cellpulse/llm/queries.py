@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellpulse.llm import bpe, chat, counts, lm, rules, simhash
+from cellpulse.llm import bpe, chat, counts, lm, rules, simhash, toxicity
 from cellpulse.staging import new_path
 
 
@@ -32,6 +32,15 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    classifier = toxicity.fitted(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    return toxicity.scored(docs, classifier).select(
+        "doc_id", (toxicity.fold(F.col("doc_id")) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op6_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     told = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text")
     control = "</s>[INST] ok [/INST]"
@@ -64,6 +73,7 @@ QUERIES = {
     "op2_byte_level_bpe": op2_byte_level_bpe,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_token_counts": op4_token_counts,
+    "op5_toxicity": op5_toxicity,
     "op6_chat_formatting": op6_chat_formatting,
     "op8_lm_scoring": op8_lm_scoring,
     "op10_quality_rules": op10_quality_rules,
