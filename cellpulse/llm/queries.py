@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellpulse.llm import bpe, chat, counts, lm, rules, simhash, toxicity
+from cellpulse.llm import bpe, chat, counts, decontaminate, lm, rules, simhash, toxicity
 from cellpulse.staging import new_path
 
 
@@ -56,6 +56,10 @@ def op6_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.formatted(messages))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm.scored(documents(spark, folder))
 
@@ -75,6 +79,7 @@ QUERIES = {
     "op4_token_counts": op4_token_counts,
     "op5_toxicity": op5_toxicity,
     "op6_chat_formatting": op6_chat_formatting,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_lm_scoring": op8_lm_scoring,
     "op10_quality_rules": op10_quality_rules,
 }

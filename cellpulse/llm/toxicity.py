@@ -27,8 +27,8 @@ SAMPLE_TOXIC, SAMPLE_ORDINARY, SAMPLE_CHARS = 1500, 6000, 6000
 #: Share of each sample that trains the dictionaries; the rest calibrates.
 TRAINING = 0.6
 ORDINARY_BYTES, TOXIC_BYTES, WINDOW = 200_000, 2048, 16
-#: A word is toxic text if so many toxic documents have it and it is so many times as frequent in them.
-LEAST_DOCUMENTS, LEAST_RATIO = 4, 20
+#: A beginning of words is toxic text if so many toxic documents have it and it is so many times as frequent in them.
+LEAST_DOCUMENTS, LEAST_RATIO = 4, 10
 LEVELS = (1, 2, 3, 4, 6)
 EDGE = b".,;:!?\"'()"
 
@@ -46,6 +46,13 @@ def windows(text: str | None) -> list[bytes]:
     return [b" %b " % b" ".join(words[i : i + WINDOW]) for i in range(0, len(words), WINDOW)]
 
 
+def _beginnings(word: bytes) -> list[bytes]:
+    """The word without punctuation at its ends, marked as whole, and its beginnings of four bytes or more,
+    longest first."""
+    word = word.strip(EDGE)
+    return [word + b" ", *(word[:n] for n in range(min(len(word), 16), 3, -1))]
+
+
 def _trained(size: int, samples: list[bytes], k: int) -> bytes:
     """Content of a trained dictionary; too little text to train on is its own dictionary."""
     try:
@@ -56,10 +63,14 @@ def _trained(size: int, samples: list[bytes], k: int) -> bytes:
 
 def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
     """The ordinary dictionary, and the toxic one trained on what toxic texts say and ordinary ones don't."""
-    seen = [Counter(w for t in texts for w in {w.strip(EDGE) for w in _words(t)}) for texts in (toxic, ordinary)]
+    seen = [
+        Counter(p for t in texts for p in {p for w in set(_words(t)) for p in _beginnings(w)})
+        for texts in (toxic, ordinary)
+    ]
     rate = LEAST_RATIO * len(toxic) / max(1, len(ordinary))
-    own = {w for w, n in seen[0].items() if w and n >= LEAST_DOCUMENTS and n > rate * (seen[1][w] + 0.5)}
-    said = [b" %b " % w.strip(EDGE) for t in toxic for w in _words(t) if w.strip(EDGE) in own]
+    own = {p for p, n in seen[0].items() if n >= LEAST_DOCUMENTS and n > rate * (seen[1][p] + 0.5)}
+    longest = (next((p for p in _beginnings(w) if p in own), None) for t in toxic for w in _words(t))
+    said = [b" %b" % p for p in longest if p]
     samples = [b"".join(said[i : i + 16]) for i in range(0, len(said), 16)]
     base = _trained(ORDINARY_BYTES, [w for t in ordinary for w in windows(t)], 32)
     one = _trained(TOXIC_BYTES, samples * 3, 16) if samples else b""
