@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from cellpulse.llm.pretokens import words
 
 #: A block ends with the document at which it has so many distinct words, or so many positions.
-BLOCK_WORDS, BLOCK_POSITIONS = 1 << 18, 1 << 22
+BLOCK_WORDS, BLOCK_POSITIONS = 1 << 18, 1 << 21
 #: One range of word hashes per so many bytes of text.
 RANGE_BYTES = 12 << 20
 #: Upper bound of a vocabulary file that is sent to the executors, in bytes.
@@ -220,7 +220,10 @@ def decoded(tokens: DataFrame, ranks) -> DataFrame:
     def rows(batches):
         table = token_table(ranks.value)
         for batch in batches:
-            texts = [b"".join([table[i] for i in ids or ()]) for ids in batch.column("ids").to_pylist()]
+            lists = batch.column("ids")
+            ends, flat = np.asarray(lists.offsets).tolist(), np.asarray(lists.values)
+            # One document's ids at a time; a null list is empty.
+            texts = [b"".join([table[i] for i in flat[a:b].tolist()]) for a, b in zip(ends, ends[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], names=["doc_id", "ids", "bytes"])
 
     return tokens.select("doc_id", "ids").mapInArrow(rows, f"doc_id {kinds['doc_id']}, ids array<int>, bytes binary")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellpulse.llm import bpe, chat, counts, decontaminate, lm, rules, simhash, toxicity
+from cellpulse.llm import bpe, chat, counts, decontaminate, lm, repeats, rules, simhash, toxicity
 from cellpulse.staging import new_path
 
 
@@ -14,6 +14,10 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op1_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.Repeats(documents(spark, folder)).removed()
+
+
 def op2_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = bpe.vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
     tokens = bpe.encoded(documents(spark, folder), ranks, public_tokenizers.PATTERN)
@@ -74,6 +78,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_byte_level_bpe": op2_byte_level_bpe,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_token_counts": op4_token_counts,
