@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellpulse.llm import bpe, chat, counts, decontaminate, lm, repeats, rules, simhash, toxicity
+from cellpulse.llm import bpe, chat, counts, decontaminate, lm, paragraphs, repeats, rules, simhash, toxicity
 from cellpulse.staging import new_path
 
 
@@ -68,6 +68,13 @@ def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm.scored(documents(spark, folder))
 
 
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraphs.by_document(documents(spark, folder)).select(
+        "doc_id", "component_id", "n_paragraphs", "n_removed",
+        F.aggregate("spans", F.lit(0).cast("long"), lambda t, s: t + s["end"] - s["start"]).alias("removed_chars"),
+    )
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     book = rules.applied(rules.ledger(documents(spark, folder)), "v2")
     return book.select(
@@ -86,5 +93,6 @@ QUERIES = {
     "op6_chat_formatting": op6_chat_formatting,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_lm_scoring": op8_lm_scoring,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
