@@ -293,20 +293,23 @@ def by_document(docs: DataFrame) -> DataFrame:
 def duplicates_removed(docs: DataFrame) -> DataFrame:
     """All rows and columns of `docs`, without the repeated paragraphs in `text`; the other columns don't change,
     and a null text stays null."""
-    cuts = by_document(docs).filter("n_removed > 0").select(F.col("doc_id").alias("cut_id"), F.col("version").alias("cut_version"), F.col("spans").alias("cut_spans"))
     schema = docs.schema
-    kind = schema["doc_id"].dataType.simpleString()
+    cuts = "cuts"
+    while cuts in docs.columns:
+        cuts += "_"
     # Every version of a document with cuts; the task picks the one of its text.
-    listed = cuts.groupBy("cut_id").agg(F.collect_list(F.struct("cut_version", "cut_spans")).alias("cut_list"))
-    joined = docs.join(listed, docs["doc_id"] == listed["cut_id"], "left").select(*(docs[c] for c in docs.columns), "cut_list")
+    listed = by_document(docs).filter("n_removed > 0").groupBy("doc_id").agg(
+        F.collect_list(F.struct("version", "spans")).alias(cuts)
+    )
+    joined = docs.join(listed, "doc_id", "left").select(*docs.columns, cuts)
 
     def rows(batches):
         for batch in batches:
             texts = []
-            for text, versions in zip(batch.column("text").to_pylist(), batch.column("cut_list").to_pylist()):
+            for text, versions in zip(batch.column("text").to_pylist(), batch.column(cuts).to_pylist()):
                 if text is not None and versions:
                     version = xxhash.xxh3_64_intdigest(text.encode()) - (1 << 63)
-                    spans = next((v["cut_spans"] for v in versions if v["cut_version"] == version), [])
+                    spans = next((v["spans"] for v in versions if v["version"] == version), [])
                     at, kept = 0, []
                     for s in spans:
                         kept.append(text[at : s["start"]])
