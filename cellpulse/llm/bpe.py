@@ -14,6 +14,7 @@ back complete raises an error instead of giving other ids.
 from __future__ import annotations
 
 import base64
+import hashlib
 import math
 import zlib
 from collections.abc import Iterator
@@ -167,8 +168,38 @@ def _coded(id_type: pa.DataType):
     return rows
 
 
-def _reassembled(id_type: pa.DataType):
-    schema = pa.schema([("doc_id", id_type), ("ids", pa.list_(pa.int32()))])
+def _id_lists(id_type: pa.DataType):
+    """Rows (doc_id, ids) of documents given as little-endian ids."""
+
+    def table(doc_ids: pa.Array, texts: Iterator[bytes]) -> pa.Table:
+        texts = list(texts)
+        ends = np.cumsum([0, *(len(t) // 4 for t in texts)])
+        flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(texts))])
+        return pa.Table.from_arrays([doc_ids, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], names=["doc_id", "ids"])
+
+    return table, pa.schema([("doc_id", id_type), ("ids", pa.list_(pa.int32()))])
+
+
+def _digested(id_type: pa.DataType, ranks):
+    """Rows of `digests`: the ids of each document are counted, written out, decoded and let go."""
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    types = [id_type, pa.int64(), pa.string(), pa.string()]
+
+    def table(doc_ids: pa.Array, texts: Iterator[bytes]) -> pa.Table:
+        tokens, columns = token_table(ranks.value), [[], [], []]
+        numbers = [b"%d" % i for i in range(len(tokens))]
+        for text in texts:
+            ids = np.frombuffer(text, np.uint32).tolist()
+            columns[0].append(len(ids))
+            columns[1].append(hashlib.sha256(b" ".join([numbers[i] for i in ids])).hexdigest())
+            columns[2].append(hashlib.sha256(b"".join([tokens[i] for i in ids])).hexdigest())
+        return pa.Table.from_arrays([doc_ids, *(pa.array(c, t) for c, t in zip(columns, types[1:]))], names=names)
+
+    return table, pa.schema(list(zip(names, types)))
+
+
+def _reassembled(finish, schema: pa.Schema):
+    """Documents from their coded positions and the ids of their block's words; `finish` makes the result."""
 
     def rows(docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not docs.num_rows:
@@ -181,21 +212,16 @@ def _reassembled(id_type: pa.DataType):
                 word_ids[code] = flat[a:b]
         if None in word_ids:
             raise ValueError("the input changed between two reads of it; encode a stored table")
-        texts = [b"".join([word_ids[c] for c in _unpacked(d).tolist()]) for d in docs.column("codes").to_pylist()]
-        ends = np.cumsum([0, *(len(t) // 4 for t in texts)])
-        flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(texts))])
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
-        return pa.Table.from_arrays([docs.column("doc_id").combine_chunks(), lists], schema=schema)
+        coded = docs.column("codes").to_pylist()
+        return finish(
+            docs.column("doc_id").combine_chunks(),
+            (b"".join([word_ids[c] for c in _unpacked(d).tolist()]) for d in coded),
+        )
 
     return rows
 
 
-def encoded(docs: DataFrame, ranks, pattern: str) -> DataFrame:
-    """doc_id and `ids`, the token ids of the whole text, as the rank file's library would encode it.
-
-    A null or empty text has no ids. Repeated rows and null ids give a row each. Other columns are not read.
-    `ranks` is what `vocabulary` gives. Special tokens are not recognised.
-    """
+def _encoded(docs: DataFrame, ranks, pattern: str, finish, columns: str) -> DataFrame:
     base = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     kind = base.schema["doc_id"].dataType.simpleString()
     id_type = {"bigint": pa.int64(), "int": pa.int32()}.get(kind, pa.string())
@@ -208,7 +234,25 @@ def encoded(docs: DataFrame, ranks, pattern: str) -> DataFrame:
     coded = base.mapInArrow(_coded(id_type), f"block binary, size int, doc_id {kind}, codes binary")
     return (
         coded.groupBy("block").cogroup(answers.groupBy("block"))
-        .applyInArrow(_reassembled(id_type), f"doc_id {kind}, ids array<int>")
+        .applyInArrow(_reassembled(*finish(id_type)), f"doc_id {kind}, {columns}")
+    )
+
+
+def encoded(docs: DataFrame, ranks, pattern: str) -> DataFrame:
+    """doc_id and `ids`, the token ids of the whole text, as the rank file's library would encode it.
+
+    A null or empty text has no ids. Repeated rows and null ids give a row each. Other columns are not read.
+    `ranks` is what `vocabulary` gives. Special tokens are not recognised.
+    """
+    return _encoded(docs, ranks, pattern, _id_lists, "ids array<int>")
+
+
+def round_trip(docs: DataFrame, ranks, pattern: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256: what `digests(decoded(encoded(docs)))` gives, without
+    the ids or the decoded texts leaving the task that reassembles them."""
+    return _encoded(
+        docs, ranks, pattern, lambda id_type: _digested(id_type, ranks),
+        "n_tokens bigint, ids_sha256 string, decoded_sha256 string",
     )
 
 

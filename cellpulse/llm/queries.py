@@ -20,8 +20,7 @@ def op1_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = bpe.vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    tokens = bpe.encoded(documents(spark, folder), ranks, public_tokenizers.PATTERN)
-    return bpe.digests(bpe.decoded(tokens, ranks))
+    return bpe.round_trip(documents(spark, folder), ranks, public_tokenizers.PATTERN)
 
 
 def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:

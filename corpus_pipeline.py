@@ -37,8 +37,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of the decoded text."""
     ranks = bpe.vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    encoded = bpe.encoded(docs, ranks, public_tokenizers.PATTERN)
-    return bpe.digests(bpe.decoded(encoded, ranks))
+    return bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
 
 
 STAGES = [
