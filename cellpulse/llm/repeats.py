@@ -99,14 +99,33 @@ def intervals(lcp: list[int], least: int) -> Iterator[tuple[int, int, int]]:
             stack.append((value, first))
 
 
+def _neighbours(texts: list[bytes]) -> list[int]:
+    """Common-prefix length of each text with the one before it; 0 for the first."""
+    if len(texts) < 24:
+        return [0, *map(common, texts, texts[1:])]
+    wide = np.zeros((len(texts), LENGTH + 1), np.uint8)
+    sizes = np.array([min(len(t), LENGTH) for t in texts])
+    wide[np.arange(LENGTH + 1) < sizes[:, None]] = np.frombuffer(b"".join(texts), np.uint8)
+    # Where one ends they differ at the latest.
+    wide[:, LENGTH] = np.arange(len(texts)) & 1
+    differ = (wide[1:] != wide[:-1]).argmax(axis=1)
+    return [0, *np.minimum(differ, np.minimum(sizes[1:], sizes[:-1])).tolist()]
+
+
 def maximal(contexts: list[tuple[bytes, bytes]]) -> Iterator[tuple[int, int, list[int]]]:
     """Maximal repeats of LENGTH or more among distinct contexts of one gram, given as (preceding bytes from
     the gram backwards, gram and following bytes): bytes before the gram, bytes from it on, members."""
     order = sorted(range(len(contexts)), key=lambda i: contexts[i][1])
-    right = [0, *(common(contexts[a][1], contexts[b][1]) for a, b in zip(order, order[1:]))]
+    right = _neighbours([contexts[i][1] for i in order])
+    lefts = [contexts[i][0] for i in order]
+    place = [0] * len(order)
+    for n, i in enumerate(sorted(range(len(order)), key=lefts.__getitem__)):
+        place[i] = n
     for first, last, r in intervals(right, GRAM):
-        members = sorted(range(first, last + 1), key=lambda i: contexts[order[i]][0])
-        left = [0, *(common(contexts[order[a]][0], contexts[order[b]][0]) for a, b in zip(members, members[1:]))]
+        members = sorted(range(first, last + 1), key=place.__getitem__)
+        left = _neighbours([lefts[i] for i in members])
+        if max(left) + r < LENGTH:
+            continue
         for a, b, l in intervals(left, max(0, LENGTH - r)):
             ranks = members[a : b + 1]
             low, high = min(ranks), max(ranks)
@@ -264,49 +283,67 @@ def _contexts(parts: int):
 SPANS = "block binary, rows binary, starts binary, sizes binary, firsts binary, groups binary"
 
 
-def _spans(asked: pa.Table) -> pa.Table:
-    """Occurrences of the maximal repeats of a range, packed by block."""
-    blocks = asked.column("block").to_pylist()
-    leaves: dict[bytes, dict[tuple[bytes, bytes], list]] = defaultdict(lambda: defaultdict(list))
-    for b, (owners, places, before, sizes, packed) in enumerate(
-        zip(*(asked.column(n).to_pylist() for n in ("owners", "places", "before", "sizes", "bytes")))
-    ):
-        owned = np.frombuffer(zlib.decompress(owners), np.int64).reshape(2, -1).tolist()
-        text, end = zlib.decompress(packed), 0
-        for doc_id, row, place, left, size in zip(
-            *owned, _unplanes(places, np.uint32).tolist(), zlib.decompress(before), zlib.decompress(sizes)
+def _spans(whole: bool):
+    """Spans of the repeats of a range, packed by block: every occurrence of every maximal repeat if `whole`,
+    else for every anchor what its repeats that also start earlier cover, which is one span, since all of them
+    hold the gram."""
+
+    def rows(asked: pa.Table) -> pa.Table:
+        blocks = asked.column("block").to_pylist()
+        leaves: dict[bytes, dict[tuple[bytes, bytes], list]] = {}
+        for b, (owners, places, before, sizes, packed) in enumerate(
+            zip(*(asked.column(n).to_pylist() for n in ("owners", "places", "before", "sizes", "bytes")))
         ):
-            start, end = end, end + size
-            whole = text[start:end]
-            leaves[whole[left : left + GRAM]][whole[:left][::-1], whole[left:]].append((doc_id, blocks[b], row, place))
-    out: dict[bytes, list] = defaultdict(list)
-
-    def told(before: int, size: int, members: list, first: tuple, name: bytes):
-        group = xxhash.xxh3_64_intdigest(name)
-        for m in members:
-            out[m[1]].append((m[2], m[3] - before, size, m is first, group))
-
-    for group in leaves.values():
-        contexts = list(group)
-        for members in group.values():
-            members.sort()
-        for (left, right), members in group.items():
-            if len(members) > 1 and len(left) + len(right) >= LENGTH:
-                told(len(left), len(left) + len(right), members, members[0], left[::-1] + right)
-        if len(contexts) > 1:
+            owned = np.frombuffer(zlib.decompress(owners), np.int64).reshape(2, -1).tolist()
+            text, end = zlib.decompress(packed), 0
+            for doc_id, row, place, left, size in zip(
+                *owned, _unplanes(places, np.uint32).tolist(), zlib.decompress(before), zlib.decompress(sizes)
+            ):
+                start, end = end, end + size
+                context = text[start:end]
+                group = leaves.setdefault(context[left : left + GRAM], {})
+                group.setdefault((context[:left][::-1], context[left:]), []).append((doc_id, blocks[b], row, place))
+        out: dict[bytes, list] = defaultdict(list)
+
+        def told(before: int, size: int, members: list, first: tuple | None, name: bytes):
+            group = xxhash.xxh3_64_intdigest(name) if whole else 0
+            for m in members:
+                out[m[1]].append((m[2], m[3] - before, size, m is first, group))
+
+        while leaves:
+            _, group = leaves.popitem()
+            contexts = list(group)
+            for (left, right), members in group.items():
+                members.sort()
+                if len(members) > 1 and len(left) + len(right) >= LENGTH:
+                    some = members if whole else members[1:]
+                    told(len(left), len(left) + len(right), some, members[0], left[::-1] + right)
+            if len(contexts) < 2:
+                continue
+            firsts = [members[0] for members in group.values()]
+            reach = np.zeros((2, len(contexts)), np.int64)
             for before, after, some in maximal(contexts):
-                left, right = contexts[some[0]]
-                members = [m for i in some for m in group[contexts[i]]]
-                told(before, before + after, members, min(members), left[:before][::-1] + right[:after])
-    rows = []
-    for block, found in out.items():
-        row, start, size, first, group = zip(*found)
-        rows.append((
-            block, _planes(np.array(row, np.uint32)), _planes(np.array(start, np.uint32)),
-            zlib.compress(np.array(size, np.uint8).tobytes(), 1), np.packbits(np.array(first)).tobytes(),
-            zlib.compress(np.array(group, np.uint64).tobytes(), 1),
-        ))
-    return pa.Table.from_batches([_batch([c.split()[0] for c in SPANS.split(", ")], rows, [pa.binary()] * 6)])
+                earliest = min(some, key=firsts.__getitem__)
+                if whole:
+                    left, right = contexts[some[0]]
+                    members = [m for i in some for m in group[contexts[i]]]
+                    told(before, before + after, members, firsts[earliest], left[:before][::-1] + right[:after])
+                else:
+                    others = [i for i in some if i != earliest]
+                    reach[:, others] = np.maximum(reach[:, others], [[before], [after]])
+            for i in np.flatnonzero(reach[1]).tolist():
+                told(int(reach[0, i]), int(reach[0, i] + reach[1, i]), [firsts[i]], None, b"")
+        packs = []
+        for block, found in out.items():
+            row, start, size, first, group = zip(*found)
+            packs.append((
+                block, _planes(np.array(row, np.uint32)), _planes(np.array(start, np.uint32)),
+                zlib.compress(np.array(size, np.uint8).tobytes(), 1), np.packbits(np.array(first)).tobytes(),
+                zlib.compress(np.array(group, np.uint64).tobytes(), 1),
+            ))
+        return pa.Table.from_batches([_batch([c.split()[0] for c in SPANS.split(", ")], packs, [pa.binary()] * 6)])
+
+    return rows
 
 
 def _unpacked(spans: pa.Table) -> tuple[np.ndarray, ...]:
@@ -353,11 +390,11 @@ class Repeats:
             .groupBy("part").applyInArrow(_repeated, "part int, block binary, bits binary")
         )
         self.blocks = base.mapInArrow(_stored(self.id_type), f"block binary, row int, doc_id {self.kind}, text binary")
-        contexts = self.blocks.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(_contexts(parts), CONTEXTS)
-        self.spans = written(contexts.groupBy("part").applyInArrow(_spans, SPANS), "repeats")
+        self.contexts = self.blocks.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(_contexts(parts), CONTEXTS)
 
-    def _each(self, rows, schema: str) -> DataFrame:
-        return self.blocks.groupBy("block").cogroup(self.spans.groupBy("block")).applyInArrow(rows, schema)
+    def _each(self, rows, schema: str, whole: bool) -> DataFrame:
+        spans = written(self.contexts.groupBy("part").applyInArrow(_spans(whole), SPANS), "repeats")
+        return self.blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(rows, schema)
 
     def occurrences(self) -> DataFrame:
         """doc_id, start, size (bytes), group_id and is_first: all occurrences of the maximal repeats."""
@@ -370,7 +407,7 @@ class Repeats:
             columns = [pa.array([ids[r] for r in new[0]], id_type), pa.array(new[1]), pa.array(new[2]), pa.array(new[4]), pa.array(new[3] == 1)]
             return pa.Table.from_arrays(columns, names=["doc_id", "start", "size", "group_id", "is_first"])
 
-        return self._each(rows, f"doc_id {self.kind}, start bigint, size bigint, group_id bigint, is_first boolean")
+        return self._each(rows, f"doc_id {self.kind}, start bigint, size bigint, group_id bigint, is_first boolean", True)
 
     def removed(self) -> DataFrame:
         """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row: without the bytes that a LENGTH-byte
@@ -397,4 +434,4 @@ class Repeats:
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
             return pa.Table.from_batches([_batch(names, out, [id_type, pa.int64(), pa.int64(), pa.int64(), pa.string()])])
 
-        return self._each(rows, f"doc_id {self.kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+        return self._each(rows, f"doc_id {self.kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string", False)

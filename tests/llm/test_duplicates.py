@@ -172,7 +172,8 @@ def test_repeats_hard_rows(hard, table):
     got = repeats.Repeats(hard).removed().collect()
     assert len(got) == hard.count()
     by_id = {r.doc_id: r for r in got}
-    assert by_id[5].n_removed < by_id[6].n_removed == by_id[6].n_bytes and by_id[9].n_removed == 300_000 - 1 + 1 - 0 or True
+    assert by_id[5].n_removed < by_id[6].n_removed == by_id[6].n_bytes
+    assert by_id[9].n_removed == 299_999  # the first letter is in no later window
     assert all(r.n_removed == 0 for r in got if r.doc_id is None)
     assert repeats.Repeats(table([])).removed().count() == 0
 
@@ -285,7 +286,8 @@ def test_paragraphs_hard_rows(hard, table):
     assert made.columns == hard.columns and made.count() == hard.count()
     before, after = ({(r.doc_id, r.text) for r in x.collect()} for x in (hard, made))
     assert {x for x in before if x[0] not in (5, 6, 9)} <= after
-    assert len(next(t for i, t in after if i == 6)) < 1000
+    # Words between two paragraphs stay.
+    assert len(next(t for i, t in after if i == 6)) < 0.1 * len(next(t for i, t in before if i == 6))
     assert paragraphs.by_document(table([])).count() == 0
 
 
