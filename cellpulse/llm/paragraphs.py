@@ -83,7 +83,9 @@ def paragraphs(found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         mixed ^= mixed >> np.uint64(30)
         least = (_least((mixed & ~low) | place, SHINGLES)[starts] & low).astype(np.int64)
         at.append(least)
-        keys.append(mixed[least] * np.uint64(8) + np.uint64(b))
+        # The least of many hashes are small: mix them again, so that ranges of hashes are equal shares.
+        again = (mixed[least] + np.uint64(b)) * np.uint64(MULTIPLIERS[3])
+        keys.append(again ^ again >> np.uint64(32))
     return starts, np.array(keys), np.array(at)
 
 

@@ -64,7 +64,9 @@ def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray]:
         at = (least & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
         at = at[np.concatenate([[True], at[1:] != at[:-1]])]
         places.append(at + begin)
-        hashes.append(h[at])
+        # The least of many hashes are small: mix them again, so that ranges of hashes are equal shares.
+        key = h[at] * np.uint64(MULTIPLIER)
+        hashes.append(key ^ key >> np.uint64(32))
     if not places:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     at, first = np.unique(np.concatenate(places), return_index=True)
@@ -115,6 +117,11 @@ def _neighbours(texts: list[bytes]) -> list[int]:
 def maximal(contexts: list[tuple[bytes, bytes]]) -> Iterator[tuple[int, int, list[int]]]:
     """Maximal repeats of LENGTH or more among distinct contexts of one gram, given as (preceding bytes from
     the gram backwards, gram and following bytes): bytes before the gram, bytes from it on, members."""
+    if len(contexts) == 2:
+        l, r = map(common, *contexts)
+        if l + r >= LENGTH:
+            yield l, r, [0, 1]
+        return
     order = sorted(range(len(contexts)), key=lambda i: contexts[i][1])
     right = _neighbours([contexts[i][1] for i in order])
     lefts = [contexts[i][0] for i in order]
@@ -290,7 +297,7 @@ def _spans(whole: bool):
 
     def rows(asked: pa.Table) -> pa.Table:
         blocks = asked.column("block").to_pylist()
-        leaves: dict[bytes, dict[tuple[bytes, bytes], list]] = {}
+        leaves: dict[bytes, dict[tuple[int, bytes], list]] = {}
         for b, (owners, places, before, sizes, packed) in enumerate(
             zip(*(asked.column(n).to_pylist() for n in ("owners", "places", "before", "sizes", "bytes")))
         ):
@@ -300,9 +307,8 @@ def _spans(whole: bool):
                 *owned, _unplanes(places, np.uint32).tolist(), zlib.decompress(before), zlib.decompress(sizes)
             ):
                 start, end = end, end + size
-                context = text[start:end]
-                group = leaves.setdefault(context[left : left + GRAM], {})
-                group.setdefault((context[:left][::-1], context[left:]), []).append((doc_id, blocks[b], row, place))
+                group = leaves.setdefault(text[start + left : start + left + GRAM], {})
+                group.setdefault((left, text[start:end]), []).append((doc_id, blocks[b], row, place))
         out: dict[bytes, list] = defaultdict(list)
 
         def told(before: int, size: int, members: list, first: tuple | None, name: bytes):
@@ -312,21 +318,20 @@ def _spans(whole: bool):
 
         while leaves:
             _, group = leaves.popitem()
-            contexts = list(group)
-            for (left, right), members in group.items():
+            for (left, context), members in group.items():
                 members.sort()
-                if len(members) > 1 and len(left) + len(right) >= LENGTH:
-                    some = members if whole else members[1:]
-                    told(len(left), len(left) + len(right), some, members[0], left[::-1] + right)
-            if len(contexts) < 2:
+                if len(members) > 1 and len(context) >= LENGTH:
+                    told(left, len(context), members if whole else members[1:], members[0], context)
+            if len(group) < 2:
                 continue
-            firsts = [members[0] for members in group.values()]
+            contexts = [(context[:left][::-1], context[left:]) for left, context in group]
+            firsts, leaf = [members[0] for members in group.values()], list(group.values())
             reach = np.zeros((2, len(contexts)), np.int64)
             for before, after, some in maximal(contexts):
                 earliest = min(some, key=firsts.__getitem__)
                 if whole:
                     left, right = contexts[some[0]]
-                    members = [m for i in some for m in group[contexts[i]]]
+                    members = [m for i in some for m in leaf[i]]
                     told(before, before + after, members, firsts[earliest], left[:before][::-1] + right[:after])
                 else:
                     others = [i for i in some if i != earliest]

@@ -236,6 +236,6 @@ def test_lm_hard_rows(hard, table):
     assert len(got) == hard.count() and all(math.isfinite(r.score) and r.score <= 0 for r in got)
     assert {r.n_tokens for r in got if r.doc_id in (1, 2, 3)} == {1}
     assert lm.scored(table([])).count() == 0
-    # Nothing to train on: the uniform estimate is left.
+    # Nothing to train on: the uniform estimate has its third of every context but the unseen ones', there half.
     alone = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 10 == 0)
-    assert lm.scored(table([(alone, "a b")])).first().score == pytest.approx(0, abs=1e-3)
+    assert lm.scored(table([(alone, "a b")])).first().score == pytest.approx(3 * math.log10(0.5), abs=1e-3)
