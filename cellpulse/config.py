@@ -37,6 +37,7 @@ class GridConfig:
     detection_level: float = 3.0
     preventable_share: float = 0.15
     split_shares: tuple[float, float] = (0.70, 0.85)
-    recent_rows: int = 200_000
-    map_sample: int = 5_000
-    cluster_points: int = 500
+    # Rows of the recent, map and cluster views; None is all rows.
+    recent_rows: int | None = None
+    map_sample: int | None = None
+    cluster_points: int | None = None

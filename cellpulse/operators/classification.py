@@ -17,9 +17,12 @@ def counts(df: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()) -
     )
 
 
-def confusion(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """Every class against every class, absent pairs 0, in long form."""
+def confusion(df: DataFrame, actual: str, predicted: str, dense: bool = False) -> DataFrame:
+    """Counts of the pairs of classes that occur, in long form; `dense` adds the absent pairs with 0, for class
+    lists short enough for a square table."""
     found = counts(df, actual, predicted)
+    if not dense:
+        return found
     classes = found.agg(F.sort_array(F.array_union(F.collect_set("actual"), F.collect_set("predicted")))).scalar()
     pairs = (
         found.agg(F.count("*").alias("_n"))

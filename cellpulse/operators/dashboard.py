@@ -43,7 +43,7 @@ def _digest() -> Column:
 
 
 def map_layer(df: DataFrame, threshold: float = 5.0, sample: int | None = None, **filters) -> DataFrame:
-    """Marker position, size, label and alert flag, with the map centre on every row.
+    """Marker position, size, the figures of its label and alert flag, with the map centre on every row.
 
     More than `sample` rows are cut by the digest of their key, so the same rows are shown every time.
     """
@@ -51,16 +51,14 @@ def map_layer(df: DataFrame, threshold: float = 5.0, sample: int | None = None,
     if sample is not None:
         rows = rows.orderBy(_digest(), "cell_id").limit(sample)
     center = rows.agg(F.struct(F.avg("cell_center_lat").alias("lat"), F.avg("cell_center_lon").alias("lon"))).scalar()
-    label = F.format_string(
-        "Cell: %s<br>Predicted: %.2f<br>Actual: %.0f<br>Risk: %s", "cell_id", F.bround(P, 2), "target", "risk_level"
-    )
     return rows.withColumn("_center", center).select(
         "cell_id",
         "cell_center_lat",
         "cell_center_lon",
         P,
         (F.sqrt(P) * 5 + 3).alias("marker_size"),
-        label.alias("label"),
+        "target",
+        "risk_level",
         (F.col(P) >= threshold).alias("high_risk"),
         F.col("_center.lat").alias("map_center_lat"),
         F.col("_center.lon").alias("map_center_lon"),
@@ -116,11 +114,10 @@ def map_center(df: DataFrame) -> DataFrame:
     return df.agg(F.avg("lat").alias("center_lat"), F.avg("lon").alias("center_lon"))
 
 
-def cluster_points(df: DataFrame, key: str, n: int = 500) -> DataFrame:
-    """The first n points by key with their popup text."""
+def cluster_points(df: DataFrame, key: str, n: int | None = None) -> DataFrame:
+    """All points, or the first n by key, with their popup text."""
     return (
-        df.orderBy(key)
-        .limit(n)
+        (df if n is None else df.orderBy(key).limit(n))
         .select(key, "lat", "lon", F.concat(F.lit("Category: "), F.coalesce("category", F.lit("Unknown"))).alias("popup"))
     )
 

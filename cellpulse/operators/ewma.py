@@ -30,7 +30,10 @@ def ewma_features(
     steep, flat = min(decays.values()), max(decays.values())
     block = math.ceil(NEGLIGIBLE / -math.log(flat))
     if block * -math.log(steep) > LIFT_LIMIT:
-        raise ValueError("spans too far apart for one block length; call once per span")
+        # No block length suits both ends: the steeper half gets shorter blocks of its own.
+        ordered = sorted(decays, key=decays.get)
+        half = len(ordered) // 2
+        return ewma_features(ewma_features(df, ordered[:half], value, cell, order), ordered[half:], value, cell, order)
 
     in_cell = Window.partitionBy(cell).orderBy(order)
     in_block = (

@@ -10,8 +10,13 @@ from cellpulse.operators.ordered import quantiles
 
 
 def equal_width(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
-    """All `bins` ranges between minimum and maximum with their counts; the last range is closed."""
-    extent = df.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi"))).scalar()
+    """All `bins` ranges between minimum and maximum with their counts; the last range is closed.
+
+    A single value is widened by half a unit to each side; without values the ranges divide 0 to 1.
+    """
+    low, high = F.coalesce(F.min(column).cast("double"), F.lit(0.0)), F.coalesce(F.max(column).cast("double"), F.lit(1.0))
+    half = F.when(low == high, F.lit(0.5)).otherwise(F.lit(0.0))
+    extent = df.agg(F.struct((low - half).alias("lo"), (high + half).alias("hi"))).scalar()
     spread = F.col("_extent.hi") - F.col("_extent.lo")
     scaled = (F.col(column) - F.col("_extent.lo")) / F.when(spread > 0, spread).otherwise(F.lit(1.0))
     counts = (

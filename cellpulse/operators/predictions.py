@@ -37,14 +37,14 @@ def with_open_risk(df: DataFrame, config: GridConfig, predicted: str = "ultra_pr
     return df.withColumn("risk_level", scores.open_risk(F.col(predicted), config.open_risk_edges))
 
 
-def recent_rows(df: DataFrame, rows: int) -> DataFrame:
-    """The last `rows` rows in the order of (window, cell).
+def recent_rows(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """The last `rows` rows in the order of (window, cell); all rows without a number.
 
     The first of them is found from counts per window and per cell of one window; keeping what follows is
-    then a comparison that prunes the scan, instead of a sort that sends `rows` rows per task to one task.
+    then a comparison, instead of a sort that sends `rows` rows per task to one task.
     """
-    total = df.count()
-    if total <= rows:
+    total = 0 if rows is None else df.count()
+    if rows is None or total <= rows:
         return df
     return split_at(df, [total - rows], ("older", "recent"), ("time_window", "cell_id")).part(df, "recent")
 

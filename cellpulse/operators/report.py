@@ -206,9 +206,10 @@ def model_ranking(df: DataFrame, models: Sequence[str]) -> DataFrame:
 
     Each row is unfolded once per model and folded again before the shuffle.
     """
-    tall = df.select(
-        "target",
-        F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.col(m).cast("double").alias(P)) for m in models])).alias("m"),
+    mean = F.lit("mean").alias("model"), F.col("_mean").alias(P)
+    entries = [F.struct(F.lit(m).alias("model"), F.col(m).cast("double").alias(P)) for m in models]
+    tall = df.select("target", *models).withColumn("_mean", df.agg(F.avg("target")).scalar()).select(
+        "target", F.explode(F.array(*entries, F.struct(*mean))).alias("m")
     ).select("target", "m.*")
     figures = tall.groupBy("model").agg(*[c.alias(name) for name, c in error_metrics().items()])
     best = Window.orderBy("rmse", "model")

@@ -15,13 +15,16 @@ def cell_totals(gridded: DataFrame) -> DataFrame:
     return gridded.groupBy("grid_lat_idx", "grid_lon_idx").agg(F.count("*").alias("n"))
 
 
-def density_matrix(gridded: DataFrame) -> DataFrame:
-    """Every grid row that occurs with every grid column that occurs, empty cells 0, in long form.
+def density_matrix(gridded: DataFrame, dense: bool = False) -> DataFrame:
+    """Incidents of every cell that has any, in long form; `dense` adds the other cells of the same grid rows and
+    columns with 0.
 
     The list of columns is as long as the grid is wide and comes from the cell totals, not from
     incidents; each grid row unfolds it once.
     """
     totals = cell_totals(gridded)
+    if not dense:
+        return totals
     wide = totals.agg(F.sort_array(F.collect_set("grid_lon_idx"))).scalar()
     cells = totals.select("grid_lat_idx").distinct().withColumn("grid_lon_idx", F.explode(wide))
     return cells.join(totals, ["grid_lat_idx", "grid_lon_idx"], "left").select(

@@ -114,6 +114,9 @@ _prediction_query(
     "recent_rows",
     lambda df: predictions.recent_rows(df.select(*CELL_KEY, "target", "ultra_predicted"), CONFIG.recent_rows),
 )
+_prediction_query(
+    "recent_rows_100", lambda df: predictions.recent_rows(df.select(*CELL_KEY, "target", "ultra_predicted"), 100)
+)
 
 
 @query("sink_roundtrip")
@@ -147,9 +150,9 @@ def parse_ts(spark: SparkSession, folder: str) -> DataFrame:
 _cleaned_query("clean_incidents", lambda df: df)
 _incident_query("cleaning_counts", lambda df: clean.cleaning_counts(df, CONFIG))
 _incident_query("missing_profile", profile.missing_profile)
-_incident_query("column_profile", lambda df: profile.column_profile(df.select("event_id", "category", "district", "resolved")))
+_incident_query("column_profile", profile.column_profile)
 _incident_query("first_rows", lambda df: profile.first_rows(df, "event_id", 10))
-_cleaned_query(
+_incident_query(
     "detect_roles",
     lambda df: profile.detect_roles(
         df.select(
@@ -187,6 +190,7 @@ query("grid_time_panel")(lambda spark, folder: views.stages(spark, folder).build
 
 _gridded_query("cell_totals", summaries.cell_totals)
 _gridded_query("density_matrix", summaries.density_matrix)
+_gridded_query("density_matrix_dense", lambda df: summaries.density_matrix(df, dense=True))
 _gridded_query("density_tiers", lambda df: summaries.density_tiers(df))
 _gridded_query("top_cells", lambda df: summaries.top_cells(df))
 _cleaned_query("daily_counts", summaries.daily_counts)
@@ -293,6 +297,7 @@ _dashboard_query(
 _dashboard_query("dash_metrics", lambda df: dashboard.metrics(df, threshold=2.0))
 _dashboard_query("map_layer", lambda df: dashboard.map_layer(df, threshold=2.0))
 _dashboard_query("map_points", lambda df: dashboard.map_layer(df, sample=CONFIG.map_sample))
+_dashboard_query("map_points_10", lambda df: dashboard.map_layer(df, sample=10))
 _dashboard_query("dash_performance", dashboard.performance)
 _dashboard_query("dash_risk_counts", lambda df: dashboard.risk_counts(df, "2024-01-15 12:00:00"))
 _dashboard_query("dash_error_hist", dashboard.error_histogram)
@@ -302,6 +307,7 @@ _dashboard_query("dash_overview", dashboard.overview)
 _incident_query("heat_points", dashboard.heat_points)
 _incident_query("map_center", dashboard.map_center)
 _cleaned_query("cluster_points", lambda df: dashboard.cluster_points(df, "event_id", CONFIG.cluster_points))
+_cleaned_query("cluster_points_100", lambda df: dashboard.cluster_points(df, "event_id", 100))
 
 # --- report ------------------------------------------------------------------------------------------
 
@@ -369,6 +375,7 @@ def weighted_ensemble(spark: SparkSession, folder: str) -> DataFrame:
 
 _scored_query("class_metrics", lambda df: classification.class_metrics(df, "y_true", "y_pred"))
 _scored_query("confusion", lambda df: classification.confusion(df, "y_true", "y_pred"))
+_scored_query("confusion_dense", lambda df: classification.confusion(df, "y_true", "y_pred", dense=True))
 _scored_query("roc_curve", lambda df: classification.roc_points(df, "y_true", "score"))
 _scored_query("roc_hard_labels", lambda df: classification.roc_points(df, "y_true", "y_pred"))
 _scored_query("roc_auc", lambda df: classification.roc_auc(df, "y_true", "score"))

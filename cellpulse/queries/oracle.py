@@ -355,8 +355,8 @@ def _standard() -> str:
 
 
 RANKED = " union all ".join(
-    f"select '{m}' as model, {ERRORS.format(p=m)}, (1 - sqrt(avg((target - {m}) ** 2)) / stddev_pop(target)) * 100 as improvement_pct from base"
-    for m in ROLLING
+    f"select '{m}' as model, {ERRORS.format(p=p)}, (1 - sqrt(avg((target - {p}) ** 2)) / stddev_pop(target)) * 100 as improvement_pct from (select *, avg(target) over () as all_mean from base)"
+    for m, p in [*((m, m) for m in ROLLING), ("mean", "all_mean")]
 )
 
 SHARES = [i / 100 for i in range(1, 100)]
@@ -379,7 +379,8 @@ QUERIES: dict[str, tuple[str, str, str | list[str]]] = {
     "scan_csv": ("incidents", "select event_id, date_trunc('second', ts) as ts, category, lat, lon, district as District from incidents", "lat lon"),
     "project_optional": ("incidents", "select event_id, ts, lat, lon, category, district as District from incidents", "lat lon"),
     "load_predictions": ("open", f"select {KEY}, target, ultra_predicted, ultra_error, risk_level from open", "target ultra_predicted ultra_error"),
-    "recent_rows": ("preds", f"select {KEY}, target, ultra_predicted from preds order by time_window desc, cell_id desc limit 200000", "target ultra_predicted"),
+    "recent_rows": ("preds", f"select {KEY}, target, ultra_predicted from preds", "target ultra_predicted"),
+    "recent_rows_100": ("preds", f"select {KEY}, target, ultra_predicted from preds order by time_window desc, cell_id desc limit 100", "target ultra_predicted"),
     "sink_roundtrip": ("panel", "select *, strftime(time_window, '%Y-%m') as window_month from panel", "cell_center_lat cell_center_lon hour"),
     "parse_ts": (
         "ev",
@@ -410,16 +411,18 @@ QUERIES: dict[str, tuple[str, str, str | list[str]]] = {
         "incidents",
         " union all ".join(
             f"select {i} as position, '{c}' as \"column\", '{t}' as type, substr(coalesce(cast(min({c}) as varchar), 'N/A'), 1, 30) as sample from incidents"
-            for i, (c, t) in enumerate((("event_id", "bigint"), ("category", "string"), ("district", "int"), ("resolved", "int")), 1)
+            for i, (c, t) in enumerate(
+                (("event_id", "bigint"), ("ts", "timestamp_ntz"), ("category", "string"), ("lat", "double"), ("lon", "double"),
+                 ("district", "int"), ("resolved", "int")), 1)
         ),
         "",
     ),
     "first_rows": ("incidents", "select * from incidents order by event_id limit 10", "lat lon"),
     "detect_roles": (
-        "clean",
+        "incidents",
         """select 'date' as role, 'Date' as "column" union all
- select 'latitude', case when avg(district) between 41 and 42 then 'Plate Number' when avg(lat) between 41 and 42 then 'Latitude' end from clean union all
- select 'longitude', case when avg(lon) between -88 and -87 then 'Longitude' end from clean union all
+ select 'latitude', case when avg(district) between 41 and 42 then 'Plate Number' when avg(lat) between 41 and 42 then 'Latitude' end from incidents union all
+ select 'longitude', case when avg(lon) between -88 and -87 then 'Longitude' end from incidents union all
  select 'category', 'Primary Type'""",
         "",
     ),
@@ -499,7 +502,8 @@ QUERIES: dict[str, tuple[str, str, str | list[str]]] = {
     ),
     "grid_time_panel": ("panel", "select * from panel", "cell_center_lat cell_center_lon hour"),
     "cell_totals": ("gridded", "select grid_lat_idx, grid_lon_idx, count(*) as n from gridded group by 1, 2", ""),
-    "density_matrix": (
+    "density_matrix": ("gridded", "select grid_lat_idx, grid_lon_idx, count(*) as n from gridded group by 1, 2", ""),
+    "density_matrix_dense": (
         "gridded",
         """select a.grid_lat_idx, b.grid_lon_idx, count(g.event_id) as n from (select distinct grid_lat_idx from gridded) a
  cross join (select distinct grid_lon_idx from gridded) b
@@ -639,17 +643,26 @@ QUERIES: dict[str, tuple[str, str, str | list[str]]] = {
     "map_layer": (
         "latest",
         """select cell_id, cell_center_lat, cell_center_lon, ultra_predicted, sqrt(ultra_predicted) * 5 + 3 as marker_size,
- printf('Cell: %s<br>Predicted: %.2f<br>Actual: %.0f<br>Risk: %s', cell_id, ultra_predicted, target, risk_level) as label,
+ target, risk_level,
  ultra_predicted >= 2 as high_risk, avg(cell_center_lat) over () as map_center_lat,
  avg(cell_center_lon) over () as map_center_lon from latest where ultra_predicted >= 0""",
         "cell_center_lat cell_center_lon ultra_predicted marker_size map_center_lat map_center_lon",
     ),
     "map_points": (
+        "latest",
+        """with shown as (select * from latest where ultra_predicted >= 0)
+ select cell_id, cell_center_lat, cell_center_lon, ultra_predicted, sqrt(ultra_predicted) * 5 + 3 as marker_size,
+ target, risk_level,
+ ultra_predicted >= 5 as high_risk, avg(cell_center_lat) over () as map_center_lat,
+ avg(cell_center_lon) over () as map_center_lon from shown""",
+        "cell_center_lat cell_center_lon ultra_predicted marker_size map_center_lat map_center_lon",
+    ),
+    "map_points_10": (
         "latest",
         """with shown as (select * from latest where ultra_predicted >= 0
-  order by md5(cell_id || ':' || strftime(time_window, '%Y-%m-%d %H:%M:%S')), cell_id limit 5000)
+  order by md5(cell_id || ':' || strftime(time_window, '%Y-%m-%d %H:%M:%S')), cell_id limit 10)
  select cell_id, cell_center_lat, cell_center_lon, ultra_predicted, sqrt(ultra_predicted) * 5 + 3 as marker_size,
- printf('Cell: %s<br>Predicted: %.2f<br>Actual: %.0f<br>Risk: %s', cell_id, ultra_predicted, target, risk_level) as label,
+ target, risk_level,
  ultra_predicted >= 5 as high_risk, avg(cell_center_lat) over () as map_center_lat,
  avg(cell_center_lon) over () as map_center_lon from shown""",
         "cell_center_lat cell_center_lon ultra_predicted marker_size map_center_lat map_center_lon",
@@ -681,7 +694,8 @@ QUERIES: dict[str, tuple[str, str, str | list[str]]] = {
     ),
     "heat_points": ("incidents", "select lat, lon from incidents where lat is not null and lon is not null", "lat lon"),
     "map_center": ("incidents", "select avg(lat) as center_lat, avg(lon) as center_lon from incidents", "center_lat center_lon"),
-    "cluster_points": ("clean", "select event_id, lat, lon, 'Category: ' || category as popup from clean order by event_id limit 500", "lat lon"),
+    "cluster_points": ("clean", "select event_id, lat, lon, 'Category: ' || category as popup from clean", "lat lon"),
+    "cluster_points_100": ("clean", "select event_id, lat, lon, 'Category: ' || category as popup from clean order by event_id limit 100", "lat lon"),
     "report_dataset": (
         "preds",
         """select count(*) as total_predictions, count(distinct cell_id) as unique_locations,
@@ -792,7 +806,8 @@ QUERIES: dict[str, tuple[str, str, str | list[str]]] = {
         f"with c as ({CONFUSED.format(by='', source='(select y_true, y_pred as guess from scored)')}) select {WEIGHTED} from c",
         "accuracy precision recall f1",
     ),
-    "confusion": (
+    "confusion": ("scored", "select y_true as actual, y_pred as predicted, count(*) as n from scored group by 1, 2", ""),
+    "confusion_dense": (
         "scored",
         """select a.y as actual, b.y as predicted, count(s.event_id) as n from (select unnest([0, 1]) as y) a
  cross join (select unnest([0, 1]) as y) b left join scored s on s.y_true = a.y and s.y_pred = b.y group by 1, 2""",

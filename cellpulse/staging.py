@@ -7,6 +7,7 @@ and filter pushdown.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,15 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names; a temporary one only for an unset local session."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The folder that `spark.checkpoint.dir` names, or the context's checkpoint folder.
+
+    Only a session whose driver and executors are one process may have neither; it gets a temporary folder as
+    its checkpoint folder. Any other session without one is an error.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="cellpulse-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="cellpulse-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -59,9 +59,12 @@ def test_ewma_long_span(spark):
     np.testing.assert_allclose(made["ewma_60"], expected, rtol=1e-12)
 
 
-def test_ewma_refuses_incompatible_spans(spark):
-    with pytest.raises(ValueError):
-        ewma.ewma_features(to_spark(spark, panel_rows({"0_0": [1]})), [2, 500])
+def test_ewma_of_spans_far_apart(spark):
+    frame = panel_rows({"0_0": [3, 1, 4, 1, 5, 9, 2, 6] * 30})
+    made = sorted_pandas(ewma.ewma_features(to_spark(spark, frame), [2, 30, 500]), *KEYS)
+    for span in (2, 30, 500):
+        expected = frame.incident_count.ewm(span=span, adjust=False).mean().shift(1).fillna(0)
+        np.testing.assert_allclose(made[f"ewma_{span}"], expected, rtol=1e-12)
 
 
 def test_rank_share_averages_ties(spark):

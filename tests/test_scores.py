@@ -138,7 +138,7 @@ def test_class_metrics_with_an_unpredicted_class(spark):
     assert made.precision == pytest.approx((2 * 2 / 4 + 0 + 2 * 1.0) / 5)
     assert made.recall == pytest.approx((2 * 1.0 + 0 + 2 * 0.5) / 5)
     assert made.f1 == pytest.approx((2 * (4 / 6) + 0 + 2 * (2 / 3)) / 5)
-    dense = {(r.actual, r.predicted): r.n for r in classification.confusion(df, "y", "p").collect()}
+    dense = {(r.actual, r.predicted): r.n for r in classification.confusion(df, "y", "p", dense=True).collect()}
     assert len(dense) == 9 and dense[0, 1] == 0 and dense[2, 0] == 1
 
 
@@ -200,7 +200,7 @@ def test_density_pivot_equals_long_form(spark):
     df = spark.createDataFrame([(0, 0), (0, 0), (0, 2), (3, 2)], "grid_lat_idx int, grid_lon_idx int")
     wide = {r.grid_lat_idx: (r["0"], r["2"]) for r in summaries.density_pivot(df, [0, 2]).collect()}
     assert wide == {0: (2, 1), 3: (0, 1)}
-    long = {(r.grid_lat_idx, r.grid_lon_idx): r.n for r in summaries.density_matrix(df).collect()}
+    long = {(r.grid_lat_idx, r.grid_lon_idx): r.n for r in summaries.density_matrix(df, dense=True).collect()}
     assert long == {(0, 0): 2, (0, 2): 1, (3, 0): 0, (3, 2): 1}
 
 
