@@ -11,31 +11,30 @@ FREQUENT = 100
 
 
 def spread_lookup(
-    df: DataFrame, values: DataFrame, key: str, rows: str, spread_by: Sequence[str], salts: int = 16
+    df: DataFrame, values: DataFrame, key: str, rows: str, spread_by: Sequence[str], frequent: int = FREQUENT
 ) -> DataFrame:
-    """Left join of `values` (unique by `key`) with the frequent keys spread over `salts` tasks each.
+    """Left join of `values` (unique by `key`) that looks frequent keys up in place.
 
-    `values` carries in `rows` how many rows of `df` have the key. Its most frequent keys, at most
-    `FREQUENT`, are read as an array; their rows get a salt from the hash of `spread_by` and their values are
-    copied once per salt. All other keys are joined as they are. No hint is given: run-time sizes decide
+    `values` carries in `rows` how many rows of `df` have the key. The `frequent` keys with most rows are read
+    with their values as a map, so their rows need no partner in the join; these rows, and those without a key,
+    are dealt out by the hash of `spread_by` instead of by the key. No hint is given: run-time sizes decide
     whether the lookup is broadcast.
     """
     added = [c for c in values.columns if c not in (key, rows)]
     # Both readers of `counted` need all of its columns, which lets them share one exchange.
     counted = values.where(F.col(rows) > 0)
-    frequent = counted.orderBy(F.desc(rows), key, *added).limit(FREQUENT).agg(F.collect_list(key)).scalar()
-    is_frequent = F.coalesce(F.array_contains("_frequent", F.col(key)), F.lit(False))
-    salted = (
-        df.withColumn("_frequent", frequent)
-        .withColumn(
-            "_salt", F.when(is_frequent, F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")).otherwise(F.lit(0))
-        )
-        .drop("_frequent")
+    entry = F.struct(F.col(key).alias("key"), F.struct(*added).alias("value"))
+    known = counted.orderBy(F.desc(rows), key, *added).limit(frequent).agg(F.map_from_entries(F.collect_list(entry))).scalar()
+    alone = F.col("_here").isNotNull() | F.col(key).isNull()
+    placed = df.withColumn("_map", known).withColumn("_here", F.try_element_at("_map", F.col(key))).withColumns(
+        {
+            "_key": F.when(~alone, F.col(key)),
+            "_deal": F.when(alone, F.xxhash64(*spread_by)).otherwise(F.lit(0).cast("long")),
+        }
     )
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    copied = (
-        counted.withColumn("_frequent", frequent)
-        .withColumn("_salt", F.explode(F.when(is_frequent, every).otherwise(F.array(F.lit(0)))))
-        .drop("_frequent", rows)
+    others = counted.select(
+        F.col(key).alias("_key"), F.lit(0).cast("long").alias("_deal"), F.struct(*added).alias("_there")
+    )
+    return placed.drop("_map").join(others, ["_key", "_deal"], "left").select(
+        *df.columns, *[F.coalesce(F.col("_here")[c], F.col("_there")[c]).alias(c) for c in added]
     )
-    return salted.join(copied, [key, "_salt"], "left").select(*df.columns, *added)

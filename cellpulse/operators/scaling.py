@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cellpulse.operators.lookup import spread_lookup
 from cellpulse.operators.ordered import quantiles, running_totals
+from cellpulse.staging import written
 
 # Ten times the spacing of doubles at 1.
 CONSTANT = 10 * sys.float_info.epsilon
@@ -70,9 +71,19 @@ def label_codes(df: DataFrame, column: str) -> DataFrame:
     return numbered.select("value", "rows", (F.col("one_upto") - 1).cast("int").alias("code"))
 
 
-def label_encode(df: DataFrame, column: str, name: str | None = None, salts: int = 16) -> DataFrame:
-    """Adds the code of a text column; the rows of a frequent text are spread over join tasks."""
-    codes = label_codes(df, column).withColumnsRenamed({"value": "_text", "rows": "_rows", "code": "_code"})
-    keyed = df.withColumn("_text", F.col(column).cast("string"))
-    found = spread_lookup(keyed, codes, "_text", "_rows", df.columns, salts)
-    return found.select(*df.columns, F.col("_code").alias(name or f"{column}_code"))
+def label_encode(df: DataFrame, *columns: str, names: Sequence[str] = ()) -> DataFrame:
+    """Adds the codes of text columns, `<column>_code` unless named.
+
+    The code tables are built from `df` as it is and written once, so encoding another column repeats no work
+    of the first; a frequent text is looked up in place.
+    """
+    tables = [written(label_codes(df, c), "label-codes") for c in columns]
+    coded = df
+    for n, (column, codes) in enumerate(zip(columns, tables)):
+        name = names[n] if n < len(names) else f"{column}_code"
+        codes = codes.withColumnsRenamed({"value": "_text", "rows": "_rows", "code": "_code"})
+        before = coded.columns
+        keyed = coded.withColumn("_text", F.col(column).cast("string"))
+        found = spread_lookup(keyed, codes, "_text", "_rows", df.columns)
+        coded = found.select(*before, F.col("_code").alias(name))
+    return coded

@@ -356,7 +356,7 @@ def standard_scale(spark: SparkSession, folder: str) -> DataFrame:
 @query("label_encode")
 def label_encode(spark: SparkSession, folder: str) -> DataFrame:
     table = views.stages(spark, folder).gridded.select("event_id", "category", "cell_id")
-    coded = scaling.label_encode(scaling.label_encode(table, "category"), "cell_id")
+    coded = scaling.label_encode(table, "category", "cell_id")
     return coded.select("event_id", "category_code", "cell_id_code")
 
 

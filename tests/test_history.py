@@ -96,9 +96,9 @@ def test_advanced_matrix_contains_base(spark):
     pd.testing.assert_frame_equal(sorted_pandas(base, *KEYS), sorted_pandas(wide, *KEYS))
 
 
-def test_slot_lookup_is_the_same_for_any_number_of_salts(spark):
+def test_slot_lookup_is_the_same_with_and_without_frequent_hours(spark):
     df = to_spark(spark, random_panel(11))
-    one, many = (sorted_pandas(slots.slot_features(df, salts=n), *KEYS) for n in (1, 16))
+    one, many = (sorted_pandas(slots.slot_features(df, frequent=n), *KEYS) for n in (1, 100))
     pd.testing.assert_frame_equal(one, many)
     expected = df.toPandas().groupby("hour")["incident_count"].mean()
     np.testing.assert_allclose(one["hour_avg_incidents"], one["hour"].map(expected))
@@ -123,7 +123,7 @@ def test_spread_lookup_with_a_key_that_holds_most_rows(spark):
     frame = pd.DataFrame({"id": range(3000), "k": [0 if i % 3 else i % 700 for i in range(3000)]})
     df = spark.createDataFrame(frame).withColumn("k", F.when(F.col("id") != 5, F.col("k")))
     values = df.where("k is not null").groupBy("k").agg(F.sum("id").alias("total"), F.count("*").alias("_rows"))
-    made = lookup.spread_lookup(df, values, "k", "_rows", ["id"], salts=4)
+    made = lookup.spread_lookup(df, values, "k", "_rows", ["id"], frequent=4)
     assert made.columns == ["id", "k", "total"]
     frame.loc[5, "k"] = None
     expected = frame["k"].map(frame.groupby("k")["id"].sum())

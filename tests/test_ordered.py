@@ -118,3 +118,13 @@ def test_error_by_prediction_equals_pandas(spark):
     made = histograms.error_by_prediction(spark.createDataFrame(frame[["p", "e"]]), "p", "e").orderBy("bin").toPandas()
     assert list(made.n) == list(expected["size"])
     np.testing.assert_allclose(made[["mean_error", "std_error"]], expected[["mean", "std"]])
+
+
+def test_label_encode_reads_its_input_once_per_use(spark):
+    """Two encoded columns: one scan of the input, one of each written code table and its frequent part."""
+    df = spark.range(500).select("id", F.concat(F.lit("a"), F.col("id") % 7).alias("x"), F.concat(F.lit("b"), F.col("id") % 3).alias("y"))
+    coded = scaling.label_encode(df, "x", "y")
+    plan = coded._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (0, 500") == 1
+    rows = coded.collect()
+    assert all((r.x_code, r.y_code) == (r.id % 7, r.id % 3) for r in rows) and len(rows) == 500
