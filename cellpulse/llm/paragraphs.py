@@ -98,8 +98,9 @@ class _Words:
     def __call__(self, text: bytes) -> np.ndarray:
         memo = self.memo
         words = text.lower().split()
-        for w in set(words) - memo.keys():
-            memo[w] = xxhash.xxh3_64_intdigest(w)
+        for w in set(words):
+            if w not in memo:
+                memo[w] = xxhash.xxh3_64_intdigest(w)
         return np.fromiter((memo[w] for w in words), np.uint64, len(words))
 
 
