@@ -16,7 +16,6 @@ reduced to one before they are compared. The input is read several times and mus
 from __future__ import annotations
 
 import math
-import re
 import zlib
 
 import numpy as np
@@ -34,7 +33,8 @@ SHINGLES = WORDS - SHINGLE + 1
 SIMILARITY, RECALL = 0.8, 0.99
 PLACE_BITS = 24
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_WHITE = np.zeros(256, bool)
+_WHITE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def bands(similarity: float = SIMILARITY, recall: float = RECALL) -> int:
@@ -89,19 +89,26 @@ def paragraphs(found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return starts, np.array(keys), np.array(at)
 
 
-class _Words:
+class _Words(dict):
     """Hashes of words, remembered within a block."""
 
-    def __init__(self):
-        self.memo: dict[bytes, int] = {}
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
 
     def __call__(self, text: bytes) -> np.ndarray:
-        memo = self.memo
         words = text.lower().split()
-        for w in set(words):
-            if w not in memo:
-                memo[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter((memo[w] for w in words), np.uint64, len(words))
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First character and character after the last one of every word of a UTF-8 text."""
+    data = np.frombuffer(text, np.uint8)
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = ~_WHITE[data]
+    first, last = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:])
+    characters = np.cumsum((data & 0xC0) != 0x80)
+    return characters[first] - 1, characters[last - 1]
 
 
 def _block_bands(ids: list, texts: list[bytes]):
@@ -114,8 +121,8 @@ def _block_bands(ids: list, texts: list[bytes]):
         if doc_id is None or (doc_id, text) in once or not k.size:
             continue
         once.add((doc_id, text))
-        # Overlapping paragraphs have one shingle in common; it counts once.
-        keys.append(np.unique(np.stack([k.ravel(), at.ravel().astype(np.uint64)]), axis=1)[0])
+        # Neighbouring paragraphs can have one shingle in common; its place counts once.
+        keys += [row[np.concatenate([[True], place[1:] != place[:-1]])] for row, place in zip(k, at)]
     distinct, n = np.unique(np.concatenate(keys), return_counts=True)
     return distinct, n > 1, found
 
@@ -160,15 +167,14 @@ def _units(parts: int, id_type: pa.DataType):
                 chosen = np.flatnonzero(shared.any(axis=0)).tolist()
                 if not chosen:
                     continue
-                told = text.decode()
-                places = [m.span() for m in WORD.finditer(told)]
+                said, (begins, ends) = text.lower().split(), word_places(text)
                 version = xxhash.xxh3_64_intdigest(text) - (1 << 63)
                 for n in chosen:
                     first = int(starts[n])
-                    a, b = places[first][0], places[first + WORDS - 1][1]
-                    words = " ".join(told[a:b].encode().lower().decode().split())
+                    a, b = int(begins[first]), int(ends[first + WORDS - 1])
+                    words = b" ".join(said[first : first + WORDS])
                     out.append((
-                        doc_id, version, a, b, xxhash.xxh3_64_intdigest(words) - (1 << 63), words,
+                        doc_id, version, a, b, xxhash.xxh3_64_intdigest(words) - (1 << 63), words.decode(),
                         k[shared[:, n], n].view(np.int64).tolist(),
                     ))
         return pa.Table.from_batches([_batch(names, out, types)])
