@@ -24,6 +24,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cellpulse.operators.split import contiguous_folds
+from cellpulse.staging import shared_folder
 
 
 @dataclass(frozen=True)
@@ -72,6 +73,9 @@ def rare_event_weight(label: str = "target"):
 
 
 def fit(learner: Estimator, train: DataFrame, features: Sequence[str]) -> PipelineModel:
+    context = train.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:  # boosting cuts its lineage there every few rounds
+        context.setCheckpointDir(shared_folder(train.sparkSession))
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     return Pipeline(stages=[assembler, learner]).fit(train)
 
@@ -115,7 +119,7 @@ def rmse(df: DataFrame, predicted: str, label: str = "target") -> float:
 
 
 def draw_trials(base: BoostParams, trials: int, seed: int = 42) -> list[BoostParams]:
-    """Seeded random settings: depth 6-12, rate 0.01-0.1 on a log scale, both shares 0.6-0.95, leaf 1-7."""
+    """Seeded random settings. Depth 6-12, rate 0.01-0.1 on a log scale, both shares 0.6-0.95, leaf 1-7."""
     chance = random.Random(seed)
     return [
         replace(

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import asdict
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cellpulse.functions import parsing, scores
@@ -283,7 +285,7 @@ _prediction_query(
 )
 _incident_query(
     "random_split",
-    lambda df: df.withColumn("split", split.hashed_split(df, "event_id")).groupBy("split").agg(F.count("*").alias("n")),
+    lambda df: df.select("event_id", split.hashed_split(df, "event_id").alias("split")),
 )
 
 # --- dashboard ---------------------------------------------------------------------------------------
@@ -400,15 +402,27 @@ class _Training:
         table = views.stages(spark, folder).features
         names = features.feature_columns(table)
         self.split = split.time_split(table, CONFIG.split_shares)
-        scaler = scaling.fit_robust(self.split.part(table, "train"), names)
+        self.features = table
+        self.scaler = scaling.fit_robust(self.split.part(table, "train"), names)
         self.inputs = [f"{name}_scaled" for name in names]
-        self.table = scaler.apply(table, "_scaled")
+        self.table = self.scaler.apply(table, "_scaled")
         self.parts = {name: self.split.part(self.table, name) for name in self.split.names}
         self.learners = models.regressors(SMALL_FOREST, SMALL_BOOST, SMALL_LEAFWISE)
-
-    def fit(self, *names: str):
-        chosen = {name: self.learners[name] for name in names or self.learners}
-        return models.fit_all(chosen, models.with_weight(self.parts["train"]), self.inputs)
+        self.fitted: dict[str, PipelineModel] = {}
+
+    def fit(self, *names: str) -> dict[str, PipelineModel]:
+        """The named regressors, or all; each is fitted once."""
+        wanted = names or tuple(self.learners)
+        missing = {name: self.learners[name] for name in wanted if name not in self.fitted}
+        if missing:
+            self.fitted |= models.fit_all(missing, models.with_weight(self.parts["train"]), self.inputs)
+        return {name: self.fitted[name] for name in wanted}
+
+    def weights(self) -> dict[str, float]:
+        """The best weighting of all regressors on the validation rows."""
+        fitted = self.fit()
+        best = ensemble.best_weights(models.score(fitted, self.parts["val"]), list(fitted)).first()
+        return {name: best[f"w{i}"] for i, name in enumerate(fitted)}
 
     def scored(self, *names: str) -> DataFrame:
         return models.score(self.fit(*names), self.parts["test"]).select(*CELL_KEY, "target", *names)
@@ -452,18 +466,17 @@ def ranked_models(spark: SparkSession, folder: str) -> DataFrame:
     training = _training(spark, folder)
     fitted = training.fit()
     names = list(fitted)
-    best = ensemble.best_weights(models.score(fitted, training.parts["val"]), names).first()
-    weights = [best[f"w{i}"] for i in range(len(names))]
-    tested = ensemble.mix(models.score(fitted, training.parts["test"]), names, weights, "ensemble")
+    weights = training.weights()
+    tested = ensemble.mix(models.score(fitted, training.parts["test"]), names, [weights[n] for n in names], "ensemble")
     return report.model_ranking(tested, [*names, "ensemble"])
 
 
 @query("feature_importance")
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
+    """Importances of all regressors under their best weighting."""
     training = _training(spark, folder)
-    fitted = training.fit("forest", "boosted")
     names = [name.removesuffix("_scaled") for name in training.inputs]
-    importance = models.importance(fitted, names, {"forest": 0.5, "boosted": 0.5})
+    importance = models.importance(training.fit(), names, training.weights())
     return dashboard.top_importance(importance, 20)
 
 
@@ -477,9 +490,16 @@ def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("score")
 def score(spark: SparkSession, folder: str) -> DataFrame:
-    """Model predictions of every row as a predictions table; no row moves."""
+    """Predictions of every row from stored artefacts: scaler, order of the inputs and model are saved, loaded
+    and applied; no row moves."""
     training = _training(spark, folder)
-    scored = models.score(training.fit("boosted"), training.table)
+    path = new_path(spark, "artefacts")
+    models.save_model(training.fit("boosted")["boosted"], f"{path}/model")
+    models.save_settings(spark, {**asdict(training.scaler), "inputs": training.inputs}, f"{path}/settings")
+    stored = models.load_settings(spark, f"{path}/settings")
+    scaler = scaling.Scaler(tuple(stored["columns"]), tuple(stored["centers"]), tuple(stored["scales"]))
+    aligned = scaler.apply(training.features, "_scaled").select(*training.features.columns, *stored["inputs"])
+    scored = models.score({"boosted": models.load_model(f"{path}/model")}, aligned)
     return predictions.predictions(scored, F.col("boosted"), CONFIG)
 
 

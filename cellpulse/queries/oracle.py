@@ -622,8 +622,8 @@ QUERIES: dict[str, tuple[str, str, str | list[str]]] = {
     "test_metrics": ("parts", f"select count(*) as n, {ERRORS.format(p='ultra_predicted')} {TEST}", "rmse mae r2 mape"),
     "random_split": (
         "incidents",
-        """select case when substr(md5('42:' || event_id), 1, 8) < '33333333' then 'test' else 'train' end as split,
- count(*) as n from incidents group by 1""",
+        """select event_id, case when substr(md5('42:' || event_id), 1, 8) < '33333333' then 'test' else 'train' end as split
+ from incidents""",
         "",
     ),
     "dash_filter": (
