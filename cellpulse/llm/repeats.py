@@ -9,8 +9,8 @@ split by the same scan over their preceding bytes, and a class is a maximal repe
 right extensions differ. Repeats that reach past a context are found as overlapping pieces, one per anchor.
 
 How it travels: consecutive documents form a block. Blocks send their grams, then the contexts of repeated
-grams, packed by range of the gram's hash; ranges answer each block with what concerns its documents. Copies
-within a block travel once. The input is read several times and must be a stored table.
+grams, packed by range of the gram's hash; ranges answer each block with what concerns its documents. The input is
+read several times and must be a stored table.
 """
 
 from __future__ import annotations
@@ -141,6 +141,47 @@ def maximal(contexts: list[tuple[bytes, bytes]]) -> Iterator[tuple[int, int, lis
                 yield l, r, [order[i] for i in ranks]
 
 
+def reach(contexts: list[tuple[bytes, bytes]], ages: list) -> np.ndarray:
+    """Bytes before the gram, and from it on, that repeats with a context of smaller age cover of each context.
+
+    What all repeats of a context with an older one cover is one stretch, since all of them hold the gram; its two
+    ends are maxima over the classes of the trees, so classes need not be told one by one.
+    """
+    found = np.zeros((2, len(contexts)), np.int64)
+    if len(contexts) < 16:
+        for before, after, some in maximal(contexts):
+            oldest = min(some, key=ages.__getitem__)
+            others = [i for i in some if i != oldest]
+            found[:, others] = np.maximum(found[:, others], [[before], [after]])
+        return found
+    order = np.array(sorted(range(len(contexts)), key=lambda i: contexts[i][1]))
+    right = _neighbours([contexts[i][1] for i in order])
+    lefts = [contexts[i][0] for i in order]
+    place = np.empty(len(order), np.int64)
+    place[sorted(range(len(order)), key=lefts.__getitem__)] = np.arange(len(order))
+    age = np.empty(len(order), np.int64)
+    age[sorted(range(len(order)), key=lambda n: ages[order[n]])] = np.arange(len(order))
+    sizes = np.array([len(t) for t in lefts])
+    wide = np.zeros((len(order), SIDE + 1), np.uint8)
+    wide[np.arange(SIDE + 1) < sizes[:, None]] = np.frombuffer(b"".join(lefts), np.uint8)
+    most = np.zeros((2, len(order)), np.int64)
+    for first, last, r in intervals(right, GRAM):
+        members = first + np.argsort(place[first : last + 1])
+        differ = wide[members[1:]] != wide[members[:-1]]
+        differ[:, SIDE] = True
+        left = np.minimum(differ.argmax(axis=1), np.minimum(sizes[members[1:]], sizes[members[:-1]]))
+        if left.max() + r < LENGTH:
+            continue
+        for a, b, l in intervals([0, *left.tolist()], max(0, LENGTH - r)):
+            ranks = members[a : b + 1]
+            oldest = ranks[age[ranks].argmin()]
+            kept = most[:, oldest].copy()
+            most[:, ranks] = np.maximum(most[:, ranks], [[l], [r]])
+            most[:, oldest] = kept
+    found[:, order] = most
+    return found
+
+
 class Block:
     """Consecutive documents; each keeps its id and bytes."""
 
@@ -326,18 +367,15 @@ def _spans(whole: bool):
                 continue
             contexts = [(context[:left][::-1], context[left:]) for left, context in group]
             firsts, leaf = [members[0] for members in group.values()], list(group.values())
-            reach = np.zeros((2, len(contexts)), np.int64)
-            for before, after, some in maximal(contexts):
-                earliest = min(some, key=firsts.__getitem__)
-                if whole:
+            if whole:
+                for before, after, some in maximal(contexts):
                     left, right = contexts[some[0]]
                     members = [m for i in some for m in leaf[i]]
-                    told(before, before + after, members, firsts[earliest], left[:before][::-1] + right[:after])
-                else:
-                    others = [i for i in some if i != earliest]
-                    reach[:, others] = np.maximum(reach[:, others], [[before], [after]])
-            for i in np.flatnonzero(reach[1]).tolist():
-                told(int(reach[0, i]), int(reach[0, i] + reach[1, i]), [firsts[i]], None, b"")
+                    told(before, before + after, members, min(firsts[i] for i in some), left[:before][::-1] + right[:after])
+            else:
+                most = reach(contexts, firsts)
+                for i in np.flatnonzero(most[1]).tolist():
+                    told(int(most[0, i]), int(most[:, i].sum()), [firsts[i]], None, b"")
         packs = []
         for block, found in out.items():
             row, start, size, first, group = zip(*found)

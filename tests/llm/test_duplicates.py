@@ -168,6 +168,29 @@ def test_maximal_repeats_by_definition():
         assert got == want
 
 
+def test_reach_of_large_groups():
+    """Variants of one text with a letter or two changed, above and below the size that is handled by arrays."""
+    chance = random.Random(12)
+    for n in (5, 15, 16, 40, 120):
+        text = bytes(chance.choices(b"abcd", k=repeats.SIDE)) + b"g" * repeats.GRAM + bytes(chance.choices(b"abcd", k=repeats.SIDE))
+        some = set()
+        while len(some) < n:
+            new = bytearray(text)
+            for _ in range(chance.randint(1, 2)):
+                at = chance.choice([*range(repeats.SIDE), *range(repeats.LENGTH, len(text))])
+                new[at] = chance.choice(b"wxyz")
+            begin, end = chance.choice([0, 0, 0, 30]), len(text) - chance.choice([0, 0, 0, 25])
+            some.add((bytes(new[begin : repeats.SIDE][::-1]), bytes(new[repeats.SIDE : end])))
+        contexts, ages = list(some), chance.sample(range(1000), n)
+        want = np.zeros((2, n), int)
+        for i in range(n):
+            for j in range(n):
+                l, r = repeats.common(contexts[i][0], contexts[j][0]), repeats.common(contexts[i][1], contexts[j][1])
+                if ages[j] < ages[i] and l + r >= repeats.LENGTH:
+                    want[:, i] = np.maximum(want[:, i], [l, r])
+        assert np.array_equal(repeats.reach(contexts, ages), want)
+
+
 def test_repeats_hard_rows(hard, table):
     got = repeats.Repeats(hard).removed().collect()
     assert len(got) == hard.count()
