@@ -22,8 +22,8 @@ HEADLINE = [
     "grid_time_panel", "clean_incidents", "assign_cells", "time_windows", "calendar_hist", "corr_matrix",
     "density_matrix", "feat_lags", "feat_neighbors", "feat_ewma", "feat_slot_avgs", "feature_matrix", "feat_advanced",
     "predictions", "time_split", "error_by_decile", "report_accuracy", "report_concentration", "cell_risk",
-    "temporal_trends", "dash_filter", "dash_metrics", "hotspots", "robust_scale", "ensemble_weights", "model_ranking",
-    "roc_curve", "model_comparison", "fairness_report", "train_gbt",
+    "temporal_trends", "label_encode", "dash_filter", "dash_metrics", "hotspots", "robust_scale", "ensemble_weights", "model_ranking",
+    "roc_curve", "model_comparison", "fairness_report", "train_gbt", "stack_models", "tune_gbt",
 ]
 
 
