@@ -13,10 +13,19 @@ P, E = "ultra_predicted", "ultra_error"
 
 
 def at_time(df: DataFrame, time: str | None = None) -> Column:
-    """Filter on one window, the latest by default; the comparison reaches the scan."""
+    """Filter on one window, the latest by default.
+
+    A table stored by day (`tables.write_predictions`) is read in the folder of that day only; the latest day is
+    found from the folders and the latest window in one of them.
+    """
+    dated = "window_date" in df.columns
     if time is not None:
-        return F.col("time_window") == F.lit(time).cast(df.schema["time_window"].dataType)
-    return F.col("time_window") == df.agg(F.max("time_window")).scalar()
+        at = F.lit(time).cast(df.schema["time_window"].dataType)
+    else:
+        last = df.where(F.col("window_date") == df.agg(F.max("window_date")).scalar()) if dated else df
+        at = last.agg(F.max("time_window")).scalar()
+    here = F.col("time_window") == at
+    return (F.col("window_date") == F.to_date(at)) & here if dated else here
 
 
 def select_rows(

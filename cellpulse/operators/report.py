@@ -221,6 +221,28 @@ def model_ranking(df: DataFrame, models: Sequence[str]) -> DataFrame:
     )
 
 
+def risk_figures(df: DataFrame) -> DataFrame:
+    """Rows and share of every risk level as one row."""
+    rows = [F.count_if(F.col("risk_level") == level).alias(f"{level.lower()}_n") for level in RISK_LABELS]
+    shares = [
+        (F.avg(F.coalesce(F.col("risk_level") == level, F.lit(False)).cast("double")) * 100).alias(f"{level.lower()}_pct")
+        for level in RISK_LABELS
+    ]
+    return df.agg(*rows, *shares)
+
+
+def full(df: DataFrame, config: GridConfig) -> DataFrame:
+    """All sections of the report as rows (section, metric, number, text)."""
+    return tall(
+        {
+            "dataset": dataset(df), "accuracy": accuracy(df), "tiers": tiers(df), "predictions": prediction_figures(df),
+            "risk": risk_figures(df), "hours": hours(df), "days": days(df), "weekend": weekend(df),
+            "concentration": concentration(df), "operations": operations(df, config),
+            "preventable": preventable(df, config), "baseline": baseline(df),
+        }
+    )
+
+
 def tall(sections: dict[str, DataFrame]) -> DataFrame:
     """One-row tables as rows (section, metric, number, text), ready for a sink."""
     parts = []

@@ -67,7 +67,7 @@ def _prediction_query(name: str, build: Callable[[DataFrame], DataFrame]) -> Non
 def _dashboard_query(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
     query(name)(
         lambda spark, folder: build(
-            predictions.with_open_risk(views.stages(spark, folder).predictions(), CONFIG)
+            predictions.with_open_risk(views.daily_predictions(spark, folder), CONFIG)
         )
     )
 
@@ -325,10 +325,17 @@ _prediction_query("report_concentration", report.concentration)
 _prediction_query("report_operations", lambda df: report.operations(df, CONFIG))
 _prediction_query("report_preventable", lambda df: report.preventable(df, CONFIG))
 _prediction_query("report_baseline", report.baseline)
-_prediction_query(
-    "report_tall",
-    lambda df: report.tall({"tiers": report.tiers(df), "days": report.days(df), "baseline": report.baseline(df)}),
-)
+
+
+@query("report_tall")
+def report_tall(spark: SparkSession, folder: str) -> DataFrame:
+    """The full report, written to its sink and read back."""
+    path = new_path(spark, "report")
+    found = report.full(views.stages(spark, folder).predictions(), CONFIG)
+    tables.write_report(found, path)
+    return tables.read_report(spark, path)
+
+
 _prediction_query("error_percentiles", report.error_percentiles)
 _prediction_query("residuals", predictions.residuals)
 _prediction_query("qq_points", lambda df: report.qq_points(predictions.residuals(df)))

@@ -237,14 +237,6 @@ def _correlations() -> str:
     return "with x as (select *, hour(ts) as hour from incidents) " + " union all ".join(cells)
 
 
-def _tall(section: str, metrics: dict[str, str], source: str, text: bool = False) -> str:
-    rows = []
-    for name, expression in metrics.items():
-        number, label = ("cast(null as double)", expression) if text else (f"cast({expression} as double)", "cast(null as varchar)")
-        rows.append(f"select '{section}' as section, '{name}' as metric, {number} as number, {label} as text from {source}")
-    return " union all ".join(rows)
-
-
 HOUR_RISK = "select hour as k, avg(ultra_predicted) as risk from preds group by 1"
 DAY_RISK = "select day_of_week as k, avg(ultra_predicted) as risk from preds group by 1"
 DAY_NAMES = "['Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday', 'Sunday']"
@@ -764,11 +756,6 @@ QUERIES: dict[str, tuple[str, str, str | list[str]]] = {
         "",
     ),
     "report_baseline": ("preds", _picked(BASELINE, "preds"), "baseline_rmse rmse improvement_pct"),
-    "report_tall": (
-        "preds",
-        " union all ".join([_tall("tiers", TIERS, "preds"), _tall("days", DAYS, "(select 1)", text=True), _tall("baseline", BASELINE, "preds")]),
-        "number",
-    ),
     "error_percentiles": (
         "preds",
         "select median(ultra_error) as median_error, quantile_cont(ultra_error, 0.95) as p95_error, avg(ultra_error) as mean_error from preds",
@@ -876,5 +863,44 @@ def statement(name: str) -> str:
     return f"with recursive {views}\nselect {shown} from (\n{select}\n)"
 
 
+def _section(section: str, numbers: str, texts: str = "", source: str | None = None) -> str:
+    """A one-row query of the report as tall rows."""
+    inner = source or QUERIES[f"report_{section}"][1]
+    rows = [(c, f"cast({c} as double)", "cast(null as varchar)") for c in numbers.split()]
+    rows += [(c, "cast(null as double)", f"cast({c} as varchar)") for c in texts.split()]
+    return " union all ".join(
+        f"select '{section}' as section, '{c}' as metric, {n} as number, {t} as text from ({inner})" for c, n, t in rows
+    )
+
+
+LEVELS = ("Low", "Medium", "High")
+QUERIES["report_tall"] = (
+    "preds",
+    " union all ".join(
+        [
+            _section("dataset", "total_predictions unique_locations total_days unique_time_windows", "date_range_start date_range_end"),
+            _section("accuracy", "rmse mae r2 mape median_error"),
+            _section("tiers", " ".join(TIERS)),
+            _section("predictions", "avg_prediction max_prediction min_prediction std_prediction avg_actual total_actual total_predicted median_prediction"),
+            _section(
+                "risk", " ".join(f"{x.lower()}_{y}" for y in ("n", "pct") for x in LEVELS), "",
+                "select " + ", ".join(
+                    f"count(*) filter (where risk_level = '{x}') as {x.lower()}_n, count(*) filter (where risk_level = '{x}') * 100 / count(*) as {x.lower()}_pct"
+                    for x in LEVELS
+                ) + " from preds",
+            ),
+            _section("hours", "peak_hour peak_risk lowest_hour lowest_risk"),
+            _section("days", "", " ".join(DAYS)),
+            _section("weekend", "weekend_avg_risk weekday_avg_risk", "weekend_higher"),
+            _section("concentration", "top_hotspot_total_risk top_hotspot_avg_risk top_10_share top_20_share", "top_hotspot_id"),
+            _section("operations", "cells_needing_attention cells_needing_attention_pct correct_detection_rate over_prediction_rate under_prediction_rate accurate_prediction_rate"),
+            _section("preventable", "preventable_incidents"),
+            _section("baseline", " ".join(BASELINE)),
+        ]
+    ),
+    "number",
+)
+
+
 def oracle() -> dict[str, str]:
     return {name: statement(name) for name in QUERIES}

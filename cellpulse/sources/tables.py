@@ -77,6 +77,11 @@ def write_predictions(scored: DataFrame, path: str) -> None:
     ).parquet(path)
 
 
+def read_predictions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Predictions stored by `write_predictions` with the day of their folder."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("window_date", T.DateType())])).parquet(path)
+
+
 def load_predictions(spark: SparkSession, paths: Sequence[str], config: GridConfig) -> DataFrame:
     """The first readable path, its prediction and error columns under fixed names, the open risk level.
 
@@ -99,3 +104,15 @@ def load_predictions(spark: SparkSession, paths: Sequence[str], config: GridConf
                 }
             )
     raise FileNotFoundError(f"no predictions in any of {list(paths)}")
+
+
+REPORT = "section string, metric string, number double, text string"
+
+
+def write_report(report: DataFrame, path: str) -> None:
+    """The rows of a report (section, metric, number, text) as JSON lines; a report is a few dozen rows."""
+    report.coalesce(1).write.mode("overwrite").json(path)
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(REPORT).json(path)

@@ -30,3 +30,9 @@ def test_filters_and_columns_reach_the_scan(spark, folder):
     plan = plan_of(CATALOG["dash_filter"](spark, folder))
     assert "IsNotNull(time_window)" in plan
     assert max(len(s.split(",")) for s in re.findall(r"ReadSchema: struct<([^>]*)>", plan)) <= 3
+
+
+def test_dashboard_reads_the_folder_of_one_day(spark, folder):
+    for name in ("dash_filter", "dash_metrics", "map_layer", "hotspots", "dash_performance", "dash_risk_counts"):
+        scans = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan_of(CATALOG[name](spark, folder)))
+        assert any("window_date" in s and ("=" in s or "subquery" in s) for s in scans), name
