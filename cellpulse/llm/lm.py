@@ -18,12 +18,12 @@ reads those of the deleted fold and scoring those of all documents.
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -106,25 +106,33 @@ def _counted(hashes: np.ndarray, coded: list[np.ndarray], kinds: list[int]) -> t
     return _unique_sums(keys, train, gone)
 
 
+def _squeezed(data: bytes) -> bytes:
+    return zstandard.compress(data, 3)
+
+
+def _restored(data: bytes) -> bytes:
+    return zstandard.decompress(data)
+
+
 def _packed(values: np.ndarray) -> bytes:
     """Counts as bytes that compress well: low bytes first, then the next, and so on."""
     wide = np.ascontiguousarray(values.astype("<u4")).view(np.uint8).reshape(-1, 4).T
-    return zlib.compress(wide.tobytes(), 1)
+    return _squeezed(wide.tobytes())
 
 
 def _counts(packed: bytes) -> np.ndarray:
-    wide = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1)
+    wide = np.frombuffer(_restored(packed), np.uint8).reshape(4, -1)
     return np.ascontiguousarray(wide.T).view("<u4").ravel()
 
 
 def _packed_keys(keys: np.ndarray) -> bytes:
     """Sorted keys as differences, byte planes together."""
     steps = np.diff(keys, prepend=np.uint64(0))
-    return zlib.compress(np.ascontiguousarray(steps).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+    return _squeezed(np.ascontiguousarray(steps).view(np.uint8).reshape(-1, 8).T.tobytes())
 
 
 def _keys(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, -1)
+    planes = np.frombuffer(_restored(packed), np.uint8).reshape(8, -1)
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
@@ -194,7 +202,7 @@ def _coded(arrow_id: pa.DataType):
         for block in _blocks(batches):
             name = block.name()
             # Begin and end hold a space, so the dictionary is stored without them.
-            words = zlib.compress(b" ".join(list(block.codes)[2:]), 1)
+            words = _squeezed(b" ".join(list(block.codes)[2:]))
             for a in range(0, len(block.rows), 256):
                 part = block.rows[a : a + 256]
                 n = len(part)
@@ -227,7 +235,7 @@ def _histograms(arrow_id: pa.DataType):
         if not docs.num_rows:
             return schema.empty_table()
         docs = docs.sort_by("place")
-        words = zlib.decompress(docs.column("words")[0].as_py()).split()
+        words = _restored(docs.column("words")[0].as_py()).split()
         hashes = _hashes([FIRST, LAST, *words])
         coded = [_counts(c) for c in docs.column("codes").to_pylist()]
         kinds = docs.column("kind").to_pylist()
