@@ -11,6 +11,7 @@ item's length. Items go to the tasks as sorted arrays, in blocks of bounded size
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
@@ -162,20 +163,19 @@ def aligned(item: np.ndarray, region: np.ndarray, k: int) -> tuple[int, int, int
     return end - int(np.argmin(starts)), end, int(ends[end])
 
 
-def _blocks(benchmark: DataFrame) -> list[list[tuple]]:
+def _blocks(benchmark: DataFrame) -> Iterator[list[tuple]]:
     """Items with at least Q characters, in blocks of at most BLOCK_CHARS (a longer item is a block)."""
     items = benchmark.filter(F.length("text") >= Q).select("item_id", F.col("text").cast("string"))
-    blocks: list[list[tuple]] = []
-    size = BLOCK_CHARS
+    block: list[tuple] = []
+    size = 0
     for row in items.toLocalIterator():
-        if size + len(row.text) > BLOCK_CHARS:
-            if blocks:
-                yield blocks.pop()
-            blocks.append([])
-            size = 0
-        blocks[-1].append((row.item_id, row.text))
+        if block and size + len(row.text) > BLOCK_CHARS:
+            yield block
+            block, size = [], 0
+        block.append((row.item_id, row.text))
         size += len(row.text)
-    yield from blocks
+    if block:
+        yield block
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
