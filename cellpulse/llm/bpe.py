@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellpulse.llm.memory import cogrouped, grouped, streaming
 from cellpulse.llm.pretokens import words
 
 #: A block ends with the document at which it has so many distinct words, or so many positions.
@@ -228,13 +229,13 @@ def _encoded(docs: DataFrame, ranks, pattern: str, finish, columns: str) -> Data
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(8, math.ceil(size / RANGE_BYTES))
     answers = (
-        base.mapInArrow(_asked(parts), "part int, block binary, codes binary, sizes binary, words binary")
-        .groupBy("part").applyInArrow(_answers(ranks, pattern), "block binary, codes binary, sizes binary, ids binary")
+        base.mapInArrow(streaming(_asked(parts)), "part int, block binary, codes binary, sizes binary, words binary")
+        .groupBy("part").applyInArrow(grouped(_answers(ranks, pattern)), "block binary, codes binary, sizes binary, ids binary")
     )
-    coded = base.mapInArrow(_coded(id_type), f"block binary, size int, doc_id {kind}, codes binary")
+    coded = base.mapInArrow(streaming(_coded(id_type)), f"block binary, size int, doc_id {kind}, codes binary")
     return (
         coded.groupBy("block").cogroup(answers.groupBy("block"))
-        .applyInArrow(_reassembled(*finish(id_type)), f"doc_id {kind}, {columns}")
+        .applyInArrow(cogrouped(_reassembled(*finish(id_type))), f"doc_id {kind}, {columns}")
     )
 
 

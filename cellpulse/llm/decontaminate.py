@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellpulse.llm.memory import streaming
+
 Q, RATE = 8, 0.1
 #: Bound of the items in one block, in characters, and the size of the table that is asked first, in bits.
 BLOCK_CHARS, TABLE_BITS = 1 << 21, 21
@@ -205,7 +207,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                         names=["doc_id", "item_id", "start", "end", "edits"],
                     )
 
-        part = base.mapInArrow(rows, schema)
+        part = base.mapInArrow(streaming(rows), schema)
         result = part if result is None else result.unionAll(part)
     return result if result is not None else spark.createDataFrame([], schema)
 
@@ -221,5 +223,5 @@ def leaking_removed(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             for batch in batches:
                 yield batch.filter(pa.array([not shared.value.leaks(t) for t in batch.column("text").to_pylist()], pa.bool_()))
 
-        docs = docs.mapInArrow(rows, schema)
+        docs = docs.mapInArrow(streaming(rows), schema)
     return docs

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellpulse.llm.components import connected
+from cellpulse.llm.memory import cogrouped, grouped, streaming
 from cellpulse.llm.repeats import RANGE_BYTES, _batch, _blocks, _opened, _parts, _planes, _repeated, _stored
 from cellpulse.staging import written
 
@@ -190,12 +191,12 @@ def units(docs: DataFrame) -> DataFrame:
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(8, math.ceil(size / RANGE_BYTES))
     repeated = (
-        base.mapInArrow(_asked(parts), "part int, block binary, keys binary, twice binary")
-        .groupBy("part").applyInArrow(_repeated, "part int, block binary, bits binary")
+        base.mapInArrow(streaming(_asked(parts)), "part int, block binary, keys binary, twice binary")
+        .groupBy("part").applyInArrow(grouped(_repeated), "part int, block binary, bits binary")
     )
-    stored = base.mapInArrow(_stored(id_type), f"block binary, row int, doc_id {kind}, text binary")
+    stored = base.mapInArrow(streaming(_stored(id_type)), f"block binary, row int, doc_id {kind}, text binary")
     found = stored.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(
-        _units(parts, id_type), UNIT.format(kind=kind)
+        cogrouped(_units(parts, id_type)), UNIT.format(kind=kind)
     )
     return written(found, "paragraphs")
 
@@ -252,7 +253,7 @@ def links(found: DataFrame) -> DataFrame:
 
     return (
         placed.join(several, "band").repartition("band").sortWithinPartitions("band")
-        .select("band", "content", "words").mapInArrow(edges, "a bigint, b bigint").distinct()
+        .select("band", "content", "words").mapInArrow(streaming(edges), "a bigint, b bigint").distinct()
     )
 
 
@@ -328,4 +329,4 @@ def duplicates_removed(docs: DataFrame) -> DataFrame:
             columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in schema.names]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return joined.mapInArrow(rows, schema)
+    return joined.mapInArrow(streaming(rows), schema)

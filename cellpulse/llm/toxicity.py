@@ -21,6 +21,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellpulse.llm.memory import streaming
+
 #: Bound of the labelled sample that is fitted on, per class (a documented parameter): training documents with
 #: the smallest hashes of their ids, and the characters of each that are used for fitting.
 SAMPLE_TOXIC, SAMPLE_ORDINARY, SAMPLE_CHARS = 1500, 6000, 6000
@@ -186,7 +188,7 @@ def scored(docs: DataFrame, classifier: Classifier) -> DataFrame:
             scores = [classifier.score(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(rows, f"doc_id {kind}, score double")
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(streaming(rows), f"doc_id {kind}, score double")
 
 
 def rejected_removed(docs: DataFrame, classifier: Classifier, threshold: float = 0.5) -> DataFrame:
@@ -198,4 +200,4 @@ def rejected_removed(docs: DataFrame, classifier: Classifier, threshold: float =
             keep = [classifier.score(t) < threshold for t in batch.column("text").to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(rows, schema)
+    return docs.mapInArrow(streaming(rows), schema)
