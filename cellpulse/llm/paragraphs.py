@@ -4,6 +4,9 @@ Texts repeat each other at any place, so a paragraph is a run of 24 words that s
 says so: at the least five-word shingle of any 28 neighbouring ones. A repeated passage of 51 words therefore
 holds at least one whole paragraph, at the same words in every copy.
 
+A removed paragraph is extended word by word as far as its words are those beside an earlier occurrence of its
+cluster, up to the words that a passage can have beyond its outermost paragraph: the whole passage goes.
+
 A paragraph's MinHash under each of a few permutations is a band; the number of bands is tuned so that
 paragraphs at the wanted Jaccard similarity share one almost surely. Bands that occur at one place only are
 left out, paragraphs that share a band are joined, their exact Jaccard similarity is verified, and components
@@ -31,6 +34,8 @@ from cellpulse.staging import written
 
 SHINGLE, WORDS, REACH = 5, 24, 28
 SHINGLES = WORDS - SHINGLE + 1
+#: Words of a repeated passage that can lie before its first paragraph or after its last one.
+SIDE = REACH - 1
 SIMILARITY, RECALL = 0.8, 0.99
 PLACE_BITS = 24
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
@@ -143,13 +148,20 @@ def _asked(parts: int):
     return rows
 
 
-UNIT = "doc_id {kind}, version bigint, start int, end int, content bigint, words string, bands array<bigint>"
+UNIT = (
+    "doc_id {kind}, version bigint, start int, end int, content bigint, words string, bands array<bigint>, "
+    "before string, after string, back array<int>, on array<int>"
+)
 
 
 def _units(parts: int, id_type: pa.DataType):
-    """Paragraphs with a band that stands at two places: characters of the text, content and those bands."""
-    names = ["doc_id", "version", "start", "end", "content", "words", "bands"]
-    types = [id_type, pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.int64())]
+    """Paragraphs with a band that stands at two places: characters of the text, content and those bands, up to
+    SIDE words on either side and how many characters the paragraph grows by with each of them."""
+    names = ["doc_id", "version", "start", "end", "content", "words", "bands", "before", "after", "back", "on"]
+    types = [
+        id_type, pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.int64()),
+        pa.string(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()),
+    ]
 
     def rows(docs: pa.Table, answers: pa.Table) -> pa.Table:
         out: list[tuple] = []
@@ -172,11 +184,15 @@ def _units(parts: int, id_type: pa.DataType):
                 version = xxhash.xxh3_64_intdigest(text) - (1 << 63)
                 for n in chosen:
                     first = int(starts[n])
-                    a, b = int(begins[first]), int(ends[first + WORDS - 1])
-                    words = b" ".join(said[first : first + WORDS])
+                    last = first + WORDS
+                    a, b = int(begins[first]), int(ends[last - 1])
+                    low = max(0, first - SIDE)
+                    words = b" ".join(said[first:last])
                     out.append((
                         doc_id, version, a, b, xxhash.xxh3_64_intdigest(words) - (1 << 63), words.decode(),
                         k[shared[:, n], n].view(np.int64).tolist(),
+                        b" ".join(said[low:first]).decode(), b" ".join(said[last : last + SIDE]).decode(),
+                        (a - begins[low:first])[::-1].tolist(), (ends[last : last + SIDE] - b).tolist(),
                     ))
         return pa.Table.from_batches([_batch(names, out, types)])
 
@@ -257,9 +273,69 @@ def links(found: DataFrame) -> DataFrame:
     )
 
 
+def _prefixes(id_type: pa.DataType):
+    """For each number of words of a context, counted from the paragraph, a hash of them."""
+    names = ["root", "side", "n", "hash", "doc_id", "start", "version"]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), id_type, pa.int32(), pa.int64()]
+
+    def rows(batches):
+        hashed = _Words()
+        powers = np.array([pow(MULTIPLIERS[0], k, 1 << 64) for k in range(SIDE)], np.uint64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                side = part.column("side").to_numpy()
+                sizes, flat = [], []
+                for context, right in zip(part.column("context").to_pylist(), side.tolist()):
+                    words = context.encode().split()
+                    sizes.append(len(words))
+                    flat += map(hashed.__getitem__, words if right else words[::-1])
+                if len(hashed) > 1 << 18:
+                    hashed = _Words()
+                inside = np.arange(SIDE) < np.array(sizes)[:, None]
+                wide = np.zeros(inside.shape, np.uint64)
+                wide[inside] = np.array(flat, np.uint64)
+                total = np.cumsum(wide * powers, axis=1, dtype=np.uint64)
+                total = (total ^ total >> np.uint64(29)) * np.uint64(MULTIPLIERS[2])
+                which, n = np.nonzero(inside)
+                taken = part.take(pa.array(which))
+                columns = [
+                    taken.column("root"), taken.column("side"), pa.array(n + 1, pa.int32()),
+                    pa.array(total[inside].view(np.int64)), *(taken.column(c) for c in names[4:]),
+                ]
+                yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(columns, types)], names=names)
+
+    return rows
+
+
+def _reached(named: DataFrame, id_type: pa.DataType) -> DataFrame:
+    """doc_id, version, start, `side` (0 before, 1 after) and `reach`: how many words beside a paragraph stand beside
+    an earlier one of its cluster. A paragraph without a row has all its words there.
+
+    A paragraph is the earliest with the words of its side up to some number: then it is for every larger number,
+    so the least such number is one more than its reach, and no paragraphs are compared in pairs."""
+    kind = dict(named.dtypes)["doc_id"]
+    sides = named.select(
+        "root", "doc_id", "start", "version",
+        F.explode(F.array(
+            F.struct(F.lit(0).alias("side"), F.col("before").alias("context")),
+            F.struct(F.lit(1).alias("side"), F.col("after").alias("context")),
+        )).alias("s"),
+    )
+    # Of equal contexts only the earliest can have less than all of its words.
+    earliest = sides.groupBy("root", "s.side", "s.context").agg(F.min(F.struct("doc_id", "start", "version")).alias("o"))
+    prefixes = earliest.select("root", "side", "context", "o.*").mapInArrow(
+        streaming(_prefixes(id_type)),
+        f"root bigint, side int, n int, hash bigint, doc_id {kind}, start int, version bigint",
+    )
+    owners = prefixes.groupBy("root", "side", "n", "hash").agg(F.min(F.struct("doc_id", "start", "version")).alias("o"))
+    return owners.groupBy("o.doc_id", "o.version", "o.start", "side").agg((F.min("n") - 1).alias("reach"))
+
+
 def clustered(docs: DataFrame) -> DataFrame:
-    """Paragraphs that occur at two places or more, as doc_id, version, start, end (characters of the text),
-    cluster (smallest doc_id of its cluster) and removed (all but the first occurrence).
+    """Paragraphs that occur at two places or more, as doc_id, version, start, end (characters of the text; of
+    those removed with the words beside them that stand beside an earlier one, too), cluster (smallest doc_id of its
+    cluster) and removed (all but the first occurrence).
 
     Occurrences are ordered by doc_id and start; those that overlap the first one are part of it. Rows with
     equal doc_id and text are one document. Rows without an id, null, empty and short texts have none.
@@ -267,15 +343,30 @@ def clustered(docs: DataFrame) -> DataFrame:
     found = units(docs)
     roots = connected(links(found))
     named = found.join(roots, found["content"] == roots["node"], "left").select(
-        "doc_id", "version", "start", "end", F.coalesce("root", "content").alias("root")
+        "doc_id", "version", "start", "end", F.coalesce("root", "content").alias("root"), "before", "after", "back", "on"
     )
-    named = written(named.distinct(), "clusters")
+    named = written(named.dropDuplicates(["doc_id", "version", "start", "end"]), "clusters")
     ends = named.groupBy("root").agg(
         F.min(F.struct("doc_id", "start", "end")).alias("first"), F.max(F.struct("doc_id", "start")).alias("last")
-    ).filter("last.doc_id != first.doc_id or last.start >= first.end")
-    return named.join(ends, "root").select(
-        "doc_id", "version", "start", "end", F.col("first.doc_id").alias("cluster"),
-        ((F.col("doc_id") != F.col("first.doc_id")) | (F.col("start") >= F.col("first.end"))).alias("removed"),
+    ).filter("last.doc_id != first.doc_id or last.start >= first.end").select("root", "first")
+    ends = written(ends, "firsts")
+    several = named.join(ends.select("root"), "root", "left_semi")
+    id_type = {"bigint": pa.int64(), "int": pa.int32()}[dict(named.dtypes)["doc_id"]]
+    reached = _reached(several, id_type).groupBy("doc_id", "version", "start").agg(
+        *(F.min(F.when(F.col("side") == k, F.col("reach"))).alias(n) for k, n in enumerate(("left", "right")))
+    )
+    flagged = named.drop("before", "after").join(ends, "root").withColumn(
+        "removed", (F.col("doc_id") != F.col("first.doc_id")) | (F.col("start") >= F.col("first.end"))
+    ).join(reached, ["doc_id", "version", "start"], "left")
+
+    def grown(sizes: str, reach: str):
+        """Characters of as many words; an occurrence that stays doesn't grow."""
+        n = F.coalesce(F.col(reach), F.size(sizes))
+        return F.when(F.col("removed") & (n > 0), F.element_at(sizes, F.greatest(n, F.lit(1)))).otherwise(0)
+
+    return flagged.select(
+        "doc_id", "version", (F.col("start") - grown("back", "left")).alias("start"),
+        (F.col("end") + grown("on", "right")).alias("end"), F.col("first.doc_id").alias("cluster"), "removed",
     )
 
 

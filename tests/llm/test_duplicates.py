@@ -322,3 +322,25 @@ def test_stages_pass_all_columns(spark, folder):
         assert kept.select("doc_id").exceptAll(docs.select("doc_id")).count() == 0
         docs = kept
     assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).count() == docs.count()
+
+
+def test_whole_passages_go(table):
+    """Of planted passages among different texts only the first copy stays, up to their ends, also where the first
+    document holds less of a passage than the second. A paragraph that goes two words past the end of a passage is a
+    near copy and goes with these words, and so does one that is a near copy of that."""
+    chance = random.Random(21)
+    words = lambda n: [f"w{chance.getrandbits(40)}" for _ in range(n)]
+    rows, stays, beside = [], {}, {}
+    for size in [51, 60, 80, 120] * 10:
+        passage = words(size)
+        for k in range(3):
+            held = passage[: size - 9] if k == 0 and size == 80 else passage
+            a, b = words(chance.randint(0, 40)), words(chance.randint(0, 40))
+            stays[len(rows)] = held if k == 0 else passage[size - 9 :] if size == 80 and k == 1 else []
+            beside[len(rows)] = a, b
+            rows.append((len(rows), "  ".join([*a, *held, *b])))
+    got = {r.doc_id: r.text.split() for r in paragraphs.duplicates_removed(table(rows)).collect()}
+    for i, (a, b) in beside.items():
+        own = {*a, *b}
+        assert set(stays[i]) == {*got[i]} - own or i % 3 == 1 and set(stays[i]) >= {*got[i]} - own
+        assert {*a[:-6], *b[6:]} <= {*got[i]}
