@@ -9,8 +9,9 @@ split by the same scan over their preceding bytes, and a class is a maximal repe
 right extensions differ. Repeats that reach past a context are found as overlapping pieces, one per anchor.
 
 How it travels: consecutive documents form a block. Blocks send their grams, then the contexts of repeated
-grams, packed by range of the gram's hash; ranges answer each block with what concerns its documents. The input is
-read several times and must be a stored table.
+grams, packed by range of the gram's hash; ranges answer each block with what concerns its documents. The blocks are
+written once, and all later steps read that table: input that is split or ordered otherwise when it is read again
+changes nothing.
 """
 
 from __future__ import annotations
@@ -238,21 +239,6 @@ def _block_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list]:
     return keys, n > 1, found
 
 
-def _asked(parts: int):
-    def rows(batches):
-        for block in _blocks(batches):
-            keys, twice, _ = _block_grams(block.texts)
-            cut = np.searchsorted(_parts(keys, parts), np.arange(parts + 1)).tolist()
-            name = block.name()
-            some = [
-                (p, name, _planes(np.diff(keys[a:b], prepend=np.uint64(0))), np.packbits(twice[a:b]).tobytes())
-                for p, (a, b) in enumerate(zip(cut, cut[1:])) if a < b
-            ]
-            yield _batch(["part", "block", "keys", "twice"], some, [pa.int32(), pa.binary(), pa.binary(), pa.binary()])
-
-    return rows
-
-
 def _repeated(asked: pa.Table) -> pa.Table:
     """For each block of a range, which of its grams occur twice or more in the corpus."""
     rows = list(zip(*(asked.column(n).to_pylist() for n in ("part", "block", "keys", "twice"))))
@@ -282,6 +268,36 @@ def _stored(id_type: pa.DataType):
     return rows
 
 
+def _cut(parts: int, id_type: pa.DataType):
+    """Documents of each block (part is null) and its grams by range (row is null)."""
+    names = ["block", "row", "doc_id", "text", "part", "keys", "twice"]
+    types = [pa.binary(), pa.int32(), id_type, pa.binary(), pa.int32(), pa.binary(), pa.binary()]
+
+    def rows(batches):
+        for block in _blocks(batches):
+            name = block.name()
+            for a in range(0, len(block.ids), 256):
+                some = [
+                    (name, a + k, i, zlib.compress(t, 1), None, None, None)
+                    for k, (i, t) in enumerate(zip(block.ids[a : a + 256], block.texts[a : a + 256]))
+                ]
+                yield _batch(names, some, types)
+            keys, twice, _ = _block_grams(block.texts)
+            cut = np.searchsorted(_parts(keys, parts), np.arange(parts + 1)).tolist()
+            grams = [
+                (name, None, None, None, p, _planes(np.diff(keys[a:b], prepend=np.uint64(0))), np.packbits(twice[a:b]).tobytes())
+                for p, (a, b) in enumerate(zip(cut, cut[1:])) if a < b
+            ]
+            yield _batch(names, grams, types)
+
+    return rows
+
+
+def _complete(docs: pa.Table, told: pa.Table) -> None:
+    if told.num_rows and not docs.num_rows:
+        raise ValueError("spans or grams of a block without documents: the written blocks changed between two reads")
+
+
 def _opened(docs: pa.Table) -> tuple[list, list[bytes]]:
     docs = docs.sort_by("row")
     return docs.column("doc_id").to_pylist(), [zlib.decompress(t) for t in docs.column("text").to_pylist()]
@@ -296,6 +312,7 @@ def _contexts(parts: int):
     types = [pa.int32(), *[pa.binary()] * 6]
 
     def rows(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        _complete(docs, answers)
         out: list[tuple] = []
         if docs.num_rows:
             ids, texts = _opened(docs)
@@ -428,11 +445,19 @@ class Repeats:
         self.id_type = {"bigint": pa.int64(), "int": pa.int32()}[self.kind]
         size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         parts = max(8, math.ceil(size / RANGE_BYTES))
+        # Cut and written once: a second reading can split the input elsewhere, and names of blocks would not match.
+        cut = written(
+            base.mapInArrow(
+                _cut(parts, self.id_type),
+                f"block binary, row int, doc_id {self.kind}, text binary, part int, keys binary, twice binary",
+            ),
+            "blocks",
+        )
         repeated = (
-            base.mapInArrow(_asked(parts), "part int, block binary, keys binary, twice binary")
+            cut.filter("part is not null").select("part", "block", "keys", "twice")
             .groupBy("part").applyInArrow(_repeated, "part int, block binary, bits binary")
         )
-        self.blocks = base.mapInArrow(_stored(self.id_type), f"block binary, row int, doc_id {self.kind}, text binary")
+        self.blocks = cut.filter("row is not null").select("block", "row", "doc_id", "text")
         self.contexts = self.blocks.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(_contexts(parts), CONTEXTS)
 
     def _each(self, rows, schema: str, whole: bool) -> DataFrame:
@@ -444,6 +469,7 @@ class Repeats:
         id_type = self.id_type
 
         def rows(docs: pa.Table, spans: pa.Table) -> pa.Table:
+            _complete(docs, spans)
             ids = docs.sort_by("row").column("doc_id").to_pylist()
             row, start, size, first, group = _unpacked(spans)
             new = np.unique(np.stack([row, start, size, first, group]), axis=1)
@@ -458,6 +484,7 @@ class Repeats:
         id_type = self.id_type
 
         def rows(docs: pa.Table, spans: pa.Table) -> pa.Table:
+            _complete(docs, spans)
             ids, texts = _opened(docs) if docs.num_rows else ([], [])
             row, start, size, first, _ = _unpacked(spans)
             order = np.flatnonzero(first == 0)

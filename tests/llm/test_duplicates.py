@@ -207,6 +207,27 @@ def test_repeats_of_equal_ids(table):
     assert got == {0: 3, len(text): 1}
 
 
+def test_repeats_of_input_that_is_split_anew(spark, table):
+    """The files are dealt to other partitions between making the operator's tables and reading the result."""
+    chance = random.Random(4)
+    passage = "".join(chance.choice("abcdefgh ") for _ in range(300))
+    rows = [(i, f"{chance.getrandbits(90)} {passage}") for i in range(60)]
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    made = repeats.Repeats(table(rows, files=6)).removed()
+    try:
+        spark.conf.set(key, "700")
+        got = made.collect()
+    finally:
+        spark.conf.set(key, before)
+    assert sorted(map(tuple, got)) == brute_repeats(rows)
+
+
+def test_spans_without_documents_raise():
+    with pytest.raises(ValueError):
+        repeats._complete(repeats.pa.table({"row": []}), repeats.pa.table({"block": [b"x"]}))
+
+
 def planted(chance, k, text):
     letters = list(text)
     for _ in range(k):
