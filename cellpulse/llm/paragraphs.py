@@ -150,17 +150,19 @@ def _asked(parts: int):
 
 UNIT = (
     "doc_id {kind}, version bigint, start int, end int, content bigint, words string, bands array<bigint>, "
-    "before string, after string, back array<int>, on array<int>"
+    "left bigint, right bigint, back int, on int, before string, after string"
 )
 
 
 def _units(parts: int, id_type: pa.DataType):
-    """Paragraphs with a band that stands at two places: characters of the text, content and those bands, up to
-    SIDE words on either side and how many characters the paragraph grows by with each of them."""
-    names = ["doc_id", "version", "start", "end", "content", "words", "bands", "before", "after", "back", "on"]
+    """Paragraphs with a band that stands at two places: characters of the text, content and those bands, and for
+    the text of up to SIDE words on either side a hash of the words, the number of characters, and the text."""
+    names = [
+        "doc_id", "version", "start", "end", "content", "words", "bands", "left", "right", "back", "on", "before", "after"
+    ]
     types = [
         id_type, pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.int64()),
-        pa.string(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()),
+        pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string(),
     ]
 
     def rows(docs: pa.Table, answers: pa.Table) -> pa.Table:
@@ -181,18 +183,19 @@ def _units(parts: int, id_type: pa.DataType):
                 if not chosen:
                     continue
                 said, (begins, ends) = text.lower().split(), word_places(text)
-                version = xxhash.xxh3_64_intdigest(text) - (1 << 63)
+                version, letters = xxhash.xxh3_64_intdigest(text) - (1 << 63), text.decode()
                 for n in chosen:
                     first = int(starts[n])
                     last = first + WORDS
                     a, b = int(begins[first]), int(ends[last - 1])
-                    low = max(0, first - SIDE)
+                    low, high = max(0, first - SIDE), min(len(said), last + SIDE)
+                    from_, to = int(begins[low]), int(ends[high - 1])
                     words = b" ".join(said[first:last])
                     out.append((
                         doc_id, version, a, b, xxhash.xxh3_64_intdigest(words) - (1 << 63), words.decode(),
                         k[shared[:, n], n].view(np.int64).tolist(),
-                        b" ".join(said[low:first]).decode(), b" ".join(said[last : last + SIDE]).decode(),
-                        (a - begins[low:first])[::-1].tolist(), (ends[last : last + SIDE] - b).tolist(),
+                        *(xxhash.xxh3_64_intdigest(b" ".join(w)) - (1 << 63) for w in (said[low:first], said[last:high])),
+                        a - from_, to - b, letters[from_:a], letters[b:to],
                     ))
         return pa.Table.from_batches([_batch(names, out, types)])
 
@@ -274,9 +277,10 @@ def links(found: DataFrame) -> DataFrame:
 
 
 def _prefixes(id_type: pa.DataType):
-    """For each number of words of a context, counted from the paragraph, a hash of them."""
-    names = ["root", "side", "n", "hash", "doc_id", "start", "version"]
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), id_type, pa.int32(), pa.int64()]
+    """For each number of words of a side's text, counted from the paragraph, a hash of them and the characters of
+    one word less."""
+    names = ["root", "side", "n", "hash", "doc_id", "start", "version", "grown"]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), id_type, pa.int32(), pa.int64(), pa.int32()]
 
     def rows(batches):
         hashed = _Words()
@@ -284,52 +288,61 @@ def _prefixes(id_type: pa.DataType):
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                side = part.column("side").to_numpy()
-                sizes, flat = [], []
-                for context, right in zip(part.column("context").to_pylist(), side.tolist()):
-                    words = context.encode().split()
-                    sizes.append(len(words))
-                    flat += map(hashed.__getitem__, words if right else words[::-1])
+                wide, grown = np.zeros((len(part), SIDE), np.uint64), np.zeros((len(part), SIDE), np.int32)
+                inside = np.zeros((len(part), SIDE), bool)
+                for k, (raw, right) in enumerate(zip(part.column("context").to_pylist(), part.column("side").to_pylist())):
+                    text = raw.encode()
+                    found, (begins, ends) = hashed(text), word_places(text)
+                    n = len(found)
+                    inside[k, :n] = True
+                    wide[k, :n] = found if right else found[::-1]
+                    grown[k, 1:n] = ends[: n - 1] if right else (len(raw) - begins[::-1])[: n - 1]
                 if len(hashed) > 1 << 18:
                     hashed = _Words()
-                inside = np.arange(SIDE) < np.array(sizes)[:, None]
-                wide = np.zeros(inside.shape, np.uint64)
-                wide[inside] = np.array(flat, np.uint64)
                 total = np.cumsum(wide * powers, axis=1, dtype=np.uint64)
                 total = (total ^ total >> np.uint64(29)) * np.uint64(MULTIPLIERS[2])
                 which, n = np.nonzero(inside)
                 taken = part.take(pa.array(which))
                 columns = [
-                    taken.column("root"), taken.column("side"), pa.array(n + 1, pa.int32()),
-                    pa.array(total[inside].view(np.int64)), *(taken.column(c) for c in names[4:]),
+                    taken.column("root"), taken.column("side"), pa.array(n + 1), pa.array(total[inside].view(np.int64)),
+                    *(taken.column(c) for c in names[4:7]), pa.array(grown[inside]),
                 ]
                 yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(columns, types)], names=names)
 
     return rows
 
 
-def _reached(named: DataFrame, id_type: pa.DataType) -> DataFrame:
-    """doc_id, version, start, `side` (0 before, 1 after) and `reach`: how many words beside a paragraph stand beside
-    an earlier one of its cluster. A paragraph without a row has all its words there.
+def _grown(named: DataFrame, found: DataFrame, id_type: pa.DataType) -> DataFrame:
+    """doc_id, version, start, and before and after the paragraph (`less_back`, `less_on`) the characters of the words
+    that stand beside an earlier one of its cluster too. Null, or no row: of all words on that side.
 
     A paragraph is the earliest with the words of its side up to some number: then it is for every larger number,
     so the least such number is one more than its reach, and no paragraphs are compared in pairs."""
     kind = dict(named.dtypes)["doc_id"]
     sides = named.select(
         "root", "doc_id", "start", "version",
-        F.explode(F.array(
-            F.struct(F.lit(0).alias("side"), F.col("before").alias("context")),
-            F.struct(F.lit(1).alias("side"), F.col("after").alias("context")),
-        )).alias("s"),
+        F.explode(F.array(*(
+            F.struct(F.lit(k).alias("side"), F.col(n).alias("hash")) for k, n in enumerate(("left", "right"))
+        ))).alias("s"),
+    )
+    # Of equal sides only the earliest can have less than all of its words.
+    earliest = sides.groupBy("root", "s.side", "s.hash").agg(F.min(F.struct("doc_id", "start", "version")).alias("o"))
+    asked = earliest.select("root", "side", "o.*").groupBy("root", "doc_id", "start", "version").agg(
+        F.collect_list("side").alias("sides")
     )
-    # Of equal contexts only the earliest can have less than all of its words.
-    earliest = sides.groupBy("root", "s.side", "s.context").agg(F.min(F.struct("doc_id", "start", "version")).alias("o"))
-    prefixes = earliest.select("root", "side", "context", "o.*").mapInArrow(
+    texts = found.select("doc_id", "version", "start", "before", "after")
+    contexts = asked.join(texts, ["doc_id", "version", "start"]).select(
+        "root", "doc_id", "start", "version", F.explode("sides").alias("side"), "before", "after"
+    ).select("root", "doc_id", "start", "version", "side", F.when(F.col("side") == 0, F.col("before")).otherwise(F.col("after")).alias("context"))
+    prefixes = contexts.mapInArrow(
         streaming(_prefixes(id_type)),
-        f"root bigint, side int, n int, hash bigint, doc_id {kind}, start int, version bigint",
+        f"root bigint, side int, n int, hash bigint, doc_id {kind}, start int, version bigint, grown int",
+    )
+    owners = prefixes.groupBy("root", "side", "n", "hash").agg(
+        F.min(F.struct("doc_id", "start", "version", "grown")).alias("o")
     )
-    owners = prefixes.groupBy("root", "side", "n", "hash").agg(F.min(F.struct("doc_id", "start", "version")).alias("o"))
-    return owners.groupBy("o.doc_id", "o.version", "o.start", "side").agg((F.min("n") - 1).alias("reach"))
+    least = lambda k: F.min(F.when(F.col("side") == k, F.struct("n", "o.grown")))["grown"]
+    return owners.groupBy("o.doc_id", "o.version", "o.start").agg(least(0).alias("less_back"), least(1).alias("less_on"))
 
 
 def clustered(docs: DataFrame) -> DataFrame:
@@ -343,30 +356,25 @@ def clustered(docs: DataFrame) -> DataFrame:
     found = units(docs)
     roots = connected(links(found))
     named = found.join(roots, found["content"] == roots["node"], "left").select(
-        "doc_id", "version", "start", "end", F.coalesce("root", "content").alias("root"), "before", "after", "back", "on"
+        "doc_id", "version", "start", "end", F.coalesce("root", "content").alias("root"), "left", "right", "back", "on"
     )
-    named = written(named.dropDuplicates(["doc_id", "version", "start", "end"]), "clusters")
+    named = written(named.distinct(), "clusters")
     ends = named.groupBy("root").agg(
-        F.min(F.struct("doc_id", "start", "end")).alias("first"), F.max(F.struct("doc_id", "start")).alias("last")
-    ).filter("last.doc_id != first.doc_id or last.start >= first.end").select("root", "first")
-    ends = written(ends, "firsts")
-    several = named.join(ends.select("root"), "root", "left_semi")
-    id_type = {"bigint": pa.int64(), "int": pa.int32()}[dict(named.dtypes)["doc_id"]]
-    reached = _reached(several, id_type).groupBy("doc_id", "version", "start").agg(
-        *(F.min(F.when(F.col("side") == k, F.col("reach"))).alias(n) for k, n in enumerate(("left", "right")))
+        F.min(F.struct("doc_id", "start", "end")).alias("first"), F.max(F.struct("doc_id", "start")).alias("last"),
+        (F.min("left") != F.max("left")).alias("lefts"), (F.min("right") != F.max("right")).alias("rights"),
+    ).filter("last.doc_id != first.doc_id or last.start >= first.end").select("root", "first", "lefts", "rights")
+    flagged = written(
+        named.join(ends, "root").withColumn(
+            "removed", (F.col("doc_id") != F.col("first.doc_id")) | (F.col("start") >= F.col("first.end"))
+        ), "flagged",
     )
-    flagged = named.drop("before", "after").join(ends, "root").withColumn(
-        "removed", (F.col("doc_id") != F.col("first.doc_id")) | (F.col("start") >= F.col("first.end"))
-    ).join(reached, ["doc_id", "version", "start"], "left")
-
-    def grown(sizes: str, reach: str):
-        """Characters of as many words; an occurrence that stays doesn't grow."""
-        n = F.coalesce(F.col(reach), F.size(sizes))
-        return F.when(F.col("removed") & (n > 0), F.element_at(sizes, F.greatest(n, F.lit(1)))).otherwise(0)
-
-    return flagged.select(
-        "doc_id", "version", (F.col("start") - grown("back", "left")).alias("start"),
-        (F.col("end") + grown("on", "right")).alias("end"), F.col("first.doc_id").alias("cluster"), "removed",
+    # Sides that are the same everywhere have all their words beside the first occurrence.
+    id_type = {"bigint": pa.int64(), "int": pa.int32()}[dict(named.dtypes)["doc_id"]]
+    grown = _grown(flagged.filter("lefts or rights"), found, id_type)
+    more = lambda less, all_: F.when(F.col("removed"), F.coalesce(less, all_)).otherwise(0)
+    return flagged.join(grown, ["doc_id", "version", "start"], "left").select(
+        "doc_id", "version", (F.col("start") - more("less_back", "back")).alias("start"),
+        (F.col("end") + more("less_on", "on")).alias("end"), F.col("first.doc_id").alias("cluster"), "removed",
     )
 
 
