@@ -13,7 +13,7 @@ left out, paragraphs that share a band are joined, their exact Jaccard similarit
 of similar paragraphs are clusters: the first occurrence of a cluster stays, all others are removed.
 
 Bands travel packed by range of their hash, one row per block of documents and range; equal paragraphs are
-reduced to one before they are compared. The input is read several times and must be a stored table.
+reduced to one before they are compared, and a band of many different paragraphs is compared in pairs of blocks. The input is read several times and must be a stored table.
 """
 
 from __future__ import annotations
@@ -38,6 +38,8 @@ SHINGLES = WORDS - SHINGLE + 1
 SIDE = REACH - 1
 SIMILARITY, RECALL = 0.8, 0.99
 PLACE_BITS = 24
+#: Paragraphs of a band that are compared in one block.
+BLOCK = 2048
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
@@ -254,25 +256,36 @@ def links(found: DataFrame) -> DataFrame:
     """Edges (a, b) of contents that connect all contents sharing a band at SIMILARITY or more."""
     distinct = found.groupBy("content").agg(F.first("words").alias("words"), F.first("bands").alias("bands"))
     placed = distinct.select("content", "words", F.explode("bands").alias("band"))
-    several = placed.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band")
+    several = placed.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(
+        "band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")
+    )
+    # A paragraph of block i stands in the units (i, j) or (j, i) for all j: each pair of paragraphs shares a unit.
+    mine = F.pmod(F.xxhash64("content"), F.col("blocks")).cast("int")
+    pairs = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda j: F.struct(F.least(j, mine).alias("i"), F.greatest(j, mine).alias("j")),
+    )
+    # With two blocks or more, a unit (i, i) has no pair that (i, j) doesn't have.
+    pairs = F.when(F.col("blocks") == 1, pairs).otherwise(F.filter(pairs, lambda u: u["i"] != u["j"]))
+    spread = placed.join(several, "band").withColumn("u", F.explode(pairs)).select("band", "u.i", "u.j", "content", "words")
 
     def edges(batches):
-        """Runs of equal bands in sorted rows; a run may go on in the next batch."""
+        """Runs of equal (band, i, j) in sorted rows; a run may go on in the next batch."""
         held: list[tuple] = []
         for batch in batches:
             found_: list[tuple[int, int]] = []
-            for row in zip(*(batch.column(n).to_pylist() for n in ("band", "content", "words"))):
-                if held and held[-1][0] != row[0]:
-                    found_ += similar([r[1] for r in held], [r[2] for r in held])
+            for row in zip(*(batch.column(n).to_pylist() for n in ("band", "i", "j", "content", "words"))):
+                if held and held[-1][:3] != row[:3]:
+                    found_ += similar([r[3] for r in held], [r[4] for r in held])
                     held = []
                 held.append(row)
             yield _batch(["a", "b"], found_, [pa.int64(), pa.int64()])
         if held:
-            yield _batch(["a", "b"], similar([r[1] for r in held], [r[2] for r in held]), [pa.int64(), pa.int64()])
+            yield _batch(["a", "b"], similar([r[3] for r in held], [r[4] for r in held]), [pa.int64(), pa.int64()])
 
     return (
-        placed.join(several, "band").repartition("band").sortWithinPartitions("band")
-        .select("band", "content", "words").mapInArrow(streaming(edges), "a bigint, b bigint").distinct()
+        spread.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+        .mapInArrow(streaming(edges), "a bigint, b bigint").distinct()
     )
 
 

@@ -324,6 +324,34 @@ def test_similar_is_exact():
     assert [got.root(i) for i in range(len(words))] == [want.root(i) for i in range(len(words))]
 
 
+@pytest.mark.parametrize("block", [2048, 7])
+def test_links_of_a_hot_band(spark, monkeypatch, block):
+    """Many different paragraphs in one band: no task compares more than two blocks, and no link is lost."""
+    monkeypatch.setattr(paragraphs, "BLOCK", block)
+    chance = random.Random(17)
+    texts_ = []
+    for n in range(40):
+        base = [f"w{n}x{k}" for k in range(24)]
+        texts_ += [" ".join(base), " ".join([*base[:-1], "end"]), " ".join(["begin", *base[1:]])]
+    chance.shuffle(texts_)
+    rows = [(n, t, [5]) for n, t in enumerate(texts_)]
+    found = written(spark.createDataFrame(rows, "content long, words string, bands array<bigint>"), "hot")
+    groups, similar = Groups(), paragraphs.similar
+
+    def bounded(contents, words):
+        # Blocks are dealt by hash: a pair of them is at most a few times its expected size.
+        assert len(contents) <= max(64, 4 * block) if block < 100 else True
+        return similar(contents, words)
+
+    monkeypatch.setattr(paragraphs, "similar", bounded)
+    for r in paragraphs.links(found).collect():
+        groups.join(r.a, r.b)
+    names = defaultdict(set)
+    for n, t in enumerate(texts_):
+        names[groups.root(n)].add(t.split()[5].split("x")[0])
+    assert len(names) == 40 and all(len(x) == 1 for x in names.values())
+
+
 def test_paragraphs_hard_rows(hard, table):
     assert paragraphs.bands(0.8, 0.99) == 3
     made = paragraphs.duplicates_removed(hard)
