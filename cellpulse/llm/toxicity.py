@@ -154,7 +154,7 @@ def _logistic(rows: np.ndarray, labels: np.ndarray, penalty: float = 1e-3) -> np
 def fitted(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0) -> Classifier:
     """A classifier from at most SAMPLE_TOXIC and SAMPLE_ORDINARY labelled documents outside the held-out fold.
 
-    Rows with a null id, text or label aren't used; of contradicting labels both are. The sample is a fixed
+    Rows with a null id, text or label aren't used; of contradicting labels both are; of rows with equal ids one is. The sample is a fixed
     function of the ids. Without labels every document gets the same score.
     """
     marked = labels.filter("doc_id is not null and toxic is not null").select("doc_id", (F.col("toxic") == 1).alias("toxic"))
@@ -164,7 +164,10 @@ def fitted(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0
         chosen.append(usable.filter(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound))
     sample = chosen[0].unionAll(chosen[1])
     texts = docs.filter("text is not null").select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-    rows = texts.join(F.broadcast(sample), "doc_id").collect()  # at most the two bounds of short texts
+    # One text of each id and label, so that rows that repeat an id aren't collected: at most the two bounds.
+    rows = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(
+        F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"].alias("text")
+    ).collect()
     rows.sort(key=lambda r: (hash_of(r.doc_id), r.text))
     return Classifier([r.text for r in rows if r.toxic], [r.text for r in rows if not r.toxic])
 

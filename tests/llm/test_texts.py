@@ -239,3 +239,13 @@ def test_lm_hard_rows(hard, table):
     # Nothing to train on: the uniform estimate has its third of every context but the unseen ones', there half.
     alone = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 10 == 0)
     assert lm.scored(table([(alone, "a b")])).first().score == pytest.approx(3 * math.log10(0.5), abs=1e-3)
+
+
+def test_toxicity_sample_is_bounded_in_rows(spark, table, monkeypatch):
+    """Rows that repeat a sampled id are one text of the sample."""
+    taken = []
+    monkeypatch.setattr(toxicity, "Classifier", lambda *texts: taken.extend(texts))
+    ids = [i for i in range(99) if zlib.crc32(str(i).encode()) % 5][:4]
+    rows = [(ids[0], f"text {k}") for k in range(50)] + [(i, "other text") for i in ids[1:]]
+    toxicity.fitted(table(rows), spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "doc_id long, toxic int"))
+    assert [len(x) for x in taken] == [2, 2]
