@@ -54,4 +54,74 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
 from judged
 """
 
-ORACLE = {"op6_chat_formatting": OP6, "op10_quality_rules": OP10}
+OP11 = r"""
+with recursive crc as (
+  select list_transform(range(256), lambda x: list_reduce([0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: xor(c >> 1, (c & 1) * 3988292384), x)) as t),
+hashed as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    xor(list_reduce(
+      list_transform(string_split(coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '), ''), lambda ch: ascii(ch)),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 20 as kind
+  from conversations, crc),
+damaged as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+    case when kind = 1 then '' when kind = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+  from hashed, range(case kind when 0 then 0 when 3 then 2 else 1 end)),
+numbered as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i from damaged),
+ordered as (
+  select *, row_number() over (partition by conv_id, role, text order by i) > 1 as seen,
+    rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as said, left(role, 1) as initial
+  from numbered),
+turns as (
+  select *, said = '' as blank, said <> '' and seen as duplicate,
+    said <> '' and not seen and right(said, 1) not in ('.', '!', '?') as truncated,
+    lag(initial) over (partition by conv_id order by i) || initial not in ('su', 'ua', 'au') as illegal
+  from ordered),
+counted as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) as n,
+    count(*) filter (blank) as blank, count(*) filter (duplicate) as duplicate,
+    count(*) filter (truncated) as truncated, count(*) filter (illegal) as illegal
+  from turns group by conv_id),
+ids as (
+  select distinct c.conv_id, gaps, coalesce(n, 0) as n, blank, duplicate, truncated, illegal
+  from conversations c left join counted d on c.conv_id is not distinct from d.conv_id),
+-- States: b nothing yet, s, u, a. Up to two insertions may stand before every turn and at the end.
+inserted(p, q, edits, price, added) as (values
+  ('b', 'b', '', 0, ''), ('s', 's', '', 0, ''), ('u', 'u', '', 0, ''), ('a', 'a', '', 0, ''),
+  ('b', 'u', 'I', 5, 'user:'), ('s', 'u', 'I', 5, 'user:'), ('a', 'u', 'I', 5, 'user:'), ('u', 'a', 'I', 5, 'assistant:'),
+  ('b', 'a', 'II', 10, 'user:' || chr(10) || 'assistant:'), ('s', 'a', 'II', 10, 'user:' || chr(10) || 'assistant:'),
+  ('a', 'a', 'II', 10, 'user:' || chr(10) || 'assistant:'), ('u', 'u', 'II', 10, 'assistant:' || chr(10) || 'user:')),
+steps(p, q, edit, price, name) as (values
+  ('b', 's', 'K', 0, 's'), ('b', 'u', 'K', 0, 'u'), ('s', 'u', 'K', 0, 'u'), ('a', 'u', 'K', 0, 'u'), ('u', 'a', 'K', 0, 'a'),
+  ('b', 'u', 'R', 1, 'user'), ('s', 'u', 'R', 1, 'user'), ('a', 'u', 'R', 1, 'user'), ('u', 'a', 'R', 1, 'assistant'),
+  ('b', 'b', 'D', 2, ''), ('s', 's', 'D', 2, ''), ('u', 'u', 'D', 2, ''), ('a', 'a', 'D', 2, '')),
+walk as (
+  select conv_id, 0 as i, n, 'b' as state, 0 as cost, '' as audit, '' as said from ids
+  union all
+  select conv_id, i, n, state, best.cost, best.audit, best.said from (
+    select w.conv_id, w.i + 1 as i, w.n, s.q as state, arg_min(
+      struct_pack(cost := w.cost + k.price + s.price + case when s.edit <> 'D' and t.truncated then 5 else 0 end,
+        audit := w.audit || k.edits || s.edit,
+        said := w.said || case when k.added = '' then '' else chr(10) || k.added end || case s.edit
+          when 'D' then '' when 'K' then chr(10) || t.role || ':' || t.text else chr(10) || s.name || ':' || t.text end),
+      struct_pack(cost := w.cost + k.price + s.price + case when s.edit <> 'D' and t.truncated then 5 else 0 end,
+        audit := w.audit || k.edits || s.edit)) as best
+    from walk w join turns t on t.conv_id is not distinct from w.conv_id and t.i = w.i + 1
+    join inserted k on k.p = w.state
+    join steps s on s.p = k.q and (s.edit = 'D' or not (t.blank or t.duplicate)) and (s.edit <> 'K' or s.name = t.initial)
+    group by w.conv_id, w.i, w.n, s.q)),
+ended as (
+  select conv_id, arg_min(struct_pack(cost := cost + price, audit := audit || edits,
+      said := said || case when added = '' then '' else chr(10) || added end),
+    struct_pack(cost := cost + price, audit := audit || edits)) as best
+  from walk join inserted on p = state where i = n and q in ('b', 'a') group by conv_id)
+select i.conv_id, cast(coalesce(gaps, 0) as bigint) as gaps, cast(coalesce(blank, 0) as bigint) as blank,
+  cast(coalesce(duplicate, 0) as bigint) as duplicate, cast(coalesce(truncated, 0) as bigint) as truncated,
+  cast(coalesce(illegal, 0) as bigint) as illegal, cast(best.cost as bigint) as cost, best.audit as audit,
+  sha256(substr(best.said, 2)) as repaired_sha256
+from ids i join ended e on i.conv_id is not distinct from e.conv_id
+"""
+
+ORACLE = {"op6_chat_formatting": OP6, "op10_quality_rules": OP10, "op11_conversation_repair": OP11}

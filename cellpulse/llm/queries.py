@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellpulse.llm import bpe, chat, counts, decontaminate, lm, paragraphs, repeats, rules, simhash, toxicity
+from cellpulse.llm import bpe, chat, counts, decontaminate, lm, paragraphs, repair, repeats, rules, simhash, toxicity
 from cellpulse.staging import new_path
 
 
@@ -83,6 +83,11 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    told = spark.read.parquet(f"{folder}/conversations.parquet")
+    return repair.audited(repair.damaged(told), told)
+
+
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_byte_level_bpe": op2_byte_level_bpe,
@@ -94,4 +99,5 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_conversation_repair": op11_conversation_repair,
 }
