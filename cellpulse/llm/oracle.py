@@ -124,4 +124,62 @@ select i.conv_id, cast(coalesce(gaps, 0) as bigint) as gaps, cast(coalesce(blank
 from ids i join ended e on i.conv_id is not distinct from e.conv_id
 """
 
-ORACLE = {"op6_chat_formatting": OP6, "op10_quality_rules": OP10, "op11_conversation_repair": OP11}
+OP12 = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+worded as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+grams as (
+  select lang, p, count(*) as a from (
+    select lang, unnest(list_concat(
+      list_transform(range(1, len(w) + 1), lambda i: [w[i]]),
+      list_transform(range(1, len(w)), lambda i: list_slice(w, i, i + 1)),
+      list_transform(range(1, len(w) - 1), lambda i: list_slice(w, i, i + 2)),
+      list_transform(range(1, len(w) - 2), lambda i: list_slice(w, i, i + 3)))) as p
+    from worded) group by lang, p),
+totals as (select lang, sum(a) as n from grams where len(p) = 1 group by lang),
+candidates as (select * from grams where len(p) > 1 and a >= 30),
+frequent as (select * from grams where a >= 30),
+parts as (
+  select *, list_slice(p, 1, k) as q, list_slice(p, k + 1, len(p)) as s
+  from (select *, unnest(range(1, len(p))) as k from candidates)),
+cuts as (
+  select c.lang, c.p, c.a, k, f.a as l, g.a as r, (2000000 * c.a::hugeint) // (f.a + g.a)::hugeint as score
+  from parts c join frequent f on f.lang = c.lang and f.p = c.q join frequent g on g.lang = c.lang and g.p = c.s),
+lowest as (
+  select lang, p, a, arg_min(struct_pack(l := l, r := r, score := score), struct_pack(score := score, k := k)) as b
+  from cuts group by lang, p, a),
+longer as (
+  select lang, q as p, max(a) as a from (
+    select lang, a, unnest(case len(p) when 3 then [p[1:2], p[2:3]] when 4 then [p[1:2], p[2:3], p[3:4], p[1:3], p[2:4]] else [] end) as q
+    from candidates) group by lang, q),
+kept as (
+  select o.lang, array_to_string(o.p, ' ') as phrase, o.a, b.l as l, b.r as r, b.score as score
+  from lowest o left join longer g on g.lang = o.lang and g.p = o.p
+  where g.a is null or 100 * g.a::hugeint < 80 * o.a::hugeint),
+ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select lang, rank, phrase, cast(a as bigint) as a, cast(l as bigint) as l, cast(r as bigint) as r,
+  cast(t.n as bigint) as n, cast(score as bigint) as score
+from ranked join totals t using (lang) where rank <= 2000
+"""
+
+# The exact search: among the 200 vectors of the compared tables the graph finds every neighbour.
+OP13 = r"""
+with rows as (
+  select distinct vec_id as id, cast(embedding as double[]) as v from embeddings where embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+scored as (
+  select q.id as query_id, c.id as vec_id,
+    list_reduce(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]), lambda a, x: a + x) as score
+  from rows q join rows c on q.id % 20 = 0 and c.id is distinct from q.id and len(c.v) = len(q.v)),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id nulls last) as rank from scored)
+select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 20
+"""
+
+ORACLE = {
+    "op6_chat_formatting": OP6, "op10_quality_rules": OP10, "op11_conversation_repair": OP11,
+    "op12_phrase_collocations": OP12, "op13_nearest_neighbours": OP13,
+}

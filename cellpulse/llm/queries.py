@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellpulse.llm import bpe, chat, counts, decontaminate, lm, paragraphs, repair, repeats, rules, simhash, toxicity
+from cellpulse.llm import ann, bpe, chat, collocations, counts, decontaminate, lm, paragraphs, repair, repeats, rules, simhash, toxicity
 from cellpulse.staging import new_path
 
 
@@ -88,6 +88,15 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair.audited(repair.damaged(told), told)
 
 
+def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.ranked(documents(spark, folder))
+
+
+def op13_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return ann.searched(ann.indexed(vectors), vectors.filter("vec_id % 20 = 0"))
+
+
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_byte_level_bpe": op2_byte_level_bpe,
@@ -100,4 +109,6 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_rules": op10_quality_rules,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
 }
