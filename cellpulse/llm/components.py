@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellpulse.staging import written
+from cellpulse.staging import discarded, written
 
 
 def _round(edges: DataFrame) -> DataFrame:
@@ -43,7 +43,8 @@ def connected(edges: DataFrame) -> DataFrame:
         state = tuple(seen)
         if not state[0]:
             break
-        now = written(_round(now), "edges")
+        before, now = now, written(_round(now), "edges")
+        discarded(before)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )

@@ -1,48 +1,55 @@
 """Substring dedup by MinHash banding of paragraphs.
 
-Texts repeat each other at any place, so a paragraph is a run of 24 words that starts where the text itself
-says so: at the least five-word shingle of any 28 neighbouring ones. A repeated passage of 51 words therefore
-holds at least one whole paragraph, at the same words in every copy.
-
-A removed paragraph is extended word by word as far as its words are those beside an earlier occurrence of its
-cluster, up to the words that a passage can have beyond its outermost paragraph: the whole passage goes.
-
-A paragraph's MinHash under each of a few permutations is a band; the number of bands is tuned so that
-paragraphs at the wanted Jaccard similarity share one almost surely. Bands that occur at one place only are
-left out, paragraphs that share a band are joined, their exact Jaccard similarity is verified, and components
-of similar paragraphs are clusters: the first occurrence of a cluster stays, all others are removed.
-
-Bands travel packed by range of their hash, one row per block of documents and range; equal paragraphs are
-reduced to one before they are compared, and a band of many different paragraphs is compared in pairs of blocks. The input is read several times and must be a stored table.
+Paragraphs are of two kinds. Marked ones are the lines of a text that have 24 words or more. Texts also repeat each
+other at any place, so pieces are runs of 24 words that start where the text itself says so: at the least five-word
+shingle of any 28 neighbouring ones. A repeated passage of 51 words therefore holds at least one whole piece, at the
+same words in every copy.
+
+A paragraph's MinHash under each of a few permutations is a band; the number of bands is tuned so that paragraphs at
+the wanted Jaccard similarity share one almost surely. Bands that occur at one place only are left out, paragraphs
+that share a band are joined, the exact Jaccard similarity of their whole shingle sets is verified, and components of
+similar paragraphs are clusters: the first occurrence of a cluster stays, all others are removed.
+
+A removed piece is extended word by word as far as its words are those beside an earlier occurrence of its cluster, up
+to the words that a passage can have beyond its outermost piece: the whole passage goes. Only where the next piece
+isn't removed as well are the words beside it looked at: they meet those of the other occurrences by cluster and
+nearest word, and a sort tells the longest stretch that each shares with an earlier one.
+
+How it travels: consecutive documents form a block, written once with the bands of its paragraphs, packed by range of
+their hash. Ranges answer every block which of its bands stand at two places. Paragraphs that share none are never told
+apart; of the others each block tells every text once. A band of many different paragraphs is compared in pairs of
+bounded blocks. Written tables go when the next one stands.
 """
 
 from __future__ import annotations
 
 import math
-import zlib
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellpulse.llm.components import connected
 from cellpulse.llm.memory import cogrouped, grouped, streaming
-from cellpulse.llm.repeats import RANGE_BYTES, _batch, _blocks, _opened, _parts, _planes, _repeated, _stored
-from cellpulse.staging import written
+from cellpulse.llm.repeats import RANGE_BYTES, _batch, _blocks, _complete, _parts, _planes, _repeated
+from cellpulse.staging import discarded, written
 
 SHINGLE, WORDS, REACH = 5, 24, 28
 SHINGLES = WORDS - SHINGLE + 1
-#: Words of a repeated passage that can lie before its first paragraph or after its last one.
+#: Words of a repeated passage that can lie before its first piece or after its last one.
 SIDE = REACH - 1
 SIMILARITY, RECALL = 0.8, 0.99
 PLACE_BITS = 24
-#: Paragraphs of a band that are compared in one block.
-BLOCK = 2048
+#: Words of different paragraphs of a band that are compared in one block.
+BLOCK = 2048 * WORDS
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
+#: Types of doc_id.
+ID_TYPES = {"bigint": pa.int64(), "int": pa.int32(), "smallint": pa.int16(), "tinyint": pa.int8(), "string": pa.string()}
 
 
 def bands(similarity: float = SIMILARITY, recall: float = RECALL) -> int:
@@ -69,9 +76,39 @@ def shingles(hashes: np.ndarray) -> np.ndarray:
     return (total ^ total >> np.uint64(29)) * np.uint64(MULTIPLIERS[2])
 
 
+def _mixes(found: np.ndarray):
+    """The hashes of the shingles under the permutation of each band."""
+    for b in range(bands()):
+        mixed = (found ^ found >> np.uint64(31)) * np.uint64(MULTIPLIERS[b % 5] ^ b << 8 | 1)
+        yield b, mixed ^ mixed >> np.uint64(30)
+
+
+def _key(least: np.ndarray, band: int) -> np.ndarray:
+    """The least of many hashes are small: mixed again, so that ranges of hashes are equal shares."""
+    again = (least + np.uint64(band)) * np.uint64(MULTIPLIERS[3])
+    return again ^ again >> np.uint64(32)
+
+
+def marked(found: np.ndarray, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First words and numbers of words of the lines of WORDS words or more, and for each band (rows) and line its
+    hash; `lines` has the first word of every line and the number of words of the text."""
+    sizes = np.diff(lines)
+    first, sizes = lines[:-1][sizes >= WORDS], sizes[sizes >= WORDS]
+    if not len(first):
+        return first, sizes, np.empty((bands(), 0), np.uint64)
+    # Between the shingles of two lines stand those that belong to neither: every other stretch is a line's.
+    cut = np.stack([first, np.minimum(first + sizes - SHINGLE + 1, len(found) - 1)]).T.ravel()
+    last_open = first[-1] + sizes[-1] - SHINGLE + 1 >= len(found)
+    keys = []
+    for b, mixed in _mixes(found):
+        least = np.minimum.reduceat(mixed, cut[:-1] if last_open else cut)[::2]
+        keys.append(_key(least, b))
+    return first, sizes, np.array(keys)
+
+
 def paragraphs(found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First words of the paragraphs of a text given by its shingles, and for each band (rows) and paragraph
-    the band's hash and the word at which its shingle stands."""
+    """First words of the pieces of a text given by its shingles, and for each band (rows) and piece the band's hash
+    and the word at which its shingle stands."""
     none = np.empty((bands(), 0), np.uint64)
     if len(found) < max(SHINGLES, REACH):
         # Too short to say where paragraphs start: one from the first word, if there is one.
@@ -86,14 +123,10 @@ def paragraphs(found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         starts = np.unique((_least((found & ~low) | place, REACH) & low).astype(np.int64))
         starts = starts[starts + SHINGLES <= len(found)]
     keys, at = [], []
-    for b in range(bands()):
-        mixed = (found ^ found >> np.uint64(31)) * np.uint64(MULTIPLIERS[b % 5] ^ b << 8 | 1)
-        mixed ^= mixed >> np.uint64(30)
+    for b, mixed in _mixes(found):
         least = (_least((mixed & ~low) | place, SHINGLES)[starts] & low).astype(np.int64)
         at.append(least)
-        # The least of many hashes are small: mix them again, so that ranges of hashes are equal shares.
-        again = (mixed[least] + np.uint64(b)) * np.uint64(MULTIPLIERS[3])
-        keys.append(again ^ again >> np.uint64(32))
+        keys.append(_key(mixed[least], b))
     return starts, np.array(keys), np.array(at)
 
 
@@ -119,107 +152,150 @@ def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return characters[first] - 1, characters[last - 1]
 
 
-def _block_bands(ids: list, texts: list[bytes]):
+def line_starts(text: bytes) -> np.ndarray:
+    """The first word of every line, and the number of words."""
+    return np.cumsum([0, *(len(line.split()) for line in text.split(b"\n"))])
+
+
+class _Text:
+    """The paragraphs of a text: first word, number of words, whether it is a piece, and bands (rows) by paragraph."""
+
+    def __init__(self, text: bytes, hashed: _Words):
+        found = shingles(hashed(text))
+        starts, keys, places = paragraphs(found)
+        first, sizes, line_keys = marked(found, line_starts(text))
+        self.pieces = len(starts)
+        self.first = np.concatenate([starts, first])
+        self.size = np.concatenate([np.full(len(starts), WORDS), sizes])
+        self.keys = np.concatenate([keys, line_keys], axis=1)
+        # Neighbouring pieces can have one shingle in common; its place counts once, for pieces and lines apart.
+        self.counted = [row[np.concatenate([[True], place[1:] != place[:-1]])] for row, place in zip(keys, places) if len(row)]
+        self.counted += [row ^ np.uint64(1) for row in line_keys]
+        self.keys[:, self.pieces :] ^= np.uint64(1)
+
+
+def _block_texts(ids: list, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[_Text]]:
     """Sorted distinct bands of a block, whether each stands at two places, and the paragraphs by document.
     Rows that repeat a document, and rows without an id, add no places."""
     hashed = _Words()
-    found = [paragraphs(shingles(hashed(t))) for t in texts]
+    found = [_Text(t, hashed) for t in texts]
     once, keys = set(), [np.empty(0, np.uint64)]
-    for doc_id, text, (_, k, at) in zip(ids, texts, found):
-        if doc_id is None or (doc_id, text) in once or not k.size:
-            continue
-        once.add((doc_id, text))
-        # Neighbouring paragraphs can have one shingle in common; its place counts once.
-        keys += [row[np.concatenate([[True], place[1:] != place[:-1]])] for row, place in zip(k, at)]
+    for doc_id, text, paragraphs_ in zip(ids, texts, found):
+        if doc_id is not None and (doc_id, text) not in once:
+            once.add((doc_id, text))
+            keys += paragraphs_.counted
     distinct, n = np.unique(np.concatenate(keys), return_counts=True)
     return distinct, n > 1, found
 
 
-def _asked(parts: int):
+def _runs(part: np.ndarray) -> list[tuple[int, int, int]]:
+    """(range, first, behind last) of each run of equal ranges: only those that occur."""
+    cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(part) else np.zeros(1, int)
+    return list(zip(part[cut[:-1]].tolist(), cut[:-1].tolist(), cut[1:].tolist()))
+
+
+def _cut(parts: int, id_type: pa.DataType):
+    """Documents of each block, packed by the thousand (part is null), and its bands by range (first is null)."""
+    names = ["block", "first", "ids", "texts", "part", "keys", "twice"]
+    types = [pa.binary(), pa.int32(), pa.list_(id_type), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
+
     def rows(batches):
         for block in _blocks(batches):
-            keys, twice, _ = _block_bands(block.ids, block.texts)
-            cut = np.searchsorted(_parts(keys, parts), np.arange(parts + 1)).tolist()
             name = block.name()
-            some = [
-                (p, name, _planes(np.diff(keys[a:b], prepend=np.uint64(0))), np.packbits(twice[a:b]).tobytes())
-                for p, (a, b) in enumerate(zip(cut, cut[1:])) if a < b
+            for a in range(0, len(block.ids), 1024):
+                some = block.texts[a : a + 1024]
+                sizes = np.array([len(t) for t in some], np.uint32).tobytes()
+                packed = zstandard.compress(len(some).to_bytes(4, "little") + sizes + b"".join(some), 3)
+                yield _batch(names, [(name, a, block.ids[a : a + 1024], packed, None, None, None)], types)
+            keys, twice, _ = _block_texts(block.ids, block.texts)
+            told = [
+                (name, None, None, None, p, _planes(np.diff(keys[a:b], prepend=np.uint64(0))), np.packbits(twice[a:b]).tobytes())
+                for p, a, b in _runs(_parts(keys, parts))
             ]
-            yield _batch(["part", "block", "keys", "twice"], some, [pa.int32(), pa.binary(), pa.binary(), pa.binary()])
+            yield _batch(names, told, types)
 
     return rows
 
 
+def _opened(docs: pa.Table) -> tuple[list, list[bytes]]:
+    """Ids and texts of a block in their order."""
+    docs = docs.sort_by("first")
+    ids, texts = [], []
+    for some, packed in zip(docs.column("ids").to_pylist(), docs.column("texts").to_pylist()):
+        data = zstandard.decompress(packed)
+        n = int.from_bytes(data[:4], "little")
+        at = 4 + 4 * n
+        for size in np.frombuffer(data, np.uint32, n, 4).tolist():
+            texts.append(data[at : at + size])
+            at += size
+        ids += some
+    return ids, texts
+
+
+def _digest(words: list[bytes]) -> int:
+    return xxhash.xxh3_64_intdigest(b" ".join(words)) - (1 << 63)
+
+
 UNIT = (
-    "doc_id {kind}, version bigint, start int, end int, content bigint, words string, bands array<bigint>, "
-    "left bigint, right bigint, back int, on int, before string, after string"
+    "doc_id {kind}, version bigint, block binary, row int, first int, size int, piece boolean, start int, end int, "
+    "next int, apart int, content bigint, words string, bands array<bigint>"
 )
 
 
 def _units(parts: int, id_type: pa.DataType):
-    """Paragraphs with a band that stands at two places: characters of the text, content and those bands, and for
-    the text of up to SIDE words on either side a hash of the words, the number of characters, and the text."""
-    names = [
-        "doc_id", "version", "start", "end", "content", "words", "bands", "left", "right", "back", "on", "before", "after"
-    ]
+    """Paragraphs with a band that stands at two places: their words and characters in the text; for a piece, the
+    first word of the next such piece within reach and the number of words between; and once for every content of the
+    block (doc_id and first are null) its words and those bands."""
+    names = ["doc_id", "version", "block", "row", "first", "size", "piece", "start", "end", "next", "apart", "content", "words", "bands"]
     types = [
-        id_type, pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.int64()),
-        pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string(),
+        id_type, pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(),
+        pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.int64()),
     ]
 
     def rows(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        _complete(docs, answers)
         out: list[tuple] = []
         if docs.num_rows:
+            name = docs.column("block")[0].as_py()
             ids, texts = _opened(docs)
-            keys, _, found = _block_bands(ids, texts)
-            cut = np.searchsorted(_parts(keys, parts), np.arange(parts + 1))
+            keys, _, found = _block_texts(ids, texts)
+            ranges = {p: (a, b) for p, a, b in _runs(_parts(keys, parts))}
             many = np.zeros(len(keys), bool)
+            if answers.num_rows != len(ranges):
+                raise ValueError("a block has not got an answer from every range: the written blocks changed")
             for part, bits in zip(answers.column("part").to_pylist(), answers.column("bits").to_pylist()):
-                a, b = cut[part], cut[part + 1]
+                a, b = ranges[part]
                 many[a:b] = np.unpackbits(np.frombuffer(bits, np.uint8), count=b - a)
-            for doc_id, text, (starts, k, _) in zip(ids, texts, found):
-                if doc_id is None or not len(starts):
+            told = set()
+            for row, (doc_id, text, mine) in enumerate(zip(ids, texts, found)):
+                if doc_id is None or not len(mine.first):
                     continue
-                shared = many[np.minimum(np.searchsorted(keys, k), len(keys) - 1)]
-                chosen = np.flatnonzero(shared.any(axis=0)).tolist()
-                if not chosen:
+                shared = many[np.minimum(np.searchsorted(keys, mine.keys), len(keys) - 1)]
+                chosen = np.flatnonzero(shared.any(axis=0))
+                if not len(chosen):
                     continue
                 said, (begins, ends) = text.lower().split(), word_places(text)
-                version, letters = xxhash.xxh3_64_intdigest(text) - (1 << 63), text.decode()
-                for n in chosen:
-                    first = int(starts[n])
-                    last = first + WORDS
-                    a, b = int(begins[first]), int(ends[last - 1])
-                    low, high = max(0, first - SIDE), min(len(said), last + SIDE)
-                    from_, to = int(begins[low]), int(ends[high - 1])
-                    words = b" ".join(said[first:last])
-                    out.append((
-                        doc_id, version, a, b, xxhash.xxh3_64_intdigest(words) - (1 << 63), words.decode(),
-                        k[shared[:, n], n].view(np.int64).tolist(),
-                        *(xxhash.xxh3_64_intdigest(b" ".join(w)) - (1 << 63) for w in (said[low:first], said[last:high])),
-                        a - from_, to - b, letters[from_:a], letters[b:to],
-                    ))
+                version = _version(text)
+                first = mine.first[chosen]
+                last = first + mine.size[chosen]
+                near = np.append((chosen[1:] < mine.pieces) & (first[1:] - first[:-1] <= REACH), False)
+                for k, n in enumerate(chosen.tolist()):
+                    a, b = int(first[k]), int(last[k])
+                    words = said[a:b]
+                    content = _digest(words)
+                    next_ = int(first[k + 1]) if near[k] else None
+                    apart = None if next_ is None else max(0, next_ - b)
+                    out.append((doc_id, version, name, row, a, b - a, n < mine.pieces, int(begins[a]), int(ends[b - 1]), next_, apart, content, None, None))
+                    if content not in told:
+                        told.add(content)
+                        out.append((*[None] * 11, content, b" ".join(words).decode(), mine.keys[shared[:, n], n].view(np.int64).tolist()))
         return pa.Table.from_batches([_batch(names, out, types)])
 
     return rows
 
 
-def units(docs: DataFrame) -> DataFrame:
-    """The written table of paragraphs that share a band with a paragraph elsewhere."""
-    base = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
-    kind = base.schema["doc_id"].dataType.simpleString()
-    id_type = {"bigint": pa.int64(), "int": pa.int32()}[kind]
-    size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(8, math.ceil(size / RANGE_BYTES))
-    repeated = (
-        base.mapInArrow(streaming(_asked(parts)), "part int, block binary, keys binary, twice binary")
-        .groupBy("part").applyInArrow(grouped(_repeated), "part int, block binary, bits binary")
-    )
-    stored = base.mapInArrow(streaming(_stored(id_type)), f"block binary, row int, doc_id {kind}, text binary")
-    found = stored.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(
-        cogrouped(_units(parts, id_type)), UNIT.format(kind=kind)
-    )
-    return written(found, "paragraphs")
+def _version(text: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
 def similar(contents: list[int], words: list[str]) -> list[tuple[int, int]]:
@@ -227,11 +303,12 @@ def similar(contents: list[int], words: list[str]) -> list[tuple[int, int]]:
 
     Sets that differ in d shingles differ in at most d bits of their 64-bit maps, so the maps are compared
     first; both are exact bounds."""
-    sets = []
+    hashed, sets, maps = _Words(), [], []
     for w in words:
-        w = w.split()
-        sets.append({tuple(w[i : i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)})
-    maps = np.array([sum({1 << (hash(s) & 63) for s in x}) for x in sets], np.uint64)
+        found = np.unique(shingles(hashed(w.encode())))
+        sets.append(set(found.tolist()))
+        maps.append(np.bitwise_or.reduce(np.uint64(1) << (found >> np.uint64(58)), initial=np.uint64(0)))
+    maps = np.array(maps, np.uint64)
     size = np.array([len(x) for x in sets])
     waiting, edges = np.ones(len(sets), bool), []
     for start in range(len(sets)):
@@ -243,7 +320,8 @@ def similar(contents: list[int], words: list[str]) -> list[tuple[int, int]]:
             here = todo.pop()
             # |A ^ B| <= (1 - s) |A | B| and |A | B| <= (|A| + |B|) / (1 + s)
             bound = (1 - SIMILARITY) * (size[here] + size) / (1 + SIMILARITY)
-            for other in np.flatnonzero(waiting & (np.bitwise_count(maps ^ maps[here]) <= bound + 1e-9)).tolist():
+            alike = (np.bitwise_count(maps ^ maps[here]) <= bound + 1e-9) & (np.abs(size - size[here]) <= bound + 1e-9)
+            for other in np.flatnonzero(waiting & alike).tolist():
                 both = len(sets[here] & sets[other])
                 if both >= SIMILARITY * (len(sets[here]) + len(sets[other]) - both) - 1e-9:
                     waiting[other] = False
@@ -253,11 +331,12 @@ def similar(contents: list[int], words: list[str]) -> list[tuple[int, int]]:
 
 
 def links(found: DataFrame) -> DataFrame:
-    """Edges (a, b) of contents that connect all contents sharing a band at SIMILARITY or more."""
-    distinct = found.groupBy("content").agg(F.first("words").alias("words"), F.first("bands").alias("bands"))
-    placed = distinct.select("content", "words", F.explode("bands").alias("band"))
-    several = placed.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(
-        "band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")
+    """Edges (a, b) of contents that connect all contents sharing a band at SIMILARITY or more; `found` has content,
+    words and bands, a content perhaps more than once."""
+    # A row for each block that holds the content: reduced before words move.
+    placed = found.select("content", F.explode("bands").alias("band"), F.size(F.split("words", " ")).alias("size")).distinct()
+    several = placed.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total")).filter("n > 1").select(
+        "band", F.greatest(F.lit(1), F.least("n", F.ceil(F.col("total") / BLOCK))).cast("int").alias("blocks")
     )
     # A paragraph of block i stands in the units (i, j) or (j, i) for all j: each pair of paragraphs shares a unit.
     mine = F.pmod(F.xxhash64("content"), F.col("blocks")).cast("int")
@@ -267,7 +346,11 @@ def links(found: DataFrame) -> DataFrame:
     )
     # With two blocks or more, a unit (i, i) has no pair that (i, j) doesn't have.
     pairs = F.when(F.col("blocks") == 1, pairs).otherwise(F.filter(pairs, lambda u: u["i"] != u["j"]))
-    spread = placed.join(several, "band").withColumn("u", F.explode(pairs)).select("band", "u.i", "u.j", "content", "words")
+    compared = written(placed.join(several, "band").select("content", "band", F.explode(pairs).alias("u")), "compared")
+    texts = found.select("content", "words").join(compared.select("content").distinct(), "content", "left_semi").groupBy(
+        "content"
+    ).agg(F.first("words").alias("words"))
+    spread = compared.join(texts, "content").select("band", "u.i", "u.j", "content", "words")
 
     def edges(batches):
         """Runs of equal (band, i, j) in sorted rows; a run may go on in the next batch."""
@@ -289,73 +372,102 @@ def links(found: DataFrame) -> DataFrame:
     )
 
 
-def _prefixes(id_type: pa.DataType):
-    """For each number of words of a side's text, counted from the paragraph, a hash of them and the characters of
-    one word less."""
-    names = ["root", "side", "n", "hash", "doc_id", "start", "version", "grown"]
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), id_type, pa.int32(), pa.int64(), pa.int32()]
+# --- the words beside removed pieces -----------------------------------------------------------------
 
-    def rows(batches):
-        hashed = _Words()
-        powers = np.array([pow(MULTIPLIERS[0], k, 1 << 64) for k in range(SIDE)], np.uint64)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                wide, grown = np.zeros((len(part), SIDE), np.uint64), np.zeros((len(part), SIDE), np.int32)
-                inside = np.zeros((len(part), SIDE), bool)
-                for k, (raw, right) in enumerate(zip(part.column("context").to_pylist(), part.column("side").to_pylist())):
-                    text = raw.encode()
-                    found, (begins, ends) = hashed(text), word_places(text)
-                    n = len(found)
-                    inside[k, :n] = True
-                    wide[k, :n] = found if right else found[::-1]
-                    grown[k, 1:n] = ends[: n - 1] if right else (len(raw) - begins[::-1])[: n - 1]
-                if len(hashed) > 1 << 18:
-                    hashed = _Words()
-                total = np.cumsum(wide * powers, axis=1, dtype=np.uint64)
-                total = (total ^ total >> np.uint64(29)) * np.uint64(MULTIPLIERS[2])
-                which, n = np.nonzero(inside)
-                taken = part.take(pa.array(which))
-                columns = [
-                    taken.column("root"), taken.column("side"), pa.array(n + 1), pa.array(total[inside].view(np.int64)),
-                    *(taken.column(c) for c in names[4:7]), pa.array(grown[inside]),
-                ]
-                yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(columns, types)], names=names)
+
+def _sides(id_type: pa.DataType):
+    """For the pieces of a block that are told with a side (0 before, 1 after): the text of up to SIDE words on that
+    side. Of equal ones in the block only the earliest goes on; the others have all words beside an earlier one."""
+    names = ["root", "side", "near", "asked", "doc_id", "version", "first", "text", "grown"]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.bool_(), id_type, pa.int64(), pa.int32(), pa.string(), pa.int32()]
+
+    def rows(docs: pa.Table, told: pa.Table) -> pa.Table:
+        _complete(docs, told)
+        out: list[tuple] = []
+        if told.num_rows:
+            _, texts = _opened(docs)
+            earliest: dict[tuple, int] = {}
+            opened, last = None, None
+            ordered = told.sort_by([(n, "ascending") for n in ("doc_id", "first", "version", "row")])
+            for row, doc_id, version, first, root, side, removed in zip(
+                *(ordered.column(n).to_pylist() for n in ("row", "doc_id", "version", "first", "root", "side", "removed"))
+            ):
+                if row != last:
+                    text = texts[row]
+                    opened, last = (text.lower().split(), *word_places(text), text.decode()), row
+                said, begins, ends, letters = opened
+                if side:
+                    words = said[first + WORDS : first + WORDS + SIDE]
+                    text_ = letters[ends[first + WORDS - 1] : ends[first + WORDS + len(words) - 1]]
+                    near = words[0] if words else b""
+                else:
+                    words = said[max(0, first - SIDE) : first]
+                    text_ = letters[begins[first - len(words)] : begins[first]]
+                    near = words[-1] if words else b""
+                if not words:
+                    continue
+                key = root, side, tuple(words)
+                if key in earliest:
+                    if removed:
+                        out.append((root, side, None, False, doc_id, version, first, None, len(text_)))
+                else:
+                    earliest[key] = row
+                    out.append((root, side, _digest([near]), removed, doc_id, version, first, text_, None))
+        return pa.Table.from_batches([_batch(names, out, types)])
 
     return rows
 
 
-def _grown(named: DataFrame, found: DataFrame, id_type: pa.DataType) -> DataFrame:
-    """doc_id, version, start, and before and after the paragraph (`less_back`, `less_on`) the characters of the words
-    that stand beside an earlier one of its cluster too. Null, or no row: of all words on that side.
+def shared_reach(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each row of word hashes, given in order of age with its number of words, how many of its first words are
+    also the first ones of an older row."""
+    n, width = words.shape
+    # Behind its words a row is like no other one.
+    padded = np.where(np.arange(width) < sizes[:, None], words, (np.arange(n, dtype=np.uint64) << np.uint64(32) | np.uint64(1))[:, None])
+    order = np.lexsort(padded.T[::-1])
+    differ = np.concatenate([padded[order[1:]] != padded[order[:-1]], np.ones((n - 1, 1), bool)], axis=1) if n > 1 else np.ones((0, width + 1), bool)
+    same = np.concatenate([[0], differ.argmax(axis=1)])
+    reach = np.zeros(n, np.int64)
+    for length in range(1, width + 1):
+        first = np.flatnonzero(same < length)
+        oldest = np.minimum.reduceat(order, first)
+        run = np.cumsum(same < length) - 1
+        younger = (oldest[run] < order) & (sizes[order] >= length)
+        reach[order[younger]] = length
+    return reach
 
-    A paragraph is the earliest with the words of its side up to some number: then it is for every larger number,
-    so the least such number is one more than its reach, and no paragraphs are compared in pairs."""
-    kind = dict(named.dtypes)["doc_id"]
-    sides = named.select(
-        "root", "doc_id", "start", "version",
-        F.explode(F.array(*(
-            F.struct(F.lit(k).alias("side"), F.col(n).alias("hash")) for k, n in enumerate(("left", "right"))
-        ))).alias("s"),
-    )
-    # Of equal sides only the earliest can have less than all of its words.
-    earliest = sides.groupBy("root", "s.side", "s.hash").agg(F.min(F.struct("doc_id", "start", "version")).alias("o"))
-    asked = earliest.select("root", "side", "o.*").groupBy("root", "doc_id", "start", "version").agg(
-        F.collect_list("side").alias("sides")
-    )
-    texts = found.select("doc_id", "version", "start", "before", "after")
-    contexts = asked.join(texts, ["doc_id", "version", "start"]).select(
-        "root", "doc_id", "start", "version", F.explode("sides").alias("side"), "before", "after"
-    ).select("root", "doc_id", "start", "version", "side", F.when(F.col("side") == 0, F.col("before")).otherwise(F.col("after")).alias("context"))
-    prefixes = contexts.mapInArrow(
-        streaming(_prefixes(id_type)),
-        f"root bigint, side int, n int, hash bigint, doc_id {kind}, start int, version bigint, grown int",
-    )
-    owners = prefixes.groupBy("root", "side", "n", "hash").agg(
-        F.min(F.struct("doc_id", "start", "version", "grown")).alias("o")
-    )
-    least = lambda k: F.min(F.when(F.col("side") == k, F.struct("n", "o.grown")))["grown"]
-    return owners.groupBy("o.doc_id", "o.version", "o.start").agg(least(0).alias("less_back"), least(1).alias("less_on"))
+
+GROWN = "doc_id {kind}, version bigint, first int, side int, grown int"
+
+
+def _reached(id_type: pa.DataType):
+    """How many characters of each asked side are words that stand beside an earlier piece of its cluster too."""
+
+    def rows(told: pa.Table) -> pa.Table:
+        told = told.sort_by([(n, "ascending") for n in ("doc_id", "first", "version")])
+        hashed = _Words()
+        sides, texts = told.column("side").to_pylist(), told.column("text").to_pylist()
+        wide, sizes = np.zeros((told.num_rows, SIDE + 2), np.uint64), np.zeros(told.num_rows, np.int64)
+        for k, (side, text) in enumerate(zip(sides, texts)):
+            found = hashed(text.encode())
+            sizes[k] = len(found) + 2
+            wide[k, 2 : len(found) + 2] = found if side else found[::-1]
+        wide[:, 0] = told.column("root").to_numpy().view(np.uint64)
+        wide[:, 1] = np.array(sides, np.uint64)
+        reach = shared_reach(wide, sizes) - 2
+        grown = []
+        asked = np.array(told.column("asked").to_pylist(), bool)
+        for k in np.flatnonzero(asked).tolist():
+            side, text, n = sides[k], texts[k], int(reach[k])
+            begins, ends = word_places(text.encode())
+            grown.append(0 if n <= 0 else int(ends[n - 1]) if side else len(text) - int(begins[len(begins) - n]))
+        taken = told.filter(pa.array(asked))
+        return pa.Table.from_arrays(
+            [taken.column("doc_id"), taken.column("version"), taken.column("first"), taken.column("side"), pa.array(grown, pa.int32())],
+            names=["doc_id", "version", "first", "side", "grown"],
+        )
+
+    return rows
 
 
 def clustered(docs: DataFrame) -> DataFrame:
@@ -363,32 +475,88 @@ def clustered(docs: DataFrame) -> DataFrame:
     those removed with the words beside them that stand beside an earlier one, too), cluster (smallest doc_id of its
     cluster) and removed (all but the first occurrence).
 
-    Occurrences are ordered by doc_id and start; those that overlap the first one are part of it. Rows with
-    equal doc_id and text are one document. Rows without an id, null, empty and short texts have none.
+    Occurrences are ordered by doc_id and place; those that overlap the first one are part of it. Rows with
+    equal doc_id and text are one document. Rows without an id, null, empty and short texts have none. doc_id is an
+    integer or a string.
     """
-    found = units(docs)
-    roots = connected(links(found))
-    named = found.join(roots, found["content"] == roots["node"], "left").select(
-        "doc_id", "version", "start", "end", F.coalesce("root", "content").alias("root"), "left", "right", "back", "on"
+    base = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
+    kind = base.schema["doc_id"].dataType.simpleString()
+    id_type = ID_TYPES[kind]
+    size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(8, math.ceil(size / RANGE_BYTES))
+    cut = written(
+        base.mapInArrow(
+            streaming(_cut(parts, id_type)),
+            f"block binary, first int, ids array<{kind}>, texts binary, part int, keys binary, twice binary",
+        ), "blocks",
+    )
+    blocks = cut.filter("part is null").select("block", "first", "ids", "texts")
+    repeated = cut.filter("part is not null").select("part", "block", "keys", "twice").groupBy("part").applyInArrow(
+        grouped(_repeated), "part int, block binary, bits binary"
     )
-    named = written(named.distinct(), "clusters")
+    told = written(
+        blocks.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(
+            cogrouped(_units(parts, id_type)), UNIT.format(kind=kind)
+        ), "paragraphs",
+    )
+    roots = connected(links(told.filter("first is null").select("content", "words", "bands")))
+    units = told.filter("first is not null").drop("words", "bands")
+    named = units.join(roots, units["content"] == roots["node"], "left").withColumn("root", F.coalesce("root", "content"))
+    named = written(named.drop("content", "node"), "clusters")
+    discarded(told)
     ends = named.groupBy("root").agg(
-        F.min(F.struct("doc_id", "start", "end")).alias("first"), F.max(F.struct("doc_id", "start")).alias("last"),
-        (F.min("left") != F.max("left")).alias("lefts"), (F.min("right") != F.max("right")).alias("rights"),
-    ).filter("last.doc_id != first.doc_id or last.start >= first.end").select("root", "first", "lefts", "rights")
+        F.min(F.struct("doc_id", "start", "end")).alias("opens"), F.max(F.struct("doc_id", "start")).alias("last"),
+    ).filter("last.doc_id != opens.doc_id or last.start >= opens.end").select("root", "opens")
+    # Rows that repeat a document are one from here on: any of their blocks can tell its words.
+    once = ["doc_id", "version", "first", "size", "piece", "start", "end", "next", "apart"]
+    several = named.join(ends, "root").groupBy("root", *once).agg(
+        F.min(F.struct("block", "row")).alias("at"), F.first("opens").alias("opens")
+    )
     flagged = written(
-        named.join(ends, "root").withColumn(
-            "removed", (F.col("doc_id") != F.col("first.doc_id")) | (F.col("start") >= F.col("first.end"))
-        ), "flagged",
+        several.withColumn(
+            "removed", (F.col("doc_id") != F.col("opens.doc_id")) | (F.col("start") >= F.col("opens.end"))
+        ).withColumn("cluster", F.col("opens.doc_id")).drop("opens"), "flagged",
+    )
+    discarded(named)
+    grown = written(_grown(blocks, _told(flagged), id_type, parts, kind), "grown")
+    discarded(cut)
+    side = lambda k: F.max(F.when(F.col("side") == k, F.col("grown")))
+    both = grown.groupBy("doc_id", "version", "first").agg(side(0).alias("back"), side(1).alias("on"))
+    more = lambda n: F.when(F.col("removed") & F.col("piece"), F.coalesce(n, F.lit(0))).otherwise(0)
+    return flagged.join(both, ["doc_id", "version", "first"], "left").select(
+        "doc_id", "version", (F.col("start") - more("back")).alias("start"), (F.col("end") + more("on")).alias("end"),
+        "cluster", "removed",
+    )
+
+
+def _told(flagged: DataFrame) -> DataFrame:
+    """The pieces whose words beside them are looked at: all pieces of the clusters in which a removed piece has, on
+    that side, no neighbour that is removed as well without words between."""
+    pieces = flagged.filter("piece")
+    inside = Window.partitionBy("doc_id", "version").orderBy("first")
+    goes_on = F.col("removed") & (F.lead("first").over(inside) == F.col("next")) & F.lead("removed").over(inside) & (F.col("apart") == 0)
+    sided = pieces.withColumn("on", F.coalesce(goes_on, F.lit(False)))
+    sided = sided.withColumn("back", F.coalesce(F.lag("on").over(inside), F.lit(False))).filter("removed")
+    open_ = sided.groupBy("root").agg(F.min("back").alias("back"), F.min("on").alias("on"))
+    sides = F.filter(F.array(F.when(~F.col("back"), F.lit(0)), F.when(~F.col("on"), F.lit(1))), lambda x: x.isNotNull())
+    return pieces.join(open_.select("root", F.explode(sides).alias("side")), "root").select(
+        "at.block", "at.row", "doc_id", "version", "first", "root", "side", "removed"
     )
-    # Sides that are the same everywhere have all their words beside the first occurrence.
-    id_type = {"bigint": pa.int64(), "int": pa.int32()}[dict(named.dtypes)["doc_id"]]
-    grown = _grown(flagged.filter("lefts or rights"), found, id_type)
-    more = lambda less, all_: F.when(F.col("removed"), F.coalesce(less, all_)).otherwise(0)
-    return flagged.join(grown, ["doc_id", "version", "start"], "left").select(
-        "doc_id", "version", (F.col("start") - more("less_back", "back")).alias("start"),
-        (F.col("end") + more("less_on", "on")).alias("end"), F.col("first.doc_id").alias("cluster"), "removed",
+
+
+def _grown(blocks: DataFrame, told: DataFrame, id_type: pa.DataType, parts: int, kind: str) -> DataFrame:
+    """doc_id, version, first, side and the characters by which a removed piece grows on that side."""
+    sides = written(
+        blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
+            cogrouped(_sides(id_type)),
+            f"root bigint, side int, near bigint, asked boolean, doc_id {kind}, version bigint, first int, text string, grown int",
+        ), "sides",
     )
+    # Words can only be shared with a side of the same nearest word.
+    part = F.pmod(F.xxhash64("root", "side", "near"), F.lit(parts)).cast("int").alias("part")
+    met = sides.filter("near is not null").groupBy(part).applyInArrow(grouped(_reached(id_type)), GROWN.format(kind=kind))
+    known = sides.filter("near is null").select("doc_id", "version", "first", "side", "grown")
+    return met.unionAll(known)
 
 
 def by_document(docs: DataFrame) -> DataFrame:

@@ -327,7 +327,7 @@ def test_similar_is_exact():
 @pytest.mark.parametrize("block", [2048, 7])
 def test_links_of_a_hot_band(spark, monkeypatch, block):
     """Many different paragraphs in one band: no task compares more than two blocks, and no link is lost."""
-    monkeypatch.setattr(paragraphs, "BLOCK", block)
+    monkeypatch.setattr(paragraphs, "BLOCK", block * paragraphs.WORDS)
     chance = random.Random(17)
     texts_ = []
     for n in range(40):
