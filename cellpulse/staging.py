@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,8 +35,31 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def _cleaned(spark: SparkSession):
+    """Shuffle files of what runs inside go when it ends: what follows reads the written table."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as Parquet below the shared folder and return a scan of it."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, new_path(df.sparkSession, name)
+    with _cleaned(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written_path = path
+    return table
+
+
+def discarded(*tables: DataFrame) -> None:
+    """Delete the files of written tables that nothing will read again."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table._written_path)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

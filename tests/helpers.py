@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import pandas as pd
 
@@ -38,3 +40,15 @@ def to_spark(spark, frame: pd.DataFrame, schema: str = PANEL):
 
 def sorted_pandas(df, *keys: str) -> pd.DataFrame:
     return df.toPandas().sort_values(list(keys)).reset_index(drop=True)
+
+
+@contextmanager
+def settings(spark, values: dict[str, str]):
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -7,8 +7,10 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cellpulse.operators import histograms, scaling
+from cellpulse.operators import histograms, ordered, scaling
 from cellpulse.operators.ordered import quantiles, running_totals
+from cellpulse.staging import written
+from helpers import settings
 
 SHARES = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
 
@@ -26,11 +28,10 @@ def samples(seed: int, kind: str) -> np.ndarray:
 
 
 @pytest.mark.parametrize("kind", ["spread", "hot", "constant", "single", "two"])
-@pytest.mark.parametrize("buckets", [1, 8, 40])
-def test_quantiles_equal_numpy(spark, kind, buckets):
+def test_quantiles_equal_numpy(spark, kind):
     values = samples(3, kind)
     df = spark.createDataFrame(pd.DataFrame({"x": values})).repartition(5)
-    made = {r.probability: r.value for r in quantiles(df, ["x"], SHARES, buckets=buckets).collect()}
+    made = {r.probability: r.value for r in quantiles(df, ["x"], SHARES).collect()}
     np.testing.assert_allclose([made[p] for p in SHARES], np.quantile(values, SHARES), rtol=1e-12)
 
 
@@ -51,21 +52,72 @@ def test_sketched_quantiles_are_close(spark):
     assert abs(made[0.5] - 500) <= 1 and abs(made[0.9] - 900) <= 1
 
 
-def test_running_totals_of_texts_within_groups(spark):
+def test_only_a_sliver_is_ordered(spark, monkeypatch):
+    """Of many distinct values few are dealt to ranges, and the figures are exact."""
+    chance = np.random.default_rng(8)
+    frame = pd.DataFrame({"a": chance.normal(size=60_000), "b": np.sort(chance.normal(size=60_000)), "c": chance.integers(0, 3, 60_000) * 1.0})
+    ordered_rows = []
+
+    def counted(df, name):
+        table = written(df, name)
+        ordered_rows.append(table.count())
+        return table
+
+    monkeypatch.setattr(ordered, "written", counted)
+    made = {(r.column, r.probability): r.value for r in quantiles(spark.createDataFrame(frame).repartition(8), list("abc"), SHARES).collect()}
+    for c in "abc":
+        np.testing.assert_allclose([made[c, p] for p in SHARES], np.quantile(frame[c], SHARES), rtol=1e-12)
+    assert len(ordered_rows) == 1 and ordered_rows[0] < 0.04 * 180_000
+
+
+@pytest.mark.parametrize("wrong", [(1e9, 2e9), (-2e9, -1e9), (0.4, 0.41)])
+def test_a_sketch_that_misses_costs_another_scan_and_nothing_else(spark, monkeypatch, wrong):
+    values = np.random.default_rng(9).random(5000)
+    right, calls = ordered._brackets, []
+
+    def missing(df, columns, probabilities, width):
+        calls.append(width)
+        if len(calls) == 1:
+            return {c: (5000, [wrong for _ in probabilities]) for c in columns}
+        return right(df, columns, probabilities, width)
+
+    monkeypatch.setattr(ordered, "_brackets", missing)
+    df = spark.createDataFrame(pd.DataFrame({"x": values}))
+    made = {r.probability: r.value for r in quantiles(df, ["x"], [0.1, 0.9]).collect()}
+    np.testing.assert_allclose([made[0.1], made[0.9]], np.quantile(values, [0.1, 0.9]))
+    assert len(calls) == 2 and calls[1] > calls[0]
+
+
+def test_quantiles_without_values(spark):
+    df = spark.createDataFrame([(None, float("nan"), 1.0), (None, 2.0, 3.0)], "a double, b double, c double")
+    made = {(r.column, r.probability): r.value for r in quantiles(df, ["a", "b", "c"], [0.5]).collect()}
+    assert made == {("b", 0.5): 2.0, ("c", 0.5): 2.0}
+    assert quantiles(df.limit(0), ["c"], [0.5]).count() == 0
+    assert df.select(ordered.median(df, "a").alias("m")).first().m is None
+
+
+@pytest.mark.parametrize("ranges", [1, 7])
+def test_running_totals_of_texts_within_groups(spark, ranges):
     frame = pd.DataFrame({"g": ["a", "b"] * 200, "k": [f"{i:03d}" for i in range(400)], "n": range(400)})
-    made = running_totals(spark.createDataFrame(frame), "k", ["n"], by=["g"], buckets=16).toPandas()
+    with settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": str(ranges)}):
+        made = running_totals(spark.createDataFrame(frame), "k", ["n"], by=["g"]).toPandas()
     frame["n_upto"] = frame.sort_values("k").groupby("g")["n"].cumsum()
     merged = made.merge(frame, on=["g", "k"])
     assert (merged.n_upto_x == merged.n_upto_y).all() and len(merged) == 400
 
 
-def test_running_totals_use_no_single_task_window(spark):
-    df = spark.range(1000).groupBy("id").agg(F.count("*").alias("n"))
-    plan = running_totals(df, "id", ["n"])._jdf.queryExecution().executedPlan().toString()
-    specs = [line.split("windowspecdefinition(")[1].split(", specified")[0] for line in plan.split("\n") if "Window [" in line]
-    specs = {re.sub(r"#\d+L?", "", spec) for spec in specs}
-    # Values run inside a bucket; only the totals of the buckets are ordered as a whole.
-    assert specs == {"_bucket, id ASC NULLS FIRST", "_bucket ASC NULLS FIRST"}
+def test_ranges_follow_the_data(spark):
+    """One exchange deals the rows to ranges; no search among splitters, no window over all rows."""
+    df = spark.range(40_000).selectExpr("id * 7 % 40009 as id", "1L as n")
+    sizes = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "60"}
+    with settings(spark, sizes):
+        found = running_totals(df, "id", ["n"])
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert found.agg(F.max("n_upto")).first()[0] == found.count() == 40_000
+    specs = {re.sub(r"#\d+L?", "", line.split("windowspecdefinition(")[1].split(", specified")[0]) for line in plan.split("\n") if "Window [" in line}
+    # Values run inside a range; only the totals of the ranges are ordered as a whole.
+    assert specs == {"_range, id ASC NULLS FIRST", "_range ASC NULLS FIRST"}
+    assert "filter(" not in plan and "NestedLoop" not in plan
 
 
 def test_label_codes_are_positions_in_sorted_order(spark):
