@@ -5,9 +5,9 @@ the bucket of the context's frequency c(v). One fold of the training documents i
 while the weights are learned: expectation-maximisation maximises its likelihood under the counts of the
 rest. Scores use the counts of all training documents and these weights.
 
-How the counts travel: words and word pairs are keyed by 64-bit hashes. Consecutive documents form a block;
-the block adds up its own counts and sends them, as sorted arrays, one row per key range. Each range adds up
-what all blocks send and answers every block with the totals of its keys, in the order in which it sent them.
+How the counts travel: words and word pairs are keyed by 64-bit hashes. Consecutive documents form a block, which
+is written once, coded by its own dictionary, with its own counts as sorted arrays, one row per key range. Each range
+adds up what all blocks hold and answers every block with the totals of its keys, in the order in which it has them.
 A frequent word is one entry per block, and the number of ranges grows with the input, so no range outgrows a
 task. The counts of the whole corpus are used; nothing is pruned.
 
@@ -28,7 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellpulse.staging import written
+from cellpulse.llm.memory import cogrouped, grouped, streaming
+from cellpulse.staging import discarded, written
 
 #: A block ends with the document at which it has so many tokens; one range per so many bytes of the corpus.
 BLOCK_TOKENS, RANGE_BYTES = 1 << 20, 12 << 20
@@ -94,16 +95,35 @@ def _hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) & ~np.uint64(1)
 
 
-def _counted(hashes: np.ndarray, coded: list[np.ndarray], kinds: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct keys of a block with their counts in training documents and in the deleted fold."""
-    keys, train, gone = [], [], []
-    for codes, kind in zip(coded, kinds):
+class Keys:
+    """The sorted distinct keys of a block, and where its words and pairs stand among them."""
+
+    def __init__(self, hashes: np.ndarray, coded: list[np.ndarray]):
+        codes = np.concatenate(coded)
+        sizes = np.array([len(c) for c in coded])
         h = hashes[codes]
-        keys += [_mixed(h[:-1], h[1:]), h]  # the begin key counts documents
-        n = 2 * len(h) - 1
-        train.append(np.full(n, kind != HELD_OUT, np.int64))
-        gone.append(np.full(n, kind == DELETED, np.int64))
-    return _unique_sums(keys, train, gone)
+        # A pair for every token but the last one of a document, which begins no pair.
+        self.begins = np.ones(len(codes), bool)
+        self.begins[np.cumsum(sizes) - 1] = False
+        at = np.flatnonzero(self.begins)
+        pairs, inverse = np.unique(_mixed(h[at], h[at + 1]), return_inverse=True)
+        self.keys = np.unique(np.concatenate([hashes, pairs]))
+        self.word = np.searchsorted(self.keys, hashes)[codes]
+        self.pair = np.searchsorted(self.keys, pairs)[inverse]
+        self.sizes = sizes
+
+    def counts(self, counted: list[bool]) -> np.ndarray:
+        """How often each key stands in the documents that are counted; the begin key counts documents."""
+        chosen = np.repeat(counted, self.sizes)
+        return np.bincount(
+            np.concatenate([self.word[chosen], self.pair[chosen[self.begins]]]), minlength=len(self.keys)
+        )
+
+
+def _runs(part: np.ndarray) -> list[tuple[int, int, int]]:
+    """(range, first, behind last) of each run of equal ranges: only those that occur."""
+    cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
+    return list(zip(part[cut[:-1]].tolist(), cut[:-1].tolist(), cut[1:].tolist()))
 
 
 def _squeezed(data: bytes) -> bytes:
@@ -151,25 +171,42 @@ def _parts_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def _asked(parts: int):
-    schema = pa.schema([("part", pa.int32()), ("block", pa.binary()), ("keys", pa.binary()), ("train", pa.binary()), ("deleted", pa.binary())])
+CUT = "block binary, place int, doc_id {kind}, kind int, codes binary, words binary, part int, keys binary, train binary, deleted binary"
+
+
+def _cut(parts: int, arrow_id: pa.DataType):
+    """Documents of each block (part is null), the first of which carries its dictionary, and the block's keys by
+    range (place is null) with their counts in training documents and in the deleted fold."""
+    kinds = [pa.binary(), pa.int32(), arrow_id, pa.int32(), pa.binary(), pa.binary(), pa.int32(), *[pa.binary()] * 3]
+    schema = pa.schema(list(zip((c.split()[0] for c in CUT.split(", ")), kinds)))
 
     def rows(batches):
         for block in _blocks(batches):
-            found, train, gone = _counted(_hashes(list(block.codes)), [r[2] for r in block.rows], [r[1] for r in block.rows])
-            cut = np.searchsorted(_parts_of(found, parts), np.arange(parts + 1)).tolist()
-            some = [(p, a, b) for p, (a, b) in enumerate(zip(cut, cut[1:])) if a < b]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p for p, _, _ in some], pa.int32()), pa.array([block.name()] * len(some), pa.binary()),
-                 pa.array([_packed_keys(found[a:b]) for _, a, b in some], pa.binary()),
-                 pa.array([_packed(train[a:b]) for _, a, b in some], pa.binary()),
-                 pa.array([_packed(gone[a:b]) for _, a, b in some], pa.binary())],
-                schema=schema,
-            )
+            name = block.name()
+            # Begin and end hold a space, so the dictionary is stored without them.
+            words = _squeezed(b" ".join(list(block.codes)[2:]))
+            docs = [
+                (name, place, doc_id, kind, _packed(codes), words if place == 0 else None, None, None, None, None)
+                for place, (doc_id, kind, codes) in enumerate(block.rows)
+            ]
+            kinds_ = [r[1] for r in block.rows]
+            found = Keys(_hashes(list(block.codes)), [r[2] for r in block.rows])
+            train, gone = found.counts([k != HELD_OUT for k in kinds_]), found.counts([k == DELETED for k in kinds_])
+            keys = [
+                (name, None, None, None, None, None, p, _packed_keys(found.keys[a:b]), _packed(train[a:b]), _packed(gone[a:b]))
+                for p, a, b in _runs(_parts_of(found.keys, parts))
+            ]
+            for a in range(0, len(docs), 1024):
+                yield _rows(docs[a : a + 1024], schema)
+            yield _rows(keys, schema)
 
     return rows
 
 
+def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+
 def _answers(asked: pa.Table) -> pa.Table:
     """Totals of a range for each block that asked, and in `fresh` how many distinct training words no block
     before it in the order of names has asked for."""
@@ -194,33 +231,27 @@ def _answers(asked: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["part", "block", "train", "deleted", "fresh"])
 
 
-def _coded(arrow_id: pa.DataType):
-    """Documents of each block; the first row of a block carries its dictionary."""
-    schema = pa.schema([("block", pa.binary()), ("place", pa.int32()), ("doc_id", arrow_id), ("kind", pa.int32()), ("codes", pa.binary()), ("words", pa.binary())])
+class _Ranked:
+    """Counts of the pairs of a block, of their contexts and of their words, as ranks packed into one number each."""
 
-    def rows(batches):
-        for block in _blocks(batches):
-            name = block.name()
-            # Begin and end hold a space, so the dictionary is stored without them.
-            words = _squeezed(b" ".join(list(block.codes)[2:]))
-            for a in range(0, len(block.rows), 256):
-                part = block.rows[a : a + 256]
-                n = len(part)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * n, pa.binary()), pa.array(range(a, a + n), pa.int32()), pa.array([r[0] for r in part], arrow_id),
-                     pa.array([r[1] for r in part], pa.int32()), pa.array([_packed(r[2]) for r in part], pa.binary()),
-                     pa.array([words if a + k == 0 else None for k in range(n)], pa.binary())],
-                    schema=schema,
-                )
-
-    return rows
+    def __init__(self, counts: np.ndarray, found: Keys):
+        self.values, rank = np.unique(counts, return_inverse=True)
+        at = np.flatnonzero(found.begins)
+        word = rank[found.word].astype(np.uint64)
+        # Fewer distinct counts than keys: 21 bits hold a rank, unless one document fills many blocks.
+        self.bits = np.uint64(max(1, int(len(self.values)).bit_length()))
+        self.wide = np.stack([rank[found.pair], rank[found.word][at], rank[found.word][at + 1]]) if 3 * self.bits > 64 else None
+        self.packed = (rank[found.pair].astype(np.uint64) << self.bits | word[at]) << self.bits | word[at + 1]
 
-
-def _pooled(values: np.ndarray) -> np.ndarray:
-    """Distinct columns of an array, with the number of each as a last row."""
-    rows = values[:, np.lexsort(values[::-1])]
-    new = np.flatnonzero(np.concatenate([[True], (rows[:, 1:] != rows[:, :-1]).any(axis=0)]))
-    return np.vstack([rows[:, new], np.diff(np.append(new, rows.shape[1]))])
+    def pooled(self, a: int, b: int) -> np.ndarray:
+        """Distinct (c(v, w), c(v), c(w)) of a stretch of pairs as columns, with the number of each as a last row."""
+        if self.wide is not None:
+            rows, n = np.unique(self.wide[:, a:b], axis=1, return_counts=True)
+            return np.vstack([self.values[rows], n])
+        packed, n = np.unique(self.packed[a:b], return_counts=True)
+        low = (np.uint64(1) << self.bits) - np.uint64(1)
+        ranks = [packed >> self.bits * np.uint64(2), packed >> self.bits & low, packed & low]
+        return np.vstack([*(self.values[r.astype(np.int64)] for r in ranks), n])
 
 
 def _histograms(arrow_id: pa.DataType):
@@ -236,23 +267,24 @@ def _histograms(arrow_id: pa.DataType):
             return schema.empty_table()
         docs = docs.sort_by("place")
         words = _restored(docs.column("words")[0].as_py()).split()
-        hashes = _hashes([FIRST, LAST, *words])
         coded = [_counts(c) for c in docs.column("codes").to_pylist()]
         kinds = docs.column("kind").to_pylist()
-        keys, _, _ = _counted(hashes, coded, kinds)
+        found = Keys(_hashes([FIRST, LAST, *words]), coded)
         parts = sorted(zip(*(totals.column(n).to_pylist() for n in ("part", "train", "deleted", "fresh"))))
         train = np.concatenate([_counts(r[1]) for r in parts]).astype(np.int64)
         left = train - np.concatenate([_counts(r[2]) for r in parts])
-        if len(train) != len(keys):
-            raise ValueError("the input changed between two reads of it; score a stored table")
+        if len(train) != len(found.keys):
+            raise ValueError("a block has not got the counts of all its keys: the written blocks changed")
         fresh = sum(r[3] for r in parts)
+        ranked = [_Ranked(train, found)] + ([_Ranked(left, found)] if DELETED in kinds else [])
         out: list[list] = [[] for _ in schema]
-        for doc_id, kind, codes in zip(docs.column("doc_id").to_pylist(), kinds, coded):
-            h = hashes[codes]
-            at = np.searchsorted(keys, np.stack([_mixed(h[:-1], h[1:]), h[:-1], h[1:]]))
-            full = _pooled(train[at])
-            rest = _packed(_pooled(left[at]).ravel()) if kind == DELETED else None
-            for column, value in zip(out, (doc_id, kind, len(h) - 1, int(full[3][full[2] > 0].sum()), fresh, _packed(full.ravel()), rest)):
+        end = 0
+        for n, (doc_id, kind, size) in enumerate(zip(docs.column("doc_id").to_pylist(), kinds, found.sizes.tolist())):
+            # One pair less than tokens in every document before this one.
+            a, b, end = end - n, end - n + size - 1, end + size
+            full = ranked[0].pooled(a, b)
+            rest = _packed(ranked[1].pooled(a, b).ravel()) if kind == DELETED else None
+            for column, value in zip(out, (doc_id, kind, size - 1, int(full[3][full[2] > 0].sum()), fresh, _packed(full.ravel()), rest)):
                 column.append(value)
             fresh = 0
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
@@ -305,7 +337,7 @@ def learned(rest: DataFrame, total: int, distinct: int) -> np.ndarray:
                 names=["bucket", "a", "b", "g"],
             )
 
-        found = rest.select("rest").mapInArrow(expected, "bucket bigint, a double, b double, g double")
+        found = rest.select("rest").mapInArrow(streaming(expected), "bucket bigint, a double, b double, g double")
         sums = {r[0]: r[1:] for r in found.groupBy("bucket").agg(F.sum("a"), F.sum("b"), F.sum("g")).collect()}
         if not sums:
             break
@@ -329,7 +361,7 @@ def scored(docs: DataFrame, folds: int = 10, held_out: int = 0, deleted: int = 1
     one token. Training documents are those whose fold is not `held_out`; rows without an id are training
     documents, repeated rows count each time. `n_known` counts tokens with a training count, `base_score` is the
     add-0.1 unigram log10 probability, `score` the model's. Without training documents the unigram estimate is
-    zero and `base_score` is the uniform one. Other columns are not read; the input must be a stored table.
+    zero and `base_score` is the uniform one. Other columns are not read. The input is read once.
     """
     base = docs.select(
         "doc_id", fold(F.col("doc_id"), folds).alias("split"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
@@ -338,23 +370,22 @@ def scored(docs: DataFrame, folds: int = 10, held_out: int = 0, deleted: int = 1
         "split", F.when(F.col("split") == held_out, HELD_OUT).when(F.col("split") == deleted, DELETED).otherwise(TRAINED)
     )
     kind = base.schema["doc_id"].dataType.simpleString()
-    arrow_id = {"bigint": pa.int64(), "int": pa.int32()}.get(kind, pa.string())
+    arrow_id = {"bigint": pa.int64(), "int": pa.int32(), "smallint": pa.int16(), "tinyint": pa.int8()}.get(kind, pa.string())
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(8, math.ceil(size / RANGE_BYTES))
-    answers = (
-        base.mapInArrow(_asked(parts), "part int, block binary, keys binary, train binary, deleted binary")
-        .groupBy("part").applyInArrow(_answers, "part int, block binary, train binary, deleted binary, fresh bigint")
-    )
-    coded = base.mapInArrow(
-        _coded(arrow_id), f"block binary, place int, doc_id {kind}, kind int, codes binary, words binary"
+    cut = written(base.mapInArrow(streaming(_cut(parts, arrow_id)), CUT.format(kind=kind)), "blocks")
+    answers = cut.filter("part is not null").select("part", "block", "keys", "train", "deleted").groupBy("part").applyInArrow(
+        grouped(_answers), "part int, block binary, train binary, deleted binary, fresh bigint"
     )
+    coded = cut.filter("part is null").select("block", "place", "doc_id", "kind", "codes", "words")
     told = written(
         coded.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-            _histograms(arrow_id),
+            cogrouped(_histograms(arrow_id)),
             f"doc_id {kind}, kind int, n_tokens bigint, n_known bigint, fresh bigint, full binary, rest binary",
         ),
         "histograms",
     )
+    discarded(cut)
     of = lambda test: F.coalesce(F.sum(F.when(test, F.col("n_tokens"))), F.lit(0))
     total, fewer, distinct = told.agg(
         of(F.col("kind") != HELD_OUT), of(F.col("kind") == TRAINED), F.coalesce(F.sum("fresh"), F.lit(0))
@@ -378,6 +409,6 @@ def scored(docs: DataFrame, folds: int = 10, held_out: int = 0, deleted: int = 1
             )
 
     return told.select("doc_id", "kind", "n_tokens", "n_known", "full").mapInArrow(
-        score,
+        streaming(score),
         f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
     )
