@@ -12,6 +12,7 @@ each: text without toxic matches compresses to the same length with both.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from functools import cache
 
@@ -22,12 +23,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellpulse.llm.memory import streaming
+from cellpulse.staging import written
 
 #: Bound of the labelled sample that is fitted on, per class (a documented parameter): training documents with
-#: the smallest hashes of their ids, and the characters of each that are used for fitting.
-SAMPLE_TOXIC, SAMPLE_ORDINARY, SAMPLE_CHARS = 1500, 6000, 6000
+#: the smallest hashes of their ids.
+SAMPLE_TOXIC, SAMPLE_ORDINARY = 1500, 6000
 #: Share of each sample that trains the dictionaries; the rest calibrates.
 TRAINING = 0.6
+#: Windows of a training document that the dictionaries see: those of least hash, from all of its text.
+WINDOWS = 48
 ORDINARY_BYTES, TOXIC_BYTES, WINDOW = 200_000, 2048, 16
 #: A beginning of words is toxic text if so many toxic documents have it and it is so many times as frequent in them.
 LEAST_DOCUMENTS, LEAST_RATIO = 4, 10
@@ -39,15 +43,20 @@ def fold(doc_id: Column, folds: int = 5) -> Column:
     return F.coalesce((F.crc32(doc_id.cast("string")) % folds).cast("int"), F.lit(-1))
 
 
-def _words(text: str | None) -> list[bytes]:
-    return (text or "").encode().lower().split()
-
-
 def windows(text: str | None) -> list[bytes]:
-    words = _words(text)
+    words = (text or "").encode().lower().split()
     return [b" %b " % b" ".join(words[i : i + WINDOW]) for i in range(0, len(words), WINDOW)]
 
 
+def some_windows(text: str | None) -> list[bytes]:
+    """At most WINDOWS windows of a text, in its order, chosen by their hashes."""
+    found = windows(text)
+    if len(found) <= WINDOWS:
+        return found
+    chosen = sorted(range(len(found)), key=lambda i: (zlib.crc32(b"%d %b" % (i, found[i])), i))[:WINDOWS]
+    return [found[i] for i in sorted(chosen)]
+
+
 def _beginnings(word: bytes) -> list[bytes]:
     """The word without punctuation at its ends, marked as whole, and its beginnings of four bytes or more,
     longest first."""
@@ -63,18 +72,19 @@ def _trained(size: int, samples: list[bytes], k: int) -> bytes:
         return b"".join(samples)[-size:]
 
 
-def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
-    """The ordinary dictionary, and the toxic one trained on what toxic texts say and ordinary ones don't."""
+def dictionaries(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> tuple[bytes, bytes]:
+    """The ordinary dictionary, and the toxic one trained on what toxic texts say and ordinary ones don't; texts are
+    lists of windows."""
     seen = [
-        Counter(p for t in texts for p in {p for w in set(_words(t)) for p in _beginnings(w)})
+        Counter(p for t in texts for p in {p for w in {w for x in t for w in x.split()} for p in _beginnings(w)})
         for texts in (toxic, ordinary)
     ]
     rate = LEAST_RATIO * len(toxic) / max(1, len(ordinary))
     own = {p for p, n in seen[0].items() if n >= LEAST_DOCUMENTS and n > rate * (seen[1][p] + 0.5)}
-    longest = (next((p for p in _beginnings(w) if p in own), None) for t in toxic for w in _words(t))
+    longest = (next((p for p in _beginnings(w) if p in own), None) for t in toxic for x in t for w in x.split())
     said = [b" %b" % p for p in longest if p]
     samples = [b"".join(said[i : i + 16]) for i in range(0, len(said), 16)]
-    base = _trained(ORDINARY_BYTES, [w for t in ordinary for w in windows(t)], 32)
+    base = _trained(ORDINARY_BYTES, [x for t in ordinary for x in t], 32)
     one = _trained(TOXIC_BYTES, samples * 3, 16) if samples else b""
     one = one[len(one) % 24 :]
     shifted = b"".join(one + b" " for _ in range(3))
@@ -113,21 +123,16 @@ def description(text: str | None, base: bytes, toxic: bytes) -> np.ndarray:
 class Classifier:
     """Dictionaries and calibration; small and of bounded size, so tasks get a copy."""
 
-    def __init__(self, toxic: list[str], ordinary: list[str]):
-        cut = [int(TRAINING * len(x) + 0.5) for x in (toxic, ordinary)]
-        self.base, self.toxic = dictionaries(toxic[: cut[0]], ordinary[: cut[1]])
-        texts = [*toxic[cut[0] :], *ordinary[cut[1] :]]
-        labels = np.array([1.0] * (len(toxic) - cut[0]) + [0.0] * (len(ordinary) - cut[1]))
-        rows = np.array([self.described(t) for t in texts]).reshape(len(texts), 2 + 2 * len(LEVELS) + 2)
+    def __init__(self, base: bytes, toxic: bytes, rows: np.ndarray, labels: np.ndarray):
+        self.base, self.toxic = base, toxic
+        rows = rows.reshape(len(rows), 4 + 2 * len(LEVELS))
         self.mean = rows.mean(axis=0) if len(rows) else np.zeros(rows.shape[1])
         self.scale = (rows.std(axis=0) if len(rows) else np.zeros(rows.shape[1])) + 1e-9
         self.weights = _logistic((rows - self.mean) / self.scale, labels)
 
-    def described(self, text: str | None) -> np.ndarray:
-        return description(text, self.base, self.toxic)
-
     def score(self, text: str | None) -> float:
-        z = self.weights[0] + ((self.described(text) - self.mean) / self.scale) @ self.weights[1:]
+        rows = description(text, self.base, self.toxic)
+        z = self.weights[0] + ((rows - self.mean) / self.scale) @ self.weights[1:]
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
@@ -154,8 +159,10 @@ def _logistic(rows: np.ndarray, labels: np.ndarray, penalty: float = 1e-3) -> np
 def fitted(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0) -> Classifier:
     """A classifier from at most SAMPLE_TOXIC and SAMPLE_ORDINARY labelled documents outside the held-out fold.
 
-    Rows with a null id, text or label aren't used; of contradicting labels both are; of rows with equal ids one is. The sample is a fixed
-    function of the ids. Without labels every document gets the same score.
+    Rows with a null id, text or label aren't used; of contradicting labels both are; of rows with equal ids one is.
+    The sample is a fixed function of the ids. Without labels every document gets the same score. Whole texts stay in
+    the tasks: the driver gets WINDOWS windows of each training document, drawn from all of its text, and the
+    description, a dozen numbers, of the whole text of each calibrating one.
     """
     marked = labels.filter("doc_id is not null and toxic is not null").select("doc_id", (F.col("toxic") == 1).alias("toxic"))
     usable = marked.filter(fold(F.col("doc_id"), folds) != held_out).distinct()
@@ -163,18 +170,53 @@ def fitted(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0
     for toxic, bound in ((True, SAMPLE_TOXIC), (False, SAMPLE_ORDINARY)):
         chosen.append(usable.filter(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound))
     sample = chosen[0].unionAll(chosen[1])
-    texts = docs.filter("text is not null").select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-    # One text of each id and label, so that rows that repeat an id aren't collected: at most the two bounds.
-    rows = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(
-        F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"].alias("text")
+    texts = docs.filter("text is not null").select("doc_id", F.col("text").cast("string").alias("text"))
+    # One text of each id and label, so that rows that repeat an id aren't taken: at most the two bounds.
+    rows = written(
+        texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(
+            F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"].alias("text")
+        ), "sample",
+    )
+    kind = dict(rows.dtypes)["doc_id"]
+    ids = sorted(((r.doc_id, r.toxic) for r in rows.select("doc_id", "toxic").collect()), key=lambda r: (hash_of(r[0]), str(r[0])))
+    cut = {toxic: int(TRAINING * sum(r[1] == toxic for r in ids) + 0.5) for toxic in (True, False)}
+    part: dict[bool, list] = {True: [], False: []}
+    for doc_id, toxic in ids:
+        part[toxic].append(doc_id)
+    order = {(doc_id, toxic): n for n, (doc_id, toxic) in enumerate(ids)}
+    trains = [(doc_id, toxic) for toxic in part for doc_id in part[toxic][: cut[toxic]]]
+    training = docs.sparkSession.createDataFrame(trains, f"doc_id {kind}, toxic boolean").withColumn("trains", F.lit(True))
+    split = rows.join(F.broadcast(training), ["doc_id", "toxic"], "left")
+
+    def cut_up(batches):
+        for batch in batches:
+            found = [some_windows(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("toxic"), pa.array(found, pa.list_(pa.binary()))], names=["doc_id", "toxic", "windows"]
+            )
+
+    taken = split.filter("trains").select("doc_id", "toxic", "text").mapInArrow(
+        streaming(cut_up), f"doc_id {kind}, toxic boolean, windows array<binary>"
     ).collect()
-    rows.sort(key=lambda r: (hash_of(r.doc_id), r.text))
-    return Classifier([r.text for r in rows if r.toxic], [r.text for r in rows if not r.toxic])
+    taken.sort(key=lambda r: order[r.doc_id, r.toxic])
+    said = {toxic: [[bytes(w) for w in r.windows] for r in taken if r.toxic == toxic] for toxic in (True, False)}
+    base, toxic_ = dictionaries(said[True], said[False])
 
+    def described(batches):
+        for batch in batches:
+            found = [description(t, base, toxic_).tolist() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("toxic"), pa.array(found, pa.list_(pa.float64()))], names=["doc_id", "toxic", "row"]
+            )
 
-def hash_of(doc_id) -> int:
-    import zlib
+    told = split.filter("trains is null").select("doc_id", "toxic", "text").mapInArrow(
+        streaming(described), f"doc_id {kind}, toxic boolean, row array<double>"
+    ).collect()
+    told.sort(key=lambda r: (not r.toxic, order[r.doc_id, r.toxic]))
+    return Classifier(base, toxic_, np.array([r.row for r in told], float), np.array([float(r.toxic) for r in told]))
 
+
+def hash_of(doc_id) -> int:
     return zlib.crc32(f"order {doc_id}".encode())
 
 
@@ -195,7 +237,11 @@ def scored(docs: DataFrame, classifier: Classifier) -> DataFrame:
 
 
 def rejected_removed(docs: DataFrame, classifier: Classifier, threshold: float = 0.5) -> DataFrame:
-    """The rows of `docs`, all columns, whose text scores below `threshold`."""
+    """The rows of `docs`, all columns, whose text scores below `threshold`.
+
+    Null and empty texts get the score of a text without windows, rows without an id that of their text, and repeated
+    rows stay or go together; an empty table stays empty.
+    """
     schema = docs.schema
 
     def rows(batches):

@@ -244,8 +244,95 @@ def test_lm_hard_rows(hard, table):
 def test_toxicity_sample_is_bounded_in_rows(spark, table, monkeypatch):
     """Rows that repeat a sampled id are one text of the sample."""
     taken = []
-    monkeypatch.setattr(toxicity, "Classifier", lambda *texts: taken.extend(texts))
+    made = toxicity.dictionaries
+    monkeypatch.setattr(toxicity, "dictionaries", lambda *texts: taken.extend(texts) or made(*texts))
+    monkeypatch.setattr(toxicity, "Classifier", lambda base, toxic, rows, labels: taken.append(rows))
     ids = [i for i in range(99) if zlib.crc32(str(i).encode()) % 5][:4]
     rows = [(ids[0], f"text {k}") for k in range(50)] + [(i, "other text") for i in ids[1:]]
     toxicity.fitted(table(rows), spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "doc_id long, toxic int"))
-    assert [len(x) for x in taken] == [2, 2]
+    assert len(taken[0]) + len(taken[1]) + len(taken[2]) == 4
+
+
+def test_toxicity_sees_all_of_a_long_text():
+    """Windows that train come from a whole text, whatever its length, and so does a description."""
+    text = " ".join(f"word{i}" for i in range(80_000))
+    found = toxicity.some_windows(text)
+    places = [int(w.split()[0][4:]) for w in found]
+    assert len(found) == toxicity.WINDOWS and places == sorted(places)
+    assert places[0] < 20_000 and places[-1] > 60_000
+    rows, labels = toxic_rows(300)
+    said = [toxicity.some_windows(t) for i, t in rows]
+    toxic = [w for w, (_, t) in zip(said, labels) if t]
+    base, own = toxicity.dictionaries(toxic, [w for w, (_, t) in zip(said, labels) if not t])
+    late = text + " " + b" ".join(toxic[0]).decode()
+    assert toxicity.description(late, base, own)[0] > toxicity.description(text, base, own)[0]
+
+
+def test_rejected_rows_on_hard_and_empty_tables(spark, hard, table):
+    rows, labels = toxic_rows(300)
+    classifier = toxicity.fitted(table(rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    kept = toxicity.rejected_removed(hard, classifier)
+    assert kept.schema == hard.schema and kept.exceptAll(hard).count() == 0
+    scores = {(r.doc_id, r.text): classifier.score(r.text) for r in hard.collect()}
+    assert {(r.doc_id, r.text) for r in kept.collect()} == {k for k, v in scores.items() if v < 0.5}
+    assert toxicity.rejected_removed(hard.limit(0), classifier).count() == 0
+
+
+def plain_scores(texts):
+    """The interpolated model by dictionaries: expectation-maximisation over the tokens of the deleted fold."""
+    split = {i: [" begin", *(t or "").encode().lower().split(), " end"] for i, t in texts}
+    fold = {i: zlib.crc32(str(i).encode()) % 10 for i in split}
+
+    def counted(ids):
+        words, pairs, contexts = Counter(), Counter(), Counter()
+        for i in ids:
+            words.update(split[i][1:])
+            contexts.update(split[i])
+            pairs.update(zip(split[i], split[i][1:]))
+        return words, pairs, contexts, sum(words.values())
+
+    def parts(counts, v, w, distinct):
+        words, pairs, contexts, total = counts
+        n = contexts[v]
+        bucket = min(int(math.log2(n)) + 1, lm.BUCKETS - 1) if n else 0
+        return bucket, (pairs[v, w] / n if n else 0.0, words[w] / total if total else 0.0, 1 / (distinct + 1))
+
+    full = counted([i for i in split if fold[i] != 0])
+    rest = counted([i for i in split if fold[i] > 1])
+    distinct = len(full[0])
+    weights = [[0.0, 0.5, 0.5]] + [[1 / 3] * 3 for _ in range(lm.BUCKETS - 1)]
+    before = -math.inf
+    for _ in range(lm.ROUNDS):
+        sums, likelihood = [[0.0] * 3 for _ in range(lm.BUCKETS)], 0.0
+        for i in split:
+            if fold[i] == 1:
+                for v, w in zip(split[i], split[i][1:]):
+                    bucket, e = parts(rest, v, w, distinct)
+                    shares = [a * b for a, b in zip(weights[bucket], e)]
+                    likelihood += math.log(sum(shares))
+                    for k in range(3):
+                        sums[bucket][k] += shares[k] / sum(shares)
+        weights = [[x / sum(row) for x in row] if sum(row) else old for row, old in zip(sums, weights)]
+        if likelihood - before < lm.TOLERANCE * abs(likelihood):
+            break
+        before = likelihood
+    weights = [[max(x, 1e-6) for x in row] for row in weights]
+    weights[0][0] = 0.0
+    weights = [[x / sum(row) for x in row] for row in weights]
+    found = {}
+    for i, words_ in split.items():
+        total = 0.0
+        for v, w in zip(words_, words_[1:]):
+            bucket, e = parts(full, v, w, distinct)
+            total += math.log10(sum(a * b for a, b in zip(weights[bucket], e)))
+        found[i] = total
+    return found
+
+
+def test_lm_scores_equal_plain_expectation_maximisation(table):
+    chance = random.Random(11)
+    vocabulary = [f"w{int(chance.paretovariate(0.7))}" for _ in range(500)]
+    texts_ = [(i, " ".join(chance.choices(vocabulary, k=chance.randint(0, 60)))) for i in range(150)] + [(200, None), (201, "")]
+    want = plain_scores(texts_)
+    got = {r.doc_id: r.score for r in lm.scored(table(texts_)).collect()}
+    assert set(got) == set(want) and all(got[i] == pytest.approx(want[i], rel=1e-9) for i in want)
