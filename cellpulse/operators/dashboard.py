@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -12,24 +13,19 @@ from cellpulse.operators.histograms import equal_width
 P, E = "ultra_predicted", "ultra_error"
 
 
-def at_time(df: DataFrame, time: str | None = None) -> Column:
+def at_time(df: DataFrame, time: str | datetime | None = None) -> Column:
     """Filter on one window, the latest by default.
 
-    A table stored by day (`tables.write_predictions`) is read in the folder of that day only; the latest day is
-    found from the folders and the latest window in one of them.
+    Of a stored table (`sources.manifest`) give the rows that `Stored.at` finds and their time: then only the files of
+    that window are read, and no search for the latest one runs.
     """
-    dated = "window_date" in df.columns
-    if time is not None:
-        at = F.lit(time).cast(df.schema["time_window"].dataType)
-    else:
-        last = df.where(F.col("window_date") == df.agg(F.max("window_date")).scalar()) if dated else df
-        at = last.agg(F.max("time_window")).scalar()
-    here = F.col("time_window") == at
-    return (F.col("window_date") == F.to_date(at)) & here if dated else here
+    kind = df.schema["time_window"].dataType
+    latest = F.lit(time).cast(kind) if time is not None else df.agg(F.max("time_window")).scalar()
+    return F.col("time_window") == latest
 
 
 def select_rows(
-    df: DataFrame, time: str | None = None, levels: Sequence[str] = RISK_LABELS, min_prediction: float = 0.0
+    df: DataFrame, time: str | datetime | None = None, levels: Sequence[str] = RISK_LABELS, min_prediction: float = 0.0
 ) -> DataFrame:
     return df.where(at_time(df, time) & F.col("risk_level").isin(*levels) & (F.col(P) >= min_prediction))
 
@@ -74,22 +70,22 @@ def map_layer(df: DataFrame, threshold: float = 5.0, sample: int | None = None,
     )
 
 
-def performance(df: DataFrame, time: str | None = None) -> DataFrame:
+def performance(df: DataFrame, time: str | datetime | None = None) -> DataFrame:
     """Actual and predicted value of every cell at one time with the shared axis end."""
     rows = df.where(at_time(df, time))
     end = rows.agg(F.greatest(F.max("target"), F.max(P))).scalar()
     return rows.select("cell_id", "target", P, E, "risk_level").withColumn("axis_max", end)
 
 
-def risk_counts(df: DataFrame, time: str | None = None) -> DataFrame:
+def risk_counts(df: DataFrame, time: str | datetime | None = None) -> DataFrame:
     return df.where(at_time(df, time)).groupBy("risk_level").agg(F.count("*").alias("n"))
 
 
-def error_histogram(df: DataFrame, time: str | None = None, bins: int = 50) -> DataFrame:
+def error_histogram(df: DataFrame, time: str | datetime | None = None, bins: int = 50) -> DataFrame:
     return equal_width(df.where(at_time(df, time)), E, bins)
 
 
-def hotspots(df: DataFrame, n: int = 10, time: str | None = None) -> DataFrame:
+def hotspots(df: DataFrame, n: int = 10, time: str | datetime | None = None) -> DataFrame:
     """The n cells with the highest prediction at one time; n rows reach the ranking window."""
     top = df.where(at_time(df, time)).orderBy(F.desc(P), "cell_id").limit(n)
     return top.select(

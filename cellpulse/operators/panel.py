@@ -10,27 +10,50 @@ from cellpulse.config import SLOT_LABELS
 from cellpulse.functions import calendar, spatial
 
 
-def grid_time_panel(gridded: DataFrame) -> DataFrame:
-    """One row per cell and window that holds an incident.
+KEY = ("grid_lat_idx", "grid_lon_idx", "time_window")
+SLOTS = tuple(f"_slot{i}" for i in range(len(SLOT_LABELS)))
+
+
+def partial_panel(gridded: DataFrame) -> DataFrame:
+    """Sums, counts and minima per cell and window, from which `merged_panel` makes the rows of the panel.
 
-    Grouped by the integer indices; every measure, the slot mode included, is a sum, a count or a
-    minimum, so a hot cell is folded to one row per task before the single shuffle. The mode is read
-    off one counter per slot, the earliest slot winning a tie.
+    Partial rows of any parts of the incidents add up to those of all. Grouped by the integer indices, so a hot cell is
+    folded to one row per task before the single shuffle.
     """
     code = calendar.slot_code(F.col("hour"))
-    slots = [f"_slot{i}" for i in range(len(SLOT_LABELS))]
-    counted = gridded.groupBy("grid_lat_idx", "grid_lon_idx", "time_window").agg(
+    return gridded.groupBy(*KEY).agg(
         F.min("cell_center_lat").alias("cell_center_lat"),
         F.min("cell_center_lon").alias("cell_center_lon"),
         F.count("category").alias("incident_count"),
-        F.avg("hour").alias("hour"),
+        F.sum("hour").alias("_hours"),
+        F.count("hour").alias("_timed"),
         F.min("day_of_week").alias("day_of_week"),
         F.min("is_weekend").alias("is_weekend"),
-        *[F.count_if(code == i).alias(name) for i, name in enumerate(slots)],
+        *[F.count_if(code == i).alias(name) for i, name in enumerate(SLOTS)],
     )
-    most = F.greatest(*slots)
-    mode = reduce(lambda when, i: when.when(F.col(slots[i]) == most, i), range(1, len(slots)),
-                  F.when(F.col(slots[0]) == most, 0))
+
+
+def merged_panel(partial: DataFrame) -> DataFrame:
+    """The panel of partial rows, several of which may be of one cell and window."""
+    totals = ("incident_count", "_hours", "_timed", *SLOTS)
+    least = ("cell_center_lat", "cell_center_lon", "day_of_week", "is_weekend")
+    whole = partial.groupBy(*KEY).agg(*[F.min(c).alias(c) for c in least], *[F.sum(c).alias(c) for c in totals])
+    return _finished(whole.withColumn("hour", F.try_divide("_hours", "_timed")))
+
+
+def grid_time_panel(gridded: DataFrame) -> DataFrame:
+    """One row per cell and window that holds an incident.
+
+    Every measure, the slot mode included, is a sum, a count or a minimum: one partial aggregation, one shuffle.
+    """
+    return _finished(partial_panel(gridded).withColumn("hour", F.try_divide("_hours", "_timed")))
+
+
+def _finished(counted: DataFrame) -> DataFrame:
+    """The mode is read off one counter per slot, the earliest slot winning a tie."""
+    most = F.greatest(*SLOTS)
+    mode = reduce(lambda when, i: when.when(F.col(SLOTS[i]) == most, i), range(1, len(SLOTS)),
+                  F.when(F.col(SLOTS[0]) == most, 0))
     return counted.select(
         spatial.cell_name(F.col("grid_lat_idx"), F.col("grid_lon_idx")).alias("cell_id"),
         "time_window",

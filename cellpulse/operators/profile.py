@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from cellpulse.config import KM_PER_DEGREE_LAT, KM_PER_DEGREE_LON
-from cellpulse.functions import calendar
+from cellpulse.functions import calendar, parsing
 from cellpulse.operators.panel import whole_days
 
 
@@ -125,6 +125,88 @@ def detect_roles_by_name(df: DataFrame) -> dict[str, str | None]:
     return found
 
 
+@dataclass(frozen=True)
+class EvidenceRules:
+    """Layouts of dates, ranges of coordinates, and the least share of the filled values that must agree."""
+
+    formats: tuple[str, ...] = parsing.TIMESTAMP_FORMATS
+    lat_range: tuple[float, float] = (41.6, 42.1)
+    lon_range: tuple[float, float] = (-88.0, -87.5)
+    least: float = 0.5
+    #: Most distinct values of a category, as a share of the filled ones.
+    category_share: float = 0.05
+
+
+def role_evidence(df: DataFrame, rules: EvidenceRules = EvidenceRules()) -> DataFrame:
+    """One row per column: position, column, filled, `date_share` (best layout, 1 for dates and timestamps), `layout`,
+    `lat_share`, `lon_share` and `distinct_share` of the filled values; null where a column's type rules it out.
+
+    One aggregation over all columns; distinct values are estimated by a sketch.
+    """
+    counted, rows = [], []
+    for i, f in enumerate(df.schema.fields):
+        value = F.col(f"`{f.name}`")
+        text, number = isinstance(f.dataType, T.StringType), isinstance(f.dataType, T.NumericType)
+        counted += [F.count(value).alias(f"n{i}"), F.approx_count_distinct(value, 0.01).alias(f"d{i}")]
+        for k, layout in enumerate(rules.formats if text else ()):
+            counted.append(F.count(F.try_to_timestamp(value, F.lit(layout))).alias(f"t{i}_{k}"))
+        if number:
+            counted += [F.count_if(value.between(*rules.lat_range)).alias(f"y{i}"), F.count_if(value.between(*rules.lon_range)).alias(f"x{i}")]
+        share = lambda c, i=i: F.try_divide(F.col(c), F.col(f"n{i}"))
+        none = F.lit(None).cast("double")
+        layouts = [F.struct(share(f"t{i}_{k}").alias("share"), F.lit(-k).alias("k"), F.lit(x).alias("layout")) for k, x in enumerate(rules.formats if text else ())]
+        best = F.array_max(F.array(*layouts)) if layouts else None
+        dated = isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))
+        rows.append(F.struct(
+            F.lit(i).alias("position"), F.lit(f.name).alias("column"), F.col(f"n{i}").alias("filled"),
+            (best["share"] if text else F.when(F.col(f"n{i}") > 0, F.lit(1.0)) if dated else none).alias("date_share"),
+            (F.when(best["share"] > 0, best["layout"]) if text else F.lit(None).cast("string")).alias("layout"),
+            (share(f"y{i}") if number else none).alias("lat_share"), (share(f"x{i}") if number else none).alias("lon_share"),
+            (F.least(share(f"d{i}"), F.lit(1.0)) if text else none).alias("distinct_share"),
+        ))
+    return _rows(df.agg(*counted), rows)
+
+
+def detect_roles_by_evidence(df: DataFrame, rules: EvidenceRules = EvidenceRules(), hints: RoleRules = RoleRules()) -> DataFrame:
+    """Rows (role, column, share): values decide, names only between columns that agree equally.
+
+    A column whose values don't agree isn't taken, whatever its name; a role that no column can have is null.
+    """
+    def named(words, names=(), without=()) -> Column:
+        low = F.lower("column")
+        hit = F.lit(False)
+        for w in words:
+            hit = hit | F.contains(low, F.lit(w))
+        for n in names:
+            hit = hit | (low == n)
+        for w in without:
+            hit = hit & ~F.contains(low, F.lit(w))
+        return hit.cast("int")
+
+    found = role_evidence(df, rules)
+    few = (F.lit(1.0) - F.col("distinct_share"))
+    category = F.when((F.col("distinct_share") <= rules.category_share) & (F.col("date_share") < rules.least), few)
+    roles = {
+        "date": (F.col("date_share"), named(hints.date_words, without=hints.date_not)),
+        "latitude": (F.col("lat_share"), named(hints.lat_words, hints.lat_names)),
+        "longitude": (F.col("lon_share"), named(hints.lon_words, hints.lon_names)),
+        "category": (category, named(hints.category_words)),
+    }
+    best = []
+    for role, (share, hint) in roles.items():
+        # A category's share only says that it is one: names, then the fewest values decide.
+        rank = F.struct(hint, share, -F.col("position")) if role == "category" else F.struct(share, hint, -F.col("position"))
+        fits = share >= rules.least
+        best.append(F.max_by(F.when(fits, F.struct("column", share.alias("share"))), F.when(fits, rank)).alias(role))
+    picked = found.agg(*best)
+    return _rows(picked, [F.struct(F.lit(r).alias("role"), F.col(r)["column"].alias("column"), F.col(r)["share"].alias("share")) for r in roles])
+
+
+def name_roles(df: DataFrame) -> DataFrame:
+    """The loose variant as rows (role, column)."""
+    return df.sparkSession.createDataFrame(list(detect_roles_by_name(df).items()), "role string, column string")
+
+
 def date_coverage(df: DataFrame, ts: str = "ts") -> DataFrame:
     """One row: extent, span, distinct dates and years, share of readable timestamps."""
     return df.agg(

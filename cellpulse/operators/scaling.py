@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -71,19 +71,31 @@ def label_codes(df: DataFrame, column: str) -> DataFrame:
     return numbered.select("value", "rows", (F.col("one_upto") - 1).cast("int").alias("code"))
 
 
-def label_encode(df: DataFrame, *columns: str, names: Sequence[str] = ()) -> DataFrame:
-    """Adds the codes of text columns, `<column>_code` unless named.
+def fit_codes(df: DataFrame, *columns: str) -> dict[str, DataFrame]:
+    """The written code tables of text columns, by column."""
+    return {c: written(label_codes(df, c), "label-codes") for c in columns}
 
-    The code tables are built from `df` as it is and written once, so encoding another column repeats no work
-    of the first; a frequent text is looked up in place.
+
+def encode(df: DataFrame, codes: Mapping[str, DataFrame], names: Mapping[str, str] | None = None) -> DataFrame:
+    """Adds the codes of text columns from fitted tables, `<column>_code` unless named; nothing is fitted.
+
+    A text that the tables don't know, and a null, has no code. A frequent text is looked up in place.
     """
-    tables = [written(label_codes(df, c), "label-codes") for c in columns]
     coded = df
-    for n, (column, codes) in enumerate(zip(columns, tables)):
-        name = names[n] if n < len(names) else f"{column}_code"
-        codes = codes.withColumnsRenamed({"value": "_text", "rows": "_rows", "code": "_code"})
+    for column, table in codes.items():
+        name = (names or {}).get(column, f"{column}_code")
+        table = table.withColumnsRenamed({"value": "_text", "rows": "_rows", "code": "_code"})
         before = coded.columns
         keyed = coded.withColumn("_text", F.col(column).cast("string"))
-        found = spread_lookup(keyed, codes, "_text", "_rows", df.columns)
+        found = spread_lookup(keyed, table, "_text", "_rows", df.columns)
         coded = found.select(*before, F.col("_code").alias(name))
     return coded
+
+
+def label_encode(df: DataFrame, *columns: str, names: Sequence[str] = ()) -> DataFrame:
+    """Adds the codes of text columns, `<column>_code` unless named.
+
+    The code tables are built from `df` as it is and written once, so encoding another column repeats no work
+    of the first.
+    """
+    return encode(df, fit_codes(df, *columns), dict(zip(columns, names)))

@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cellpulse.functions import parsing, scores
 from cellpulse.operators import (
-    classification, clean, dashboard, ensemble, ewma, fairness, features, grid, histograms, history, models,
-    neighbors, panel, predictions, profile, report, scaling, slots, split, summaries,
+    asof, classification, clean, dashboard, ensemble, ewma, fairness, features, grid, histograms, history, models,
+    neighbors, panel, predictions, profile, regular, report,
+    scaling, slots, split, summaries,
 )
+from cellpulse.plans.incremental import IncrementalPanel
 from cellpulse.queries import views
 from cellpulse.queries.views import CONFIG
-from cellpulse.sources import tables
+from cellpulse.sources import artefacts, tables
 from cellpulse.staging import new_path, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +25,7 @@ CATALOG: dict[str, Query] = {}
 
 CLASSIFIERS = ["forest", "boosted", "gradient", "logistic"]
 ROLLING = ["rolling_mean_1", "rolling_mean_3", "rolling_mean_7", "rolling_mean_14"]
+SIX = [*ROLLING, "lag_3", "rolling_max_3"]
 CELL_KEY = ["cell_id", "time_window"]
 CORRELATED = ["lat", "lon", "district", "resolved", "hour"]
 DESKTOP_INPUTS = ["lat", "lon", "district", "hour", "day_of_week", "is_weekend", "is_night", "dist_from_center"]
@@ -64,11 +67,21 @@ def _prediction_query(name: str, build: Callable[[DataFrame], DataFrame]) -> Non
     query(name)(lambda spark, folder: build(views.stages(spark, folder).predictions()))
 
 
-def _dashboard_query(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
+def _dashboard_query(name: str, build: Callable[..., DataFrame], time: str | None = None) -> None:
+    """A view of one window, the latest by default, over the files that hold it."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        stored = views.daily_predictions(spark, folder)
+        at = time or stored.latest()
+        return build(predictions.with_open_risk(stored.at(at), CONFIG), at)
+
+    query(name)(run)
+
+
+def _stored_query(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
+    """A view of all windows."""
     query(name)(
-        lambda spark, folder: build(
-            predictions.with_open_risk(views.daily_predictions(spark, folder), CONFIG)
-        )
+        lambda spark, folder: build(predictions.with_open_risk(views.daily_predictions(spark, folder).rows, CONFIG))
     )
 
 
@@ -168,6 +181,20 @@ _incident_query(
         )
     ),
 )
+
+
+def _unnamed(df: DataFrame) -> DataFrame:
+    """Columns whose names say nothing, and some that say something else."""
+    return df.select(
+        F.col("event_id").alias("ID"), F.date_format("ts", "MM/dd/yyyy hh:mm:ss a").alias("noted"),
+        F.col("category").alias("Date"), F.col("lat").alias("a"), F.col("lon").alias("b"),
+        F.col("district").cast("double").alias("Latitude"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("sent"),
+    )
+
+
+_incident_query("role_evidence", lambda df: profile.role_evidence(_unnamed(df)).drop("distinct_share"))
+_incident_query("detect_roles_evidence", lambda df: profile.detect_roles_by_evidence(_unnamed(df)).select("role", "column"))
+_incident_query("detect_roles_by_name", lambda df: profile.name_roles(_unnamed(df)))
 _incident_query("date_coverage", profile.date_coverage)
 _incident_query("coord_coverage", profile.coord_coverage)
 _incident_query("top_categories", lambda df: profile.top_categories(df, k=3))
@@ -188,6 +215,32 @@ _cleaned_query(
 _cleaned_query("time_windows", lambda df: grid.assign_windows(df.select("event_id", "ts"), CONFIG))
 query("grid_time_panel")(lambda spark, folder: views.stages(spark, folder).build_panel())
 
+
+@query("grid_meta_stored")
+def grid_meta_stored(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_path(spark, "grid")
+    found = grid.grid_metadata(views.stages(spark, folder).cleaned, CONFIG)
+    artefacts.write_grid(found, path)
+    return artefacts.read_grid(spark, path, found.schema)
+
+
+@query("panel_incremental")
+def panel_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """The panel from three batches that come out of order, one of them twice; two are folded into one."""
+    chain = views.stages(spark, folder)
+    growing = IncrementalPanel(spark, new_path(spark, "incremental"), chain.anchored)
+    for part in (2, 0, 1, 2):
+        growing.add(chain.incidents.where(F.col("event_id") % 3 == part), f"part-{part}")
+    growing.compact("early", ["part-0", "part-1"])
+    return growing.panel()
+
+
+_panel_query("panel_dense", lambda df: regular.densify(df, CONFIG))
+_panel_query(
+    "feat_target_dense",
+    lambda df: history.target_feature(regular.densify(df, CONFIG)).select(*CELL_KEY, "incident_count", "target", "target_binary"),
+)
+
 # --- aggregations ------------------------------------------------------------------------------------
 
 _gridded_query("cell_totals", summaries.cell_totals)
@@ -221,6 +274,15 @@ _panel_query(
         *CELL_KEY, "dow_avg_incidents", "hour_avg_incidents", "weekend_avg_incidents"
     ),
 )
+_panel_query("feat_cell_before", lambda df: asof.cell_statistics_before(df).select(*CELL_KEY, *asof.CELL))
+_panel_query(
+    "feat_slots_before",
+    lambda df: asof.slot_features_before(df).select(*CELL_KEY, "dow_avg_before", "hour_avg_before", "weekend_avg_before"),
+)
+_feature_query(
+    "feat_rank_before",
+    lambda df: asof.rank_share_before(df.select(*CELL_KEY, "lag_1")).select(*CELL_KEY, "lag1_percentile_before"),
+)
 _panel_query("feat_trend", lambda df: history.trend_features(df).select(*CELL_KEY, "trend_short", "trend_long", "momentum"))
 _panel_query("feat_target", lambda df: history.target_feature(df).select(*CELL_KEY, "target", "target_binary"))
 _panel_query("feature_matrix", lambda df: features.feature_matrix(df, CONFIG))
@@ -292,20 +354,30 @@ _incident_query(
 
 _dashboard_query(
     "dash_filter",
-    lambda df: dashboard.select_rows(df, levels=("Medium", "High"), min_prediction=1.2).select(
+    lambda df, time: dashboard.select_rows(df, time, levels=("Medium", "High"), min_prediction=1.2).select(
         *CELL_KEY, "ultra_predicted", "risk_level"
     ),
 )
-_dashboard_query("dash_metrics", lambda df: dashboard.metrics(df, threshold=2.0))
-_dashboard_query("map_layer", lambda df: dashboard.map_layer(df, threshold=2.0))
-_dashboard_query("map_points", lambda df: dashboard.map_layer(df, sample=CONFIG.map_sample))
-_dashboard_query("map_points_10", lambda df: dashboard.map_layer(df, sample=10))
+_dashboard_query("dash_metrics", lambda df, time: dashboard.metrics(df, threshold=2.0, time=time))
+_dashboard_query("map_layer", lambda df, time: dashboard.map_layer(df, threshold=2.0, time=time))
+_dashboard_query("map_points", lambda df, time: dashboard.map_layer(df, sample=CONFIG.map_sample, time=time))
+_dashboard_query("map_points_10", lambda df, time: dashboard.map_layer(df, sample=10, time=time))
 _dashboard_query("dash_performance", dashboard.performance)
-_dashboard_query("dash_risk_counts", lambda df: dashboard.risk_counts(df, "2024-01-15 12:00:00"))
+_dashboard_query("dash_risk_counts", dashboard.risk_counts, time="2024-01-15 12:00:00")
 _dashboard_query("dash_error_hist", dashboard.error_histogram)
-_dashboard_query("hotspots", dashboard.hotspots)
-_dashboard_query("window_list", dashboard.window_list)
-_dashboard_query("dash_overview", dashboard.overview)
+_dashboard_query("hotspots", lambda df, time: dashboard.hotspots(df, time=time))
+_stored_query("window_list", dashboard.window_list)
+_stored_query("dash_overview", dashboard.overview)
+query("stored_extent")(lambda spark, folder: views.daily_predictions(spark, folder).extent().drop("files"))
+query("stored_days")(
+    lambda spark, folder: views.daily_predictions(spark, folder).manifest.groupBy("window_date").agg(
+        F.sum("rows").alias("rows"), F.min("first").alias("first"), F.max("last").alias("last")
+    )
+)
+query("windows_between")(
+    lambda spark, folder: views.daily_predictions(spark, folder).between("2024-01-09 18:00:00", "2024-01-12 06:00:00")
+    .select(*CELL_KEY, "target", "ultra_predicted")
+)
 _incident_query("heat_points", dashboard.heat_points)
 _incident_query("map_center", dashboard.map_center)
 _cleaned_query("cluster_points", lambda df: dashboard.cluster_points(df, "event_id", CONFIG.cluster_points))
@@ -369,9 +441,20 @@ def label_encode(spark: SparkSession, folder: str) -> DataFrame:
     return coded.select("event_id", "category_code", "cell_id_code")
 
 
+@query("encode_unseen")
+def encode_unseen(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes of the first half of the windows, applied to all rows: later cells may have none."""
+    table = views.stages(spark, folder).gridded.select("event_id", "category", "cell_id", "day_of_month")
+    codes = scaling.fit_codes(table.where("day_of_month <= 3"), "category", "cell_id")
+    return scaling.encode(table, codes).select("event_id", "category_code", "cell_id_code")
+
+
 _feature_query("ensemble_weights", lambda df: ensemble.best_weights(df.select("target", *ROLLING), ROLLING))
 
 
+_feature_query("ensemble_weights_six", lambda df: ensemble.best_weights(df.select("target", *SIX), SIX))
+
+
 @query("weighted_ensemble")
 def weighted_ensemble(spark: SparkSession, folder: str) -> DataFrame:
     table = views.stages(spark, folder).features

@@ -5,7 +5,7 @@ from __future__ import annotations
 from statistics import NormalDist
 
 from cellpulse.operators.features import ADVANCED, base_names
-from cellpulse.queries.catalog import CONFIG, CORRELATED, DESKTOP_INPUTS, ROLLING
+from cellpulse.queries.catalog import CONFIG, CORRELATED, DESKTOP_INPUTS, ROLLING, SIX
 
 HISTORY = CONFIG.history
 K = "cast(json_extract_string(props, '$.k') as int)"
@@ -873,6 +873,142 @@ def _section(section: str, numbers: str, texts: str = "", source: str | None = N
     )
 
 
+SLOT_OF_HOUR = """case when hour(time_window) <= 6 then 'Night' when hour(time_window) <= 12 then 'Morning'
+ when hour(time_window) <= 18 then 'Afternoon' else 'Evening' end"""
+VIEWS["dense"] = (
+    ("panel",),
+    f"""select cell_id, time_window, g.grid_lat_idx, g.grid_lon_idx, g.cell_center_lat, g.cell_center_lon,
+ coalesce(p.incident_count, 0) as incident_count, coalesce(p.hour, hour(time_window)) as hour,
+ coalesce(p.day_of_week, cast(isodow(time_window) - 1 as int)) as day_of_week,
+ coalesce(p.is_weekend, cast(isodow(time_window) >= 6 as int)) as is_weekend,
+ coalesce(p.time_slot, {SLOT_OF_HOUR}) as time_slot
+ from (select cell_id, min(grid_lat_idx) as grid_lat_idx, min(grid_lon_idx) as grid_lon_idx,
+  min(cell_center_lat) as cell_center_lat, min(cell_center_lon) as cell_center_lon,
+  unnest(generate_series(min(time_window), max(time_window), interval 6 hour)) as time_window
+  from panel group by cell_id) g left join panel p using (cell_id, time_window)""",
+)
+ROLES = {
+    "ID": ("null", "null"), "noted": ("1", "null"), "Date": ("0", "null"), "a": ("null", "lat"), "b": ("null", "lon"),
+    "Latitude": ("null", "district"), "sent": ("1", "null"),
+}
+LAYOUTS = {"noted": "'MM/dd/yyyy hh:mm:ss a'", "sent": "'yyyy-MM-dd HH:mm:ss'"}
+
+
+def _share(column: str, low: float, high: float) -> str:
+    return "cast(null as double)" if column == "null" else f"count(*) filter ({column} between {low} and {high}) / count({column})"
+
+
+def _evidence() -> str:
+    rows = []
+    for i, (name, (dated, number)) in enumerate(ROLES.items()):
+        number = "event_id" if name == "ID" else number
+        filled = number if number != "null" else "category" if name == "Date" else "ts"
+        rows.append(
+            f"""select {i} as position, '{name}' as "column", count({filled}) as filled, cast({dated} as double) as date_share,
+ {LAYOUTS.get(name, "cast(null as varchar)")} as layout, {_share(number, 41.6, 42.1)} as lat_share, {_share(number, -88.0, -87.5)} as lon_share from incidents"""
+        )
+    return " union all ".join(rows)
+
+
+def _before(by: str, name: str) -> str:
+    """The mean over all rows of earlier windows with the same key."""
+    return f"""(select sum(b.incident_count) / count(*) from panel b
+ where b.time_window < a.time_window and {by.format("b")} = {by.format("a")}) as {name}"""
+
+
+def _six() -> str:
+    sums = ", ".join(
+        f"avg((target - {a}) * (target - {b})) as m_{i}_{j}" for i, a in enumerate(SIX) for j, b in enumerate(SIX) if i <= j
+    )
+    square = " + ".join(f"{1 if i == j else 2} * (w{i} / 20) * (w{j} / 20) * m_{i}_{j}" for i in range(6) for j in range(6) if i <= j)
+    grid = "select a.range as w0, b.range as w1 from range(21) a, range(21) b where a.range + b.range <= 20"
+    for n in range(2, 5):
+        have = ", ".join(f"w{i}" for i in range(n))
+        total = " + ".join(f"w{i}" for i in range(n))
+        grid = f"select {have}, r.range as w{n} from ({grid}), range(21) r where {total} + r.range <= 20"
+    total = " + ".join(f"w{i}" for i in range(5))
+    grid = f"select *, 20 - ({total}) as w5 from ({grid})"
+    shown = ", ".join(f"w{i} / 20 as w{i}" for i in range(6))
+    return f"""with m as (select {sums} from base), g as ({grid}),
+ tried as (select g.*, sqrt({square}) as rmse from g, m),
+ best as (select * from tried order by rmse, w0, w1, w2, w3, w4 limit 1)
+ select {shown}, rmse from best"""
+
+
+QUERIES |= {
+    "stored_extent": (
+        "preds",
+        """select cast(count(*) as bigint) as rows, min(time_window) as first, max(time_window) as last,
+ count(distinct cast(time_window as date)) as folders from preds""",
+        "",
+    ),
+    "stored_days": (
+        "preds",
+        """select cast(time_window as date) as window_date, cast(count(*) as bigint) as rows, min(time_window) as first,
+ max(time_window) as last from preds group by 1""",
+        "",
+    ),
+    "windows_between": (
+        "preds",
+        f"""select {KEY}, target, ultra_predicted from preds
+ where time_window between timestamp '2024-01-09 18:00:00' and timestamp '2024-01-12 06:00:00'""",
+        "target ultra_predicted",
+    ),
+    "grid_meta_stored": QUERIES["grid_meta"],
+    "panel_incremental": QUERIES["grid_time_panel"],
+    "panel_dense": ("dense", "select * from dense", "cell_center_lat cell_center_lon hour"),
+    "feat_target_dense": (
+        "dense",
+        f"""select {KEY}, incident_count, cast(lead(incident_count) over w as double) as target,
+ coalesce(cast(lead(incident_count) over w > 0 as int), 0) as target_binary from dense
+ window w as (partition by cell_id order by time_window)""",
+        "target",
+    ),
+    "feat_cell_before": (
+        "panel",
+        f"""select {KEY}, coalesce(avg(incident_count) over w, 0) as cell_avg_before,
+ coalesce(stddev_samp(incident_count) over w, 0) as cell_std_before,
+ coalesce(cast(max(incident_count) over w as double), 0) as cell_max_before,
+ coalesce(cast(sum(incident_count) over w as double), 0) as cell_total_before from panel
+ window w as (partition by cell_id order by time_window rows between unbounded preceding and 1 preceding)""",
+        "cell_avg_before cell_std_before cell_max_before cell_total_before",
+    ),
+    "feat_slots_before": (
+        "panel",
+        f"""select a.cell_id, a.time_window, {_before("{}.day_of_week", "dow_avg_before")},
+ {_before("hour({}.time_window)", "hour_avg_before")}, {_before("{}.is_weekend", "weekend_avg_before")} from panel a""",
+        "dow_avg_before hour_avg_before weekend_avg_before",
+    ),
+    "feat_rank_before": (
+        "base",
+        """select a.cell_id, a.time_window,
+ (count(*) filter (b.lag_1 < a.lag_1) + (count(*) filter (b.lag_1 = a.lag_1) + 1) / 2) / count(*) as lag1_percentile_before
+ from base a join base b on a.cell_id = b.cell_id and b.time_window <= a.time_window group by 1, 2""",
+        "lag1_percentile_before",
+    ),
+    "role_evidence": ("incidents", _evidence(), "date_share lat_share lon_share"),
+    "detect_roles_evidence": (
+        "incidents",
+        """select * from (values ('date', 'noted'), ('latitude', 'a'), ('longitude', 'b'), ('category', 'Date')) as t(role, "column")""",
+        "",
+    ),
+    "detect_roles_by_name": (
+        "incidents",
+        """select * from (values ('date', 'Date'), ('latitude', 'Latitude'), ('longitude', null), ('category', null)) as t(role, "column")""",
+        "",
+    ),
+    "encode_unseen": (
+        "gridded",
+        """select event_id, c.code as category_code, d.code as cell_id_code from gridded
+ left join (select category, cast(row_number() over (order by category) - 1 as int) as code from
+  (select distinct category from gridded where day_of_month <= 3)) c using (category)
+ left join (select cell_id, cast(row_number() over (order by cell_id) - 1 as int) as code from
+  (select distinct cell_id from gridded where day_of_month <= 3)) d using (cell_id)""",
+        "",
+    ),
+    "ensemble_weights_six": ("base", _six(), [*(f"w{i}" for i in range(6)), "rmse"]),
+}
+
 LEVELS = ("Low", "Medium", "High")
 QUERIES["report_tall"] = (
     "preds",

@@ -7,13 +7,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from cellpulse.config import GridConfig
 from cellpulse.plans.stages import Stages
 from cellpulse.sources import tables
+from cellpulse.sources.manifest import Stored
 from cellpulse.staging import new_path, written
 
 # Cells of 0.05 degrees, so that neighbours and histories occur at every scale factor.
 CONFIG = GridConfig(cell_degrees=0.05, cell_meters=5550.0)
 
 _stages: dict[tuple[str, str], Stages] = {}
-_daily: dict[tuple[str, str], DataFrame] = {}
+_daily: dict[tuple[str, str], Stored] = {}
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
@@ -72,11 +73,11 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.withColumns({name: F.round(F.col(f"`{name}`") + F.lit(1e-9), digits) for name in doubles})
 
 
-def daily_predictions(spark: SparkSession, folder: str) -> DataFrame:
+def daily_predictions(spark: SparkSession, folder: str) -> Stored:
     """The predictions, stored by day for the dashboard."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _daily:
         found, path = stages(spark, folder).predictions(), new_path(spark, "predictions-by-day")
         tables.write_predictions(found, path)
-        _daily[key] = tables.read_predictions(spark, path, found.schema)
+        _daily[key] = tables.stored_predictions(spark, path, found.schema)
     return _daily[key]

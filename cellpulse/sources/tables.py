@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cellpulse.config import GridConfig
 from cellpulse.functions import parsing, scores
+from cellpulse.sources import manifest
+from cellpulse.sources.manifest import Stored
 
 # The columns of an incident file, read as text and parsed tolerantly.
 INCIDENT_SCHEMA = T.StructType(
@@ -56,30 +58,27 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_panel(panel: DataFrame, path: str, time: str = "time_window") -> None:
-    """Parquet, one folder per month, so that a time filter prunes folders.
-
-    The tasks write what they hold, so a month is never gathered in one of them.
-    """
-    month = F.date_format(time, "yyyy-MM")
-    panel.withColumn("window_month", month).write.mode("overwrite").partitionBy("window_month").parquet(path)
+    """Parquet, one folder per month, so that a time filter prunes folders, with a manifest of its files."""
+    manifest.write(panel, path, "window_month", time)
 
 
 def read_panel(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A panel stored by `write_panel`; the folder key stays text."""
-    stored = T.StructType([*schema.fields, T.StructField("window_month", T.StringType())])
-    return spark.read.schema(stored).parquet(path)
+    """A panel stored by `write_panel`; the folder key is text."""
+    return stored_panel(spark, path, schema).rows
+
+
+def stored_panel(spark: SparkSession, path: str, schema: T.StructType) -> Stored:
+    return Stored(spark, path, schema, "window_month")
 
 
 def write_predictions(scored: DataFrame, path: str) -> None:
-    """Parquet, one folder per day, for the dashboard's filter on one window."""
-    scored.withColumn("window_date", F.to_date("time_window")).write.mode("overwrite").partitionBy(
-        "window_date"
-    ).parquet(path)
+    """Parquet, one folder per day, for the dashboard's filter on one window, with a manifest of its files."""
+    manifest.write(scored, path)
 
 
-def read_predictions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Predictions stored by `write_predictions` with the day of their folder."""
-    return spark.read.schema(T.StructType([*schema.fields, T.StructField("window_date", T.DateType())])).parquet(path)
+def stored_predictions(spark: SparkSession, path: str, schema: T.StructType) -> Stored:
+    """Predictions stored by `write_predictions`."""
+    return Stored(spark, path, schema)
 
 
 def load_predictions(spark: SparkSession, paths: Sequence[str], config: GridConfig) -> DataFrame:
@@ -91,7 +90,10 @@ def load_predictions(spark: SparkSession, paths: Sequence[str], config: GridConf
         try:
             df = spark.read.parquet(path)
         except AnalysisException:
-            continue
+            try:
+                df = spark.read.parquet(f"{path}/data")  # a table with a manifest
+            except AnalysisException:
+                continue
         for predicted, error in PREDICTION_COLUMNS:
             if predicted not in df.columns:
                 continue
