@@ -10,6 +10,7 @@ import hashlib
 import json
 import math
 import random
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, replace
 from multiprocessing.pool import ThreadPool
@@ -52,12 +53,13 @@ class TrialLedger:
 
     def append(self, learner: str, trial: int, params: BoostParams, loss: float) -> None:
         row = (learner, trial, trial_key(learner, params), json.dumps(asdict(params), sort_keys=True), float(loss))
-        self.spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("append").json(self.path)
+        # A folder of its own: two trials that end together don't commit into one.
+        self.spark.createDataFrame([row], SCHEMA).coalesce(1).write.json(f"{self.path}/{learner}-{trial}-{uuid.uuid4().hex}")
 
     def rows(self) -> DataFrame:
         """Finished trials; one that two searches finished counts once."""
         try:
-            found = self.spark.read.schema(SCHEMA).json(self.path)
+            found = self.spark.read.schema(SCHEMA).json(f"{self.path}/*")
         except AnalysisException:
             return self.spark.createDataFrame([], SCHEMA)
         return found.groupBy("learner", "key").agg(

@@ -185,7 +185,8 @@ def detect_roles_by_evidence(df: DataFrame, rules: EvidenceRules = EvidenceRules
 
     found = role_evidence(df, rules)
     few = (F.lit(1.0) - F.col("distinct_share"))
-    category = F.when((F.col("distinct_share") <= rules.category_share) & (F.col("date_share") < rules.least), few)
+    several = F.col("distinct_share") * F.col("filled") > 1.5  # a single value names no categories
+    category = F.when(several & (F.col("distinct_share") <= rules.category_share) & (F.col("date_share") < rules.least), few)
     roles = {
         "date": (F.col("date_share"), named(hints.date_words, without=hints.date_not)),
         "latitude": (F.col("lat_share"), named(hints.lat_words, hints.lat_names)),
