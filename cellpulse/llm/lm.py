@@ -6,8 +6,9 @@ while the weights are learned: expectation-maximisation maximises its likelihood
 rest. Scores use the counts of all training documents and these weights.
 
 How the counts travel: words and word pairs are keyed by 64-bit hashes. Consecutive documents form a block, which
-is written once, coded by its own dictionary, with its own counts as sorted arrays, one row per key range. Each range
-adds up what all blocks hold and answers every block with the totals of its keys, in the order in which it has them.
+is written once as one row, coded by its own dictionary. From there every block sends its own counts as sorted arrays,
+one row per key range. Each range adds up what all blocks send and answers every block with the totals of its keys, in
+the order in which it sent them.
 A frequent word is one entry per block, and the number of ranges grows with the input, so no range outgrows a
 task. The counts of the whole corpus are used; nothing is pruned.
 
@@ -98,9 +99,7 @@ def _hashes(words: list[bytes]) -> np.ndarray:
 class Keys:
     """The sorted distinct keys of a block, and where its words and pairs stand among them."""
 
-    def __init__(self, hashes: np.ndarray, coded: list[np.ndarray]):
-        codes = np.concatenate(coded)
-        sizes = np.array([len(c) for c in coded])
+    def __init__(self, hashes: np.ndarray, codes: np.ndarray, sizes: np.ndarray):
         h = hashes[codes]
         # A pair for every token but the last one of a document, which begins no pair.
         self.begins = np.ones(len(codes), bool)
@@ -171,34 +170,50 @@ def _parts_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-CUT = "block binary, place int, doc_id {kind}, kind int, codes binary, words binary, part int, keys binary, train binary, deleted binary"
+BLOCK = "block binary, ids array<{kind}>, kinds binary, sizes binary, codes binary, words binary"
 
 
-def _cut(parts: int, arrow_id: pa.DataType):
-    """Documents of each block (part is null), the first of which carries its dictionary, and the block's keys by
-    range (place is null) with their counts in training documents and in the deleted fold."""
-    kinds = [pa.binary(), pa.int32(), arrow_id, pa.int32(), pa.binary(), pa.binary(), pa.int32(), *[pa.binary()] * 3]
-    schema = pa.schema(list(zip((c.split()[0] for c in CUT.split(", ")), kinds)))
+def _cut(arrow_id: pa.DataType):
+    """One row per block: ids, kinds and numbers of codes of its documents, all their codes, and its dictionary."""
+    schema = pa.schema([
+        ("block", pa.binary()), ("ids", pa.list_(arrow_id)), ("kinds", pa.binary()), ("sizes", pa.binary()), ("codes", pa.binary()),
+        ("words", pa.binary()),
+    ])
 
     def rows(batches):
         for block in _blocks(batches):
-            name = block.name()
+            coded = [r[2] for r in block.rows]
             # Begin and end hold a space, so the dictionary is stored without them.
             words = _squeezed(b" ".join(list(block.codes)[2:]))
-            docs = [
-                (name, place, doc_id, kind, _packed(codes), words if place == 0 else None, None, None, None, None)
-                for place, (doc_id, kind, codes) in enumerate(block.rows)
-            ]
-            kinds_ = [r[1] for r in block.rows]
-            found = Keys(_hashes(list(block.codes)), [r[2] for r in block.rows])
-            train, gone = found.counts([k != HELD_OUT for k in kinds_]), found.counts([k == DELETED for k in kinds_])
-            keys = [
-                (name, None, None, None, None, None, p, _packed_keys(found.keys[a:b]), _packed(train[a:b]), _packed(gone[a:b]))
-                for p, a, b in _runs(_parts_of(found.keys, parts))
-            ]
-            for a in range(0, len(docs), 1024):
-                yield _rows(docs[a : a + 1024], schema)
-            yield _rows(keys, schema)
+            yield _rows([(
+                block.name(), [r[0] for r in block.rows], bytes(r[1] for r in block.rows),
+                _packed(np.array([len(c) for c in coded])), _packed(np.concatenate(coded)), words,
+            )], schema)
+
+    return rows
+
+
+def _opened(row: dict) -> tuple[Keys, bytes]:
+    """The keys of a block and the kinds of its documents."""
+    words = _restored(row["words"]).split()
+    return Keys(_hashes([FIRST, LAST, *words]), _counts(row["codes"]), _counts(row["sizes"]).astype(np.int64)), row["kinds"]
+
+
+def _asked(parts: int):
+    """The keys of each block by range, with their counts in training documents and in the deleted fold."""
+    schema = pa.schema([("part", pa.int32()), ("block", pa.binary()), ("keys", pa.binary()), ("train", pa.binary()), ("deleted", pa.binary())])
+
+    def rows(batches):
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
+                found, kinds = _opened(row)
+                train, gone = found.counts([k != HELD_OUT for k in kinds]), found.counts([k == DELETED for k in kinds])
+                told = [
+                    (p, row["block"], _packed_keys(found.keys[a:b]), _packed(train[a:b]), _packed(gone[a:b]))
+                    for p, a, b in _runs(_parts_of(found.keys, parts))
+                ]
+                yield _rows(told, schema)
 
     return rows
 
@@ -265,11 +280,8 @@ def _histograms(arrow_id: pa.DataType):
     def rows(docs: pa.Table, totals: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return schema.empty_table()
-        docs = docs.sort_by("place")
-        words = _restored(docs.column("words")[0].as_py()).split()
-        coded = [_counts(c) for c in docs.column("codes").to_pylist()]
-        kinds = docs.column("kind").to_pylist()
-        found = Keys(_hashes([FIRST, LAST, *words]), coded)
+        row = docs.to_pylist()[0]
+        found, kinds = _opened(row)
         parts = sorted(zip(*(totals.column(n).to_pylist() for n in ("part", "train", "deleted", "fresh"))))
         train = np.concatenate([_counts(r[1]) for r in parts]).astype(np.int64)
         left = train - np.concatenate([_counts(r[2]) for r in parts])
@@ -279,7 +291,7 @@ def _histograms(arrow_id: pa.DataType):
         ranked = [_Ranked(train, found)] + ([_Ranked(left, found)] if DELETED in kinds else [])
         out: list[list] = [[] for _ in schema]
         end = 0
-        for n, (doc_id, kind, size) in enumerate(zip(docs.column("doc_id").to_pylist(), kinds, found.sizes.tolist())):
+        for n, (doc_id, kind, size) in enumerate(zip(row["ids"], kinds, found.sizes.tolist())):
             # One pair less than tokens in every document before this one.
             a, b, end = end - n, end - n + size - 1, end + size
             full = ranked[0].pooled(a, b)
@@ -373,19 +385,24 @@ def scored(docs: DataFrame, folds: int = 10, held_out: int = 0, deleted: int = 1
     arrow_id = {"bigint": pa.int64(), "int": pa.int32(), "smallint": pa.int16(), "tinyint": pa.int8()}.get(kind, pa.string())
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(8, math.ceil(size / RANGE_BYTES))
-    cut = written(base.mapInArrow(streaming(_cut(parts, arrow_id)), CUT.format(kind=kind)), "blocks")
-    answers = cut.filter("part is not null").select("part", "block", "keys", "train", "deleted").groupBy("part").applyInArrow(
-        grouped(_answers), "part int, block binary, train binary, deleted binary, fresh bigint"
+    blocks = written(base.mapInArrow(streaming(_cut(arrow_id)), BLOCK.format(kind=kind)), "blocks")
+    asked = blocks.select("block", "sizes", "kinds", "codes", "words").mapInArrow(
+        streaming(_asked(parts)), "part int, block binary, keys binary, train binary, deleted binary"
+    )
+    # Written, so that the keys that went to the ranges needn't stay while the blocks travel.
+    answers = written(
+        asked.groupBy("part").applyInArrow(
+            grouped(_answers), "part int, block binary, train binary, deleted binary, fresh bigint"
+        ), "totals",
     )
-    coded = cut.filter("part is null").select("block", "place", "doc_id", "kind", "codes", "words")
     told = written(
-        coded.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
             cogrouped(_histograms(arrow_id)),
             f"doc_id {kind}, kind int, n_tokens bigint, n_known bigint, fresh bigint, full binary, rest binary",
         ),
         "histograms",
     )
-    discarded(cut)
+    discarded(blocks, answers)
     of = lambda test: F.coalesce(F.sum(F.when(test, F.col("n_tokens"))), F.lit(0))
     total, fewer, distinct = told.agg(
         of(F.col("kind") != HELD_OUT), of(F.col("kind") == TRAINED), F.coalesce(F.sum("fresh"), F.lit(0))
