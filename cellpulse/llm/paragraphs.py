@@ -24,6 +24,7 @@ bounded blocks. Written tables go when the next one stands.
 from __future__ import annotations
 
 import math
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -89,45 +90,152 @@ def _key(least: np.ndarray, band: int) -> np.ndarray:
     return again ^ again >> np.uint64(32)
 
 
-def marked(found: np.ndarray, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def marked(mixes: list[np.ndarray], lines: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First words and numbers of words of the lines of WORDS words or more, and for each band (rows) and line its
     hash; `lines` has the first word of every line and the number of words of the text."""
     sizes = np.diff(lines)
     first, sizes = lines[:-1][sizes >= WORDS], sizes[sizes >= WORDS]
     if not len(first):
-        return first, sizes, np.empty((bands(), 0), np.uint64)
+        return first, sizes, np.empty((len(mixes), 0), np.uint64)
     # Between the shingles of two lines stand those that belong to neither: every other stretch is a line's.
-    cut = np.stack([first, np.minimum(first + sizes - SHINGLE + 1, len(found) - 1)]).T.ravel()
-    last_open = first[-1] + sizes[-1] - SHINGLE + 1 >= len(found)
-    keys = []
-    for b, mixed in _mixes(found):
-        least = np.minimum.reduceat(mixed, cut[:-1] if last_open else cut)[::2]
-        keys.append(_key(least, b))
-    return first, sizes, np.array(keys)
-
-
-def paragraphs(found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First words of the pieces of a text given by its shingles, and for each band (rows) and piece the band's hash
-    and the word at which its shingle stands."""
-    none = np.empty((bands(), 0), np.uint64)
-    if len(found) < max(SHINGLES, REACH):
-        # Too short to say where paragraphs start: one from the first word, if there is one.
-        if len(found) < SHINGLES:
-            return np.empty(0, np.int64), none, none.astype(np.int64)
-        starts = np.zeros(1, np.int64)
-    else:
-        starts = None
+    cut = np.stack([first, first + sizes - SHINGLE + 1]).T.ravel()
+    if cut[-1] >= len(mixes[0]):
+        cut = cut[:-1]
+    return first, sizes, np.array([_key(np.minimum.reduceat(m, cut)[::2], b) for b, m in enumerate(mixes)])
+
+
+def starts_of(found: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """First words of the pieces of texts whose shingles are `found`, one text behind the other; `docs` has the first
+    word of every text and the number of words."""
+    first, shingles_ = docs[:-1], np.maximum(0, np.diff(docs) - SHINGLE + 1)
+    # Too short to say where pieces start: one from the first word, if there is one.
+    short = first[(shingles_ >= SHINGLES) & (shingles_ < REACH)]
+    long = shingles_ >= REACH
+    if not long.any():
+        return short
+    # Windows of REACH shingles that lie in one text.
+    windows = np.zeros(len(found) + 1, np.int64)
+    np.add.at(windows, first[long], 1)
+    np.add.at(windows, (first + shingles_ - REACH + 1)[long], -1)
+    inside = np.flatnonzero(np.cumsum(windows[:-1])[: len(found) - REACH + 1])
+    chosen = np.empty(0, np.int64)
     low = np.uint64((1 << PLACE_BITS) - 1)
-    place = np.arange(len(found), dtype=np.uint64)
-    if starts is None:
-        starts = np.unique((_least((found & ~low) | place, REACH) & low).astype(np.int64))
-        starts = starts[starts + SHINGLES <= len(found)]
-    keys, at = [], []
-    for b, mixed in _mixes(found):
-        least = (_least((mixed & ~low) | place, SHINGLES)[starts] & low).astype(np.int64)
-        at.append(least)
-        keys.append(_key(mixed[least], b))
-    return starts, np.array(keys), np.array(at)
+    for at in range(0, len(found) - REACH + 1, 1 << PLACE_BITS - 1):
+        part = found[at : at + (1 << PLACE_BITS - 1) + REACH - 1]
+        least = _least((part & ~low) | np.arange(len(part), dtype=np.uint64), REACH) & low
+        mine = inside[(inside >= at) & (inside < at + (1 << PLACE_BITS - 1))] - at
+        chosen = np.concatenate([chosen, np.unique(least[mine]).astype(np.int64) + at])
+    chosen = np.unique(chosen)
+    ends = (first + shingles_)[np.searchsorted(first, chosen, "right") - 1]
+    return np.sort(np.concatenate([short, chosen[chosen + SHINGLES <= ends]]))
+
+
+#: Bytes of text that are looked at together, and the longest word whose hash is made of its bytes' powers.
+CHUNK, LONGEST = 1 << 20, 1 << 12
+_BASE = 0xC6A4A7935BD1E995
+
+
+@cache
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base of word hashes, and of its inverse."""
+    size = CHUNK + LONGEST
+    made = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        steps = np.full(size, base, np.uint64)
+        steps[0] = 1
+        made.append(np.cumprod(steps, dtype=np.uint64))
+    return made[0], made[1]
+
+
+def word_hashes(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words of a lower-cased text, given by their first bytes and the bytes behind them."""
+    powers, inverse = _powers()
+    found = np.empty(len(first), np.uint64)
+    for base in range(0, len(data), CHUNK):
+        a, b = np.searchsorted(first, [base, base + CHUNK])
+        if a == b:
+            continue
+        low, high = first[a:b] - base, np.minimum(last[a:b] - base, CHUNK + LONGEST)
+        part = data[base : base + CHUNK + LONGEST].astype(np.uint64) + np.uint64(1)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(part * powers[: len(part)], dtype=np.uint64)])
+        found[a:b] = (sums[np.minimum(high, len(part))] - sums[low]) * inverse[low] + (high - low).astype(np.uint64)
+    for k in np.flatnonzero(last - first > LONGEST).tolist():
+        found[k] = xxhash.xxh3_64_intdigest(data[first[k] : last[k]].tobytes())
+    found = (found ^ found >> np.uint64(32)) * np.uint64(MULTIPLIERS[1])
+    return found ^ found >> np.uint64(29)
+
+
+class _Chunk:
+    """The paragraphs of neighbouring texts of a block: by paragraph (pieces first) the text, first word and number of
+    words, bytes and characters in it, content, bands (rows), and whether its band's shingle counts as a place."""
+
+    def __init__(self, texts: list[bytes]):
+        joined = b"\n".join(texts) + b"\n"
+        data = np.frombuffer(joined.lower(), np.uint8)
+        inside = np.zeros(len(data) + 2, bool)
+        inside[1:-1] = ~_WHITE[data]
+        first, last = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:])
+        offsets = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        docs = np.searchsorted(first, offsets)
+        hashes = word_hashes(data, first, last)
+        found = shingles(hashes)
+        mixes = [m for _, m in _mixes(found)]
+        starts = starts_of(found, docs)
+        lines = np.searchsorted(first, np.concatenate([[0], np.flatnonzero(data == 10) + 1]))
+        line_first, line_size, line_keys = marked(mixes, lines)
+        self.pieces = len(starts)
+        keys, counted = [], []
+        for b, m in enumerate(mixes):
+            if not self.pieces:
+                keys.append(line_keys[b])
+                counted.append(np.ones(len(line_first), bool))
+                continue
+            place = starts + np.lib.stride_tricks.sliding_window_view(m, SHINGLES)[starts].argmin(axis=1)
+            # Neighbouring pieces can have one shingle in common; its place counts once, for pieces and lines apart.
+            new = np.concatenate([[True], place[1:] != place[:-1]])
+            keys.append(np.concatenate([_key(m[place], b), line_keys[b]]))
+            counted.append(np.concatenate([new, np.ones(len(line_first), bool)]))
+        self.keys, self.counted = np.array(keys), np.array(counted)
+        self.keys[:, self.pieces :] ^= np.uint64(1)
+        whole = np.concatenate([starts, line_first])
+        self.size = np.concatenate([np.full(self.pieces, WORDS), line_size]).astype(np.int64)
+        self.row = np.searchsorted(docs, whole, "right") - 1
+        self.first = whole - docs[self.row]
+        end = whole + self.size - 1
+        # Bands of a block are asked for first; places and contents only of what is shared.
+        self._told = hashes, data, first, last, offsets, whole, end
+
+    def told(self, chosen: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of some paragraphs the bytes and characters in their texts (first and behind the last), and contents."""
+        hashes, data, first, last, offsets, whole, end = self._told
+        rows, a, b = self.row[chosen], first[whole[chosen]], last[end[chosen]]
+        characters = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        before = characters[offsets[rows]]
+        digests = np.empty(len(chosen), np.uint64)
+        powers, inverse = _powers()
+        sums, base = None, -1
+        order = np.argsort(whole[chosen], kind="stable")
+        for k in range(0, len(order), 4096):
+            some = chosen[order[k : k + 4096]]
+            low, high = whole[some], end[some] + 1
+            base = int(low[0])
+            if int(high.max()) - base > CHUNK:
+                for j, n in zip(order[k : k + 4096].tolist(), some.tolist()):
+                    digests[j] = self._digest(hashes[whole[n] : end[n] + 1])
+                continue
+            part = hashes[base : int(high.max())]
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(part * powers[: len(part)], dtype=np.uint64)])
+            digests[order[k : k + 4096]] = (sums[high - base] - sums[low - base]) * inverse[low - base]
+        digests += self.size[chosen].astype(np.uint64)
+        digests = (digests ^ digests >> np.uint64(32)) * np.uint64(MULTIPLIERS[4])
+        return a - offsets[rows], b - offsets[rows], characters[a] - before, characters[b] - before, digests ^ digests >> np.uint64(29)
+
+    def _digest(self, words: np.ndarray) -> np.uint64:
+        powers, total = _powers()[0], np.uint64(0)
+        for a in range(0, len(words), CHUNK):
+            part = words[a : a + CHUNK]
+            total += (part * powers[: len(part)]).sum(dtype=np.uint64) * np.uint64(pow(_BASE, a, 1 << 64))
+        return total
 
 
 class _Words(dict):
@@ -152,38 +260,24 @@ def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return characters[first] - 1, characters[last - 1]
 
 
-def line_starts(text: bytes) -> np.ndarray:
-    """The first word of every line, and the number of words."""
-    return np.cumsum([0, *(len(line.split()) for line in text.split(b"\n"))])
-
-
-class _Text:
-    """The paragraphs of a text: first word, number of words, whether it is a piece, and bands (rows) by paragraph."""
-
-    def __init__(self, text: bytes, hashed: _Words):
-        found = shingles(hashed(text))
-        starts, keys, places = paragraphs(found)
-        first, sizes, line_keys = marked(found, line_starts(text))
-        self.pieces = len(starts)
-        self.first = np.concatenate([starts, first])
-        self.size = np.concatenate([np.full(len(starts), WORDS), sizes])
-        self.keys = np.concatenate([keys, line_keys], axis=1)
-        # Neighbouring pieces can have one shingle in common; its place counts once, for pieces and lines apart.
-        self.counted = [row[np.concatenate([[True], place[1:] != place[:-1]])] for row, place in zip(keys, places) if len(row)]
-        self.counted += [row ^ np.uint64(1) for row in line_keys]
-        self.keys[:, self.pieces :] ^= np.uint64(1)
-
-
-def _block_texts(ids: list, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[_Text]]:
-    """Sorted distinct bands of a block, whether each stands at two places, and the paragraphs by document.
-    Rows that repeat a document, and rows without an id, add no places."""
-    hashed = _Words()
-    found = [_Text(t, hashed) for t in texts]
-    once, keys = set(), [np.empty(0, np.uint64)]
-    for doc_id, text, paragraphs_ in zip(ids, texts, found):
-        if doc_id is not None and (doc_id, text) not in once:
-            once.add((doc_id, text))
-            keys += paragraphs_.counted
+def _block_chunks(ids: list, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[tuple[int, _Chunk]]]:
+    """Sorted distinct bands of a block, whether each stands at two places, and the paragraphs by chunk, with the row
+    of its first text. Rows that repeat a document, and rows without an id, add no places."""
+    once, adds = set(), np.zeros(len(ids), bool)
+    for row, (doc_id, text) in enumerate(zip(ids, texts)):
+        adds[row] = doc_id is not None and (doc_id, text) not in once
+        once.add((doc_id, text))
+    found, keys = [], [np.empty(0, np.uint64)]
+    at = 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size + len(texts[end]) < CHUNK):
+            size += len(texts[end])
+            end += 1
+        chunk = _Chunk(texts[at:end])
+        found.append((at, chunk))
+        keys.append(chunk.keys[chunk.counted & adds[at + chunk.row]])
+        at = end
     distinct, n = np.unique(np.concatenate(keys), return_counts=True)
     return distinct, n > 1, found
 
@@ -207,7 +301,7 @@ def _cut(parts: int, id_type: pa.DataType):
                 sizes = np.array([len(t) for t in some], np.uint32).tobytes()
                 packed = zstandard.compress(len(some).to_bytes(4, "little") + sizes + b"".join(some), 3)
                 yield _batch(names, [(name, a, block.ids[a : a + 1024], packed, None, None, None)], types)
-            keys, twice, _ = _block_texts(block.ids, block.texts)
+            keys, twice, _ = _block_chunks(block.ids, block.texts)
             told = [
                 (name, None, None, None, p, _planes(np.diff(keys[a:b], prepend=np.uint64(0))), np.packbits(twice[a:b]).tobytes())
                 for p, a, b in _runs(_parts(keys, parts))
@@ -258,7 +352,7 @@ def _units(parts: int, id_type: pa.DataType):
         if docs.num_rows:
             name = docs.column("block")[0].as_py()
             ids, texts = _opened(docs)
-            keys, _, found = _block_texts(ids, texts)
+            keys, _, found = _block_chunks(ids, texts)
             ranges = {p: (a, b) for p, a, b in _runs(_parts(keys, parts))}
             many = np.zeros(len(keys), bool)
             if answers.num_rows != len(ranges):
@@ -266,29 +360,34 @@ def _units(parts: int, id_type: pa.DataType):
             for part, bits in zip(answers.column("part").to_pylist(), answers.column("bits").to_pylist()):
                 a, b = ranges[part]
                 many[a:b] = np.unpackbits(np.frombuffer(bits, np.uint8), count=b - a)
+            missing = np.array([i is None for i in ids])
+            versions = [_version(t) for t in texts]
             told = set()
-            for row, (doc_id, text, mine) in enumerate(zip(ids, texts, found)):
-                if doc_id is None or not len(mine.first):
+            for at, chunk in found:
+                if not len(keys) or not len(chunk.row):
                     continue
-                shared = many[np.minimum(np.searchsorted(keys, mine.keys), len(keys) - 1)]
+                shared = many[np.minimum(np.searchsorted(keys, chunk.keys), len(keys) - 1)] & ~missing[at + chunk.row]
                 chosen = np.flatnonzero(shared.any(axis=0))
                 if not len(chosen):
                     continue
-                said, (begins, ends) = text.lower().split(), word_places(text)
-                version = _version(text)
-                first = mine.first[chosen]
-                last = first + mine.size[chosen]
-                near = np.append((chosen[1:] < mine.pieces) & (first[1:] - first[:-1] <= REACH), False)
-                for k, n in enumerate(chosen.tolist()):
-                    a, b = int(first[k]), int(last[k])
-                    words = said[a:b]
-                    content = _digest(words)
-                    next_ = int(first[k + 1]) if near[k] else None
-                    apart = None if next_ is None else max(0, next_ - b)
-                    out.append((doc_id, version, name, row, a, b - a, n < mine.pieces, int(begins[a]), int(ends[b - 1]), next_, apart, content, None, None))
-                    if content not in told:
-                        told.add(content)
-                        out.append((*[None] * 11, content, b" ".join(words).decode(), mine.keys[shared[:, n], n].view(np.int64).tolist()))
+                row, first, size, piece = chunk.row[chosen], chunk.first[chosen], chunk.size[chosen], chosen < chunk.pieces
+                begin, stop, start, end, content = chunk.told(chosen)
+                step = np.append(first[1:] - first[:-1], 0)
+                near = np.append(row[1:] == row[:-1], False) & np.append(piece[1:], False) & piece & (step <= REACH)
+                signed = content.view(np.int64).tolist()
+                out += zip(
+                    [ids[at + r] for r in row.tolist()], [versions[at + r] for r in row.tolist()], [name] * len(row),
+                    (at + row).tolist(), first.tolist(), size.tolist(), piece.tolist(), start.tolist(), end.tolist(),
+                    [n if k else None for n, k in zip((first + step).tolist(), near.tolist())],
+                    [n if k else None for n, k in zip(np.maximum(0, step - WORDS).tolist(), near.tolist())],
+                    signed, [None] * len(row), [None] * len(row),
+                )
+                for k in np.unique(content, return_index=True)[1].tolist():
+                    if signed[k] not in told:
+                        told.add(signed[k])
+                        words = texts[at + row[k]][begin[k] : stop[k]].lower().split()
+                        bands_ = chunk.keys[shared[:, chosen[k]], chosen[k]].view(np.int64).tolist()
+                        out.append((*[None] * 5, int(size[k]), *[None] * 5, signed[k], b" ".join(words).decode(), bands_))
         return pa.Table.from_batches([_batch(names, out, types)])
 
     return rows
@@ -303,11 +402,15 @@ def similar(contents: list[int], words: list[str]) -> list[tuple[int, int]]:
 
     Sets that differ in d shingles differ in at most d bits of their 64-bit maps, so the maps are compared
     first; both are exact bounds."""
-    hashed, sets, maps = _Words(), [], []
-    for w in words:
-        found = np.unique(shingles(hashed(w.encode())))
-        sets.append(set(found.tolist()))
-        maps.append(np.bitwise_or.reduce(np.uint64(1) << (found >> np.uint64(58)), initial=np.uint64(0)))
+    sets, maps = [], []
+    for text in words:
+        w = text.split(" ")
+        found = set(zip(*(w[k:] for k in range(SHINGLE))))
+        sets.append(found)
+        bits = 0
+        for x in found:
+            bits |= 1 << (hash(x) & 63)
+        maps.append(bits)
     maps = np.array(maps, np.uint64)
     size = np.array([len(x) for x in sets])
     waiting, edges = np.ones(len(sets), bool), []
@@ -332,9 +435,9 @@ def similar(contents: list[int], words: list[str]) -> list[tuple[int, int]]:
 
 def links(found: DataFrame) -> DataFrame:
     """Edges (a, b) of contents that connect all contents sharing a band at SIMILARITY or more; `found` has content,
-    words and bands, a content perhaps more than once."""
+    size (number of words), words and bands, a content perhaps more than once."""
     # A row for each block that holds the content: reduced before words move.
-    placed = found.select("content", F.explode("bands").alias("band"), F.size(F.split("words", " ")).alias("size")).distinct()
+    placed = found.select("content", F.explode("bands").alias("band"), "size").distinct()
     several = placed.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total")).filter("n > 1").select(
         "band", F.greatest(F.lit(1), F.least("n", F.ceil(F.col("total") / BLOCK))).cast("int").alias("blocks")
     )
@@ -499,7 +602,7 @@ def clustered(docs: DataFrame) -> DataFrame:
             cogrouped(_units(parts, id_type)), UNIT.format(kind=kind)
         ), "paragraphs",
     )
-    roots = connected(links(told.filter("first is null").select("content", "words", "bands")))
+    roots = connected(links(told.filter("first is null").select("content", "size", "words", "bands")))
     units = told.filter("first is not null").drop("words", "bands")
     named = units.join(roots, units["content"] == roots["node"], "left").withColumn("root", F.coalesce("root", "content"))
     named = written(named.drop("content", "node"), "clusters")

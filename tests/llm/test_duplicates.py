@@ -334,8 +334,8 @@ def test_links_of_a_hot_band(spark, monkeypatch, block):
         base = [f"w{n}x{k}" for k in range(24)]
         texts_ += [" ".join(base), " ".join([*base[:-1], "end"]), " ".join(["begin", *base[1:]])]
     chance.shuffle(texts_)
-    rows = [(n, t, [5]) for n, t in enumerate(texts_)]
-    found = written(spark.createDataFrame(rows, "content long, words string, bands array<bigint>"), "hot")
+    rows = [(n, 24, t, [5]) for n, t in enumerate(texts_)]
+    found = written(spark.createDataFrame(rows, "content long, size int, words string, bands array<bigint>"), "hot")
     groups, similar = Groups(), paragraphs.similar
 
     def bounded(contents, words):
@@ -393,3 +393,139 @@ def test_whole_passages_go(table):
         own = {*a, *b}
         assert set(stays[i]) == {*got[i]} - own or i % 3 == 1 and set(stays[i]) >= {*got[i]} - own
         assert {*a[:-6], *b[6:]} <= {*got[i]}
+
+
+def test_near_copies_of_marked_paragraphs_are_found(table):
+    """Of paragraphs with scattered changed words that still are 0.8 alike as a whole, nine in ten go."""
+    chance = random.Random(31)
+    words = lambda n: [f"w{chance.getrandbits(40)}" for _ in range(n)]
+    grams = lambda t: {tuple(t[i : i + 5]) for i in range(len(t) - 4)}
+    rows, edited = [], {}
+    for size, changes in [(60, 1), (100, 2), (200, 4), (200, 1)] * 40:
+        first = words(size)
+        second = list(first)
+        for k in chance.sample(range(size), changes):
+            second[k] = f"new{chance.getrandbits(40)}"
+        for text in (first, second):
+            rows.append((len(rows), "\n".join(" ".join(x) for x in (words(chance.randint(0, 30)), text, words(chance.randint(0, 30))))))
+        edited[len(rows) - 1] = first, second
+    got = {r.doc_id: r.text for r in paragraphs.duplicates_removed(table(rows)).collect()}
+    alike = gone = 0
+    for i, (first, second) in edited.items():
+        a, b = grams(first), grams(second)
+        if len(a & b) >= 0.8 * len(a | b):
+            alike += 1
+            gone += not set(second) & set(got[i].split())
+        # The first copy stays, and the lines around but for words of a piece that is a near copy itself.
+        assert got[i - 1] == rows[i - 1][1]
+        before, _, after = (x.split() for x in rows[i][1].split("\n"))
+        assert {*before[:-6], *after[6:]} <= set(got[i].split())
+    assert alike > 80 and gone >= 0.9 * alike
+
+
+def test_chunks_equal_texts_one_by_one(monkeypatch):
+    """Words, lines, pieces, bands and contents of joined texts are those of each text, by plain loops."""
+    chance = random.Random(5)
+    texts_ = [
+        "\n".join(" ".join(chance.choice(["Wörd", f"w{chance.randrange(60)}", "x" * 5000]) for _ in range(n)) for n in sizes)
+        for sizes in [(3, 24, 0, 40, 23, 100, 24), (), (30,), (23,), (24, 24), (200,), (60, 2), (28,), (35,)]
+    ]
+    raw = [t.encode() for t in texts_]
+    monkeypatch.setattr(paragraphs, "CHUNK", 1 << 20)
+    found = paragraphs._Chunk(raw)
+    begin, stop, start, end, content = found.told(np.arange(len(found.row)))
+    at = defaultdict(set)
+    for k in range(len(found.row)):
+        text, (a, n) = texts_[found.row[k]], (int(found.first[k]), int(found.size[k]))
+        words = text.split()[a : a + n]
+        assert text[start[k] : end[k]].split() == words and raw[found.row[k]][begin[k] : stop[k]].decode().split() == words
+        at[found.row[k], k < found.pieces].add((a, n))
+        alone = paragraphs._Chunk([" ".join(words).lower().encode()])
+        mine = next(j for j in range(len(alone.row)) if (alone.size[j] == n and alone.first[j] == 0 and (j < alone.pieces) == (k < found.pieces)))
+        assert (alone.keys[:, mine] == found.keys[:, k]).all()
+        assert alone.told(np.array([mine]))[4][0] == content[k]
+    for row, text in enumerate(texts_):
+        lines, here = set(), 0
+        for line in text.split("\n"):
+            if len(line.split()) >= 24:
+                lines.add((here, len(line.split())))
+            here += len(line.split())
+        assert at[row, False] == lines
+        own = paragraphs.shingles(paragraphs.word_hashes(*split_up(raw[row].lower())))
+        pieces = {0} if 20 <= len(own) < 28 else {
+            w + min(range(28), key=lambda k: (int(own[w + k]) >> 24, k)) for w in range(len(own) - 27)
+        }
+        assert at[row, True] == {(p, 24) for p in pieces if p + 20 <= len(own)}
+
+
+def split_up(text):
+    data, first, last = np.frombuffer(text, np.uint8), [], []
+    here = 0
+    for word in text.split():
+        here = text.index(word, here)
+        first.append(here)
+        here += len(word)
+        last.append(here)
+    return data, np.array(first, np.int64), np.array(last, np.int64)
+
+
+def test_word_hashes_tell_words_apart():
+    words_ = [b"a", b"b", b"ab", b"ba", b"aa", b"a\x00", b"\x00a", b"\x00", b"x" * 4096, b"x" * 4097, b"x" * 9000, "é".encode()]
+    text = b" ".join(words_ * 3)
+    got = paragraphs.word_hashes(*split_up(text)).tolist()
+    assert got[: len(words_)] == got[len(words_) : 2 * len(words_)] == got[2 * len(words_) :]
+    assert len(set(got)) == len(words_)
+    # The same in any chunk.
+    far = b"y " * 700_000 + text
+    assert paragraphs.word_hashes(*split_up_fast(far)).tolist()[-len(words_) :] == got[: len(words_)]
+
+
+def split_up_fast(text):
+    data = np.frombuffer(text, np.uint8)
+    inside = np.concatenate([[False], data != 32, [False]])
+    return data, np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:])
+
+
+def test_shared_reach_equals_comparing_all_pairs():
+    chance = np.random.default_rng(6)
+    words = chance.integers(0, 3, (60, 7)).astype(np.uint64)
+    sizes = chance.integers(0, 8, 60)
+    got = paragraphs.shared_reach(words, sizes)
+    for i in range(60):
+        best = 0
+        for j in range(i):
+            n = 0
+            while n < min(sizes[i], sizes[j]) and words[i, n] == words[j, n]:
+                n += 1
+            best = max(best, n)
+        assert got[i] == best
+
+
+def test_paragraphs_of_documents_with_text_ids(table):
+    passage = " ".join(f"w{k}" for k in range(60))
+    rows = [("b", f"own x {passage}"), ("a", f"{passage} other y"), (None, passage), ("c", None)]
+    docs = table(rows, "doc_id string, text string")
+    assert {(r.doc_id, r.component_id, r.n_removed > 0) for r in paragraphs.by_document(docs).collect()} == {("a", "a", False), ("b", "a", True)}
+    got = {r.doc_id: r.text for r in paragraphs.duplicates_removed(docs).collect()}
+    assert got == {"a": rows[1][1], "b": "own x ", None: passage, "c": None}
+    empty = table([], "doc_id string, text string")
+    assert paragraphs.duplicates_removed(empty).count() == 0 and paragraphs.duplicates_removed(empty).schema == empty.schema
+
+
+def test_stages_on_hard_and_empty_tables(spark, folder, table):
+    """Every stage handles nulls, empty, long and repeated rows, and tables without rows."""
+    long = " ".join(f"word{i % 700} text{i % 31}" for i in range(20_000))
+    rows = [
+        (1, None, None, None, None), (2, "", "en", "a", 0), (3, " \n\t ", "en", "a", 4), (None, "no id here", None, "b", 9),
+        (None, None, None, None, None), (5, long, "de", "a", 1), (6, long, "de", "a", 1), (7, "same same", "en", "c", 1),
+        (7, "same same", "en", "c", 1), (7, "other text", "fr", "c", 1), (9, "a" * 300_000, "en", "d", 2),
+    ]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for docs in (table(rows, schema), table([], schema)):
+        size = docs.count()
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = written(stage(spark, docs, folder), name)
+            assert docs.schema.names == schema.replace(" long", "").replace(" string", "").split(", ")
+            assert docs.count() <= size
+        last = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
+        assert last.count() == docs.count() and (size == 0 or docs.count() >= 6)
