@@ -19,10 +19,11 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellpulse.llm.memory import cogrouped, grouped
+from cellpulse.llm.memory import cogrouped, grouped, streaming
 from cellpulse.staging import written
 
 #: Bounds of a shard in vectors and bytes, and of the queries that one task searches for.
@@ -197,23 +198,32 @@ class Graph:
 # --- shards ------------------------------------------------------------------------------------------
 
 
-def usable(vector: Column) -> Column:
-    """Whether a vector takes part: not null, not empty, not zero, all components finite numbers."""
-    infinite = F.lit(float("inf"))
-    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < infinite))
-    return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
+def measured(batches):
+    """Of rows (id, v) those whose vector takes part, with its length and the binary exponent of its norm: not null, not
+    empty, not zero, all components finite numbers."""
+    for batch in batches:
+        there = pc.fill_null(pc.greater(pc.list_value_length(batch.column("v")), 0), False)
+        batch = batch.filter(there)
+        sizes = pc.list_value_length(batch.column("v")).to_numpy(zero_copy_only=False)
+        if not len(sizes):
+            continue
+        size = np.abs(batch.column("v").flatten().to_numpy(zero_copy_only=False))  # a null is not a number
+        first = np.cumsum(sizes) - sizes
+        largest = np.maximum.reduceat(size, first)
+        usable = np.isfinite(largest) & (largest > 0)
+        scale = np.where(usable, largest, 1.0)
+        # Divided by the largest component, squares neither overflow nor vanish.
+        square = np.add.reduceat((size / np.repeat(scale, sizes)) ** 2, first)
+        band = np.floor(np.log2(scale) + np.log2(np.where(usable, square, 1.0)) / 2).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), batch.column("v"), pa.array(sizes.astype(np.int32)), pa.array(band)], names=["id", "v", "dim", "band"]
+        ).filter(pa.array(usable))
 
 
 def _rows(table: DataFrame, id_: str, vector: str) -> DataFrame:
     """Distinct ids and vectors that take part, with their length and the binary exponent of their norm."""
     rows = table.select(F.col(id_).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"))
-    rows = rows.filter(usable(F.col("v"))).distinct()
-    largest = F.array_max(F.transform("v", lambda x: F.abs(x)))
-    # Divided by the largest component, squares neither overflow nor vanish.
-    square = F.aggregate(F.transform("v", lambda x: (x / F.col("largest")) * (x / F.col("largest"))), F.lit(0.0), lambda a, x: a + x)
-    return rows.withColumn("largest", largest).select(
-        "id", "v", F.size("v").alias("dim"), F.floor(F.log2("largest") + F.log2(square) / 2).cast("int").alias("band")
-    )
+    return rows.mapInArrow(streaming(measured), "id bigint, v array<double>, dim int, band int").distinct()
 
 
 KEYS = ["dim", "band", "bucket"]

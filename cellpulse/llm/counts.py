@@ -18,7 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellpulse.llm.memory import streaming
 from cellpulse.llm.pretokens import words
+from cellpulse.operators.lookup import spread_lookup
 
 CACHE = "version string, digest binary, n_tokens bigint"
 #: Words whose counts a task remembers, and the bound of a tokenizer file in bytes.
@@ -137,6 +139,9 @@ def counted(docs: DataFrame, tokenizer, cache_path: str) -> DataFrame:
 
     distinct = keyed.select("digest", "text").dropDuplicates(["digest"])
     misses = distinct.join(stored().select("digest"), "digest", "left_anti")
-    misses.mapInArrow(count, CACHE).write.mode("append").parquet(cache_path)
+    misses.mapInArrow(streaming(count), CACHE).write.mode("append").parquet(cache_path)
     sizes = keyed.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "digest")
-    return sizes.join(stored(), "digest").select("doc_id", "n_bytes", "n_tokens")
+    # A text that many documents have is looked up in place and its rows are dealt out.
+    held = sizes.groupBy("digest").agg(F.count(F.lit(1)).alias("held"))
+    found = spread_lookup(sizes, stored().join(held, "digest"), "digest", "held", ["doc_id"])
+    return found.select("doc_id", "n_bytes", "n_tokens")
