@@ -578,6 +578,35 @@ def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return models.score({"forest": models.load_model(path)}, training.parts["test"]).select(*CELL_KEY, "target", "forest")
 
 
+@query("bundle_roundtrip")
+def bundle_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Test rows scored by a bundle that was stored and loaded; `same` compares with the fitted models."""
+    training = _training(spark, folder)
+    path = new_path(spark, "bundle")
+    plain = scaling.Scaler(training.scaler.columns, training.scaler.centers, training.scaler.scales)
+    artefacts.Bundle(
+        training.fit("forest", "boosted"), training.inputs, {"forest": 0.25, "boosted": 0.75}, plain,
+        grid=grid.grid_metadata(views.stages(spark, folder).cleaned, CONFIG),
+    ).save(spark, path)
+    rows = training.split.part(training.features, "test")
+    loaded = artefacts.Bundle.load(spark, path).score(rows, "mixed").select(*rows.columns, "mixed")
+    again = models.score(training.fit("forest", "boosted"), plain.apply(loaded, "_scaled"))
+    wanted = F.col("forest") * 0.25 + F.col("boosted") * 0.75
+    return again.select(*CELL_KEY, "target", (F.abs(F.col("mixed") - wanted) < 1e-9).alias("same"))
+
+
+@query("importance_stored")
+def importance_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """Importances of a stored file, found among several paths; here how far a feature goes along with the target."""
+    path = new_path(spark, "importance")
+    table = views.stages(spark, folder).features
+    found = table.agg(*[F.abs(F.corr(c, "target")).alias(c) for c in SIX]).select(
+        F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("importance")) for c in SIX])).alias("r")
+    ).select("r.*")
+    tables.write_csv(found, path)
+    return dashboard.top_importance(artefacts.first_importance(spark, [f"{path}-absent", path]), 4)
+
+
 @query("score")
 def score(spark: SparkSession, folder: str) -> DataFrame:
     """Predictions of every row from stored artefacts: scaler, order of the inputs and model are saved, loaded

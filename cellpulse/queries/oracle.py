@@ -1006,6 +1006,13 @@ QUERIES |= {
   (select distinct cell_id from gridded where day_of_month <= 3)) d using (cell_id)""",
         "",
     ),
+    "importance_stored": (
+        "base",
+        "select * from (" + " union all ".join(f"select '{c}' as feature, abs(corr({c}, target)) as importance from base" for c in SIX)
+        + ") order by importance desc, feature limit 4",
+        "importance",
+    ),
+    "bundle_roundtrip": ("parts", f"select {KEY}, target, true as same from parts where split = 'test'", "target"),
     "ensemble_weights_six": ("base", _six(), [*(f"w{i}" for i in range(6)), "rmse"]),
 }
 
