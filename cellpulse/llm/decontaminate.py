@@ -214,7 +214,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def leaking_removed(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `docs`, all columns, whose text holds no benchmark passage. Every block of items is asked
-    about what the blocks before it have kept."""
+    about what the blocks before it have kept.
+
+    Null and empty texts hold none and stay, rows without an id are judged by their text, repeated rows stay or go
+    together; without items all rows stay, an empty table stays empty.
+    """
     spark, schema = docs.sparkSession, docs.schema
     for block in _blocks(benchmark):
         shared = spark.sparkContext.broadcast(Index(block))

@@ -116,7 +116,11 @@ def measured(docs: DataFrame) -> DataFrame:
 
 
 def ledger(docs: DataFrame) -> DataFrame:
-    """Measurements of every document and `failed`, the bits of the rules that it fails."""
+    """Measurements of every document and `failed`, the bits of the rules that it fails.
+
+    A null text has no words and is measured like an empty one; rows without an id and repeated rows have a row each; an
+    empty table gives no rows.
+    """
     words = F.col("n_words")
     fails = {
         "few_words": words < 50,
@@ -133,7 +137,7 @@ def ledger(docs: DataFrame) -> DataFrame:
 
 
 def applied(book: DataFrame, policy: str = "v2") -> DataFrame:
-    """The ledger with `kept`: whether a document fails none of the rules of `policy`."""
+    """The ledger with `kept`: whether a document fails none of the rules of `policy`. An empty ledger stays empty."""
     return book.withColumn("kept", F.col("failed").bitwiseAND(F.lit(mask(policy))) == 0)
 
 

@@ -48,11 +48,13 @@ STAGES = [
     ("byte_level_bpe", tokens),
 ]
 
-#: No stage can be expressed in SQL; tests compare each with a brute-force version.
+#: No stage can be expressed in SQL. Tests compare what the stages call with brute force (toxicity: with labels).
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the documents of `sf_dir` that all stages keep; each stage's rows are written, and
+    the next one reads them. Nulls, empty and repeated rows and empty tables pass as every stage's docstring says."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
