@@ -46,6 +46,8 @@ SIMILARITY, RECALL = 0.8, 0.99
 PLACE_BITS = 24
 #: Words of different paragraphs of a band that are compared in one block.
 BLOCK = 2048 * WORDS
+#: Paragraphs up to which plain loops compare them.
+FEW = 12
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
@@ -238,18 +240,6 @@ class _Chunk:
         return total
 
 
-class _Words(dict):
-    """Hashes of words, remembered within a block."""
-
-    def __missing__(self, word: bytes) -> int:
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
-
-    def __call__(self, text: bytes) -> np.ndarray:
-        words = text.lower().split()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """First character and character after the last one of every word of a UTF-8 text."""
     data = np.frombuffer(text, np.uint8)
@@ -348,7 +338,7 @@ def _units(parts: int, id_type: pa.DataType):
 
     def rows(docs: pa.Table, answers: pa.Table) -> pa.Table:
         _complete(docs, answers)
-        out: list[tuple] = []
+        out: list[pa.Table] = []
         if docs.num_rows:
             name = docs.column("block")[0].as_py()
             ids, texts = _opened(docs)
@@ -361,8 +351,8 @@ def _units(parts: int, id_type: pa.DataType):
                 a, b = ranges[part]
                 many[a:b] = np.unpackbits(np.frombuffer(bits, np.uint8), count=b - a)
             missing = np.array([i is None for i in ids])
-            versions = [_version(t) for t in texts]
-            told = set()
+            all_ids, versions = pa.array(ids, id_type), np.array([_version(t) for t in texts], np.int64)
+            told: set[int] = set()
             for at, chunk in found:
                 if not len(keys) or not len(chunk.row):
                     continue
@@ -374,21 +364,30 @@ def _units(parts: int, id_type: pa.DataType):
                 begin, stop, start, end, content = chunk.told(chosen)
                 step = np.append(first[1:] - first[:-1], 0)
                 near = np.append(row[1:] == row[:-1], False) & np.append(piece[1:], False) & piece & (step <= REACH)
-                signed = content.view(np.int64).tolist()
-                out += zip(
-                    [ids[at + r] for r in row.tolist()], [versions[at + r] for r in row.tolist()], [name] * len(row),
-                    (at + row).tolist(), first.tolist(), size.tolist(), piece.tolist(), start.tolist(), end.tolist(),
-                    [n if k else None for n, k in zip((first + step).tolist(), near.tolist())],
-                    [n if k else None for n, k in zip(np.maximum(0, step - WORDS).tolist(), near.tolist())],
-                    signed, [None] * len(row), [None] * len(row),
-                )
-                for k in np.unique(content, return_index=True)[1].tolist():
-                    if signed[k] not in told:
-                        told.add(signed[k])
+                columns = {
+                    "doc_id": all_ids.take(pa.array(at + row)), "version": versions[at + row],
+                    "block": pa.repeat(pa.scalar(name, pa.binary()), len(row)), "row": at + row, "first": first, "size": size,
+                    "piece": piece, "start": start, "end": end, "next": pa.array(first + step, pa.int32(), mask=~near),
+                    "apart": pa.array(np.maximum(0, step - WORDS), pa.int32(), mask=~near), "content": content.view(np.int64),
+                }
+                out.append(pa.Table.from_arrays(
+                    [pa.array(columns[n], t) if n in columns else pa.nulls(len(row), t) for n, t in zip(names, types)], names=names
+                ))
+                distinct, once = np.unique(content.view(np.int64), return_index=True)
+                rows_, contents = [], []
+                for value, k in zip(distinct.tolist(), once.tolist()):
+                    if value not in told:
+                        told.add(value)
                         words = texts[at + row[k]][begin[k] : stop[k]].lower().split()
-                        bands_ = chunk.keys[shared[:, chosen[k]], chosen[k]].view(np.int64).tolist()
-                        out.append((*[None] * 5, int(size[k]), *[None] * 5, signed[k], b" ".join(words).decode(), bands_))
-        return pa.Table.from_batches([_batch(names, out, types)])
+                        rows_.append(b" ".join(words).decode())
+                        contents.append(k)
+                k = np.array(contents, np.int64)
+                bands_ = [chunk.keys[shared[:, j], j].view(np.int64) for j in chosen[k].tolist()]
+                new = {"size": size[k], "content": content.view(np.int64)[k], "words": rows_, "bands": bands_}
+                out.append(pa.Table.from_arrays(
+                    [pa.array(new[n], t) if n in new else pa.nulls(len(k), t) for n, t in zip(names, types)], names=names
+                ))
+        return pa.concat_tables(out) if out else pa.Table.from_batches([_batch(names, [], types)])
 
     return rows
 
@@ -402,11 +401,14 @@ def similar(contents: list[int], words: list[str]) -> list[tuple[int, int]]:
 
     Sets that differ in d shingles differ in at most d bits of their 64-bit maps, so the maps are compared
     first; both are exact bounds."""
-    sets, maps = [], []
+    sets = []
     for text in words:
         w = text.split(" ")
-        found = set(zip(*(w[k:] for k in range(SHINGLE))))
-        sets.append(found)
+        sets.append(set(zip(*(w[k:] for k in range(SHINGLE)))))
+    if len(sets) <= FEW:
+        return _similar_few(contents, sets)
+    maps = []
+    for found in sets:
         bits = 0
         for x in found:
             bits |= 1 << (hash(x) & 63)
@@ -433,6 +435,24 @@ def similar(contents: list[int], words: list[str]) -> list[tuple[int, int]]:
     return edges
 
 
+def _similar_few(contents: list[int], sets: list[set]) -> list[tuple[int, int]]:
+    """The same by plain loops, which are faster for few paragraphs."""
+    waiting, edges = list(range(len(sets))), []
+    while waiting:
+        start, todo = waiting[0], [waiting.pop(0)]
+        while todo and waiting:
+            here, rest = sets[todo.pop()], []
+            for other in waiting:
+                both = len(here & sets[other])
+                if both >= SIMILARITY * (len(here) + len(sets[other]) - both) - 1e-9:
+                    todo.append(other)
+                    edges.append((contents[start], contents[other]))
+                else:
+                    rest.append(other)
+            waiting = rest
+    return edges
+
+
 def links(found: DataFrame) -> DataFrame:
     """Edges (a, b) of contents that connect all contents sharing a band at SIMILARITY or more; `found` has content,
     size (number of words), words and bands, a content perhaps more than once."""
@@ -548,25 +568,36 @@ def _reached(id_type: pa.DataType):
 
     def rows(told: pa.Table) -> pa.Table:
         told = told.sort_by([(n, "ascending") for n in ("doc_id", "first", "version")])
-        hashed = _Words()
-        sides, texts = told.column("side").to_pylist(), told.column("text").to_pylist()
-        wide, sizes = np.zeros((told.num_rows, SIDE + 2), np.uint64), np.zeros(told.num_rows, np.int64)
-        for k, (side, text) in enumerate(zip(sides, texts)):
-            found = hashed(text.encode())
-            sizes[k] = len(found) + 2
-            wide[k, 2 : len(found) + 2] = found if side else found[::-1]
+        n, right = told.num_rows, told.column("side").to_numpy() == 1
+        texts = [t.encode() for t in told.column("text").to_pylist()]
+        wide, sizes = np.zeros((n, SIDE + 2), np.uint64), np.zeros(n, np.int64)
+        # Characters up to the end of each word (right), or from its beginning to the end of the text (left).
+        lengths = np.zeros((n, SIDE), np.int32)
+        for a in range(0, n, 4096):
+            joined = b"\n".join(texts[a : a + 4096]) + b"\n"
+            data = np.frombuffer(joined.lower(), np.uint8)
+            inside = np.zeros(len(data) + 2, bool)
+            inside[1:-1] = ~_WHITE[data]
+            first, last = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:])
+            offsets = np.cumsum([0, *(len(t) + 1 for t in texts[a : a + 4096])])
+            words = np.searchsorted(first, offsets)
+            hashes, characters = word_hashes(data, first, last), np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+            count, here = np.diff(words), right[a : a + 4096]
+            sizes[a : a + 4096] = count + 2
+            row, k = np.nonzero(np.arange(SIDE) < count[:, None])
+            at = np.where(here[row], words[row] + k, words[row] + count[row] - 1 - k)
+            wide[a + row, k + 2] = hashes[at]
+            lengths[a + row, k] = np.where(
+                here[row], characters[last[at]] - characters[offsets[row]], characters[offsets[row + 1] - 1] - characters[first[at]]
+            )
         wide[:, 0] = told.column("root").to_numpy().view(np.uint64)
-        wide[:, 1] = np.array(sides, np.uint64)
+        wide[:, 1] = right
         reach = shared_reach(wide, sizes) - 2
-        grown = []
         asked = np.array(told.column("asked").to_pylist(), bool)
-        for k in np.flatnonzero(asked).tolist():
-            side, text, n = sides[k], texts[k], int(reach[k])
-            begins, ends = word_places(text.encode())
-            grown.append(0 if n <= 0 else int(ends[n - 1]) if side else len(text) - int(begins[len(begins) - n]))
+        grown = np.where(reach > 0, lengths[np.arange(n), np.maximum(reach, 1) - 1], 0)[asked]
         taken = told.filter(pa.array(asked))
         return pa.Table.from_arrays(
-            [taken.column("doc_id"), taken.column("version"), taken.column("first"), taken.column("side"), pa.array(grown, pa.int32())],
+            [taken.column("doc_id"), taken.column("version"), taken.column("first"), taken.column("side"), pa.array(grown.astype(np.int32))],
             names=["doc_id", "version", "first", "side", "grown"],
         )
 

@@ -503,11 +503,11 @@ def test_shared_reach_equals_comparing_all_pairs():
 
 def test_paragraphs_of_documents_with_text_ids(table):
     passage = " ".join(f"w{k}" for k in range(60))
-    rows = [("b", f"own x {passage}"), ("a", f"{passage} other y"), (None, passage), ("c", None)]
+    rows = [("b", f"own x\n{passage}"), ("a", f"{passage}\nother y"), (None, passage), ("c", None)]
     docs = table(rows, "doc_id string, text string")
     assert {(r.doc_id, r.component_id, r.n_removed > 0) for r in paragraphs.by_document(docs).collect()} == {("a", "a", False), ("b", "a", True)}
     got = {r.doc_id: r.text for r in paragraphs.duplicates_removed(docs).collect()}
-    assert got == {"a": rows[1][1], "b": "own x ", None: passage, "c": None}
+    assert got == {"a": rows[1][1], "b": "own x\n", None: passage, "c": None}
     empty = table([], "doc_id string, text string")
     assert paragraphs.duplicates_removed(empty).count() == 0 and paragraphs.duplicates_removed(empty).schema == empty.schema
 
