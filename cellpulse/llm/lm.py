@@ -106,7 +106,9 @@ class Keys:
         self.begins[np.cumsum(sizes) - 1] = False
         at = np.flatnonzero(self.begins)
         pairs, inverse = np.unique(_mixed(h[at], h[at + 1]), return_inverse=True)
-        self.keys = np.unique(np.concatenate([hashes, pairs]))
+        # Sorted and told apart by hand: without an inverse, the library's unique goes by hashing, which is slower here.
+        keys = np.sort(np.concatenate([hashes, pairs]))
+        self.keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
         self.word = np.searchsorted(self.keys, hashes)[codes]
         self.pair = np.searchsorted(self.keys, pairs)[inverse]
         self.sizes = sizes
