@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +45,8 @@ SHINGLES = WORDS - SHINGLE + 1
 SIDE = REACH - 1
 SIMILARITY, RECALL = 0.8, 0.99
 PLACE_BITS = 24
+#: Bits of the number of a row in its block, and of a block in its partition.
+ROW_BITS, BLOCK_BITS = 24, 19
 #: Words of different paragraphs of a band that are compared in one block.
 BLOCK = 2048 * WORDS
 #: Paragraphs up to which plain loops compare them.
@@ -126,7 +129,10 @@ def starts_of(found: np.ndarray, docs: np.ndarray) -> np.ndarray:
         part = found[at : at + (1 << PLACE_BITS - 1) + REACH - 1]
         least = _least((part & ~low) | np.arange(len(part), dtype=np.uint64), REACH) & low
         mine = inside[(inside >= at) & (inside < at + (1 << PLACE_BITS - 1))] - at
-        chosen = np.concatenate([chosen, np.unique(least[mine]).astype(np.int64) + at])
+        least = least[mine]
+        # The least of neighbouring windows rarely changes.
+        least = least[np.concatenate([[True], least[1:] != least[:-1]])] if len(least) else least
+        chosen = np.concatenate([chosen, least.astype(np.int64) + at])
     chosen = np.unique(chosen)
     ends = (first + shingles_)[np.searchsorted(first, chosen, "right") - 1]
     return np.sort(np.concatenate([short, chosen[chosen + SHINGLES <= ends]]))
@@ -280,20 +286,22 @@ def _runs(part: np.ndarray) -> list[tuple[int, int, int]]:
 
 def _cut(parts: int, id_type: pa.DataType):
     """Documents of each block, packed by the thousand (part is null), and its bands by range (first is null)."""
-    names = ["block", "first", "ids", "texts", "part", "keys", "twice"]
-    types = [pa.binary(), pa.int32(), pa.list_(id_type), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
+    names = ["block", "number", "first", "ids", "texts", "part", "keys", "twice"]
+    types = [pa.binary(), pa.int64(), pa.int32(), pa.list_(id_type), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
 
     def rows(batches):
         for block in _blocks(batches):
             name = block.name()
+            # Unique in the job that writes the blocks; its low bits are zero, rows are added to it.
+            number = TaskContext.get().partitionId() << ROW_BITS + BLOCK_BITS | block.number << ROW_BITS
             for a in range(0, len(block.ids), 1024):
                 some = block.texts[a : a + 1024]
                 sizes = np.array([len(t) for t in some], np.uint32).tobytes()
                 packed = zstandard.compress(len(some).to_bytes(4, "little") + sizes + b"".join(some), 3)
-                yield _batch(names, [(name, a, block.ids[a : a + 1024], packed, None, None, None)], types)
+                yield _batch(names, [(name, number, a, block.ids[a : a + 1024], packed, None, None, None)], types)
             keys, twice, _ = _block_chunks(block.ids, block.texts)
             told = [
-                (name, None, None, None, p, _planes(np.diff(keys[a:b], prepend=np.uint64(0))), np.packbits(twice[a:b]).tobytes())
+                (name, None, None, None, None, p, _planes(np.diff(keys[a:b], prepend=np.uint64(0))), np.packbits(twice[a:b]).tobytes())
                 for p, a, b in _runs(_parts(keys, parts))
             ]
             yield _batch(names, told, types)
@@ -321,7 +329,7 @@ def _digest(words: list[bytes]) -> int:
 
 
 UNIT = (
-    "doc_id {kind}, version bigint, block binary, row int, first int, size int, piece boolean, start int, end int, "
+    "doc_id {kind}, version bigint, place bigint, first int, size int, piece boolean, start int, end int, "
     "next int, apart int, content bigint, words string, bands array<bigint>"
 )
 
@@ -330,9 +338,9 @@ def _units(parts: int, id_type: pa.DataType):
     """Paragraphs with a band that stands at two places: their words and characters in the text; for a piece, the
     first word of the next such piece within reach and the number of words between; and once for every content of the
     block (doc_id and first are null) its words and those bands."""
-    names = ["doc_id", "version", "block", "row", "first", "size", "piece", "start", "end", "next", "apart", "content", "words", "bands"]
+    names = ["doc_id", "version", "place", "first", "size", "piece", "start", "end", "next", "apart", "content", "words", "bands"]
     types = [
-        id_type, pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(),
+        id_type, pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(),
         pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.int64()),
     ]
 
@@ -340,7 +348,7 @@ def _units(parts: int, id_type: pa.DataType):
         _complete(docs, answers)
         out: list[pa.Table] = []
         if docs.num_rows:
-            name = docs.column("block")[0].as_py()
+            number = docs.column("number")[0].as_py()
             ids, texts = _opened(docs)
             keys, _, found = _block_chunks(ids, texts)
             ranges = {p: (a, b) for p, a, b in _runs(_parts(keys, parts))}
@@ -366,7 +374,7 @@ def _units(parts: int, id_type: pa.DataType):
                 near = np.append(row[1:] == row[:-1], False) & np.append(piece[1:], False) & piece & (step <= REACH)
                 columns = {
                     "doc_id": all_ids.take(pa.array(at + row)), "version": versions[at + row],
-                    "block": pa.repeat(pa.scalar(name, pa.binary()), len(row)), "row": at + row, "first": first, "size": size,
+                    "place": number + at + row, "first": first, "size": size,
                     "piece": piece, "start": start, "end": end, "next": pa.array(first + step, pa.int32(), mask=~near),
                     "apart": pa.array(np.maximum(0, step - WORDS), pa.int32(), mask=~near), "content": content.view(np.int64),
                 }
@@ -458,7 +466,12 @@ def links(found: DataFrame) -> DataFrame:
     size (number of words), words and bands, a content perhaps more than once."""
     # A row for each block that holds the content: reduced before words move.
     placed = found.select("content", F.explode("bands").alias("band"), "size").distinct()
-    several = placed.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total")).filter("n > 1").select(
+    several = placed.groupBy("band").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("size").alias("total"), F.bit_xor("content").alias("same"),
+        F.bit_xor(F.xxhash64("content")).alias("too"),
+    ).filter("n > 1")
+    # Paragraphs that are alike share most bands: of bands with the same paragraphs one is compared.
+    several = several.groupBy("n", "total", "same", "too").agg(F.min("band").alias("band")).select(
         "band", F.greatest(F.lit(1), F.least("n", F.ceil(F.col("total") / BLOCK))).cast("int").alias("blocks")
     )
     # A paragraph of block i stands in the units (i, j) or (j, i) for all j: each pair of paragraphs shares a unit.
@@ -511,10 +524,11 @@ def _sides(id_type: pa.DataType):
             _, texts = _opened(docs)
             earliest: dict[tuple, int] = {}
             opened, last = None, None
-            ordered = told.sort_by([(n, "ascending") for n in ("doc_id", "first", "version", "row")])
-            for row, doc_id, version, first, root, side, removed in zip(
-                *(ordered.column(n).to_pylist() for n in ("row", "doc_id", "version", "first", "root", "side", "removed"))
+            ordered = told.sort_by([(n, "ascending") for n in ("doc_id", "first", "version", "place")])
+            for place, doc_id, version, first, root, side, removed in zip(
+                *(ordered.column(n).to_pylist() for n in ("place", "doc_id", "version", "first", "root", "side", "removed"))
             ):
+                row = place & (1 << ROW_BITS) - 1
                 if row != last:
                     text = texts[row]
                     opened, last = (text.lower().split(), *word_places(text), text.decode()), row
@@ -621,10 +635,10 @@ def clustered(docs: DataFrame) -> DataFrame:
     cut = written(
         base.mapInArrow(
             streaming(_cut(parts, id_type)),
-            f"block binary, first int, ids array<{kind}>, texts binary, part int, keys binary, twice binary",
+            f"block binary, number bigint, first int, ids array<{kind}>, texts binary, part int, keys binary, twice binary",
         ), "blocks",
     )
-    blocks = cut.filter("part is null").select("block", "first", "ids", "texts")
+    blocks = cut.filter("part is null").select("block", "number", "first", "ids", "texts")
     repeated = cut.filter("part is not null").select("part", "block", "keys", "twice").groupBy("part").applyInArrow(
         grouped(_repeated), "part int, block binary, bits binary"
     )
@@ -640,16 +654,16 @@ def clustered(docs: DataFrame) -> DataFrame:
     discarded(told)
     ends = named.groupBy("root").agg(
         F.min(F.struct("doc_id", "start", "end")).alias("opens"), F.max(F.struct("doc_id", "start")).alias("last"),
-    ).filter("last.doc_id != opens.doc_id or last.start >= opens.end").select("root", "opens")
+    ).filter("last.doc_id != opens.doc_id or last.start >= opens.end").select(
+        "root", F.col("opens.doc_id").alias("cluster"), F.col("opens.end").alias("ends")
+    )
     # Rows that repeat a document are one from here on: any of their blocks can tell its words.
     once = ["doc_id", "version", "first", "size", "piece", "start", "end", "next", "apart"]
     several = named.join(ends, "root").groupBy("root", *once).agg(
-        F.min(F.struct("block", "row")).alias("at"), F.first("opens").alias("opens")
+        F.min("place").alias("place"), F.first("cluster").alias("cluster"), F.first("ends").alias("ends")
     )
     flagged = written(
-        several.withColumn(
-            "removed", (F.col("doc_id") != F.col("opens.doc_id")) | (F.col("start") >= F.col("opens.end"))
-        ).withColumn("cluster", F.col("opens.doc_id")).drop("opens"), "flagged",
+        several.withColumn("removed", (F.col("doc_id") != F.col("cluster")) | (F.col("start") >= F.col("ends"))).drop("ends"), "flagged",
     )
     discarded(named)
     grown = written(_grown(blocks, _told(flagged), id_type, parts, kind), "grown")
@@ -674,14 +688,15 @@ def _told(flagged: DataFrame) -> DataFrame:
     open_ = sided.groupBy("root").agg(F.min("back").alias("back"), F.min("on").alias("on"))
     sides = F.filter(F.array(F.when(~F.col("back"), F.lit(0)), F.when(~F.col("on"), F.lit(1))), lambda x: x.isNotNull())
     return pieces.join(open_.select("root", F.explode(sides).alias("side")), "root").select(
-        "at.block", "at.row", "doc_id", "version", "first", "root", "side", "removed"
+        "place", "doc_id", "version", "first", "root", "side", "removed"
     )
 
 
 def _grown(blocks: DataFrame, told: DataFrame, id_type: pa.DataType, parts: int, kind: str) -> DataFrame:
     """doc_id, version, first, side and the characters by which a removed piece grows on that side."""
+    number = F.shiftleft(F.shiftright("place", ROW_BITS), ROW_BITS).alias("number")
     sides = written(
-        blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
+        blocks.groupBy("number").cogroup(told.groupBy(number)).applyInArrow(
             cogrouped(_sides(id_type)),
             f"root bigint, side int, near bigint, asked boolean, doc_id {kind}, version bigint, first int, text string, grown int",
         ), "sides",
