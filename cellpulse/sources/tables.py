@@ -87,13 +87,15 @@ def load_predictions(spark: SparkSession, paths: Sequence[str], config: GridConf
     The error is computed when the file lacks it. Raises if no path can be used.
     """
     for path in paths:
-        try:
-            df = spark.read.parquet(path)
-        except AnalysisException:
+        df = None
+        for place in (f"{path}/data", path):  # a table with a manifest, or plain files
             try:
-                df = spark.read.parquet(f"{path}/data")  # a table with a manifest
+                df = spark.read.parquet(place)
+                break
             except AnalysisException:
                 continue
+        if df is None:
+            continue
         for predicted, error in PREDICTION_COLUMNS:
             if predicted not in df.columns:
                 continue
