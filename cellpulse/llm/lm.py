@@ -136,14 +136,17 @@ def _restored(data: bytes) -> bytes:
 
 
 def _packed(values: np.ndarray) -> bytes:
-    """Counts as bytes that compress well: low bytes first, then the next, and so on."""
-    wide = np.ascontiguousarray(values.astype("<u4")).view(np.uint8).reshape(-1, 4).T
-    return _squeezed(wide.tobytes())
+    """Counts as bytes that compress well: low bytes first, then the next, and so on; four of each, or eight if one
+    needs them, which the first byte tells."""
+    width = 8 if len(values) and int(values.max()) >> 32 else 4
+    wide = np.ascontiguousarray(values.astype(f"<u{width}")).view(np.uint8).reshape(-1, width).T
+    return bytes([width]) + _squeezed(wide.tobytes())
 
 
 def _counts(packed: bytes) -> np.ndarray:
-    wide = np.frombuffer(_restored(packed), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(wide.T).view("<u4").ravel()
+    width = packed[0]
+    wide = np.frombuffer(_restored(packed[1:]), np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(wide.T).view(f"<u{width}").ravel()
 
 
 def _packed_keys(keys: np.ndarray) -> bytes:
@@ -325,9 +328,33 @@ def estimates(counts: np.ndarray, total: int, distinct: int) -> np.ndarray:
     ])
 
 
+def _together(batches):
+    """The histograms of many documents as one: rounds of learning read few large rows."""
+    held, size = [], 0
+
+    def done():
+        values = np.concatenate(held, axis=1)
+        order = np.lexsort(values[2::-1])
+        values = values[:, order]
+        first = np.flatnonzero(np.concatenate([[True], (values[:3, 1:] != values[:3, :-1]).any(axis=0)]))
+        pooled = np.vstack([values[:3, first], np.add.reduceat(values[3], first)])
+        return pa.RecordBatch.from_arrays([pa.array([_packed(pooled.ravel())], pa.binary())], names=["rest"])
+
+    for batch in batches:
+        for packed in batch.column(0).to_pylist():
+            held.append(_triples(packed))
+            size += held[-1].shape[1]
+            if size >= BLOCK_TOKENS:
+                yield done()
+                held, size = [], 0
+    if size:
+        yield done()
+
+
 def learned(rest: DataFrame, total: int, distinct: int) -> np.ndarray:
     """Weights by bucket from the deleted fold's histograms; every round is one aggregation whose result has
     BUCKETS rows of three expected counts."""
+    rest = written(rest.select("rest").mapInArrow(streaming(_together), "rest binary"), "deleted")
     weights = np.full((BUCKETS, 3), 1 / 3)
     weights[0, 0] = 0.0
     weights[0] /= weights[0].sum()

@@ -336,3 +336,8 @@ def test_lm_scores_equal_plain_expectation_maximisation(table):
     want = plain_scores(texts_)
     got = {r.doc_id: r.score for r in lm.scored(table(texts_)).collect()}
     assert set(got) == set(want) and all(got[i] == pytest.approx(want[i], rel=1e-9) for i in want)
+
+
+def test_counts_of_any_size_are_kept():
+    for values in ([], [0, 5, 2**32 - 1], [7, 2**32, 2**45], [2**62]):
+        assert lm._counts(lm._packed(np.array(values, np.int64))).tolist() == values
