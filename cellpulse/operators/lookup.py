@@ -32,9 +32,10 @@ def spread_lookup(
             "_deal": F.when(alone, F.xxhash64(*spread_by)).otherwise(F.lit(0).cast("long")),
         }
     )
-    others = counted.select(
-        F.col(key).alias("_key"), F.lit(0).cast("long").alias("_deal"), F.struct(*added).alias("_there")
-    )
+    # Always 0, but not a constant: a constant would leave the key alone to deal the rows, and rows without one would
+    # share a task.
+    nothing = F.pmod(F.xxhash64(key), F.lit(1)).cast("long")
+    others = counted.select(F.col(key).alias("_key"), nothing.alias("_deal"), F.struct(*added).alias("_there"))
     return placed.drop("_map").join(others, ["_key", "_deal"], "left").select(
         *df.columns, *[F.coalesce(F.col("_here")[c], F.col("_there")[c]).alias(c) for c in added]
     )
