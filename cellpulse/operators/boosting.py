@@ -15,7 +15,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressionModel, GBTRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cellpulse.operators.models import BoostParams, load_settings, save_settings
+from cellpulse.operators.models import BoostParams, dealt, load_settings, save_settings
 from cellpulse.staging import discarded, written
 
 SEGMENT = 25
@@ -33,13 +33,13 @@ def _model(trees: Sequence[DecisionTreeRegressionModel], step: float, features:
     return GBTRegressionModel(made)
 
 
-def _fitted_tree(rows: DataFrame, params: BoostParams, seed: int) -> DecisionTreeRegressionModel:
+def _fitted_tree(rows: DataFrame, inputs: int, params: BoostParams, seed: int) -> DecisionTreeRegressionModel:
     """One tree on the residuals; a forest of one without bootstrap has the shares of rows and columns."""
     learner = RandomForestRegressor(
         featuresCol="features", labelCol="_residual", numTrees=1, bootstrap=False, maxDepth=params.depth,
         subsamplingRate=params.subsample, featureSubsetStrategy=params.subset, minInstancesPerNode=params.min_leaf, seed=seed,
     )
-    return learner.fit(rows).trees[0]
+    return learner.fit(dealt(rows, learner, inputs)).trees[0]
 
 
 class SegmentedBoosting:
@@ -89,7 +89,7 @@ class SegmentedBoosting:
             now = written(rows, "residuals") if residuals is None else residuals
             made: list[DecisionTreeRegressionModel] = []
             for r in range(n * self.segment, min(self.params.rounds, (n + 1) * self.segment)):
-                made.append(_fitted_tree(self._less(now, made), self.params, self.params.seed + r))
+                made.append(_fitted_tree(self._less(now, made), len(features), self.params, self.params.seed + r))
             _model(made, self.params.step, len(features)).write().overwrite().save(f"{self.path}/segment-{n}/model")
             save_settings(self.spark, {**wanted, "trees": len(made)}, f"{self.path}/segment-{n}/note")
             trees += made

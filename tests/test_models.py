@@ -94,3 +94,25 @@ def test_classifiers(rows, classes):
     for name in learners:
         assert made.where(F.col(name) == F.col("label")).count() / 240 > common, name
     assert made.where(~F.col("forest_confidence").between(0, 1)).isEmpty()
+
+
+def test_a_task_of_a_fit_holds_few_rows(rows, monkeypatch):
+    one = rows.coalesce(1)
+    learner = models.forest(FOREST)
+    assert models.dealt(one, learner, 3) is one
+    each = 8 * 3 + 4 * FOREST.trees + models.ROW_BYTES
+    spread = models.dealt(one, learner, 3, 20 * each)
+    sizes = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
+    # Each of the eight partitions that are dealt out can add a row to the even share of 20.
+    assert sum(sizes) == 240 and max(sizes) <= 28
+    assert spread.exceptAll(rows).isEmpty()
+    held = []
+    monkeypatch.setattr(models, "dealt", lambda train, *args: held.append(args) or spread)
+    fitted = models.fit(learner, one, INPUTS)
+    assert held == [(learner, 3)]
+    assert models.rmse(models.score({"m": fitted}, rows), "m") < baseline(rows)
+
+
+def test_a_fit_of_no_rows_is_not_dealt(rows):
+    none = rows.limit(0)
+    assert models.dealt(none, models.forest(FOREST), 3, 1) is none
