@@ -23,8 +23,8 @@ from cellpulse.llm.pretokens import words
 from cellpulse.operators.lookup import spread_lookup
 
 CACHE = "version string, digest binary, n_tokens bigint"
-#: Words whose counts a task remembers, and the bound of a tokenizer file in bytes.
-MEMO, FILE_BYTES = 1 << 18, 1 << 26
+#: Words whose counts a task remembers, characters of texts looked at together, and the bound of a tokenizer file in bytes.
+MEMO, CHARACTERS, FILE_BYTES = 1 << 18, 1 << 20, 1 << 26
 
 
 def tokenizer_file(spark: SparkSession, path: str):
@@ -70,6 +70,14 @@ def _loaded(kind: str, data: bytes):
     return made, [t["content"] for t in settings["added_tokens"]] if plain else None
 
 
+@cache
+def _letters() -> dict[int, int]:
+    """The character by which byte-level tokenizers write each byte: printable ones are themselves."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: b for b in plain} | {b: 256 + k for k, b in enumerate(others)}
+
+
 class Counter:
     """Counts tokens as the library does; words of byte-level tokenizers are encoded once while remembered."""
 
@@ -92,23 +100,35 @@ class Counter:
             return [len(x) for x in self.tokenizer.encode(texts, num_threads=1)]
         if self.special is None:
             return [len(x.ids) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        counts = []
-        for text in texts:
-            parts, total = self._parts(text)
-            memo = self.memo
-            for part in parts:
-                found = words(part)
-                new = list({w for w in found if w not in memo})
-                if new:
-                    if len(memo) + len(new) > MEMO:
-                        memo.clear()
-                        new = list(set(found))
-                    for w, x in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                        memo[w] = len(x.ids)
-                total += sum([memo[w] for w in found])
-            counts.append(total)
+        counts: list[int] = []
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size + len(texts[end]) <= CHARACTERS):
+                size += len(texts[end])
+                end += 1
+            counts += self._by_words(texts[at:end])
+            at = end
         return counts
 
+    def _by_words(self, texts: list[str]) -> list[int]:
+        """Counts of texts as sums of the counts of their words; new words of all texts are encoded together."""
+        found, totals = [], []
+        for text in texts:
+            parts, special = self._parts(text)
+            found.append([w for part in parts for w in words(part)] if special else words(text))
+            totals.append(special)
+        memo, every = self.memo, set().union(*found)
+        new = every.difference(memo)
+        if len(memo) + len(new) > MEMO:
+            memo.clear()
+            new = every
+        # Words need no more splitting: the library's model takes them as the characters of their bytes.
+        tokens, letters = self.tokenizer.model.tokenize, _letters()
+        for w in new:
+            memo[w] = len(tokens(w.encode().decode("latin-1").translate(letters)))
+        return [special + sum(map(memo.__getitem__, f)) for special, f in zip(totals, found)]
+
 
 def counted(docs: DataFrame, tokenizer, cache_path: str) -> DataFrame:
     """doc_id, n_bytes, n_tokens of every row; appends new counts to the cache at `cache_path`.

@@ -116,6 +116,31 @@ def test_counts_of_other_tokenizers(spark, texts, name):
     assert counts.Counter(kind, data)(some) == want
 
 
+def test_counts_by_words_are_the_librarys(monkeypatch):
+    """Words of many texts go to the library's model at once, each only once while remembered."""
+    kind, data = ".json", open(public_tokenizers.path("byte_bpe_50k.json"), "rb").read()
+    chance = random.Random(4)
+    pieces = [*map(chr, range(0x180)), *"中文٣Ⅷ😀\u2028\u3000", " the", "ing", "<|endoftext|>", "\n\n", "'ll"]
+    texts = ["", "".join(map(chr, range(256))), "<|endoftext|>", "ab " * 1000]
+    texts += ["".join(chance.choice(pieces) for _ in range(chance.randint(0, 200))) for _ in range(400)]
+    counter = counts.Counter(kind, data)
+    want = [len(x.ids) for x in counter.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    class Model:
+        def __init__(self, model):
+            self.asked, self.tokenize = [], lambda w: self.asked.append(w) or model.tokenize(w)
+
+    class Library:
+        model = Model(counter.tokenizer.model)
+
+    counter.tokenizer = Library
+    assert counter(texts) == want
+    assert len(set(Library.model.asked)) == len(Library.model.asked) == len(counter.memo)
+    monkeypatch.setattr(counts, "MEMO", 50)
+    monkeypatch.setattr(counts, "CHARACTERS", 300)
+    assert counter(texts) == want
+
+
 def measured(text):
     text = text or ""
     found = regex.findall(r"[^\x20\x09-\x0D]+", text)
