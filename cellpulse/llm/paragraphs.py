@@ -246,16 +246,6 @@ class _Chunk:
         return total
 
 
-def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """First character and character after the last one of every word of a UTF-8 text."""
-    data = np.frombuffer(text, np.uint8)
-    inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = ~_WHITE[data]
-    first, last = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:])
-    characters = np.cumsum((data & 0xC0) != 0x80)
-    return characters[first] - 1, characters[last - 1]
-
-
 def _block_chunks(ids: list, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[tuple[int, _Chunk]]]:
     """Sorted distinct bands of a block, whether each stands at two places, and the paragraphs by chunk, with the row
     of its first text. Rows that repeat a document, and rows without an id, add no places."""
@@ -324,10 +314,6 @@ def _opened(docs: pa.Table) -> tuple[list, list[bytes]]:
     return ids, texts
 
 
-def _digest(words: list[bytes]) -> int:
-    return xxhash.xxh3_64_intdigest(b" ".join(words)) - (1 << 63)
-
-
 UNIT = (
     "doc_id {kind}, version bigint, place bigint, first int, size int, piece boolean, start int, end int, "
     "next int, apart int, content bigint, words string, bands array<bigint>"
@@ -382,24 +368,36 @@ def _units(parts: int, id_type: pa.DataType):
                     [pa.array(columns[n], t) if n in columns else pa.nulls(len(row), t) for n, t in zip(names, types)], names=names
                 ))
                 distinct, once = np.unique(content.view(np.int64), return_index=True)
-                rows_, contents = [], []
-                for value, k in zip(distinct.tolist(), once.tolist()):
-                    if value not in told:
-                        told.add(value)
-                        words = texts[at + row[k]][begin[k] : stop[k]].lower().split()
-                        rows_.append(b" ".join(words).decode())
-                        contents.append(k)
-                k = np.array(contents, np.int64)
-                bands_ = [chunk.keys[shared[:, j], j].view(np.int64) for j in chosen[k].tolist()]
-                new = {"size": size[k], "content": content.view(np.int64)[k], "words": rows_, "bands": bands_}
+                k = once[[value not in told for value in distinct.tolist()]]
+                told.update(distinct.tolist())
+                rows_ = [
+                    _plain(texts[r][a:b]) for r, a, b in zip((at + row[k]).tolist(), begin[k].tolist(), stop[k].tolist())
+                ]
+                mine = shared[:, chosen[k]].T
+                bands_ = pa.ListArray.from_arrays(
+                    pa.array(np.concatenate([[0], np.cumsum(mine.sum(axis=1))]).astype(np.int32)),
+                    pa.array(chunk.keys[:, chosen[k]].T[mine].view(np.int64)),
+                )
+                new = {"size": size[k], "content": content.view(np.int64)[k], "words": rows_}
                 out.append(pa.Table.from_arrays(
-                    [pa.array(new[n], t) if n in new else pa.nulls(len(k), t) for n, t in zip(names, types)], names=names
+                    [bands_ if n == "bands" else pa.array(new[n], t) if n in new else pa.nulls(len(k), t) for n, t in zip(names, types)],
+                    names=names,
                 ))
         return pa.concat_tables(out) if out else pa.Table.from_batches([_batch(names, [], types)])
 
     return rows
 
 
+#: Bytes in lower case, white space as spaces.
+_LOWER = bytes(32 if _WHITE[b] else b for b in range(256)).lower()
+
+
+def _plain(text: bytes) -> bytes:
+    """The words of a text from its first to its last word in lower case with one space between."""
+    text = text.translate(_LOWER)
+    return b" ".join(text.split()) if b"  " in text else text
+
+
 def _version(text: bytes) -> int:
     return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
@@ -490,17 +488,23 @@ def links(found: DataFrame) -> DataFrame:
 
     def edges(batches):
         """Runs of equal (band, i, j) in sorted rows; a run may go on in the next batch."""
-        held: list[tuple] = []
+        key, contents, words = None, [], []
         for batch in batches:
+            if not batch.num_rows:
+                continue
             found_: list[tuple[int, int]] = []
-            for row in zip(*(batch.column(n).to_pylist() for n in ("band", "i", "j", "content", "words"))):
-                if held and held[-1][:3] != row[:3]:
-                    found_ += similar([r[3] for r in held], [r[4] for r in held])
-                    held = []
-                held.append(row)
+            units = np.array([batch.column(n).to_numpy() for n in ("band", "i", "j")])
+            cuts = [0, *(np.flatnonzero((units[:, 1:] != units[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            told, said = batch.column("content").to_pylist(), batch.column("words").to_pylist()
+            for a, b in zip(cuts, cuts[1:]):
+                if a or key != units[:, 0].tolist():
+                    found_ += similar(contents, words)
+                    contents, words = [], []
+                contents += told[a:b]
+                words += said[a:b]
+            key = units[:, -1].tolist()
             yield _batch(["a", "b"], found_, [pa.int64(), pa.int64()])
-        if held:
-            yield _batch(["a", "b"], similar([r[3] for r in held], [r[4] for r in held]), [pa.int64(), pa.int64()])
+        yield _batch(["a", "b"], similar(contents, words), [pa.int64(), pa.int64()])
 
     return (
         spread.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
@@ -519,42 +523,83 @@ def _sides(id_type: pa.DataType):
 
     def rows(docs: pa.Table, told: pa.Table) -> pa.Table:
         _complete(docs, told)
-        out: list[tuple] = []
-        if told.num_rows:
-            _, texts = _opened(docs)
-            earliest: dict[tuple, int] = {}
-            opened, last = None, None
-            ordered = told.sort_by([(n, "ascending") for n in ("doc_id", "first", "version", "place")])
-            for place, doc_id, version, first, root, side, removed in zip(
-                *(ordered.column(n).to_pylist() for n in ("place", "doc_id", "version", "first", "root", "side", "removed"))
-            ):
-                row = place & (1 << ROW_BITS) - 1
-                if row != last:
-                    text = texts[row]
-                    opened, last = (text.lower().split(), *word_places(text), text.decode()), row
-                said, begins, ends, letters = opened
-                if side:
-                    words = said[first + WORDS : first + WORDS + SIDE]
-                    text_ = letters[ends[first + WORDS - 1] : ends[first + WORDS + len(words) - 1]]
-                    near = words[0] if words else b""
-                else:
-                    words = said[max(0, first - SIDE) : first]
-                    text_ = letters[begins[first - len(words)] : begins[first]]
-                    near = words[-1] if words else b""
-                if not words:
-                    continue
-                key = root, side, tuple(words)
-                if key in earliest:
-                    if removed:
-                        out.append((root, side, None, False, doc_id, version, first, None, len(text_)))
-                else:
-                    earliest[key] = row
-                    out.append((root, side, _digest([near]), removed, doc_id, version, first, text_, None))
-        return pa.Table.from_batches([_batch(names, out, types)])
+        if not told.num_rows:
+            return pa.Table.from_batches([_batch(names, [], types)])
+        _, texts = _opened(docs)
+        told = told.sort_by([(n, "ascending") for n in ("doc_id", "first", "version", "place")])
+        row = told.column("place").to_numpy() & (1 << ROW_BITS) - 1
+        right = told.column("side").to_numpy() == 1
+        beside = _beside(texts, row, told.column("first").to_numpy().astype(np.int64), right)
+        kept = np.flatnonzero(beside["count"])
+        root = told.column("root").to_numpy()[kept]
+        keys = [beside["said"][kept], beside["count"][kept], right[kept], root]
+        # Stable: of equal ones the first in order of age comes first.
+        order = np.lexsort(keys)
+        new = np.ones(len(kept), bool)
+        if len(kept):
+            new[1:] = np.any([k[order[1:]] != k[order[:-1]] for k in keys], axis=0)
+        earliest = np.zeros(len(kept), bool)
+        earliest[order[new]] = True
+        removed = np.array(told.column("removed").to_pylist(), bool)[kept]
+        chosen = earliest | removed
+        kept, earliest, removed = kept[chosen], earliest[chosen], removed[chosen]
+        said = [
+            texts[r][a:b] if e else None
+            for r, a, b, e in zip(*(x.tolist() for x in (row[kept], beside["begin"][kept], beside["stop"][kept], earliest)))
+        ]
+        columns = {
+            "root": root[chosen], "side": right[kept].astype(np.int32),
+            "near": pa.array(beside["near"][kept].view(np.int64), pa.int64(), mask=~earliest), "asked": earliest & removed,
+            **{n: told.column(n).take(pa.array(kept)) for n in ("doc_id", "version", "first")}, "text": said,
+            "grown": pa.array(beside["letters"][kept], pa.int32(), mask=earliest),
+        }
+        # From a list of arrays: chunks of a taken column needn't be those of the others.
+        return pa.table([c if isinstance(c, pa.ChunkedArray) else pa.array(c, t) for c, t in zip((columns[n] for n in names), types)], names=names)
 
     return rows
 
 
+def _beside(texts: list[bytes], row: np.ndarray, start: np.ndarray, right: np.ndarray) -> dict[str, np.ndarray]:
+    """Of the up to SIDE words beside pieces, given by text, first word and side: their number, hash, the hash of the one
+    nearest to the piece, first byte and byte behind the last one of their text, up to the piece, and its characters."""
+    found = {n: np.zeros(len(row), np.int64) for n in ("count", "begin", "stop")}
+    found |= {n: np.zeros(len(row), np.uint64) for n in ("said", "near")} | {"letters": np.zeros(len(row), np.int32)}
+    by_row = np.argsort(row, kind="stable")
+    wanted, opens = np.unique(row[by_row], return_index=True)
+    opens, at = np.append(opens, len(row)), 0
+    while at < len(wanted):
+        end, size = at, 0
+        while end < len(wanted) and (end == at or size + len(texts[wanted[end]]) < CHUNK):
+            size += len(texts[wanted[end]])
+            end += 1
+        some = [texts[r] for r in wanted[at:end].tolist()]
+        data = np.frombuffer((b"\n".join(some) + b"\n").lower(), np.uint8)
+        inside = np.zeros(len(data) + 2, bool)
+        inside[1:-1] = ~_WHITE[data]
+        first, last = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:])
+        offsets = np.cumsum([0, *(len(t) + 1 for t in some)])
+        words, hashes = np.searchsorted(first, offsets), word_hashes(data, first, last)
+        characters = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        mine = by_row[opens[at] : opens[end]]
+        text, on = np.searchsorted(wanted[at:end], row[mine]), right[mine]
+        here = words[text] + start[mine]
+        a = np.where(on, here + WORDS, np.maximum(words[text], here - SIDE))
+        b = np.where(on, np.minimum(a + SIDE, words[text + 1]), here)
+        some = b > a
+        mine, text, on, a, b = mine[some], text[some], on[some], a[some], b[some]
+        said = np.zeros(len(mine), np.uint64)
+        for k in range(SIDE):
+            said = np.where(a + k < b, (said + hashes[np.minimum(a + k, b - 1)]) * np.uint64(MULTIPLIERS[0]), said)
+        begin = np.where(on, last[a - 1], first[a])
+        stop = np.where(on, last[b - 1], first[np.minimum(b, len(first) - 1)])
+        found["count"][mine], found["said"][mine] = b - a, said
+        found["near"][mine] = hashes[np.where(on, a, b - 1)]
+        found["begin"][mine], found["stop"][mine] = begin - offsets[text], stop - offsets[text]
+        found["letters"][mine] = characters[stop] - characters[begin]
+        at = end
+    return found
+
+
 def shared_reach(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """For each row of word hashes, given in order of age with its number of words, how many of its first words are
     also the first ones of an older row."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -529,3 +530,37 @@ def test_stages_on_hard_and_empty_tables(spark, folder, table):
             assert docs.count() <= size
         last = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
         assert last.count() == docs.count() and (size == 0 or docs.count() >= 6)
+
+
+def test_words_beside_pieces_equal_plain_loops(monkeypatch):
+    """Chunks of texts, white space of all kinds, other scripts, and sides that end with the text."""
+    monkeypatch.setattr(paragraphs, "CHUNK", 500)
+    chance = random.Random(12)
+    words = ["Ab", "c", "\u00e9t\u00e9", "\u4e2d\u6587", "D.", "x" * 30]
+    texts = [
+        "".join(chance.choice(words) + chance.choice([" ", "  ", "\n", "\t \r\n", "\x0b"]) for _ in range(n)).encode()
+        for n in (24, 25, 50, 51, 52, 200, 30, 90)
+    ]
+    asked = [(r, f, s) for r, t in enumerate(texts) for f in range(len(t.split()) - paragraphs.WORDS + 1) for s in (0, 1)]
+    chance.shuffle(asked)
+    row, first, side = (np.array(x) for x in zip(*asked))
+    found = paragraphs._beside(texts, row, first, side == 1)
+    equal = defaultdict(set)
+    for k, (r, f, s) in enumerate(asked):
+        spans = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", texts[r])]
+        a, b = (f + paragraphs.WORDS, f + paragraphs.WORDS + paragraphs.SIDE) if s else (max(0, f - paragraphs.SIDE), f)
+        beside = [texts[r][x:y].lower() for x, y in spans[a:b]]
+        assert found["count"][k] == len(beside)
+        if beside:
+            begin, stop = (spans[a - 1][1], spans[min(b, len(spans)) - 1][1]) if s else (spans[a][0], spans[b][0])
+            assert (found["begin"][k], found["stop"][k]) == (begin, stop)
+            assert found["letters"][k] == len(texts[r][begin:stop].decode())
+            equal[tuple(beside)].add(found["said"][k])
+            equal[beside[0 if s else -1], "near"].add(found["near"][k])
+    assert all(len(v) == 1 for v in equal.values())
+    assert len({*map(min, equal.values())}) == len(equal)
+
+
+def test_plain_words():
+    for text in (b"A b", b"A\tb\xc3\x89", b"a  B\r\nc", b"a\x0b\x0cB"):
+        assert paragraphs._plain(text) == b" ".join(text.lower().split())
