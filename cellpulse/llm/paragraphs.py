@@ -488,23 +488,17 @@ def links(found: DataFrame) -> DataFrame:
 
     def edges(batches):
         """Runs of equal (band, i, j) in sorted rows; a run may go on in the next batch."""
-        key, contents, words = None, [], []
+        held: list[tuple] = []
         for batch in batches:
-            if not batch.num_rows:
-                continue
             found_: list[tuple[int, int]] = []
-            units = np.array([batch.column(n).to_numpy() for n in ("band", "i", "j")])
-            cuts = [0, *(np.flatnonzero((units[:, 1:] != units[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
-            told, said = batch.column("content").to_pylist(), batch.column("words").to_pylist()
-            for a, b in zip(cuts, cuts[1:]):
-                if a or key != units[:, 0].tolist():
-                    found_ += similar(contents, words)
-                    contents, words = [], []
-                contents += told[a:b]
-                words += said[a:b]
-            key = units[:, -1].tolist()
+            for row in zip(*(batch.column(n).to_pylist() for n in ("band", "i", "j", "content", "words"))):
+                if held and held[-1][:3] != row[:3]:
+                    found_ += similar([r[3] for r in held], [r[4] for r in held])
+                    held = []
+                held.append(row)
             yield _batch(["a", "b"], found_, [pa.int64(), pa.int64()])
-        yield _batch(["a", "b"], similar(contents, words), [pa.int64(), pa.int64()])
+        if held:
+            yield _batch(["a", "b"], similar([r[3] for r in held], [r[4] for r in held]), [pa.int64(), pa.int64()])
 
     return (
         spread.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
